@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The job this library rebuilds is a batch job; it has no streams, watermarks
+or state.  A caller that receives staged slices as a stream can drive
+``slicerefresh.sync_all`` from ``DataStreamWriter.foreachBatch``; no separate
+streaming operator is provided.
+"""
