@@ -180,7 +180,8 @@ class ResolvedScope:
         """Rows inside the slice (left-semi joins / pushed-down IN filters)."""
         for i, ks in enumerate(self.parts.values()):
             if ks.literal:
-                df = df.filter(null_safe_true(values_in(ks.key, ks.values)))
+                # A filter drops null predicates anyway; the bare IN reaches the Parquet scan.
+                df = df.filter(values_in(ks.key, ks.values))
             else:
                 alias = f"__scope_k{i}"
                 side = self._side(ks, alias, None)

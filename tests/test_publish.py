@@ -1,0 +1,102 @@
+"""Staged publication: verify before switch, failures leave the previous version intact."""
+
+import pytest
+from helpers import frame, row, uids
+from pyspark.sql import functions as F
+
+from slicerefresh import Scope, StatusTarget, sync_table
+from slicerefresh.plans.publish import (
+    BucketSpec,
+    PublishError,
+    publish_table,
+    stage_table,
+    switch,
+    switch_all,
+    table_location,
+    verify,
+)
+from slicerefresh.schema import LAYOUTS
+from slicerefresh.session import scratch_path
+
+SPEC = BucketSpec.for_layout(LAYOUTS["summary_details_by_practice"], 4)
+
+
+def _cur(spark, name, root):
+    df = frame(spark, [row(1, "A", "c1"), row(2, "A", "c2"), row(2, "A", "c2")])
+    publish_table(df, name, f"{root}/{name}", SPEC)
+    return df
+
+
+def test_failed_write_leaves_previous_version(spark):
+    root = scratch_path(spark, "t")
+    _cur(spark, "pub_fail", root)
+    before = table_location(spark, "pub_fail")
+    bad = frame(spark, [row(1, "A", "x")]).withColumn("visit_uid", F.raise_error(F.lit("injected")).cast("string"))
+    with pytest.raises(Exception):
+        publish_table(bad, "pub_fail", f"{root}/pub_fail", SPEC)
+    assert table_location(spark, "pub_fail") == before
+    assert uids(spark.table("pub_fail")) == ["c1", "c2", "c2"]
+
+
+def test_verify_mismatch_blocks_switch(spark):
+    root = scratch_path(spark, "t")
+    _cur(spark, "pub_verify", root)
+    before = table_location(spark, "pub_verify")
+    staged = stage_table(frame(spark, [row(9, "A", "n")]), "pub_verify", f"{root}/pub_verify", SPEC)
+    with pytest.raises(PublishError):
+        verify(spark, staged, expected_rows=2)
+    with pytest.raises(PublishError):
+        switch(spark, staged)
+    assert table_location(spark, "pub_verify") == before
+
+
+def test_switch_all_restores_on_failure(spark):
+    root = scratch_path(spark, "t")
+    _cur(spark, "pub_a", root)
+    _cur(spark, "pub_b", root)
+    loc_a, loc_b = table_location(spark, "pub_a"), table_location(spark, "pub_b")
+    ok = verify(spark, stage_table(frame(spark, [row(5, "A", "a")]), "pub_a", f"{root}/pub_a", SPEC))
+    other = BucketSpec(3, SPEC.columns, SPEC.sort_columns)  # wrong spec: the switch must fail
+    wrong = verify(spark, stage_table(frame(spark, [row(5, "A", "b")]), "pub_b", f"{root}/pub_b", other))
+    with pytest.raises(PublishError):
+        switch_all(spark, [ok, wrong])
+    assert table_location(spark, "pub_a") == loc_a
+    assert table_location(spark, "pub_b") == loc_b
+
+
+def test_sync_in_place_is_idempotent_and_keeps_old_version(spark):
+    root = scratch_path(spark, "t")
+    _cur(spark, "pub_idem", root)
+    publish_table(frame(spark, [row(1, "A", "s1")]), "pub_idem_stg", f"{root}/stg")
+    first = table_location(spark, "pub_idem")
+    kw = dict(current="pub_idem", staging="pub_idem_stg", scope=Scope.of([1], ["A"]), target="pub_idem", root=f"{root}/pub_idem")
+    r1 = sync_table(spark, "summary_details_by_practice", **kw)
+    once = uids(spark.table("pub_idem"))
+    sync_table(spark, "summary_details_by_practice", **kw)
+    assert uids(spark.table("pub_idem")) == once == ["c2", "s1"]
+    assert r1.runs[0].previous_location == first
+    assert uids(spark.read.parquet(first)) == ["c1", "c2", "c2"]  # previous version untouched
+    a = r1.runs[0].audit
+    assert (a.prod_full, a.to_remove, a.to_add, a.after_removal, a.after_add) == (3, 1, 1, 1, 2)
+
+
+def test_status_refresh_update_semantics(spark):
+    import datetime as dt
+
+    root = scratch_path(spark, "t")
+    t_old, t_new = dt.datetime(2001, 1, 1), dt.datetime(2030, 1, 1)
+    cur = frame(spark, [row(1, "A", "c1", visit_dt=t_old), row(1, "B", "c1b", visit_dt=dt.datetime(2002, 1, 1)),
+                        row(2, "A", "c2", visit_dt=t_old)])
+    publish_table(cur, "st_cur", f"{root}/cur", SPEC)
+    publish_table(frame(spark, [row(1, "A", "s1", visit_dt=t_old)]), "st_stg", f"{root}/stg")
+    status = spark.createDataFrame(
+        [(1, t_new, t_old), (2, t_old, t_old), (5, t_old, t_old)], "practiceid int, enddate timestamp_ntz, lastrefreshtime timestamp_ntz"
+    )
+    publish_table(status, "st_status", f"{root}/status")
+    refreshed = F.lit("2031-01-01 00:00:00").cast("timestamp_ntz")
+    sync_table(spark, "summary_details_by_practice", current="st_cur", staging="st_stg", scope=Scope.of([1, 3], ["A"]),
+               target="st_cur", root=f"{root}/cur", status=StatusTarget("st_status", f"{root}/status", refreshed))
+    got = {r["practiceid"]: (r["enddate"], r["lastrefreshtime"]) for r in spark.table("st_status").collect()}
+    # practice 1 moves *back* (all measures count), 2 and 5 are untouched, 3 has no status row.
+    assert got[1] == (dt.datetime(2002, 1, 1), dt.datetime(2031, 1, 1))
+    assert got[2] == (t_old, t_old) and got[5] == (t_old, t_old) and 3 not in got
