@@ -55,6 +55,14 @@ def _inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return fx.prod(spark, sf), fx.staging(spark, sf)
 
 
+def q_slice_replace_all_joined(spark, sf):
+    """All-of-staging scope kept distributed (the large-scope path): counted
+    key frames joined with marker columns instead of literal lists."""
+    prod, staging = _inputs(spark, sf)
+    scope = Scope.of(None, None).resolve(staging.select("practice_id", "measure_id"), max_literal_values=0)
+    return slice_replace(prod, staging, scope)
+
+
 def _replace(kind: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf: str) -> DataFrame:
         prod, staging = _inputs(spark, sf)
@@ -328,6 +336,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "slice_append": q_slice_append,
         "slice_replace_list": _replace("list"),
         "slice_replace_all": _replace("all"),
+        "slice_replace_all_joined": q_slice_replace_all_joined,
         "slice_replace_all_practices": _replace("all_practices"),
         "slice_replace_all_measures": _replace("all_measures"),
         "slice_delete_without_add": _replace("absent"),
@@ -485,6 +494,7 @@ def oracle_sql() -> dict[str, str]:
         "slice_append": w(f"SELECT * FROM clean_prod UNION ALL SELECT * FROM clean_staging WHERE {_s('list')}"),
         "slice_replace_list": _replace_sql("list"),
         "slice_replace_all": _replace_sql("all"),
+        "slice_replace_all_joined": _replace_sql("all"),
         "slice_replace_all_practices": _replace_sql("all_practices"),
         "slice_replace_all_measures": _replace_sql("all_measures"),
         "slice_delete_without_add": _replace_sql("absent"),

@@ -79,15 +79,15 @@ class Scope:
                 src = sources.get(key) if isinstance(sources, Mapping) else sources
                 if src is None:
                     raise ValueError(f"scope for {key!r} is 'everything in staging' but no source was given")
-                parts[key] = _frame_keys(src, key, max_broadcast_keys)
+                parts[key] = _frame_keys(src, key, max_broadcast_keys, max_literal_values)
             elif isinstance(vals, DataFrame):
-                parts[key] = _frame_keys(vals, key, max_broadcast_keys)
+                parts[key] = _frame_keys(vals, key, max_broadcast_keys, max_literal_values)
             else:
                 lst = list(dict.fromkeys(vals))
                 if len(lst) > max_literal_values:
                     spark = SparkSession.getActiveSession()
                     frame = spark.createDataFrame([(v,) for v in lst], [key])
-                    parts[key] = _frame_keys(frame, key, max_broadcast_keys)
+                    parts[key] = _frame_keys(frame, key, max_broadcast_keys, 0)
                 else:
                     parts[key] = _KeySet(key, values=lst, size=len([v for v in lst if v is not None]))
         resolved = ResolvedScope(parts)
@@ -111,10 +111,22 @@ class _KeySet:
         return self.values is not None
 
 
-def _frame_keys(df: DataFrame, key: str, max_broadcast_keys: int) -> _KeySet:
-    """Distinct non-null keys of ``df``, checkpointed to the shared folder and counted."""
+def _frame_keys(df: DataFrame, key: str, max_broadcast_keys: int, max_literal_values: int) -> _KeySet:
+    """Distinct non-null keys of ``df``.
+
+    Small sets (at most ``max_literal_values``) become literal lists: a
+    ``limit`` bounds what reaches the driver, and the slice then is an ``IN``
+    filter that Parquet can push down.  Larger sets stay distributed:
+    checkpointed to the shared folder, counted, and broadcast only under
+    ``max_broadcast_keys``.
+    """
+    distinct = df.select(key).where(F.col(key).isNotNull()).distinct()
+    if max_literal_values > 0:
+        probe = distinct.limit(max_literal_values + 1).collect()
+        if len(probe) <= max_literal_values:
+            return _KeySet(key, values=[r[0] for r in probe], size=len(probe))
     shared_dir(df.sparkSession)  # makes sure a checkpoint directory is set
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct().checkpoint(eager=True)
+    keys = distinct.checkpoint(eager=True)
     n = keys.count()
     return _KeySet(key, frame=keys, size=n, broadcast=n <= max_broadcast_keys)
 

@@ -169,6 +169,11 @@ def switch(spark: SparkSession, staged: Staged) -> str | None:
     return previous
 
 
+def discard(spark: SparkSession, staged: Staged) -> None:
+    """Forget a staged version that will not be published (its folder stays)."""
+    spark.sql(f"DROP TABLE IF EXISTS {_quote(staged.staging_name)}")
+
+
 def restore(spark: SparkSession, table: str, location: str | None) -> None:
     """Undo a switch: point ``table`` back at ``location`` (or unregister it)."""
     if location is None:

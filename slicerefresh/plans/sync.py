@@ -15,10 +15,12 @@ overwritten: every version goes to a new folder.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from slicerefresh.operators.audit import AuditCounts, audit_frame, input_counts
 from slicerefresh.operators.clean import DIRTY_CHAR, DIRTY_COLUMN, control_char_filter
@@ -30,6 +32,7 @@ from slicerefresh.plans.publish import (
     Staged,
     bucket_ready,
     default_num_buckets,
+    discard,
     publish_table,
     stage_table,
     switch_all,
@@ -167,14 +170,19 @@ def stage_sync(
         cur_df, read_table(spark, staging), scope, dedupe=dedupe, bucket_spec=spec, current_bucketed=current_bucketed
     )
     staged = stage_table(result, target, root, spec)
-    counts.after_removal, counts.after_add = _count(kept_obs), _count(kept_obs) + _count(added_obs)
-    counts.check()
-    verify(spark, staged, expected_rows=counts.after_add)
-    run = TableRun(table, target, counts, staged, dedupe=counts.to_remove > 0 if dedupe == "reference" else dedupe == "always")
-    if snapshot_path:
-        snap = spark.read.parquet(staged.path)
-        write_delimited(snap, snapshot_path, header=snapshot_format.header, columns=snapshot_format.columns(table))
-        run.snapshot_path = snapshot_path
+    try:
+        counts.after_removal, counts.after_add = _count(kept_obs), _count(kept_obs) + _count(added_obs)
+        counts.check()
+        verify(spark, staged, expected_rows=counts.after_add)
+        deduped = counts.to_remove > 0 if dedupe == "reference" else dedupe == "always"
+        run = TableRun(table, target, counts, staged, dedupe=deduped)
+        if snapshot_path:
+            snap = spark.read.parquet(staged.path)
+            write_delimited(snap, snapshot_path, header=snapshot_format.header, columns=snapshot_format.columns(table))
+            run.snapshot_path = snapshot_path
+    except Exception:
+        discard(spark, staged)
+        raise
     return run
 
 
@@ -212,27 +220,34 @@ def sync_all(
     backup_for: Callable[[str], str] | None = None,
     status: StatusTarget | None = None,
     scope_options: Mapping | None = None,
+    parallel_tables: int = 4,
 ) -> SyncReport:
-    """Stage all tables, then switch all of them, then advance the status."""
+    """Stage all tables, then switch all of them, then advance the status.
+
+    The tables are independent until the switch, so up to ``parallel_tables``
+    of them are staged at once: their jobs share the cluster instead of
+    waiting for each other's tails.
+    """
     resolved = resolve_scope(spark, scope, staging_for, **(scope_options or {}))
-    report = SyncReport()
-    for table in tables:
-        report.runs.append(
-            stage_sync(
-                spark,
-                table,
-                current=current_for(table),
-                staging=staging_for(table),
-                scope=resolved,
-                target=target_for(table),
-                root=root_for(table),
-                dedupe=dedupe,
-                num_buckets=num_buckets,
-                snapshot_path=snapshot_for(table) if snapshot_for else None,
-                snapshot_format=snapshot_format,
-                backup_path=backup_for(table) if backup_for else None,
-            )
+
+    def stage(table: str) -> TableRun:
+        return stage_sync(
+            spark,
+            table,
+            current=current_for(table),
+            staging=staging_for(table),
+            scope=resolved,
+            target=target_for(table),
+            root=root_for(table),
+            dedupe=dedupe,
+            num_buckets=num_buckets,
+            snapshot_path=snapshot_for(table) if snapshot_for else None,
+            snapshot_format=snapshot_format,
+            backup_path=backup_for(table) if backup_for else None,
         )
+
+    report = SyncReport()
+    report.runs = _stage_all(spark, stage, tables, parallel_tables)
     previous = switch_all(spark, [r.staged for r in report.runs])
     for run, prev in zip(report.runs, previous):
         run.previous_location = prev
@@ -243,6 +258,31 @@ def sync_all(
     return report
 
 
+def _stage_all(spark: SparkSession, stage: Callable[[str], TableRun], tables: tuple[str, ...], parallel: int) -> list[TableRun]:
+    """Stage every table; if any fails, nothing is switched and the staged
+    catalog entries are dropped (their folders stay, unpublished)."""
+    if parallel <= 1 or len(tables) <= 1:
+        runs: list[TableRun] = []
+        try:
+            for t in tables:
+                runs.append(stage(t))
+        except Exception:
+            for r in runs:
+                discard(spark, r.staged)
+            raise
+        return runs
+    with ThreadPoolExecutor(max_workers=min(parallel, len(tables))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(stage), t) for t in tables]
+        wait(futures)
+    failed = [f.exception() for f in futures if f.exception() is not None]
+    if failed:
+        for f in futures:
+            if f.exception() is None:
+                discard(spark, f.result().staged)
+        raise failed[0]
+    return [f.result() for f in futures]
+
+
 def sync_table(
     spark: SparkSession,
     table: str,

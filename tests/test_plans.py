@@ -27,7 +27,7 @@ def _tables(spark):
 
 def test_all_scope_is_broadcast_and_kept_rows_do_not_shuffle(spark):
     cur, stg = _tables(spark)
-    scope = Scope.of(None, None).resolve(stg)
+    scope = Scope.of(None, None).resolve(stg, max_literal_values=0)
     _, result, _, _ = replacement_plan(cur, stg, scope, bucket_spec=SPEC, current_bucketed=True)
     p = plan(result)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
@@ -40,11 +40,19 @@ def test_all_scope_is_broadcast_and_kept_rows_do_not_shuffle(spark):
 
 def test_scope_over_the_limit_is_not_broadcast(spark):
     cur, stg = _tables(spark)
-    scope = Scope.of(None, None).resolve(stg, max_broadcast_keys=1)
+    scope = Scope.of(None, None).resolve(stg, max_broadcast_keys=1, max_literal_values=0)
     assert not scope.parts["practice_id"].broadcast and scope.parts["measure_id"].broadcast is False
     df = scope.mark(cur, "f")
     p = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in p.lower() or "BROADCAST" not in p
+    assert "BROADCAST" not in p
+
+
+def test_small_all_scope_becomes_a_pushed_down_list(spark):
+    cur, stg = _tables(spark)
+    scope = Scope.of(None, None).resolve(stg)
+    assert scope.parts["practice_id"].literal and sorted(scope.parts["practice_id"].values) == [1, 2]
+    p = plan(scope.select(cur))
+    assert "In(practice_id, [1,2])" in p and "BroadcastHashJoin" not in p
 
 
 def test_literal_scope_reaches_the_scan(spark):
