@@ -86,8 +86,29 @@ def table_bucket_spec(spark: SparkSession, table: str) -> BucketSpec | None:
     return BucketSpec(int(d["Num Buckets"]), cols(d.get("Bucket Columns")), cols(d.get("Sort Columns")))
 
 
-def default_num_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+DEFAULT_BUCKET_BYTES = 1 << 30  # about 1 GiB of Parquet per bucket file
+
+
+def default_num_buckets(spark: SparkSession, source_bytes: int | None = None, bucket_bytes: int = DEFAULT_BUCKET_BYTES) -> int:
+    """Bucket count for a new table: about ``bucket_bytes`` per bucket, never
+    fewer than ``spark.sql.shuffle.partitions``.  The count is fixed for the
+    table's lifetime (changing it means a full rewrite), so it is sized from
+    the data, not from the session."""
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not source_bytes:
+        return floor
+    return max(floor, -(-source_bytes // bucket_bytes))
+
+
+def stored_bytes(spark: SparkSession, source: str) -> int | None:
+    """Bytes on storage of a catalog table or a path (a metadata call)."""
+    loc = table_location(spark, source) if spark.catalog.tableExists(source) else source
+    if not loc:
+        return None
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(loc)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(path).getLength()) if fs.exists(path) else None
 
 
 def _version_id() -> str:

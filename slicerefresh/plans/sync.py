@@ -34,6 +34,7 @@ from slicerefresh.plans.publish import (
     default_num_buckets,
     discard,
     publish_table,
+    stored_bytes,
     stage_table,
     switch_all,
     table_bucket_spec,
@@ -55,6 +56,9 @@ class SnapshotFormat:
 
     header: bool = False
     evolved: bool = False
+    # Quoted fields may hold newlines; reading them needs multiLine, which
+    # makes each file one task.  Turn it off for large files known to hold none.
+    multiline: bool = True
 
     def columns(self, table: str) -> list[str]:
         return layout(table).columns(self.evolved)
@@ -158,7 +162,12 @@ def stage_sync(
     """Stage and verify the new version of one table (not yet switched)."""
     lay = layout(table)
     existing = table_bucket_spec(spark, target)
-    n = existing.num_buckets if existing else (num_buckets or default_num_buckets(spark))
+    if existing:
+        n = existing.num_buckets
+    elif num_buckets:
+        n = num_buckets
+    else:
+        n = default_num_buckets(spark, stored_bytes(spark, current) if isinstance(current, str) else None)
     spec = BucketSpec.for_layout(lay, n)
     if existing is not None and existing != spec:
         raise ValueError(f"{target} is bucketed as {existing}, layout {table} needs {spec}")
@@ -312,7 +321,7 @@ def sync_table(
 
 def read_snapshot(spark: SparkSession, path: str, table: str, fmt: SnapshotFormat = SnapshotFormat()) -> DataFrame:
     """A table's delimited snapshot, typed, in canonical order."""
-    return conform(read_delimited(spark, path, fmt.schema(table), header=fmt.header))
+    return conform(read_delimited(spark, path, fmt.schema(table), header=fmt.header, multiline=fmt.multiline))
 
 
 def sync_from_snapshot(

@@ -100,3 +100,15 @@ def test_status_refresh_update_semantics(spark):
     # practice 1 moves *back* (all measures count), 2 and 5 are untouched, 3 has no status row.
     assert got[1] == (dt.datetime(2002, 1, 1), dt.datetime(2031, 1, 1))
     assert got[2] == (t_old, t_old) and got[5] == (t_old, t_old) and 3 not in got
+
+
+def test_bucket_count_is_sized_from_bytes(spark):
+    from slicerefresh.plans.publish import default_num_buckets, stored_bytes
+
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert default_num_buckets(spark) == floor
+    assert default_num_buckets(spark, 10 * (1 << 30)) == max(floor, 10)
+    assert default_num_buckets(spark, 100 * (1 << 30), bucket_bytes=1 << 30) == 100
+    root = scratch_path(spark, "t")
+    publish_table(frame(spark, [row(1, "A", "c1")]), "pub_size", f"{root}/pub_size", SPEC)
+    assert stored_bytes(spark, "pub_size") > 0
