@@ -2,8 +2,9 @@
 
 Per table the work is at most four Spark jobs:
 
-1. input counts (one aggregation reading only key and cleaning columns),
-2. the staged write (kept and added rows counted by observations),
+1. an existence probe of the slice (for the conditional dedupe; it stops at
+   the first matching row and is pruned by pushed-down filters),
+2. the staged write, which also counts every step through observations,
 3. the verification count (Parquet footers),
 4. optionally the delimited snapshot, written from the staged version.
 
@@ -22,9 +23,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from slicerefresh.operators.audit import AuditCounts, audit_frame, input_counts
+from slicerefresh.operators.audit import AuditCounts, audit_frame
 from slicerefresh.operators.clean import DIRTY_CHAR, DIRTY_COLUMN, control_char_filter
-from slicerefresh.operators.replace import slice_delete, slice_select
+from slicerefresh.operators.replace import distinct_rows, should_dedupe, slice_select
 from slicerefresh.operators.scope import ResolvedScope, Scope
 from slicerefresh.operators.status import practice_filter, practice_high_water, refresh_status
 from slicerefresh.plans.publish import (
@@ -87,8 +88,25 @@ class SyncReport:
         return audit_frame(spark, [(r.table, r.audit) for r in self.runs])
 
 
-def _count(obs: Observation) -> int:
-    return obs.get["n"]
+@dataclass
+class Replacement:
+    """A lazy replacement result and the observations that count it.
+
+    The counts are filled in by the action that consumes ``result`` (the
+    staged write): no separate counting job over the current table.
+    """
+
+    result: DataFrame
+    deduped: bool
+    current_obs: Observation
+    kept_obs: Observation
+    added_obs: Observation
+
+    def counts(self) -> AuditCounts:
+        cur, kept, added = self.current_obs.get, self.kept_obs.get["n"], self.added_obs.get["n"]
+        c = AuditCounts(cur["full"], cur["removed"], added, after_removal=kept, after_add=kept + added)
+        c.check()
+        return c
 
 
 def replacement_plan(
@@ -102,14 +120,27 @@ def replacement_plan(
     bucket_spec: BucketSpec | None = None,
     current_bucketed: bool = False,
     schema=CANONICAL_SCHEMA,
-):
-    """Counts the inputs (one job) and returns the lazy result with its observations."""
+) -> Replacement:
+    """The lazy result of replacing the slice, instrumented with observations.
+
+    The only eager work is the dedupe decision of ``dedupe="reference"``: an
+    existence probe of the slice in the current rows, which stops at the
+    first match and, for literal scopes, prunes row groups by the pushed-down
+    ``IN`` filter.  Its answer is checked against the observed count later.
+    """
     cur, stg = conform(current, schema), conform(staging, schema)
     if clean_column:
         cur = control_char_filter(cur, clean_column, clean_char)
         stg = control_char_filter(stg, clean_column, clean_char)
-    counts = input_counts(cur, stg, scope)
-    kept = slice_delete(cur, scope, dedupe, removed=counts.to_remove)
+    deduped = should_dedupe(dedupe, None, cur, scope)
+    flag = "__in_scope"
+    cur_obs, kept_obs, added_obs = Observation(), Observation(), Observation()
+    marked = scope.mark(cur, flag).observe(
+        cur_obs, F.count(F.lit(1)).alias("full"), F.count_if(F.col(flag)).alias("removed")
+    )
+    kept = marked.filter(~F.col(flag)).drop(flag)
+    if deduped:
+        kept = distinct_rows(kept)
     added = slice_select(stg, scope)
     if bucket_spec is not None:
         # The kept rows of a table bucketed the same way are already in bucket
@@ -117,10 +148,9 @@ def replacement_plan(
         if not current_bucketed:
             kept = bucket_ready(kept, bucket_spec)
         added = bucket_ready(added, bucket_spec)
-    kept_obs, added_obs = Observation(), Observation()
     kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("n"))
     added = added.observe(added_obs, F.count(F.lit(1)).alias("n"))
-    return counts, kept.unionByName(added), kept_obs, added_obs
+    return Replacement(kept.unionByName(added), deduped, cur_obs, kept_obs, added_obs)
 
 
 def resolve_scope(
@@ -175,16 +205,16 @@ def stage_sync(
     current_bucketed = isinstance(current, str) and table_bucket_spec(spark, current) == spec
     if backup_path:
         write_delimited(conform(cur_df), backup_path, header=True, columns=lay.columns(True))
-    counts, result, kept_obs, added_obs = replacement_plan(
+    plan = replacement_plan(
         cur_df, read_table(spark, staging), scope, dedupe=dedupe, bucket_spec=spec, current_bucketed=current_bucketed
     )
-    staged = stage_table(result, target, root, spec)
+    staged = stage_table(plan.result, target, root, spec)
     try:
-        counts.after_removal, counts.after_add = _count(kept_obs), _count(kept_obs) + _count(added_obs)
-        counts.check()
+        counts = plan.counts()
+        if dedupe == "reference" and plan.deduped != (counts.to_remove > 0):
+            raise RuntimeError(f"{table}: slice probe and observed removal count disagree ({counts})")
         verify(spark, staged, expected_rows=counts.after_add)
-        deduped = counts.to_remove > 0 if dedupe == "reference" else dedupe == "always"
-        run = TableRun(table, target, counts, staged, dedupe=deduped)
+        run = TableRun(table, target, counts, staged, dedupe=plan.deduped)
         if snapshot_path:
             snap = spark.read.parquet(staged.path)
             write_delimited(snap, snapshot_path, header=snapshot_format.header, columns=snapshot_format.columns(table))
