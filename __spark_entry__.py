@@ -22,7 +22,7 @@ from slicerefresh.operators.keys import key_check, key_collapse
 from slicerefresh.operators.replace import distinct_rows, slice_append, slice_delete, slice_replace, slice_select
 from slicerefresh.operators.scope import Scope
 from slicerefresh.operators.status import practice_filter, practice_high_water, refresh_status
-from slicerefresh.plans.publish import BucketSpec, layout_write, publish_table
+from slicerefresh.plans.publish import BucketSpec, default_num_buckets, layout_write, publish_table
 from slicerefresh.plans.sync import (
     SnapshotFormat,
     StatusTarget,
@@ -192,7 +192,7 @@ def _publish_inputs(spark, sf, table: str):
     """Publish the fixture's prod as the current table and its staging as a table."""
     root = scratch_path(spark, "tables")
     prod, staging = _inputs(spark, sf)
-    spec = BucketSpec.for_layout(LAYOUTS[table], int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spec = BucketSpec.for_layout(LAYOUTS[table], default_num_buckets(spark))
     current = _table_name("current")
     publish_table(prod.repartition(spec.num_buckets, *spec.columns), current, f"{root}/current", spec)
     staged = _table_name("staging")

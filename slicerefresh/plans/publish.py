@@ -91,10 +91,10 @@ DEFAULT_BUCKET_BYTES = 1 << 30  # about 1 GiB of Parquet per bucket file
 
 def default_num_buckets(spark: SparkSession, source_bytes: int | None = None, bucket_bytes: int = DEFAULT_BUCKET_BYTES) -> int:
     """Bucket count for a new table: about ``bucket_bytes`` per bucket, never
-    fewer than ``spark.sql.shuffle.partitions``.  The count is fixed for the
-    table's lifetime (changing it means a full rewrite), so it is sized from
-    the data, not from the session."""
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fewer than the cluster's default parallelism (every core gets a bucket).
+    The count is fixed for the table's lifetime (changing it means a full
+    rewrite), so it is sized from the data, not from session settings."""
+    floor = max(1, spark.sparkContext.defaultParallelism)
     if not source_bytes:
         return floor
     return max(floor, -(-source_bytes // bucket_bytes))
@@ -195,6 +195,34 @@ def discard(spark: SparkSession, staged: Staged) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_quote(staged.staging_name)}")
 
 
+_VERSION_NAME = re.compile(r"^v\d{14}_[0-9a-f]{8}$")
+
+
+def prune_versions(spark: SparkSession, table: str, root: str, keep: int = 2) -> list[str]:
+    """Delete old version folders of ``table`` under ``root``.
+
+    Only folders named like a version (``v<timestamp>_<id>``) are considered;
+    the current location and the ``keep`` newest other versions (the backups
+    a restore can go back to) are always kept.  Returns the deleted paths.
+    """
+    current = table_location(spark, table)
+    if current is None:
+        raise PublishError(f"{table} is not published; refusing to prune {root}")
+    jvm = spark.sparkContext._jvm
+    root_path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = root_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = sorted(
+        (st.getPath() for st in fs.listStatus(root_path) if st.isDirectory() and _VERSION_NAME.match(st.getPath().getName())),
+        key=lambda p: p.getName(),
+    )
+    current_name = current.rstrip("/").rsplit("/", 1)[-1]
+    older = [p for p in versions if p.getName() != current_name]
+    doomed = older[: max(0, len(older) - keep)]
+    for p in doomed:
+        fs.delete(p, True)
+    return [p.toString() for p in doomed]
+
+
 def restore(spark: SparkSession, table: str, location: str | None) -> None:
     """Undo a switch: point ``table`` back at ``location`` (or unregister it)."""
     if location is None:

@@ -105,10 +105,26 @@ def test_status_refresh_update_semantics(spark):
 def test_bucket_count_is_sized_from_bytes(spark):
     from slicerefresh.plans.publish import default_num_buckets, stored_bytes
 
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = spark.sparkContext.defaultParallelism
     assert default_num_buckets(spark) == floor
     assert default_num_buckets(spark, 10 * (1 << 30)) == max(floor, 10)
     assert default_num_buckets(spark, 100 * (1 << 30), bucket_bytes=1 << 30) == 100
     root = scratch_path(spark, "t")
     publish_table(frame(spark, [row(1, "A", "c1")]), "pub_size", f"{root}/pub_size", SPEC)
     assert stored_bytes(spark, "pub_size") > 0
+
+
+def test_prune_versions_keeps_current_and_backups(spark):
+    import os
+
+    from slicerefresh.plans.publish import prune_versions
+
+    root = scratch_path(spark, "t")
+    for i in range(4):
+        publish_table(frame(spark, [row(i, "A", f"c{i}")]), "pub_prune", f"{root}/pub_prune", SPEC)
+    current = table_location(spark, "pub_prune")
+    deleted = prune_versions(spark, "pub_prune", f"{root}/pub_prune", keep=1)
+    assert len(deleted) == 2
+    left = sorted(os.listdir(f"{root}/pub_prune"))
+    assert len(left) == 2 and current.rstrip("/").rsplit("/", 1)[-1] in left
+    assert uids(spark.table("pub_prune")) == ["c3"]
