@@ -13,9 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def key_check(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their row count ``n_rows``."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
+def key_check(df: DataFrame, key: Sequence[str], null_keys: bool = False) -> DataFrame:
+    """Keys that occur more than once, with their row count ``n_rows``.
+
+    With ``null_keys`` a key with a null part is reported too, however often
+    it occurs: a keyed store cannot hold such a row at all.
+    """
+    bad = F.col("n_rows") > 1
+    if null_keys:
+        for k in key:
+            bad = bad | F.col(k).isNull()
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).filter(bad)
 
 
 def key_collapse(df: DataFrame, key: Sequence[str], order: Sequence[str] = ("updated_dt",)) -> DataFrame:
@@ -24,8 +32,9 @@ def key_collapse(df: DataFrame, key: Sequence[str], order: Sequence[str] = ("upd
 
     Same rows as ``row_number() over (partition by key order by o1 desc nulls
     last, ..., c1 desc nulls last, ...) = 1``, but computed as ``max(struct)``:
-    a hash aggregate that combines map-side, so a hot key costs one row per
-    task in the shuffle, not all of its rows in one task.
+    an aggregate with a partial step in every map task (Spark plans it as a
+    sort aggregate, the struct buffer not being fixed-width), so a hot key
+    costs one row per task in the shuffle, not all of its rows in one task.
     """
     rest = [c for c in df.columns if c not in key and c not in order]
     best = F.max(F.struct(*[F.col(c) for c in (*order, *rest)])).alias("__best")

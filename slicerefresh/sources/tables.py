@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from slicerefresh.operators.scope import ResolvedScope
 
@@ -36,23 +35,21 @@ def slice_sql(spark: SparkSession, view: str, scope: ResolvedScope) -> DataFrame
     """``select * from view where k1 in (...) and k2 in (...)`` with the value
     sets bound as parameters, never pasted into the SQL text.
 
-    Literal sets are bound as array parameters; frame sets are exposed as
-    temp views and used as ``IN (subquery)``.
+    Every literal value is its own named parameter, so the ``IN`` list still
+    reaches the Parquet scan; frame sets are exposed as temp views and used as
+    ``IN (subquery)``.
     """
     conds, args = [], {}
     for i, (key, ks) in enumerate(scope.parts.items()):
         if ks.literal:
-            name = f"scope_{i}"
-            vals = [v for v in ks.values if v is not None]
-            args[name] = F.array(*[F.lit(v) for v in vals]) if vals else F.array().cast(f"array<{_sql_type(view, key, spark)}>")
-            conds.append(f"array_contains(:{name}, `{key}`)")
+            names = []
+            for j, v in enumerate(v for v in ks.values if v is not None):
+                names.append(f":scope_{i}_{j}")
+                args[f"scope_{i}_{j}"] = v
+            conds.append(f"`{key}` IN ({', '.join(names)})" if names else "false")
         else:
             sub = f"__scope_{view}_{i}"
             ks.frame.createOrReplaceTempView(sub)
             conds.append(f"`{key}` IN (SELECT `{key}` FROM {sub})")
     where = " AND ".join(conds) if conds else "true"
-    return spark.sql(f"SELECT * FROM {view} WHERE coalesce({where}, false)", args=args)
-
-
-def _sql_type(view: str, key: str, spark: SparkSession) -> str:
-    return spark.table(view).schema[key].dataType.simpleString()
+    return spark.sql(f"SELECT * FROM {view} WHERE {where}", args=args)

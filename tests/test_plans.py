@@ -61,3 +61,24 @@ def test_literal_scope_reaches_the_scan(spark):
     p = plan(scope.select(cur))
     assert "In(practice_id, [1,2])" in p
     assert isinstance(scope, ResolvedScope)
+
+
+def test_key_operators_aggregate_map_side(spark):
+    from slicerefresh import key_check, key_collapse
+
+    cur, _ = _tables(spark)
+    key = LAYOUTS["summary_details_by_practice"].key
+    for df in (key_collapse(cur, key), key_check(cur, key)):
+        p = plan(df)
+        assert "Window" not in p and "SortMergeJoin" not in p
+        assert "partial_" in p  # a partial aggregate runs in every map task before the shuffle
+
+
+def test_sql_surface_binds_values_and_pushes_them_down(spark):
+    from slicerefresh import register_views, slice_sql
+
+    cur, stg = _tables(spark)
+    view, _ = register_views(cur, stg, "plan_surface")
+    df = slice_sql(spark, view, Scope.of([1, 2], ["A"]).resolve())
+    assert "In(practice_id, [1,2])" in plan(df)
+    assert sorted(r["practice_id"] for r in df.collect()) == sorted(r["practice_id"] for r in Scope.of([1, 2], ["A"]).resolve().select(cur).collect())

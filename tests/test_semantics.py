@@ -116,3 +116,12 @@ def test_audit_counts(spark):
     assert (c.prod_full, c.to_remove, c.to_add) == (4, 1, 2)
     a = sync_audit(cur, stg, scope, slice_delete(cur, scope)).first().asDict()
     assert a == {"prod_full": 4, "to_remove": 1, "to_add": 2, "after_removal": 2, "after_add": 4}
+
+
+def test_key_check_reports_duplicates_and_optionally_null_keys(spark):
+    from slicerefresh import key_check
+
+    cur = frame(spark, [row(1, "A", "d"), row(1, "A", "d"), row(None, "A", "n"), row(2, "A", "u")])
+    key = ("practice_id", "measure_id", "visit_dt", "unit", "visit_uid")
+    assert [r["visit_uid"] for r in key_check(cur, key).collect()] == ["d"]
+    assert sorted(r["visit_uid"] for r in key_check(cur, key, null_keys=True).collect()) == ["d", "n"]
