@@ -128,3 +128,31 @@ def test_prune_versions_keeps_current_and_backups(spark):
     left = sorted(os.listdir(f"{root}/pub_prune"))
     assert len(left) == 2 and current.rstrip("/").rsplit("/", 1)[-1] in left
     assert uids(spark.table("pub_prune")) == ["c3"]
+
+
+def test_sync_all_one_failing_table_switches_nothing(spark):
+    from slicerefresh import TABLE_ORDER, sync_all
+
+    root = scratch_path(spark, "t")
+    targets = {}
+    for t in TABLE_ORDER:
+        spec = BucketSpec.for_layout(LAYOUTS[t], 4)
+        name = f"fail_all_{t.rsplit('_', 1)[-1]}"
+        publish_table(frame(spark, [row(1, "A", "c1"), row(2, "A", "c2")]), name, f"{root}/{name}", spec)
+        targets[t] = name
+    before = {t: table_location(spark, n) for t, n in targets.items()}
+    good = frame(spark, [row(1, "A", "s1")])
+    bad = good.withColumn("visit_uid", F.raise_error(F.lit("injected")).cast("string"))
+    with pytest.raises(Exception):
+        sync_all(
+            spark,
+            scope=Scope.of([1], ["A"]),
+            current_for=lambda t: targets[t],
+            staging_for=lambda t: bad if t == "summary_details_by_location" else good,
+            target_for=lambda t: targets[t],
+            root_for=lambda t: f"{root}/{targets[t]}",
+        )
+    assert {t: table_location(spark, n) for t, n in targets.items()} == before
+    assert not [t.name for t in spark.catalog.listTables() if "__staged_" in t.name]
+    for n in targets.values():
+        assert uids(spark.table(n)) == ["c1", "c2"]
