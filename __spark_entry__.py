@@ -26,12 +26,13 @@ from slicerefresh.plans.publish import BucketSpec, default_num_buckets, layout_w
 from slicerefresh.plans.sync import (
     SnapshotFormat,
     StatusTarget,
+    read_snapshot,
     sync_all,
     sync_from_snapshot,
     sync_table,
     variant_preset,
 )
-from slicerefresh.schema import CANONICAL, LAYOUTS, TABLE_ORDER, conform, evolve_schema, layout
+from slicerefresh.schema import CANONICAL, FACT_TYPES, LAYOUTS, TABLE_ORDER, conform, evolve_schema, layout
 from slicerefresh.session import scratch_path
 from slicerefresh.sources.delimited import read_delimited, write_delimited
 from slicerefresh.sources.tables import register_views, slice_sql
@@ -162,6 +163,15 @@ def q_snapshot_roundtrip(spark, sf):
     return conform(read_delimited(spark, path, fmt.schema(BY_PRACTICE), header=fmt.header))
 
 
+def q_legacy_snapshot_read(spark, sf):
+    """A snapshot folder in the original job's format (delimiter only, no
+    header, 26 columns), read back by the legacy codec."""
+    path = scratch_path(spark, "legacy-snapshot")
+    fmt = SnapshotFormat(header=False, evolved=False, codec="legacy")
+    write_delimited(fx.prod(spark, sf), path, header=fmt.header, columns=fmt.columns(BY_PRACTICE), codec=fmt.codec)
+    return read_snapshot(spark, path, BY_PRACTICE, fmt)
+
+
 def q_snapshot_roundtrip_header(spark, sf):
     """Staging through a 27-column snapshot with header, in the by-provider order."""
     path = scratch_path(spark, "snapshot")
@@ -351,6 +361,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sync_audit": q_sync_audit,
         "snapshot_roundtrip": q_snapshot_roundtrip,
         "snapshot_roundtrip_header": q_snapshot_roundtrip_header,
+        "legacy_snapshot_read": q_legacy_snapshot_read,
         "layout_by_practice": _layout(BY_PRACTICE),
         "layout_by_provider": _layout(BY_PROVIDER),
         "layout_by_location": _layout(BY_LOCATION),
@@ -463,6 +474,16 @@ def _sync_audit_sql() -> str:
     )
 
 
+def _legacy_snapshot_sql() -> str:
+    """What the original format keeps: text written with the default CSV
+    writer loses blanks and control characters (code points 1-32) at both
+    ends of every text value."""
+    ends = "concat(" + ", ".join(f"chr({i})" for i in range(1, 33)) + ")"
+    text = [c for c in CANONICAL if FACT_TYPES[c] == "string"]
+    replaced = ", ".join(f"trim({c}, {ends}) AS {c}" for c in text)
+    return fx.with_inputs_sql(f"SELECT * REPLACE ({replaced}) FROM prod")
+
+
 def _sync_all_sql() -> str:
     body = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM result" for t in TABLE_ORDER)
     return fx.with_inputs_sql(body, **_replace_ctes("list"))
@@ -509,6 +530,7 @@ def oracle_sql() -> dict[str, str]:
         "sync_audit": _sync_audit_sql(),
         "snapshot_roundtrip": w("SELECT * FROM prod"),
         "snapshot_roundtrip_header": w("SELECT * FROM staging"),
+        "legacy_snapshot_read": _legacy_snapshot_sql(),
         "layout_by_practice": _replace_sql("list"),
         "layout_by_provider": _replace_sql("list"),
         "layout_by_location": _replace_sql("list"),

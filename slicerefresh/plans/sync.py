@@ -60,6 +60,8 @@ class SnapshotFormat:
     # Quoted fields may hold newlines; reading them needs multiLine, which
     # makes each file one task.  Turn it off for large files known to hold none.
     multiline: bool = True
+    # "lossless" (this library's codec) or "legacy" (the original job's files).
+    codec: str = "lossless"
 
     def columns(self, table: str) -> list[str]:
         return layout(table).columns(self.evolved)
@@ -217,7 +219,10 @@ def stage_sync(
         run = TableRun(table, target, counts, staged, dedupe=plan.deduped)
         if snapshot_path:
             snap = spark.read.parquet(staged.path)
-            write_delimited(snap, snapshot_path, header=snapshot_format.header, columns=snapshot_format.columns(table))
+            write_delimited(
+                snap, snapshot_path, header=snapshot_format.header, columns=snapshot_format.columns(table),
+                codec=snapshot_format.codec,
+            )
             run.snapshot_path = snapshot_path
     except Exception:
         discard(spark, staged)
@@ -351,7 +356,9 @@ def sync_table(
 
 def read_snapshot(spark: SparkSession, path: str, table: str, fmt: SnapshotFormat = SnapshotFormat()) -> DataFrame:
     """A table's delimited snapshot, typed, in canonical order."""
-    return conform(read_delimited(spark, path, fmt.schema(table), header=fmt.header, multiline=fmt.multiline))
+    return conform(
+        read_delimited(spark, path, fmt.schema(table), header=fmt.header, multiline=fmt.multiline, codec=fmt.codec)
+    )
 
 
 def sync_from_snapshot(

@@ -11,12 +11,17 @@ dataset definition and are used identically by the reader and the writer.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- Fixed values: the snapshot delimiter of the reference ------------------
+# --- Fixed values: the snapshot format of the original job ------------------
 DELIMITER = "~"
+# The only option the original job sets on its snapshots (both directions).
+LEGACY_OPTIONS = {"sep": DELIMITER}
 # ---------------------------------------------------------------------------
 
+CODECS = ("lossless", "legacy")
+
 CODEC_OPTIONS = {
     "sep": DELIMITER,
     "nullValue": "\\N",
@@ -48,14 +53,39 @@ def read_delimited(
     header: bool = False,
     multiline: bool = True,
     mode: str = "PERMISSIVE",
+    codec: str = "lossless",
 ) -> DataFrame:
     """Read a snapshot directory with an explicit schema (never inferred).
 
     ``schema`` gives the file column order and the types to parse into; with
     ``PERMISSIVE`` a value that does not parse becomes null, as in the
-    reference; ``FAILFAST`` raises instead.
+    original job; ``FAILFAST`` raises instead.
+
+    ``codec="legacy"`` reads folders written by the original job (delimiter
+    only): every field is read as text and then typed; timestamp text carries
+    its zone offset, so it is parsed as an instant and turned into the
+    session's wall-clock time.  What that format already lost on writing
+    (sub-millisecond digits, control characters at field ends, the
+    difference between empty and null) cannot come back.
     """
-    return spark.read.options(**_options(header, multiline), mode=mode).schema(schema).csv(path)
+    if codec not in CODECS:
+        raise ValueError(f"codec must be one of {CODECS}, got {codec!r}")
+    if codec == "lossless":
+        return spark.read.options(**_options(header, multiline), mode=mode).schema(schema).csv(path)
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    raw = spark.read.options(**LEGACY_OPTIONS, header="true" if header else "false").schema(text).csv(path)
+    strict = mode.upper() == "FAILFAST"
+    return raw.select(*[_typed(f, strict) for f in schema.fields])
+
+
+def _typed(field: T.StructField, strict: bool):
+    c = F.col(field.name)
+    if isinstance(field.dataType, T.StringType):
+        return c
+    if isinstance(field.dataType, T.TimestampNTZType):
+        instant = c.cast("timestamp") if strict else c.try_cast("timestamp")
+        return instant.cast(T.TimestampNTZType()).alias(field.name)
+    return (c.cast(field.dataType) if strict else c.try_cast(field.dataType)).alias(field.name)
 
 
 def write_delimited(
@@ -66,13 +96,18 @@ def write_delimited(
     columns: list[str] | None = None,
     single_file: bool = False,
     mode: str = "overwrite",
+    codec: str = "lossless",
 ) -> None:
     """Write a snapshot: one file per task, or one file with ``single_file``.
 
-    ``single_file`` funnels all rows through one task (the reference does
-    this); keep it for small exports only.
+    ``single_file`` funnels all rows through one task (the original job does
+    this); keep it for small exports only.  ``codec="legacy"`` writes what
+    the original job wrote, for consumers that still read that format.
     """
+    if codec not in CODECS:
+        raise ValueError(f"codec must be one of {CODECS}, got {codec!r}")
     out = df.select(*columns) if columns else df
     if single_file:
         out = out.coalesce(1)
-    out.write.mode(mode).options(**_options(header, multiline=True)).csv(path)
+    opts = _options(header, multiline=True) if codec == "lossless" else {**LEGACY_OPTIONS, "header": str(header).lower()}
+    out.write.mode(mode).options(**opts).csv(path)

@@ -28,3 +28,16 @@ def test_single_file(spark):
     write_delimited(df, path, single_file=True)
     parts = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_legacy_codec_reads_the_original_format(spark):
+    path = scratch_path(spark, "legacy")
+    lines = ["7~2019-01-01T05:00:00.000-05:00~x~1.5", "~2019-01-01T00:00:00.000Z~~bad"]
+    spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(path)
+    schema = "practice_id int, visit_dt timestamp_ntz, measure_id string, result float"
+    from pyspark.sql import types as T
+
+    got = read_delimited(spark, path, T._parse_datatype_string(schema), codec="legacy").collect()
+    got = sorted(map(tuple, got), key=repr)
+    # Instants become session wall-clock time (UTC in tests); bad numbers become null.
+    assert got == sorted([(7, dt.datetime(2019, 1, 1, 10, 0), "x", 1.5), (None, dt.datetime(2019, 1, 1, 0, 0), None, None)], key=repr)
