@@ -22,6 +22,7 @@ from slicerefresh.operators.keys import key_check, key_collapse
 from slicerefresh.operators.replace import distinct_rows, slice_append, slice_delete, slice_replace, slice_select
 from slicerefresh.operators.scope import Scope
 from slicerefresh.operators.status import practice_filter, practice_high_water, refresh_status
+from slicerefresh.plans.incremental import publish_partitioned, sync_incremental
 from slicerefresh.plans.publish import BucketSpec, default_num_buckets, layout_write, publish_table
 from slicerefresh.plans.sync import (
     SnapshotFormat,
@@ -251,6 +252,24 @@ def _snapshot_job(kind: str, variant: bool):
     return q
 
 
+def _incremental(kind: str, distinct_start: bool):
+    """Partitioned layout refreshed in place, only the partitions in scope rewritten."""
+
+    def q(spark, sf):
+        root = scratch_path(spark, "incremental")
+        prod, staging = _inputs(spark, sf)
+        start = control_char_filter(prod)
+        if distinct_start:
+            start = distinct_rows(start)
+        table = _table_name("partitioned")
+        lay = LAYOUTS[BY_PRACTICE]
+        publish_partitioned(start, table, f"{root}/{table}", lay)
+        sync_incremental(spark, table, staging=staging, scope=_scope(kind, staging), root=f"{root}/{table}", layout=lay)
+        return spark.table(table)
+
+    return q
+
+
 def q_sync_all(spark, sf):
     """Four tables staged, verified, then switched together; rows per table."""
     base = scratch_path(spark, "sync_all")
@@ -374,6 +393,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sync_from_snapshot": _snapshot_job("list", variant=False),
         "sync_variant": _snapshot_job("all", variant=True),
         "sync_all": q_sync_all,
+        "sync_incremental_list": _incremental("list", distinct_start=True),
+        "sync_incremental_all": _incremental("all", distinct_start=True),
+        "sync_incremental_no_match": _incremental("no_match", distinct_start=False),
         "practice_high_water": q_practice_high_water,
         "refresh_status": q_refresh_status,
         "sql_surface": q_sql_surface,
@@ -543,6 +565,9 @@ def oracle_sql() -> dict[str, str]:
         "sync_from_snapshot": _replace_sql("list"),
         "sync_variant": _replace_sql("all"),
         "sync_all": _sync_all_sql(),
+        "sync_incremental_list": _replace_sql("list"),
+        "sync_incremental_all": _replace_sql("all"),
+        "sync_incremental_no_match": _replace_sql("no_match"),
         "practice_high_water": w("SELECT * FROM hw", **_refresh_ctes()),
         "refresh_status": w(_REFRESH_BODY, **_refresh_ctes()),
         "sql_surface": w(f"SELECT * FROM clean_prod WHERE {_s('list')}"),
