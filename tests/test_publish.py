@@ -153,6 +153,6 @@ def test_sync_all_one_failing_table_switches_nothing(spark):
             root_for=lambda t: f"{root}/{targets[t]}",
         )
     assert {t: table_location(spark, n) for t, n in targets.items()} == before
-    assert not [t.name for t in spark.catalog.listTables() if "__staged_" in t.name]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("fail_all_") and "__staged_" in t.name]
     for n in targets.values():
         assert uids(spark.table(n)) == ["c1", "c2"]
