@@ -14,8 +14,9 @@ full semantics guarantee only if
 Both facts are recorded as table properties by the publisher itself and are
 checked before anything is written; a table that does not qualify is refused
 rather than refreshed inexactly.  Touched partitions are written as a new
-version folder, verified, and switched partition by partition in the catalog
-(previous partition folders stay; a failed switch is undone).
+version folder, verified, and switched in the catalog with one DROP and one
+ADD statement for all of them (previous partition folders stay; a failed
+switch is undone).
 """
 
 from __future__ import annotations
@@ -237,36 +238,54 @@ def sync_incremental(
     return IncrementalRun(table, path, counts, values, deduped, distinct)
 
 
+def _partition_locations(spark: SparkSession, table: str, col: str, names: list[str], values: dict[str, object]) -> dict[str, str]:
+    """Current folders of the named partitions.
+
+    One driver call: the files of the partition-pruned table (no data is
+    read), grouped by folder.  A partition without files falls back to a
+    catalog lookup of its own.
+    """
+    files = spark.table(table).where(F.col(col).isin([values[n] for n in names])).inputFiles()
+    found = {}
+    for f in files:
+        folder = f.rsplit("/", 1)[0]
+        found[folder.rsplit("/", 1)[-1]] = folder
+    return {n: found.get(n) or _partition_location(spark, table, col, values[n]) for n in names}
+
+
+def _add_sql(table: str, col: str, locations: dict[str, str], values: dict[str, object]) -> str:
+    parts = " ".join(f"{_spec(col, values[n])} LOCATION '{loc}'" for n, loc in locations.items())
+    return f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}"
+
+
+def _drop_sql(table: str, col: str, names: list[str], values: dict[str, object]) -> str:
+    return f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(_spec(col, values[n]) for n in names)
+
+
 def _switch_partitions(spark: SparkSession, table: str, col: str, values: list, written: dict[str, str], distinct: bool) -> None:
-    """Point every touched partition at its new folder (add / set / drop);
-    undo everything on failure."""
-    existing = _existing_partitions(spark, table, col)
-    done: list[tuple[str, object, str | None]] = []
+    """Point the touched partitions at their new folders, in two catalog
+    statements (one DROP of the old, one ADD of the new, however many
+    partitions; previous folders stay on storage).  Readers may see the
+    touched partitions absent between the two; everything is undone if any
+    step fails."""
+    by_name = {f"{col}={v}": v for v in values}
+    existing = [n for n in _existing_partitions(spark, table, col) if n in by_name]
+    previous = _partition_locations(spark, table, col, existing, by_name) if existing else {}
     t = _quote(table)
+    dropped = added = False
     try:
-        for v in values:
-            name = f"{col}={v}"
-            new = written.get(name)
-            if name in existing:
-                prev = _partition_location(spark, table, col, v)
-                if new:
-                    spark.sql(f"ALTER TABLE {t} {_spec(col, v)} SET LOCATION '{new}'")
-                    done.append(("set", v, prev))
-                else:
-                    spark.sql(f"ALTER TABLE {t} DROP {_spec(col, v)}")  # external: files stay
-                    done.append(("drop", v, prev))
-            elif new:
-                spark.sql(f"ALTER TABLE {t} ADD {_spec(col, v)} LOCATION '{new}'")
-                done.append(("add", v, None))
+        if existing:
+            spark.sql(_drop_sql(t, col, existing, by_name))  # external table: files stay
+            dropped = True
+        if written:
+            spark.sql(_add_sql(t, col, written, by_name))
+            added = True
         spark.sql(f"ALTER TABLE {t} SET TBLPROPERTIES ('{DISTINCT_PROPERTY}' = '{str(distinct).lower()}')")
     except Exception:
-        for action, v, prev in reversed(done):
-            if action == "set":
-                spark.sql(f"ALTER TABLE {t} {_spec(col, v)} SET LOCATION '{prev}'")
-            elif action == "drop":
-                spark.sql(f"ALTER TABLE {t} ADD {_spec(col, v)} LOCATION '{prev}'")
-            else:
-                spark.sql(f"ALTER TABLE {t} DROP {_spec(col, v)}")
+        if added:
+            spark.sql(_drop_sql(t, col, list(written), by_name))
+        if dropped:
+            spark.sql(_add_sql(t, col, previous, by_name))
         raise
     finally:
         spark.sql(f"REFRESH TABLE {t}")
