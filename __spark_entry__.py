@@ -270,6 +270,40 @@ def _incremental(kind: str, distinct_start: bool):
     return q
 
 
+def _sync_all_partitioned(kind: str):
+    """The four-table job over partitioned layouts: each refreshed in place,
+    only the practices in scope rewritten, all switched together, with the
+    status refresh; rows per table."""
+
+    def q(spark, sf):
+        base = scratch_path(spark, "sync_all_partitioned")
+        prod, staging = _inputs(spark, sf)
+        start = distinct_rows(control_char_filter(prod))
+        staged = _table_name("staging")
+        publish_table(staging, staged, f"{base}/staging")
+        targets = {t: _table_name(t.rsplit("_", 1)[-1]) for t in TABLE_ORDER}
+        for t in TABLE_ORDER:
+            publish_partitioned(start, targets[t], f"{base}/{t}", LAYOUTS[t])
+        sync_all(
+            spark,
+            scope=_scope(kind, spark.table(staged)),
+            current_for=lambda t: targets[t],
+            staging_for=lambda t: staged,
+            target_for=lambda t: targets[t],
+            root_for=lambda t: f"{base}/{t}",
+        )
+        parts = [
+            spark.table(targets[t]).groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+            for t in TABLE_ORDER
+        ]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    return q
+
+
 def q_sync_all(spark, sf):
     """Four tables staged, verified, then switched together; rows per table."""
     base = scratch_path(spark, "sync_all")
@@ -394,6 +428,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sync_variant": _snapshot_job("all", variant=True),
         "sync_all": q_sync_all,
         "sync_incremental_list": _incremental("list", distinct_start=True),
+        "sync_all_partitioned_all": _sync_all_partitioned("all"),
         "sync_incremental_all": _incremental("all", distinct_start=True),
         "sync_incremental_no_match": _incremental("no_match", distinct_start=False),
         "practice_high_water": q_practice_high_water,
@@ -506,9 +541,9 @@ def _legacy_snapshot_sql() -> str:
     return fx.with_inputs_sql(f"SELECT * REPLACE ({replaced}) FROM prod")
 
 
-def _sync_all_sql() -> str:
+def _sync_all_sql(kind: str = "list") -> str:
     body = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM result" for t in TABLE_ORDER)
-    return fx.with_inputs_sql(body, **_replace_ctes("list"))
+    return fx.with_inputs_sql(body, **_replace_ctes(kind))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -566,6 +601,7 @@ def oracle_sql() -> dict[str, str]:
         "sync_variant": _replace_sql("all"),
         "sync_all": _sync_all_sql(),
         "sync_incremental_list": _replace_sql("list"),
+        "sync_all_partitioned_all": _sync_all_sql("all"),
         "sync_incremental_all": _replace_sql("all"),
         "sync_incremental_no_match": _replace_sql("no_match"),
         "practice_high_water": w("SELECT * FROM hw", **_refresh_ctes()),

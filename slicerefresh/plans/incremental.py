@@ -43,14 +43,43 @@ class NotIncremental(PublishError):
 
 
 @dataclass
-class IncrementalRun:
+class StagedPartitions:
+    """Rewritten partitions of ``table``, written and verified, not yet switched."""
+
     table: str
+    col: str
     path: str
     audit: AuditCounts
     touched: list
+    written: dict[str, str]
     deduped: bool
     distinct: bool
 
+    def new_rows(self, spark: SparkSession) -> DataFrame | None:
+        return spark.read.parquet(self.path) if self.written else None
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        """The whole table as it will read after the switch."""
+        untouched = spark.table(self.table).where(~F.coalesce(F.col(self.col).isin(self.touched), F.lit(False)))
+        new = self.new_rows(spark)
+        return untouched if new is None else untouched.unionByName(new)
+
+
+IncrementalRun = StagedPartitions
+
+
+@dataclass
+class PartitionSwitch:
+    """What a partition switch changed, so that it can be undone."""
+
+    staged: StagedPartitions
+    by_name: dict
+    existing: list[str]
+    previous: dict[str, str]
+    previous_distinct: str | None
+    dropped: bool = False
+    added: bool = False
+
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
@@ -162,7 +191,16 @@ def publish_partitioned(
     return path
 
 
-def sync_incremental(
+def sync_incremental(spark: SparkSession, table: str, **kwargs) -> StagedPartitions:
+    """Refresh ``table`` in place, rewriting only the partitions in scope
+    (stage, verify, switch).  Same rows as the full refresh of the whole
+    table; the preconditions are checked first (see module docstring)."""
+    staged = stage_incremental(spark, table, **kwargs)
+    switch_partitions(spark, staged)
+    return staged
+
+
+def stage_incremental(
     spark: SparkSession,
     table: str,
     *,
@@ -174,12 +212,8 @@ def sync_incremental(
     clean_column: str | None = DIRTY_COLUMN,
     clean_char: str = DIRTY_CHAR,
     schema=CANONICAL_SCHEMA,
-) -> IncrementalRun:
-    """Refresh ``table`` in place, rewriting only the partitions in scope.
-
-    Same rows as the full refresh of the whole table (see module docstring
-    for the preconditions, which are checked here).
-    """
+) -> StagedPartitions:
+    """Write and verify the new versions of the partitions in scope."""
     parts = partition_columns(spark, table)
     if len(parts) != 1:
         raise NotIncremental(f"{table} must be partitioned by exactly one column, is by {parts}")
@@ -234,8 +268,7 @@ def sync_incremental(
     # Untouched partitions are as distinct as before; touched ones hold kept rows
     # (distinct if the table was) and added rows, which never collide with them.
     distinct = was_distinct and added_distinct
-    _switch_partitions(spark, table, col, values, written_parts, distinct)
-    return IncrementalRun(table, path, counts, values, deduped, distinct)
+    return StagedPartitions(table, col, path, counts, values, written_parts, deduped, distinct)
 
 
 def _partition_locations(spark: SparkSession, table: str, col: str, names: list[str], values: dict[str, object]) -> dict[str, str]:
@@ -262,30 +295,39 @@ def _drop_sql(table: str, col: str, names: list[str], values: dict[str, object])
     return f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(_spec(col, values[n]) for n in names)
 
 
-def _switch_partitions(spark: SparkSession, table: str, col: str, values: list, written: dict[str, str], distinct: bool) -> None:
+def switch_partitions(spark: SparkSession, staged: StagedPartitions) -> PartitionSwitch:
     """Point the touched partitions at their new folders, in two catalog
     statements (one DROP of the old, one ADD of the new, however many
     partitions; previous folders stay on storage).  Readers may see the
-    touched partitions absent between the two; everything is undone if any
-    step fails."""
-    by_name = {f"{col}={v}": v for v in values}
-    existing = [n for n in _existing_partitions(spark, table, col) if n in by_name]
-    previous = _partition_locations(spark, table, col, existing, by_name) if existing else {}
-    t = _quote(table)
-    dropped = added = False
+    touched partitions absent between the two; a failure undoes everything."""
+    col, t = staged.col, _quote(staged.table)
+    by_name = {f"{col}={v}": v for v in staged.touched}
+    existing = [n for n in _existing_partitions(spark, staged.table, col) if n in by_name]
+    previous = _partition_locations(spark, staged.table, col, existing, by_name) if existing else {}
+    sw = PartitionSwitch(staged, by_name, existing, previous, table_properties(spark, staged.table).get(DISTINCT_PROPERTY))
     try:
         if existing:
             spark.sql(_drop_sql(t, col, existing, by_name))  # external table: files stay
-            dropped = True
-        if written:
-            spark.sql(_add_sql(t, col, written, by_name))
-            added = True
-        spark.sql(f"ALTER TABLE {t} SET TBLPROPERTIES ('{DISTINCT_PROPERTY}' = '{str(distinct).lower()}')")
+            sw.dropped = True
+        if staged.written:
+            spark.sql(_add_sql(t, col, staged.written, by_name))
+            sw.added = True
+        spark.sql(f"ALTER TABLE {t} SET TBLPROPERTIES ('{DISTINCT_PROPERTY}' = '{str(staged.distinct).lower()}')")
     except Exception:
-        if added:
-            spark.sql(_drop_sql(t, col, list(written), by_name))
-        if dropped:
-            spark.sql(_add_sql(t, col, previous, by_name))
+        undo_partitions(spark, sw)
         raise
     finally:
         spark.sql(f"REFRESH TABLE {t}")
+    return sw
+
+
+def undo_partitions(spark: SparkSession, sw: PartitionSwitch) -> None:
+    """Restore the partitions (and the distinct property) a switch changed."""
+    st, t = sw.staged, _quote(sw.staged.table)
+    if sw.added:
+        spark.sql(_drop_sql(t, st.col, list(st.written), sw.by_name))
+    if sw.dropped:
+        spark.sql(_add_sql(t, st.col, sw.previous, sw.by_name))
+    if sw.previous_distinct is not None:
+        spark.sql(f"ALTER TABLE {t} SET TBLPROPERTIES ('{DISTINCT_PROPERTY}' = '{sw.previous_distinct}')")
+    spark.sql(f"REFRESH TABLE {t}")

@@ -28,6 +28,15 @@ from slicerefresh.operators.clean import DIRTY_CHAR, DIRTY_COLUMN, control_char_
 from slicerefresh.operators.replace import distinct_rows, should_dedupe, slice_select
 from slicerefresh.operators.scope import ResolvedScope, Scope
 from slicerefresh.operators.status import practice_filter, practice_high_water, refresh_status
+from slicerefresh.plans.incremental import (
+    NotIncremental,
+    PartitionSwitch,
+    StagedPartitions,
+    partition_columns,
+    stage_incremental,
+    switch_partitions,
+    undo_partitions,
+)
 from slicerefresh.plans.publish import (
     BucketSpec,
     Staged,
@@ -35,9 +44,10 @@ from slicerefresh.plans.publish import (
     default_num_buckets,
     discard,
     publish_table,
+    restore,
+    switch,
     stored_bytes,
     stage_table,
-    switch_all,
     table_bucket_spec,
     verify,
 )
@@ -191,8 +201,17 @@ def stage_sync(
     snapshot_format: SnapshotFormat = SnapshotFormat(header=True, evolved=True),
     backup_path: str | None = None,
 ) -> TableRun:
-    """Stage and verify the new version of one table (not yet switched)."""
+    """Stage and verify the new version of one table (not yet switched).
+
+    A target partitioned by ``practice_id`` is refreshed incrementally, in
+    place: only the partitions of the practices in scope are rewritten.
+    """
     lay = layout(table)
+    if spark.catalog.tableExists(target) and partition_columns(spark, target):
+        return _stage_partitioned(
+            spark, table, current=current, staging=staging, scope=scope, target=target, root=root, dedupe=dedupe,
+            snapshot_path=snapshot_path, snapshot_format=snapshot_format, backup_path=backup_path,
+        )
     existing = table_bucket_spec(spark, target)
     if existing:
         n = existing.num_buckets
@@ -230,6 +249,46 @@ def stage_sync(
     return run
 
 
+def _stage_partitioned(spark, table, *, current, staging, scope, target, root, dedupe, snapshot_path, snapshot_format, backup_path) -> TableRun:
+    if current != target:
+        raise NotIncremental(f"{target} is partitioned: it is refreshed in place, so current must be {target!r}")
+    lay = layout(table)
+    if backup_path:
+        # Only the partitions about to be replaced can change; back up those.
+        col = partition_columns(spark, target)[0]
+        touched = spark.table(target).where(F.col(col).isin([v for v in scope.parts[col].values or [] if v is not None]))
+        write_delimited(conform(touched), backup_path, header=True, columns=lay.columns(True))
+    staged = stage_incremental(spark, target, staging=read_table(spark, staging), scope=scope, root=root, layout=lay, dedupe=dedupe)
+    run = TableRun(table, target, staged.audit, staged, dedupe=staged.deduped)
+    if snapshot_path:
+        write_delimited(
+            staged.result(spark), snapshot_path, header=snapshot_format.header, columns=snapshot_format.columns(table),
+            codec=snapshot_format.codec,
+        )
+        run.snapshot_path = snapshot_path
+    return run
+
+
+def _switch_runs(spark: SparkSession, runs: list[TableRun]) -> None:
+    """Switch every staged table (whole-table or partition-level); on any
+    failure the switches already made are undone."""
+    done: list = []
+    try:
+        for r in runs:
+            if isinstance(r.staged, StagedPartitions):
+                done.append(switch_partitions(spark, r.staged))
+            else:
+                r.previous_location = switch(spark, r.staged)
+                done.append(r)
+    except Exception:
+        for d in reversed(done):
+            if isinstance(d, PartitionSwitch):
+                undo_partitions(spark, d)
+            else:
+                restore(spark, d.staged.table, d.previous_location)
+        raise
+
+
 @dataclass(frozen=True)
 class StatusTarget:
     """The status table to advance after the by-practice table is published."""
@@ -242,7 +301,12 @@ class StatusTarget:
 def advance_status(spark: SparkSession, run: TableRun, scope: ResolvedScope, status: StatusTarget, key: str = "practice_id") -> Staged:
     """High-water per practice of the scope, over all measures of the new
     version, written into a new version of the status table."""
-    result = spark.read.parquet(run.staged.path).select(key, "visit_dt")
+    if isinstance(run.staged, StagedPartitions):
+        # The rewritten partitions are exactly the practices in scope, all measures.
+        new = run.staged.new_rows(spark)
+        result = new.select(key, "visit_dt") if new is not None else spark.createDataFrame([], f"{key} int, visit_dt timestamp_ntz")
+    else:
+        result = spark.read.parquet(run.staged.path).select(key, "visit_dt")
     hw = practice_high_water(practice_filter(result, scope, key), key=key)
     updated = refresh_status(spark.table(status.table), hw, status.refreshed_at, key=key)
     return publish_table(updated, status.table, status.root)
@@ -292,9 +356,7 @@ def sync_all(
 
     report = SyncReport()
     report.runs = _stage_all(spark, stage, tables, parallel_tables)
-    previous = switch_all(spark, [r.staged for r in report.runs])
-    for run, prev in zip(report.runs, previous):
-        run.previous_location = prev
+    _switch_runs(spark, report.runs)
     if status is not None:
         for run in report.runs:
             if run.table == "summary_details_by_practice":
@@ -302,6 +364,12 @@ def sync_all(
     return report
 
 
+def _discard(spark: SparkSession, staged) -> None:
+    """Forget a staged version (partition-level stages have no catalog entry)."""
+    if isinstance(staged, Staged):
+        discard(spark, staged)
+
+
 def _stage_all(spark: SparkSession, stage: Callable[[str], TableRun], tables: tuple[str, ...], parallel: int) -> list[TableRun]:
     """Stage every table; if any fails, nothing is switched and the staged
     catalog entries are dropped (their folders stay, unpublished)."""
@@ -312,7 +380,7 @@ def _stage_all(spark: SparkSession, stage: Callable[[str], TableRun], tables: tu
                 runs.append(stage(t))
         except Exception:
             for r in runs:
-                discard(spark, r.staged)
+                _discard(spark, r.staged)
             raise
         return runs
     with ThreadPoolExecutor(max_workers=min(parallel, len(tables))) as pool:
@@ -322,7 +390,7 @@ def _stage_all(spark: SparkSession, stage: Callable[[str], TableRun], tables: tu
     if failed:
         for f in futures:
             if f.exception() is None:
-                discard(spark, f.result().staged)
+                _discard(spark, f.result().staged)
         raise failed[0]
     return [f.result() for f in futures]
 

@@ -85,3 +85,32 @@ def test_failed_partition_switch_is_undone(spark, monkeypatch):
     assert {p: _partition_location(spark, "inc_undo", "practice_id", p) for p in (1, 2)} == before
     assert [r[0] for r in spark.sql("SHOW PARTITIONS inc_undo").collect()] == ["practice_id=1", "practice_id=2"]
     assert uids(spark.table("inc_undo")) == ["a1", "a2"]
+
+
+def test_sync_all_refreshes_partitioned_tables_incrementally(spark):
+    from slicerefresh import TABLE_ORDER, StatusTarget, sync_all
+    from pyspark.sql import functions as F
+    from slicerefresh.plans.publish import publish_table
+    import datetime as dt
+
+    root = scratch_path(spark, "inc")
+    rows = [row(1, "A", "a1"), row(1, "B", "b1"), row(2, "A", "a2")]
+    targets = {t: f"inc_all_{t.rsplit('_', 1)[-1]}" for t in TABLE_ORDER}
+    for t in TABLE_ORDER:
+        publish_partitioned(frame(spark, rows), targets[t], f"{root}/{t}", LAYOUTS[t])
+    untouched = _partition_location(spark, targets[TABLE_ORDER[0]], "practice_id", 2)
+    status = spark.createDataFrame([(1, dt.datetime(1990, 1, 1), dt.datetime(1990, 1, 1))],
+                                   "practiceid int, enddate timestamp_ntz, lastrefreshtime timestamp_ntz")
+    publish_table(status, "inc_all_status", f"{root}/status")
+    stg = frame(spark, [row(1, "A", "s1", visit_dt=dt.datetime(2030, 5, 5))])
+    report = sync_all(
+        spark, scope=Scope.of([1], ["A"]), current_for=lambda t: targets[t], staging_for=lambda t: stg,
+        target_for=lambda t: targets[t], root_for=lambda t: f"{root}/{t}", snapshot_for=lambda t: f"{root}/snap/{t}",
+        status=StatusTarget("inc_all_status", f"{root}/status", F.lit("2031-01-01 00:00:00").cast("timestamp_ntz")),
+    )
+    for t in TABLE_ORDER:
+        assert uids(spark.table(targets[t])) == ["a2", "b1", "s1"]
+    assert _partition_location(spark, targets[TABLE_ORDER[0]], "practice_id", 2) == untouched
+    assert [r.audit.after_add for r in report.runs] == [2, 2, 2, 2]
+    assert spark.table("inc_all_status").first()["enddate"] == dt.datetime(2030, 5, 5)
+    assert spark.read.option("header", "true").option("sep", "~").csv(f"{root}/snap/{TABLE_ORDER[0]}").count() == 3
