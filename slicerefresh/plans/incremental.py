@@ -82,7 +82,18 @@ class PartitionSwitch:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    """Partition columns from ``DESCRIBE`` (a catalog call, no Spark job;
+    ``Catalog.listColumns`` runs jobs)."""
+    cols, section = [], False
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(table)}").collect():
+        name = (r["col_name"] or "").strip()
+        if name == "# Partition Information":
+            section = True
+        elif section and (not name or (name.startswith("#") and name != "# col_name")):
+            break
+        elif section and name != "# col_name":
+            cols.append(name)
+    return cols
 
 
 def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
