@@ -211,6 +211,24 @@ def sync_incremental(spark: SparkSession, table: str, **kwargs) -> StagedPartiti
     return staged
 
 
+DEFAULT_MAX_PARTITIONS = 100_000
+
+
+def touched_values(scope: ResolvedScope, col: str, max_partitions: int = DEFAULT_MAX_PARTITIONS) -> list:
+    """The partition values a refresh touches: the scope's values of ``col``.
+
+    A literal set is used as is; a distributed set was counted when the scope
+    was resolved, so collecting it is bounded by ``max_partitions`` (the
+    partition list goes into catalog statements anyway).
+    """
+    ks = scope.parts[col]
+    if ks.literal:
+        return [v for v in ks.values if v is not None]
+    if ks.size > max_partitions:
+        raise NotIncremental(f"{ks.size} {col} values in scope, more than max_partitions={max_partitions}")
+    return [r[0] for r in ks.frame.collect()]
+
+
 def stage_incremental(
     spark: SparkSession,
     table: str,
@@ -223,18 +241,19 @@ def stage_incremental(
     clean_column: str | None = DIRTY_COLUMN,
     clean_char: str = DIRTY_CHAR,
     schema=CANONICAL_SCHEMA,
+    max_partitions: int = DEFAULT_MAX_PARTITIONS,
 ) -> StagedPartitions:
     """Write and verify the new versions of the partitions in scope."""
     parts = partition_columns(spark, table)
     if len(parts) != 1:
         raise NotIncremental(f"{table} must be partitioned by exactly one column, is by {parts}")
     col = parts[0]
-    if col not in scope.parts or not scope.parts[col].literal:
-        raise NotIncremental(f"the scope of {col!r} must be a literal list for an incremental refresh")
+    if col not in scope.parts:
+        raise NotIncremental(f"the scope has no value set for the partition column {col!r}")
     props = table_properties(spark, table)
     if props.get(CLEAN_PROPERTY) != "true" and clean_column:
         raise NotIncremental(f"{table} is not known to be clean; publish it with publish_partitioned first")
-    values = [v for v in scope.parts[col].values if v is not None]
+    values = touched_values(scope, col, max_partitions)
 
     current = conform(spark.table(table), schema).where(F.col(col).isin(values))  # partition pruning
     stg = conform(staging, schema)

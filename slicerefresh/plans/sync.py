@@ -35,6 +35,7 @@ from slicerefresh.plans.incremental import (
     partition_columns,
     stage_incremental,
     switch_partitions,
+    touched_values,
     undo_partitions,
 )
 from slicerefresh.plans.publish import (
@@ -256,7 +257,7 @@ def _stage_partitioned(spark, table, *, current, staging, scope, target, root, d
     if backup_path:
         # Only the partitions about to be replaced can change; back up those.
         col = partition_columns(spark, target)[0]
-        touched = spark.table(target).where(F.col(col).isin([v for v in scope.parts[col].values or [] if v is not None]))
+        touched = spark.table(target).where(F.col(col).isin(touched_values(scope, col)))
         write_delimited(conform(touched), backup_path, header=True, columns=lay.columns(True))
     staged = stage_incremental(spark, target, staging=read_table(spark, staging), scope=scope, root=root, layout=lay, dedupe=dedupe)
     run = TableRun(table, target, staged.audit, staged, dedupe=staged.deduped)

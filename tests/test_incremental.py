@@ -114,3 +114,15 @@ def test_sync_all_refreshes_partitioned_tables_incrementally(spark):
     assert [r.audit.after_add for r in report.runs] == [2, 2, 2, 2]
     assert spark.table("inc_all_status").first()["enddate"] == dt.datetime(2030, 5, 5)
     assert spark.read.option("header", "true").option("sep", "~").csv(f"{root}/snap/{TABLE_ORDER[0]}").count() == 3
+
+
+def test_distributed_practice_scope_is_collected_within_the_bound(spark):
+    rows = [row(1, "A", "a1"), row(2, "A", "a2"), row(3, "A", "a3")]
+    root = _start(spark, "inc_frame", rows)
+    stg = frame(spark, [row(1, "A", "s1"), row(3, "A", "s3")])
+    scope = Scope.of(None, ["A"]).resolve(stg, max_literal_values=0)  # practices stay a distributed frame
+    assert not scope.parts["practice_id"].literal
+    with pytest.raises(NotIncremental):
+        sync_incremental(spark, "inc_frame", staging=stg, scope=scope, root=root, layout=LAY, max_partitions=1)
+    sync_incremental(spark, "inc_frame", staging=stg, scope=scope, root=root, layout=LAY)
+    assert uids(spark.table("inc_frame")) == uids(slice_replace(frame(spark, rows), stg, scope)) == ["a2", "s1", "s3"]
