@@ -40,6 +40,7 @@ from slicerefresh.plans.incremental import (
 )
 from slicerefresh.plans.publish import (
     BucketSpec,
+    PublishError,
     Staged,
     bucket_ready,
     default_num_buckets,
@@ -214,6 +215,11 @@ def stage_sync(
             snapshot_path=snapshot_path, snapshot_format=snapshot_format, backup_path=backup_path,
         )
     existing = table_bucket_spec(spark, target)
+    if existing is None and spark.catalog.tableExists(target):
+        raise PublishError(
+            f"{target} exists but is neither bucketed nor partitioned; publish it with publish_table(bucket_spec=...)"
+            " or publish_partitioned first"
+        )
     if existing:
         n = existing.num_buckets
     elif num_buckets:

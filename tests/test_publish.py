@@ -156,3 +156,13 @@ def test_sync_all_one_failing_table_switches_nothing(spark):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("fail_all_") and "__staged_" in t.name]
     for n in targets.values():
         assert uids(spark.table(n)) == ["c1", "c2"]
+
+
+def test_unbucketed_existing_target_is_refused_before_writing(spark):
+    root = scratch_path(spark, "t")
+    publish_table(frame(spark, [row(1, "A", "c1")]), "pub_plain", f"{root}/pub_plain")  # no bucket spec
+    before = table_location(spark, "pub_plain")
+    with pytest.raises(PublishError):
+        sync_table(spark, "summary_details_by_practice", current="pub_plain", staging=frame(spark, []),
+                   scope=Scope.of([1], ["A"]), target="pub_plain", root=f"{root}/pub_plain")
+    assert table_location(spark, "pub_plain") == before
