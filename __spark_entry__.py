@@ -125,9 +125,12 @@ def q_slice_append(spark, sf):
 
 
 def _scope_keys(key: str):
+    """Everything in staging for one key: the distinct keys as Spark computes
+    them (kept distributed, not turned into a literal list)."""
+
     def q(spark, sf):
         staging = fx.staging(spark, sf)
-        return _scope("all", staging).key_frame(key)
+        return Scope.of(None, None).resolve(staging, max_literal_values=0).key_frame(key)
 
     return q
 

@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicerefresh.functions.predicates import null_safe_true, values_in
 from slicerefresh.schema import SLICE_KEYS
@@ -105,6 +106,7 @@ class _KeySet:
     frame: DataFrame | None = None  # distinct key values in column ``key``
     size: int = 0
     broadcast: bool = True
+    dtype: T.DataType | None = None  # type of the key in its source, when known
 
     @property
     def literal(self) -> bool:
@@ -120,15 +122,16 @@ def _frame_keys(df: DataFrame, key: str, max_broadcast_keys: int, max_literal_va
     checkpointed to the shared folder, counted, and broadcast only under
     ``max_broadcast_keys``.
     """
+    dtype = df.schema[key].dataType
     distinct = df.select(key).where(F.col(key).isNotNull()).distinct()
     if max_literal_values > 0:
         probe = distinct.limit(max_literal_values + 1).collect()
         if len(probe) <= max_literal_values:
-            return _KeySet(key, values=[r[0] for r in probe], size=len(probe))
+            return _KeySet(key, values=[r[0] for r in probe], size=len(probe), dtype=dtype)
     shared_dir(df.sparkSession)  # makes sure a checkpoint directory is set
     keys = distinct.checkpoint(eager=True)
     n = keys.count()
-    return _KeySet(key, frame=keys, size=n, broadcast=n <= max_broadcast_keys)
+    return _KeySet(key, frame=keys, size=n, broadcast=n <= max_broadcast_keys, dtype=dtype)
 
 
 @dataclass
@@ -157,7 +160,10 @@ class ResolvedScope:
         ks = self.parts[key]
         if ks.literal:
             spark = SparkSession.getActiveSession()
-            return spark.createDataFrame([(v,) for v in ks.values if v is not None], [key])
+            rows = [(v,) for v in ks.values if v is not None]
+            if ks.dtype is not None:
+                return spark.createDataFrame(rows, T.StructType([T.StructField(key, ks.dtype, True)]))
+            return spark.createDataFrame(rows, [key])
         return ks.frame
 
     def _side(self, ks: _KeySet, alias: str, marker: str | None) -> DataFrame:

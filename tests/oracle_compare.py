@@ -40,6 +40,20 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16], lines
 
 
+_SPARK_TO_SQL = {
+    "int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "float": "FLOAT", "double": "DOUBLE",
+    "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_mismatches(df, rel) -> list[str]:
+    """Columns whose Spark type does not correspond to the oracle's DuckDB type."""
+    spark_types = {f.name: _SPARK_TO_SQL.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    return [f"{c}: {spark_types[c]} vs {duck_types.get(c)}" for c in spark_types if spark_types[c] != duck_types.get(c)]
+
+
 def duck(sf_dir):
     import duckdb
 
@@ -85,7 +99,10 @@ def compare(spark, sf_dir, keys=None, verbose=True):
             continue
         h1, l1 = digest(cols, rows)
         h2, l2 = digest(ocols, orows)
-        ok = sorted(cols) == sorted(ocols) and len(rows) == len(orows) and h1 == h2
+        types = type_mismatches(df, rel)
+        ok = sorted(cols) == sorted(ocols) and len(rows) == len(orows) and h1 == h2 and not types
+        if types and verbose:
+            print("   type mismatches:", types)
         results[k] = ("OK" if ok else "MISMATCH", len(rows), len(orows))
         if verbose:
             print(f"{k:32s} {'OK' if ok else 'MISMATCH'} rows={len(rows)}/{len(orows)} {t_spark:.1f}s", flush=True)
