@@ -47,10 +47,11 @@ from slicerefresh.plans.publish import (
     discard,
     publish_table,
     restore,
-    switch,
-    stored_bytes,
     stage_table,
+    stored_bytes,
+    switch,
     table_bucket_spec,
+    table_location,
     verify,
 )
 from slicerefresh.schema import CANONICAL_SCHEMA, TABLE_ORDER, conform, layout
@@ -280,19 +281,25 @@ def _switch_runs(spark: SparkSession, runs: list[TableRun]) -> None:
     """Switch every staged table (whole-table or partition-level); on any
     failure the switches already made are undone."""
     done: list = []
+    pending = list(runs)
     try:
-        for r in runs:
+        while pending:
+            r = pending[0]
             if isinstance(r.staged, StagedPartitions):
-                done.append(switch_partitions(spark, r.staged))
+                done.append(switch_partitions(spark, r.staged))  # undoes itself on failure
             else:
-                r.previous_location = switch(spark, r.staged)
-                done.append(r)
+                r.previous_location = table_location(spark, r.staged.table)
+                done.append(r)  # restored even if its own switch fails halfway
+                switch(spark, r.staged)
+            pending.pop(0)
     except Exception:
         for d in reversed(done):
             if isinstance(d, PartitionSwitch):
                 undo_partitions(spark, d)
             else:
                 restore(spark, d.staged.table, d.previous_location)
+        for r in pending:
+            _discard(spark, r.staged)
         raise
 
 

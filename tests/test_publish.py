@@ -166,3 +166,35 @@ def test_unbucketed_existing_target_is_refused_before_writing(spark):
         sync_table(spark, "summary_details_by_practice", current="pub_plain", staging=frame(spark, []),
                    scope=Scope.of([1], ["A"]), target="pub_plain", root=f"{root}/pub_plain")
     assert table_location(spark, "pub_plain") == before
+
+
+def test_sync_all_failed_switch_restores_and_cleans_up(spark, monkeypatch):
+    import slicerefresh.plans.sync as sync_mod
+    from slicerefresh import TABLE_ORDER, sync_all
+
+    root = scratch_path(spark, "t")
+    targets = {}
+    for t in TABLE_ORDER:
+        spec = BucketSpec.for_layout(LAYOUTS[t], 4)
+        name = f"swfail_{t.rsplit('_', 1)[-1]}"
+        publish_table(frame(spark, [row(1, "A", "c1"), row(2, "A", "c2")]), name, f"{root}/{name}", spec)
+        targets[t] = name
+    before = {t: table_location(spark, n) for t, n in targets.items()}
+    real_switch, calls = sync_mod.switch, []
+
+    def flaky_switch(spark_, staged):
+        calls.append(staged.table)
+        if len(calls) == 2:
+            raise RuntimeError("injected switch failure")
+        return real_switch(spark_, staged)
+
+    monkeypatch.setattr(sync_mod, "switch", flaky_switch)
+    with pytest.raises(RuntimeError):
+        sync_all(spark, scope=Scope.of([1], ["A"]), current_for=lambda t: targets[t],
+                 staging_for=lambda t: frame(spark, [row(1, "A", "s1")]), target_for=lambda t: targets[t],
+                 root_for=lambda t: f"{root}/{targets[t]}")
+    monkeypatch.undo()
+    assert {t: table_location(spark, n) for t, n in targets.items()} == before
+    assert not [x.name for x in spark.catalog.listTables() if x.name.startswith("swfail_") and "__staged_" in x.name]
+    for n in targets.values():
+        assert uids(spark.table(n)) == ["c1", "c2"]
