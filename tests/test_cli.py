@@ -30,3 +30,30 @@ def test_table_job_from_the_command_line(spark, capsys):
         assert spark.table(f"cli_prod.{t}").count() == 4813  # FIXTURES.md, list scope at sf0.001
     printed = capsys.readouterr().out.strip().splitlines()
     assert len(printed) == 2 and '"after_add": 4813' in printed[0]
+
+
+def test_snapshot_job_with_the_variant_naming(spark):
+    from slicerefresh.plans.sync import SnapshotFormat, variant_preset
+    from slicerefresh.sources.delimited import write_delimited
+
+    root = scratch_path(spark, "cli")
+    preset = variant_preset("REGX")
+    for db in (preset.staging_database, preset.target_database):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}.db'")
+    prod, staging = fixtures.prod(spark, SMOKE), fixtures.staging(spark, SMOKE)
+    fmt = SnapshotFormat(header=False, evolved=False)
+    table = "summary_details_by_location"
+    snapshot_in = preset.snapshot_in(f"{root}/backups", "run7")
+    write_delimited(prod, snapshot_in(table), header=False, columns=fmt.columns(table))
+    from slicerefresh.schema import TABLE_ORDER
+
+    for t in TABLE_ORDER:  # NA scopes come from the by-practice and by-measure staging tables
+        publish_table(staging, preset.staging()(t), f"{root}/stg/{t}")
+    run(
+        ["snapshot", "--registry", "REGX", "--run-dir", "run7", "--base", f"{root}/backups", "--variant",
+         "--practices", "NA", "--measures", "NA", "--root", f"{root}/versions", "--tables", table,
+         "--snapshot-dir", f"{root}/out"],
+        spark,
+    )
+    assert spark.table(preset.target()(table)).count() == 4861  # FIXTURES.md, all scope at sf0.001
+    assert snapshot_in(table).endswith(f"REGX/WT_clean_scorecard/run7/{table}")
