@@ -5,6 +5,7 @@ Built on Spark DataFrames and Spark SQL only.  The main entry points:
 * ``Scope`` / ``ResolvedScope``  -- which slice (values per key, or all of staging)
 * ``slice_replace``              -- the result of replacing one slice (lazy)
 * ``sync_all`` / ``sync_table`` / ``sync_from_snapshot`` -- the publishing jobs
+* ``publish_partitioned`` / ``sync_incremental`` -- refresh only the practices in scope
 """
 
 from slicerefresh.operators.audit import AuditCounts, input_counts, sync_audit
@@ -13,7 +14,8 @@ from slicerefresh.operators.keys import key_check, key_collapse
 from slicerefresh.operators.replace import distinct_rows, slice_append, slice_delete, slice_replace, slice_select
 from slicerefresh.operators.scope import ResolvedScope, Scope
 from slicerefresh.operators.status import practice_filter, practice_high_water, refresh_status
-from slicerefresh.plans.publish import BucketSpec, layout_write, publish_table
+from slicerefresh.plans.incremental import NotIncremental, publish_partitioned, sync_incremental
+from slicerefresh.plans.publish import BucketSpec, PublishError, layout_write, prune_versions, publish_table
 from slicerefresh.plans.sync import (
     SnapshotFormat,
     StatusTarget,
@@ -32,6 +34,8 @@ __all__ = [
     "BucketSpec",
     "CANONICAL",
     "LAYOUTS",
+    "NotIncremental",
+    "PublishError",
     "ResolvedScope",
     "Scope",
     "SnapshotFormat",
@@ -48,6 +52,8 @@ __all__ = [
     "layout_write",
     "practice_filter",
     "practice_high_water",
+    "prune_versions",
+    "publish_partitioned",
     "publish_table",
     "read_delimited",
     "read_table",
@@ -62,6 +68,7 @@ __all__ = [
     "sync_all",
     "sync_audit",
     "sync_from_snapshot",
+    "sync_incremental",
     "sync_table",
     "table_schema",
     "variant_preset",
