@@ -221,17 +221,20 @@ def stage_sync(
             f"{target} exists but is neither bucketed nor partitioned; publish it with publish_table(bucket_spec=...)"
             " or publish_partitioned first"
         )
+    source_spec = table_bucket_spec(spark, current) if isinstance(current, str) else None
     if existing:
         n = existing.num_buckets
     elif num_buckets:
         n = num_buckets
+    elif source_spec is not None and source_spec.columns == tuple(lay.key):
+        n = source_spec.num_buckets  # same buckets as the source: its kept rows need no shuffle
     else:
         n = default_num_buckets(spark, stored_bytes(spark, current) if isinstance(current, str) else None)
     spec = BucketSpec.for_layout(lay, n)
     if existing is not None and existing != spec:
         raise ValueError(f"{target} is bucketed as {existing}, layout {table} needs {spec}")
     cur_df = read_table(spark, current)
-    current_bucketed = isinstance(current, str) and table_bucket_spec(spark, current) == spec
+    current_bucketed = source_spec == spec
     if backup_path:
         write_delimited(conform(cur_df), backup_path, header=True, columns=lay.columns(True))
     plan = replacement_plan(
