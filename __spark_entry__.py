@@ -225,6 +225,15 @@ def _sync_table(table: str, kind: str):
     return q
 
 
+def q_sync_table_collapse(spark, sf):
+    """The production job with the keyed store's semantics (one row per key),
+    on a slice that removes nothing, so the original's dedupe does not apply."""
+    root, current, staged = _publish_inputs(spark, sf, BY_PRACTICE)
+    sync_table(spark, BY_PRACTICE, current=current, staging=staged, scope=_scope("no_match", spark.table(staged)),
+               target=current, root=f"{root}/current", collapse_keys=True)
+    return spark.table(current)
+
+
 def _snapshot_job(kind: str, variant: bool):
     def q(spark, sf):
         base = scratch_path(spark, "snapshots")
@@ -427,6 +436,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sync_table_by_location": _sync_table(BY_LOCATION, "all_practices"),
         "sync_table_by_measure": _sync_table(BY_MEASURE, "all_measures"),
         "sync_table_status": q_sync_table_status,
+        "sync_table_collapse": q_sync_table_collapse,
         "sync_from_snapshot": _snapshot_job("list", variant=False),
         "sync_variant": _snapshot_job("all", variant=True),
         "sync_all": q_sync_all,
@@ -512,13 +522,13 @@ _REFRESH_BODY = (
 )
 
 
-def _key_collapse_sql() -> str:
+def _key_collapse_sql(source: str = "SELECT * FROM clean_prod UNION ALL SELECT * FROM clean_staging") -> str:
     key = list(layout(BY_PRACTICE).key)
     rest = [c for c in CANONICAL if c not in key and c != "updated_dt"]
     order = ", ".join(f"{c} DESC NULLS LAST" for c in ["updated_dt", *rest])
     return fx.with_inputs_sql(
         f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(key)} ORDER BY {order}) AS rn"
-        " FROM (SELECT * FROM clean_prod UNION ALL SELECT * FROM clean_staging)) WHERE rn = 1"
+        f" FROM ({source})) WHERE rn = 1"
     )
 
 
@@ -600,6 +610,7 @@ def oracle_sql() -> dict[str, str]:
         "sync_table_by_location": _replace_sql("all_practices"),
         "sync_table_by_measure": _replace_sql("all_measures"),
         "sync_table_status": _sync_table_status_sql(),
+        "sync_table_collapse": _key_collapse_sql("SELECT * FROM clean_prod"),
         "sync_from_snapshot": _replace_sql("list"),
         "sync_variant": _replace_sql("all"),
         "sync_all": _sync_all_sql(),

@@ -15,7 +15,7 @@ overwritten: every version goes to a new folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
@@ -25,6 +25,7 @@ from pyspark.util import inheritable_thread_target
 
 from slicerefresh.operators.audit import AuditCounts, audit_frame
 from slicerefresh.operators.clean import DIRTY_CHAR, DIRTY_COLUMN, control_char_filter
+from slicerefresh.operators.keys import key_collapse
 from slicerefresh.operators.replace import distinct_rows, should_dedupe, slice_select
 from slicerefresh.operators.scope import ResolvedScope, Scope
 from slicerefresh.operators.status import practice_filter, practice_high_water, refresh_status
@@ -135,6 +136,7 @@ def replacement_plan(
     bucket_spec: BucketSpec | None = None,
     current_bucketed: bool = False,
     schema=CANONICAL_SCHEMA,
+    collapse_keys: Sequence[str] | None = None,
 ) -> Replacement:
     """The lazy result of replacing the slice, instrumented with observations.
 
@@ -154,9 +156,15 @@ def replacement_plan(
         cur_obs, F.count(F.lit(1)).alias("full"), F.count_if(F.col(flag)).alias("removed")
     )
     kept = marked.filter(~F.col(flag)).drop(flag)
-    if deduped:
-        kept = distinct_rows(kept)
     added = slice_select(stg, scope)
+    if collapse_keys:
+        # Store semantics: one row per key (it subsumes the dedupe).  Kept and
+        # added rows never share a key (both slice keys are in every key), so
+        # each side collapses on its own; on a table bucketed by the key the
+        # kept side needs no shuffle.
+        kept, added = key_collapse(kept, collapse_keys), key_collapse(added, collapse_keys)
+    elif deduped:
+        kept = distinct_rows(kept)
     if bucket_spec is not None:
         # The kept rows of a table bucketed the same way are already in bucket
         # order; only the (small) staged slice is shuffled into buckets.
@@ -203,14 +211,20 @@ def stage_sync(
     snapshot_path: str | None = None,
     snapshot_format: SnapshotFormat = SnapshotFormat(header=True, evolved=True),
     backup_path: str | None = None,
+    collapse_keys: bool = False,
 ) -> TableRun:
     """Stage and verify the new version of one table (not yet switched).
 
+    ``collapse_keys`` applies the keyed store's semantics: one row per
+    primary key of the layout (latest ``updated_dt``, then a total order).
+
     A target partitioned by ``practice_id`` is refreshed incrementally, in
     place: only the partitions of the practices in scope are rewritten.
     """
     lay = layout(table)
     if spark.catalog.tableExists(target) and partition_columns(spark, target):
+        if collapse_keys:
+            raise NotIncremental(f"{target} is partitioned; collapse_keys needs the full refresh of a bucketed table")
         return _stage_partitioned(
             spark, table, current=current, staging=staging, scope=scope, target=target, root=root, dedupe=dedupe,
             snapshot_path=snapshot_path, snapshot_format=snapshot_format, backup_path=backup_path,
@@ -238,7 +252,8 @@ def stage_sync(
     if backup_path:
         write_delimited(conform(cur_df), backup_path, header=True, columns=lay.columns(True))
     plan = replacement_plan(
-        cur_df, read_table(spark, staging), scope, dedupe=dedupe, bucket_spec=spec, current_bucketed=current_bucketed
+        cur_df, read_table(spark, staging), scope, dedupe=dedupe, bucket_spec=spec, current_bucketed=current_bucketed,
+        collapse_keys=lay.key if collapse_keys else None,
     )
     staged = stage_table(plan.result, target, root, spec)
     try:
@@ -346,6 +361,7 @@ def sync_all(
     status: StatusTarget | None = None,
     scope_options: Mapping | None = None,
     parallel_tables: int = 4,
+    collapse_keys: bool = False,
 ) -> SyncReport:
     """Stage all tables, then switch all of them, then advance the status.
 
@@ -369,6 +385,7 @@ def sync_all(
             snapshot_path=snapshot_for(table) if snapshot_for else None,
             snapshot_format=snapshot_format,
             backup_path=backup_for(table) if backup_for else None,
+            collapse_keys=collapse_keys,
         )
 
     report = SyncReport()

@@ -82,3 +82,11 @@ def test_sql_surface_binds_values_and_pushes_them_down(spark):
     df = slice_sql(spark, view, Scope.of([1, 2], ["A"]).resolve())
     assert "In(practice_id, [1,2])" in plan(df)
     assert sorted(r["practice_id"] for r in df.collect()) == sorted(r["practice_id"] for r in Scope.of([1, 2], ["A"]).resolve().select(cur).collect())
+
+
+def test_key_collapse_on_a_bucketed_table_does_not_shuffle_it(spark):
+    cur, stg = _tables(spark)
+    scope = Scope.of([1], ["A"]).resolve()
+    r = replacement_plan(cur, stg, scope, bucket_spec=SPEC, current_bucketed=True, collapse_keys=SPEC.columns)
+    kept_branch = plan(r.result).split("Union")[1].split("CollectMetrics")[1]
+    assert "partial_max" in kept_branch and "Exchange" not in kept_branch
