@@ -47,14 +47,19 @@ class Scope:
     def parse(cls, practices: str, measures: str, keys: tuple[str, str] = SLICE_KEYS) -> Scope:
         """Command-line form: comma lists, or ``NA`` for everything in staging.
 
-        Practice ids are integers; measure ids are compared as text values
-        (no quoting, no blank stripping).
+        Practice ids are integers; measure ids are compared as text values.
+        A value wrapped in single quotes (the snapshot job's already quoted
+        measure list) is unwrapped; blanks inside a value are kept.
         """
 
+        def unquote(v: str) -> str:
+            v = v.strip()
+            return v[1:-1] if len(v) >= 2 and v[0] == v[-1] == "'" else v
+
         def split(text: str, conv):
             if text.strip() == EVERYTHING:
                 return None
-            return [conv(v.strip()) for v in text.split(",") if v.strip()]
+            return [conv(unquote(v)) for v in text.split(",") if v.strip()]
 
         return cls({keys[0]: split(practices, int), keys[1]: split(measures, str)})
 

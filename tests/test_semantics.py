@@ -99,6 +99,9 @@ def test_unknown_table_name():
 def test_parse_command_line_scope():
     s = Scope.parse("3,6, 7", "NA")
     assert s.values == {"practice_id": [3, 6, 7], "measure_id": None}
+    # Both forms of the measure list: bare (production job) and already quoted (snapshot job).
+    assert Scope.parse("NA", "QPP238_2,QPP130").values["measure_id"] == ["QPP238_2", "QPP130"]
+    assert Scope.parse("NA", "'QPP238_2','QPP130'").values["measure_id"] == ["QPP238_2", "QPP130"]
 
 
 def test_large_literal_lists_become_frames(spark):
