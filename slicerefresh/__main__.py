@@ -47,6 +47,9 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--snapshot-dir", help="write a delimited snapshot of every result under this folder")
         s.add_argument("--status-table", help="status table to advance after the by-practice table")
         s.add_argument("--status-root", help="folder for the status table's versions")
+        s.add_argument("--num-buckets", type=int, help="bucket count of new tables (default: sized from the data)")
+        s.add_argument("--parallel-tables", type=int, default=4, help="tables staged at once")
+        s.add_argument("--collapse-keys", action="store_true", help="keep one row per primary key (keyed store)")
     t = sub.choices["table"]
     t.add_argument("--current-db", required=True, help="database of the published tables (refreshed in place)")
     t.add_argument("--staging-db", required=True, help="database of the staging tables")
@@ -68,6 +71,9 @@ def run(argv: list[str], spark: SparkSession | None = None) -> SyncReport:
         scope=scope,
         tables=tables,
         dedupe=args.dedupe,
+        num_buckets=args.num_buckets,
+        parallel_tables=args.parallel_tables,
+        collapse_keys=args.collapse_keys,
         root_for=lambda t: f"{args.root.rstrip('/')}/{t}",
         snapshot_for=(lambda t: f"{args.snapshot_dir.rstrip('/')}/{t}") if args.snapshot_dir else None,
         status=StatusTarget(args.status_table, args.status_root or f"{args.root.rstrip('/')}/status")
