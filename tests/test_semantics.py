@@ -1,6 +1,7 @@
 """Slice replacement semantics on tiny frames."""
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import frame, row, uids
 
 from slicerefresh import Scope, control_char_filter, slice_delete, slice_replace, slice_select
@@ -128,3 +129,28 @@ def test_key_check_reports_duplicates_and_optionally_null_keys(spark):
     key = ("practice_id", "measure_id", "visit_dt", "unit", "visit_uid")
     assert [r["visit_uid"] for r in key_check(cur, key).collect()] == ["d"]
     assert sorted(r["visit_uid"] for r in key_check(cur, key, null_keys=True).collect()) == ["d", "n"]
+
+
+def test_status_update_takes_a_null_high_water_for_a_matched_practice(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from slicerefresh import practice_high_water, refresh_status
+
+    t0, t1 = dt.datetime(2001, 1, 1), dt.datetime(2031, 1, 1)
+    result = frame(spark, [row(1, "A", "x", visit_dt=None), row(2, "A", "y")])
+    status = spark.createDataFrame([(1, t0, t0), (2, t0, t0)], "practiceid int, enddate timestamp_ntz, lastrefreshtime timestamp_ntz")
+    out = refresh_status(status, practice_high_water(result), F.lit("2031-01-01 00:00:00").cast("timestamp_ntz"))
+    got = {r["practiceid"]: (r["enddate"], r["lastrefreshtime"]) for r in out.collect()}
+    assert got[1] == (None, t1)  # UPDATE sets the max even when it is null
+    assert got[2][1] == t1
+
+
+def test_evolve_schema_is_idempotent_and_conform_drops_extras(spark):
+    from slicerefresh import evolve_schema
+
+    df = frame(spark, [row(1, "A", "x")]).drop("datasource").withColumn("extra", F.lit(1))
+    once = evolve_schema(df)
+    assert "datasource" in once.columns and evolve_schema(once).columns == once.columns
+    assert conform(once).columns == CANONICAL
