@@ -130,9 +130,39 @@ def _cols(cols: Sequence[str]) -> str:
 
 
 def bucket_ready(df: DataFrame, spec: BucketSpec) -> DataFrame:
-    """Hash-partition ``df`` exactly like the buckets, so every task writes
-    one file per bucket instead of one file per bucket per task."""
-    return df.repartition(spec.num_buckets, *spec.columns)
+    """Hash-partition ``df`` like the buckets (partition id = bucket id), so a
+    task writes one file per bucket instead of one per bucket per task.
+
+    A rebalance, not a plain repartition: AQE splits a skewed partition (say,
+    a group of exact copies holding a third of the rows) over several tasks,
+    each writing its own file of that bucket, and coalesces small ones.
+    """
+    return df.hint("rebalance", spec.num_buckets, *spec.columns)
+
+
+# A bucket with this many times the median bucket's rows (and at least this
+# many rows) makes a bucketed scan a straggler: one task would read all of it.
+SKEW_FACTOR = 4.0
+SKEW_MIN_ROWS = 10_000_000
+
+
+def bucket_row_stats(spark: SparkSession, table: str) -> tuple[int, int]:
+    """(largest, median) row count over the buckets of a bucketed table.
+
+    Rows, not bytes: a group of exact copies compresses to almost nothing but
+    still costs its scan task every row.  One distributed job that reads no
+    column data (row counts come from the Parquet footers); only the two
+    numbers reach the driver.
+    """
+    files = spark.read.parquet(table_location(spark, table)).select(F.input_file_name().alias("f"))
+    per_bucket = files.groupBy(F.regexp_extract("f", r"_(\d{5})(?:\.c\d+)?\.[^/]*$", 1).alias("b")).count()
+    row = per_bucket.agg(F.max("count").alias("mx"), F.percentile_approx("count", 0.5).alias("med")).first()
+    return int(row["mx"] or 0), int(row["med"] or 0)
+
+
+def buckets_skewed(spark: SparkSession, table: str) -> bool:
+    largest, median = bucket_row_stats(spark, table)
+    return largest >= SKEW_MIN_ROWS and largest > SKEW_FACTOR * max(median, 1)
 
 
 def stage_table(df: DataFrame, table: str, root: str, bucket_spec: BucketSpec | None = None) -> Staged:

@@ -44,6 +44,7 @@ from slicerefresh.plans.publish import (
     PublishError,
     Staged,
     bucket_ready,
+    buckets_skewed,
     default_num_buckets,
     discard,
     publish_table,
@@ -249,6 +250,12 @@ def stage_sync(
         raise ValueError(f"{target} is bucketed as {existing}, layout {table} needs {spec}")
     cur_df = read_table(spark, current)
     current_bucketed = source_spec == spec
+    if current_bucketed and buckets_skewed(spark, current):
+        # One bucket (a group of copies of one key) would make its scan task a
+        # straggler: read plain, splittable files instead; the dedupe then
+        # aggregates map-side before its shuffle.
+        cur_df = spark.read.parquet(table_location(spark, current))
+        current_bucketed = False
     if backup_path:
         write_delimited(conform(cur_df), backup_path, header=True, columns=lay.columns(True))
     plan = replacement_plan(

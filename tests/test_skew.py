@@ -41,3 +41,26 @@ def test_partitioned_layout_splits_a_hot_practice_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     files = {r["f"] for r in spark.table("skew_partitioned").where("practice_id = 1").select(F.input_file_name().alias("f")).collect()}
     assert len(files) > 1  # range partitioning on the full key split practice 1 over several writers
+
+
+def test_a_bucket_of_copies_is_read_as_plain_files(spark, monkeypatch):
+    import slicerefresh.plans.publish as publish_mod
+    from helpers import uids
+
+    from slicerefresh import Scope, slice_replace, sync_table
+    from slicerefresh.plans.publish import buckets_skewed
+
+    monkeypatch.setattr(publish_mod, "SKEW_MIN_ROWS", 0)
+    spec = BucketSpec.for_layout(LAY, 8)
+    root = scratch_path(spark, "skew")
+    uniform = frame(spark, [row(i % 50, "A", f"u{i}") for i in range(400)])
+    copies = uniform.unionByName(frame(spark, [row(3, "A", "copy")] * 4000))  # a group of copies: most rows
+    publish_table(bucket_ready(uniform, spec), "skew_uniform", f"{root}/u", spec)
+    publish_table(bucket_ready(copies, spec), "skew_copies", f"{root}/c", spec)
+    assert not buckets_skewed(spark, "skew_uniform")
+    assert buckets_skewed(spark, "skew_copies")
+    stg = frame(spark, [row(1, "A", "s1")])
+    expected = uids(slice_replace(spark.table("skew_copies"), stg, Scope.of([1], ["A"]).resolve()))
+    sync_table(spark, "summary_details_by_practice", current="skew_copies", staging=stg, scope=Scope.of([1], ["A"]),
+               target="skew_copies", root=f"{root}/c")
+    assert uids(spark.table("skew_copies")) == expected and expected.count("copy") == 1
