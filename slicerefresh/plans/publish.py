@@ -60,6 +60,7 @@ class Staged:
     observation: Observation
     rows: int | None = None
     verified: bool = False
+    bucket_rows: tuple[int, int] | None = None  # (largest, median) rows per bucket, from verification
 
 
 def _describe(spark: SparkSession, table: str) -> dict[str, str]:
@@ -146,18 +147,34 @@ SKEW_FACTOR = 4.0
 SKEW_MIN_ROWS = 10_000_000
 
 
-def bucket_row_stats(spark: SparkSession, table: str) -> tuple[int, int]:
-    """(largest, median) row count over the buckets of a bucketed table.
+BUCKET_MAX_PROPERTY = "slicerefresh.bucket_rows_max"
+BUCKET_MEDIAN_PROPERTY = "slicerefresh.bucket_rows_median"
+
+
+def _bucket_counts(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(total, largest, median) rows per bucket of the files under ``path``.
 
     Rows, not bytes: a group of exact copies compresses to almost nothing but
     still costs its scan task every row.  One distributed job that reads no
-    column data (row counts come from the Parquet footers); only the two
+    column data (row counts come from the Parquet footers); only three
     numbers reach the driver.
     """
-    files = spark.read.parquet(table_location(spark, table)).select(F.input_file_name().alias("f"))
+    files = spark.read.parquet(path).select(F.input_file_name().alias("f"))
     per_bucket = files.groupBy(F.regexp_extract("f", r"_(\d{5})(?:\.c\d+)?\.[^/]*$", 1).alias("b")).count()
-    row = per_bucket.agg(F.max("count").alias("mx"), F.percentile_approx("count", 0.5).alias("med")).first()
-    return int(row["mx"] or 0), int(row["med"] or 0)
+    row = per_bucket.agg(
+        F.sum("count").alias("n"), F.max("count").alias("mx"), F.percentile_approx("count", 0.5).alias("med")
+    ).first()
+    return int(row["n"] or 0), int(row["mx"] or 0), int(row["med"] or 0)
+
+
+def bucket_row_stats(spark: SparkSession, table: str) -> tuple[int, int]:
+    """(largest, median) rows per bucket: from the table properties recorded
+    when this library published the version, else counted from footers."""
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(table)}").collect()}
+    if BUCKET_MAX_PROPERTY in props and BUCKET_MEDIAN_PROPERTY in props:
+        return int(props[BUCKET_MAX_PROPERTY]), int(props[BUCKET_MEDIAN_PROPERTY])
+    _, largest, median = _bucket_counts(spark, table_location(spark, table))
+    return largest, median
 
 
 def buckets_skewed(spark: SparkSession, table: str) -> bool:
@@ -184,8 +201,16 @@ def stage_table(df: DataFrame, table: str, root: str, bucket_spec: BucketSpec |
 
 
 def verify(spark: SparkSession, staged: Staged, expected_rows: int | None = None) -> Staged:
-    """Re-count the written files (Parquet footers only) and compare."""
-    written = spark.read.parquet(staged.path).count()
+    """Re-count the written files (Parquet footers only) and compare.
+
+    For a bucketed version the count is taken per bucket, in the same job, so
+    the bucket statistics the next refresh needs come for free.
+    """
+    if staged.bucket_spec is not None:
+        written, largest, median = _bucket_counts(spark, staged.path)
+        staged.bucket_rows = (largest, median)
+    else:
+        written = spark.read.parquet(staged.path).count()
     if written != staged.rows:
         raise PublishError(f"{staged.table}: {written} rows on disk, {staged.rows} observed while writing")
     if expected_rows is not None and written != expected_rows:
@@ -216,6 +241,12 @@ def switch(spark: SparkSession, staged: Staged) -> str | None:
             raise PublishError(f"{staged.table}: bucket spec {current_spec} differs from the staged {staged.bucket_spec}")
         spark.sql(f"ALTER TABLE {_quote(staged.table)} SET LOCATION '{staged.path}'")
         spark.sql(f"REFRESH TABLE {_quote(staged.table)}")
+    if staged.bucket_rows is not None:
+        largest, median = staged.bucket_rows
+        spark.sql(
+            f"ALTER TABLE {_quote(staged.table)} SET TBLPROPERTIES"
+            f" ('{BUCKET_MAX_PROPERTY}' = '{largest}', '{BUCKET_MEDIAN_PROPERTY}' = '{median}')"
+        )
     spark.sql(f"DROP TABLE IF EXISTS {_quote(staged.staging_name)}")  # external: files stay
     return previous
 
