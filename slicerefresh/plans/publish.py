@@ -61,6 +61,7 @@ class Staged:
     rows: int | None = None
     verified: bool = False
     bucket_rows: tuple[int, int] | None = None  # (largest, median) rows per bucket, from verification
+    previous_properties: dict[str, str] | None = None  # the bucket statistics before the switch
 
 
 def _describe(spark: SparkSession, table: str) -> dict[str, str]:
@@ -243,6 +244,9 @@ def switch(spark: SparkSession, staged: Staged) -> str | None:
         spark.sql(f"REFRESH TABLE {_quote(staged.table)}")
     if staged.bucket_rows is not None:
         largest, median = staged.bucket_rows
+        if previous is not None:
+            props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(staged.table)}").collect()}
+            staged.previous_properties = {k: props[k] for k in (BUCKET_MAX_PROPERTY, BUCKET_MEDIAN_PROPERTY) if k in props}
         spark.sql(
             f"ALTER TABLE {_quote(staged.table)} SET TBLPROPERTIES"
             f" ('{BUCKET_MAX_PROPERTY}' = '{largest}', '{BUCKET_MEDIAN_PROPERTY}' = '{median}')"
@@ -284,13 +288,21 @@ def prune_versions(spark: SparkSession, table: str, root: str, keep: int = 2) ->
     return [p.toString() for p in doomed]
 
 
-def restore(spark: SparkSession, table: str, location: str | None) -> None:
-    """Undo a switch: point ``table`` back at ``location`` (or unregister it)."""
+def restore(spark: SparkSession, table: str, location: str | None, properties: dict[str, str] | None = None) -> None:
+    """Undo a switch: point ``table`` back at ``location`` (or unregister it),
+    with the bucket statistics it had."""
     if location is None:
         spark.sql(f"DROP TABLE IF EXISTS {_quote(table)}")  # external: files stay
-    else:
-        spark.sql(f"ALTER TABLE {_quote(table)} SET LOCATION '{location}'")
-        spark.sql(f"REFRESH TABLE {_quote(table)}")
+        return
+    spark.sql(f"ALTER TABLE {_quote(table)} SET LOCATION '{location}'")
+    stats = (BUCKET_MAX_PROPERTY, BUCKET_MEDIAN_PROPERTY)
+    if properties:
+        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {_quote(table)} SET TBLPROPERTIES ({pairs})")
+    missing = [k for k in stats if not properties or k not in properties]
+    if missing:
+        spark.sql(f"ALTER TABLE {_quote(table)} UNSET TBLPROPERTIES IF EXISTS ({', '.join(repr(k) for k in missing)})")
+    spark.sql(f"REFRESH TABLE {_quote(table)}")
 
 
 def switch_all(spark: SparkSession, staged: Sequence[Staged]) -> list[str | None]:
@@ -301,7 +313,7 @@ def switch_all(spark: SparkSession, staged: Sequence[Staged]) -> list[str | None
             done.append((s, switch(spark, s)))
     except Exception:
         for s, prev in reversed(done):
-            restore(spark, s.table, prev)
+            restore(spark, s.table, prev, s.previous_properties)
         raise
     return [prev for _, prev in done]
 

@@ -322,7 +322,7 @@ def _switch_runs(spark: SparkSession, runs: list[TableRun]) -> None:
             if isinstance(d, PartitionSwitch):
                 undo_partitions(spark, d)
             else:
-                restore(spark, d.staged.table, d.previous_location)
+                restore(spark, d.staged.table, d.previous_location, d.staged.previous_properties)
         for r in pending:
             _discard(spark, r.staged)
         raise

@@ -180,6 +180,9 @@ def test_sync_all_failed_switch_restores_and_cleans_up(spark, monkeypatch):
         publish_table(frame(spark, [row(1, "A", "c1"), row(2, "A", "c2")]), name, f"{root}/{name}", spec)
         targets[t] = name
     before = {t: table_location(spark, n) for t, n in targets.items()}
+    from slicerefresh.plans.publish import bucket_row_stats
+
+    stats_before = bucket_row_stats(spark, targets[TABLE_ORDER[0]])
     real_switch, calls = sync_mod.switch, []
 
     def flaky_switch(spark_, staged):
@@ -196,5 +199,8 @@ def test_sync_all_failed_switch_restores_and_cleans_up(spark, monkeypatch):
     monkeypatch.undo()
     assert {t: table_location(spark, n) for t, n in targets.items()} == before
     assert not [x.name for x in spark.catalog.listTables() if x.name.startswith("swfail_") and "__staged_" in x.name]
+    from slicerefresh.plans.publish import bucket_row_stats
+
+    assert bucket_row_stats(spark, targets[TABLE_ORDER[0]]) == stats_before  # statistics restored too
     for n in targets.values():
         assert uids(spark.table(n)) == ["c1", "c2"]
