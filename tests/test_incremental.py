@@ -126,3 +126,15 @@ def test_distributed_practice_scope_is_collected_within_the_bound(spark):
         sync_incremental(spark, "inc_frame", staging=stg, scope=scope, root=root, layout=LAY, max_partitions=1)
     sync_incremental(spark, "inc_frame", staging=stg, scope=scope, root=root, layout=LAY)
     assert uids(spark.table("inc_frame")) == uids(slice_replace(frame(spark, rows), stg, scope)) == ["a2", "s1", "s3"]
+
+
+def test_reading_the_touched_partitions_prunes_the_rest(spark):
+    from pyspark.sql import functions as F
+
+    from slicerefresh.schema import conform
+
+    _start(spark, "inc_prune", [row(p, "A", f"r{p}") for p in range(6)])
+    current = conform(spark.table("inc_prune")).where(F.col("practice_id").isin([1, 4]))
+    p = current._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in p and "practice_id" in p.split("PartitionFilters: [")[1].split("]")[0]
+    assert "(2 paths)" in p  # two partition folders listed out of six
