@@ -154,3 +154,13 @@ def test_evolve_schema_is_idempotent_and_conform_drops_extras(spark):
     once = evolve_schema(df)
     assert "datasource" in once.columns and evolve_schema(once).columns == once.columns
     assert conform(once).columns == CANONICAL
+
+
+def test_audit_identity_and_missing_scope_source_are_refused():
+    from slicerefresh.operators.audit import AuditCounts
+
+    with pytest.raises(AssertionError):
+        AuditCounts(10, 2, 3, after_removal=8, after_add=12).check()
+    AuditCounts(10, 2, 3, after_removal=8, after_add=11).check()
+    with pytest.raises(ValueError):
+        Scope.of(None, ["A"]).resolve()  # everything in staging, but no staging given
