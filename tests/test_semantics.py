@@ -164,3 +164,15 @@ def test_audit_identity_and_missing_scope_source_are_refused():
     AuditCounts(10, 2, 3, after_removal=8, after_add=11).check()
     with pytest.raises(ValueError):
         Scope.of(None, ["A"]).resolve()  # everything in staging, but no staging given
+
+
+def test_scope_from_a_dataframe_and_sql_surface_with_a_distributed_scope(spark):
+    from slicerefresh import register_views, slice_sql
+
+    cur = frame(spark, [row(1, "A", "a1"), row(2, "A", "a2"), row(3, "B", "b3"), row(None, "A", "n")])
+    practices = spark.createDataFrame([(1,), (3,), (None,)], "practice_id int")
+    scope = Scope.of(practices, None).resolve(frame(spark, [row(9, "A", "s"), row(9, "B", "t")]), max_literal_values=0)
+    assert not scope.parts["practice_id"].literal and scope.size("practice_id") == 2  # nulls never count
+    assert uids(slice_select(cur, scope)) == ["a1", "b3"]
+    view, _ = register_views(cur, cur, "surface_frames")
+    assert uids(slice_sql(spark, view, scope)) == ["a1", "b3"]
