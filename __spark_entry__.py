@@ -38,6 +38,15 @@ from slicerefresh.session import scratch_path
 from slicerefresh.sources.delimited import read_delimited, write_delimited
 from slicerefresh.sources.tables import register_views, slice_sql
 
+try:
+    from slicerefresh.llm import queries as llm
+except ImportError:  # the subpackage is optional
+    llm = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 BY_PRACTICE, BY_PROVIDER, BY_LOCATION, BY_MEASURE = TABLE_ORDER
@@ -449,6 +458,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_surface": q_sql_surface,
         "events_slice_replace_all": q_events_slice_replace_all,
         "events_snapshot_roundtrip": q_events_snapshot_roundtrip,
+        **(llm.queries() if llm else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
@@ -623,6 +634,8 @@ def oracle_sql() -> dict[str, str]:
         "sql_surface": w(f"SELECT * FROM clean_prod WHERE {_s('list')}"),
         "events_slice_replace_all": events_replace,
         "events_snapshot_roundtrip": "SELECT * FROM events",
+        **(llm.oracle_sql() if llm else {}),
+        **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}),
     }
 
 
