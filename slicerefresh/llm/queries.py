@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
-from slicerefresh.llm import exact_dedup, langid, mixing
+from slicerefresh.llm import decontam, exact_dedup, jaccard, langid, lm, mixing, toxicity, urlgraph, warc
 from slicerefresh.llm.shared import table
 
 
+def op1_toxicity(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op3_language_id(spark, sf):
     return langid.identify(table(spark, sf, "documents"))
 
 
+def op4_decontamination(spark, sf):
+    return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op5_lm_scoring(spark, sf):
+    return lm.pseudo_likelihood(table(spark, sf, "documents"))
+
+
+def op6_jaccard_join(spark, sf):
+    return jaccard.link_components(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_exact_dedup(spark, sf):
     return exact_dedup.exact_dedup(table(spark, sf, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -18,11 +34,25 @@ def op9_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_warc(spark, sf):
+    return warc.archive_pages(table(spark, sf, "pages"))
+
+
+def op10_url_filter(spark, sf):
+    return urlgraph.judge(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries():
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_language_id": op3_language_id,
+        "op4_decontamination": op4_decontamination,
+        "op5_lm_scoring": op5_lm_scoring,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_warc": op8_warc,
         "op9_mixing": op9_mixing,
+        "op10_url_filter": op10_url_filter,
     }
 
 
@@ -34,6 +64,16 @@ WITH t AS (SELECT doc_id, {_LOWER} AS low FROM documents),
 g AS (SELECT low, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY low)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(low) AS text_sha256
 FROM t JOIN g USING (low)""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+f AS (SELECT payload, min(page_id) AS first_page FROM p GROUP BY payload),
+h AS (SELECT page_id, first_page, octet_length(encode(payload))::BIGINT AS payload_bytes,
+  list_transform(range(8), lambda k: ('0x' || substr(sha1(payload), 5 * k + 1, 5))::BIGINT) AS groups FROM p JOIN f USING (payload))
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((groups[1 + i // 4] >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM h""",
     "op9_mixing": r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),

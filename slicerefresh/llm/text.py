@@ -100,13 +100,13 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix(h + (end - start).astype(np.uint64) * _MUL)
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, off: np.ndarray, is_sep: np.ndarray = _IS_SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word of a block; words end with their row."""
     n = len(data)
     if not n:
         none = np.empty(0, np.int64)
         return none, none, none
-    sep = _IS_SEP[data]
+    sep = is_sep[data]
     edge = np.empty(n + 1, bool)
     edge[1:] = sep
     edge[0] = True
