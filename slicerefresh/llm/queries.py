@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slicerefresh.llm import decontam, exact_dedup, jaccard, langid, lm, mixing, toxicity, urlgraph, warc
+from slicerefresh.llm import decontam, exact_dedup, jaccard, langid, lm, mixing, suffix, toxicity, urlgraph, warc
 from slicerefresh.llm.shared import table
 
 
@@ -10,6 +10,10 @@ def op1_toxicity(spark, sf):
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op2_suffix_dedup(spark, sf):
+    return suffix.remove_repeats(table(spark, sf, "documents")).drop("spans")
+
+
 def op3_language_id(spark, sf):
     return langid.identify(table(spark, sf, "documents"))
 
@@ -45,6 +49,7 @@ def op10_url_filter(spark, sf):
 def queries():
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_language_id": op3_language_id,
         "op4_decontamination": op4_decontamination,
         "op5_lm_scoring": op5_lm_scoring,
