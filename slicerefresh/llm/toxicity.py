@@ -11,10 +11,11 @@ words are then scored.
 
 The scorer is fitted on a bounded sample of labelled documents outside the
 held-out fold.  Features are words and beginnings of words.  A feature's
-weight is the lower confidence bound of the share of toxic contexts among its
-contexts; contexts (the word between its neighbours) count once each in toxic
-documents, so that copies of one document do not make its words toxic.  A
-text's score is ``1 - product(1 - weight)`` over the distinct features it has.
+weight is the lower confidence bound of the share of toxic documents among those
+that have it.  Each toxic document stands for the smallest hash of the contexts
+(the word between its neighbours) in which it has the feature, and equal
+contexts count once, so that copies of one document do not make its words
+toxic.  A text's score is ``1 - product(1 - weight)`` over the distinct features it has.
 """
 
 from __future__ import annotations
@@ -228,6 +229,15 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate(feats), np.concatenate(rows), np.concatenate(contexts)
 
 
+def once_per_row(feats: np.ndarray, rows: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct features of each row with their smallest context."""
+    order = np.lexsort((contexts, feats, rows))
+    f, r, c = feats[order], rows[order], contexts[order]
+    first = np.ones(len(f), bool)
+    first[1:] = (f[1:] != f[:-1]) | (r[1:] != r[:-1])
+    return f[first], c[first]
+
+
 class Reader:
     """Original and restored words of Arrow texts, as features."""
 
@@ -252,7 +262,7 @@ class Reader:
 
 #: Labelled documents that the scorer is fitted on, at most.
 FIT_TOXIC, FIT_CLEAN = 2_000, 8_000
-MIN_CONTEXTS, MIN_WEIGHT, CONFIDENCE = 8, 0.5, 3.0
+MIN_CONTEXTS, MIN_WEIGHT, CONFIDENCE = 8, 0.6, 3.0
 DECIDE = 0.3
 
 
@@ -285,9 +295,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     def contexts_of(batches):
         reader = Reader(shared_model.value)
         for batch in batches:
-            for _, _, feats, _, contexts in reader.read(batch.column("text")):
-                pairs = np.unique(np.stack([feats, contexts], 1), axis=0) if len(feats) else np.empty((0, 2), np.uint64)
-                yield pa.record_batch({"feature": pa.array(pairs[:, 0].copy().view(np.int64)), "context": pa.array(pairs[:, 1].copy().view(np.int64))})
+            for _, _, feats, rows, contexts in reader.read(batch.column("text")):
+                feats, contexts = once_per_row(feats, rows, contexts)
+                yield pa.record_batch({"feature": pa.array(feats.view(np.int64)), "context": pa.array(contexts.view(np.int64))})
 
     seen = sample.filter("toxic = 1").select("text").mapInArrow(contexts_of, "feature long, context long").distinct()
     toxic = seen.groupBy("feature").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_CONTEXTS).toArrow()
@@ -300,7 +310,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         reader, known = Reader(shared_model.value), shared_features.value
         total = np.zeros(len(known), np.int64)
         for batch in batches:
-            for _, _, feats, _, _ in reader.read(batch.column("text")):
+            for _, _, feats, rows, contexts in reader.read(batch.column("text")):
+                feats, _ = once_per_row(feats, rows, contexts)
                 at = np.searchsorted(known, feats)
                 at = at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == feats)] if len(known) else at[:0]
                 total += np.bincount(at, minlength=len(known))
