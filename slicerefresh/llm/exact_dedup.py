@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slicerefresh.llm.shared import join_hot, written
+from slicerefresh.llm.shared import join_hot, unique_ids, without, written
 from slicerefresh.llm.text import LOWER_ASCII, blocks
 
 #: Two primes below 2**31 (products stay within 64 bits) and the base of the polynomial.
@@ -125,3 +125,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return join_hot(classed, kept, key, "group_size", total).select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256"), "n_bytes"
     )
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that ``exact_dedup`` keeps, with their columns."""
+    found = written(exact_dedup(docs, id_col, text_col), "dedup")
+    if unique_ids(found):
+        return without(docs, found.filter("not kept").select(F.col("doc_id").alias("drop_id")), id_col)
+    # Rows share an id: find them by id and text, and keep one of rows that are equal in both.
+    kept = found.filter("kept").select(F.col("doc_id").alias("__keep_id"), F.col("text_sha256").alias("__keep_sha"))
+    rows = docs.select("*", _fingerprints(F.coalesce(F.col(text_col), F.lit(""))).alias("__f")).select("*", F.col("__f.sha").alias("__sha"))
+    same = F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__sha") == F.col("__keep_sha"))
+    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "__sha"]).select(*docs.columns)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from slicerefresh.llm.components import components
 from slicerefresh.llm.counters import summed
-from slicerefresh.llm.shared import join_hot, written
+from slicerefresh.llm.shared import join_hot, unique_ids, without, written
 from slicerefresh.llm.text import blocks, list_array, mix, row_bounds, shingle_hashes, signed, word_hashes, words
 
 WIDTH = 4
@@ -132,10 +132,11 @@ def _with_component(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, n_copies.
+    """One row per input row: doc_id, n_shingles, component_id, n_copies, sig, comp.
 
     ``component_id`` is the smallest id reachable by links, ``n_copies`` the
-    number of rows with the same set.  Null texts and texts without words have
+    number of rows with the same set; ``sig`` names the set and ``comp`` the
+    component (null for an empty set).  Null texts and texts without words have
     an empty set, link with nothing and are their own component.  Null ids are
     largest.  Other columns are not read.  An empty table gives no rows.
     """
@@ -175,10 +176,27 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     final = _with_component(counts, every)
     smallest = final.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    named = written(final.join(smallest, "comp").select("sig", "n_copies", "component_id"), "set-components")
-    out = join_hot(rows.filter("n > 0").drop("tokens"), named, ["sig"], "n_copies", rows.count()).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_copies")
-    empty = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies"))
-    return out.unionByName(empty)
+    named = written(final.join(smallest, "comp").select("sig", "n_copies", "component_id", "comp"), "set-components")
+    out = join_hot(full.drop("tokens"), named, ["sig"], "n_copies", rows.count())
+    columns = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_copies", "sig", "comp"]
+    empty = rows.filter("n = 0").withColumns({"component_id": F.col("doc_id"), "n_copies": F.lit(1).cast("long"), "comp": F.lit(None).cast("long")})
+    return out.select(columns).unionByName(empty.select(columns))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of every component, with its columns; rows with an empty set all stay."""
+    found = written(link_components(docs, id_col, text_col), "components")
+    if unique_ids(found):
+        return without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("drop_id")), id_col)
+    # Rows share an id: find them by id and set, and keep one of rows that are equal in both.
+    first = found.filter("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig")).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("__keep_id"), F.col("first.sig").alias("__keep_sig"))
+    texts = docs.select(F.col(text_col).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(token_order(texts))
+    rows = docs.select("*", _describe(shared, False)(F.col(text_col)).alias("__s")).select("*", F.col("__s.n").alias("__n"), F.col("__s.sig").alias("__sig"))
+    same = F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__sig") == F.col("__keep_sig"))
+    some = rows.filter("__n > 0").join(kept, same, "left_semi").dropDuplicates([id_col, "__sig"])
+    return some.unionByName(rows.filter("__n = 0")).select(*docs.columns)
 
 
 def _cross_pairs(entries: DataFrame) -> DataFrame:

@@ -28,6 +28,8 @@ FIT_DOCS = 4_000
 #: A language's set has the n-grams seen this often in its sample, unless another language has them this many times as often.
 MIN_COUNT, MAX_RATIO = 3, 8.0
 UNKNOWN = "und"
+#: Rejected: texts without a language, and those of this many n-grams of which no language has this share.
+REJECT_GRAMS, REJECT_SHARE = 100, 0.2
 
 _FOLD = LOWER_ASCII.copy()
 _FOLD[[b for b in range(128) if not (65 <= b <= 90 or 97 <= b <= 122)]] = 32
@@ -149,18 +151,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def predictor(filters: LanguageFilters, spark):
-    """A column function: text -> struct<lang_pred string, score double>."""
+    """A column function: text -> struct<lang_pred string, score double, rejected boolean>."""
     shared = spark.sparkContext.broadcast(vars(filters))
 
-    @F.arrow_udf("struct<lang_pred string, score double>")
+    @F.arrow_udf("struct<lang_pred: string, score: double, rejected: boolean>")
     def predict(text: pa.Array) -> pa.Array:
         model = LanguageFilters.__new__(LanguageFilters)
         vars(model).update(shared.value)
         preds: list[str] = []
         scores: list[float] = []
+        rejected: list[bool] = []
         for i, j, data, off in blocks(text):
             gram, row = ngrams(data, off)
             share = model.shares(gram, row, j - i)
+            n_grams = np.bincount(row, minlength=j - i)
             letter = np.zeros(j - i, bool)
             some = np.flatnonzero(np.diff(off))
             if len(some):
@@ -172,19 +176,21 @@ def predictor(filters: LanguageFilters, spark):
                 if not letter[k] or not model.languages:
                     preds.append(UNKNOWN)
                     scores.append(0.0)
+                    rejected.append(True)
                     continue
                 best = int(np.argmax(share[k]))
                 if share[k, best] <= 0:
                     best = model.likeliest
                 preds.append(model.languages[best])
                 scores.append(float(share[k, best]))
-        return pa.StructArray.from_arrays([pa.array(preds, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+                rejected.append(bool(n_grams[k] >= REJECT_GRAMS and share[k, best] < REJECT_SHARE))
+        return pa.StructArray.from_arrays([pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["lang_pred", "score", "rejected"])
 
     return predict
 
 
 def identify(docs: DataFrame, filters: LanguageFilters | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, held_out, lang_pred, score.
+    """One row per input row: doc_id, held_out, lang_pred, score, rejected.
 
     ``lang_pred`` is ``und`` with score 0 if the text is null or has no letter,
     or if no language could be learned.  A text whose n-grams no language has
@@ -196,3 +202,9 @@ def identify(docs: DataFrame, filters: LanguageFilters | None = None, id_col: st
     predict = predictor(filters, docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predict("text").alias("p")).select("doc_id", "held_out", "p.*")
+
+
+def in_some_language(docs: DataFrame, filters: LanguageFilters | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that are not rejected, with their columns."""
+    filters = filters or fit(docs, id_col, text_col)
+    return docs.filter(~predictor(filters, docs.sparkSession)(F.col(text_col))["rejected"])

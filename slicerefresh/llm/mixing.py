@@ -61,19 +61,39 @@ def uniform(doc_id: Column) -> Column:
     return (bits + 0.5) / float(1 << 52)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, copies, taken.
+def _placed(rows: DataFrame, plan: DataFrame, sums: DataFrame) -> DataFrame:
+    """Rows (``__source, __size, __bits``) with their class's plan and their source's sums."""
+    p = plan.select(*[F.col(c).alias(f"__p_{c}") for c in plan.columns])
+    s = sums.select(*[F.col(c).alias(f"__s_{c}") for c in sums.columns])
+    # One row per source and length class (at most 64) resp. per source, far fewer than documents, so that
+    # a broadcast leaves the rows of a large source where they are; without it Spark splits its partitions.
+    if plan.count() <= BROADCAST_CLASSES:
+        p, s = F.broadcast(p), F.broadcast(s)
+    rows = rows.join(p, F.col("__source").eqNullSafe(F.col("__p_source")) & (F.col("__bits") == F.col("__p_bits")) & (F.col("__size") > 0), "left")
+    return rows.join(s, F.col("__source").eqNullSafe(F.col("__s_source")), "left")
 
-    ``size`` counts words; null text counts none.  A null source is a source of
-    its own, last.  Rows with one id and source share their random number;
-    they are ranked by size after that, and rows equal in all of it fall on
-    either side of the cut as they come, which leaves the sums the same.
-    Documents without words take no copies.  An empty table gives no rows.
-    Other columns are not read.
-    """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-    rows = written(rows.withColumn("bits", F.length(F.bin("size"))), "mix-sizes")
-    classes = rows.groupBy("source", "bits").agg(F.sum("size").alias("class_size"))
+
+def _rank(doc_id: Column) -> Column:
+    """Random odds by inclusion odds; null without a chance of one more copy."""
+    part = F.col("__p_expected") - F.col("__p_certain")
+    u = uniform(doc_id)
+    return F.when(part > 0, (u / (1 - u)) / (part / (1 - part)))
+
+
+BROADCAST_CLASSES = 500_000
+
+
+def _sized(docs: DataFrame, text_col: str, source_col: str) -> DataFrame:
+    rows = docs.withColumns({"__source": F.col(source_col), "__size": n_words(F.col(text_col))})
+    return rows.withColumn("__bits", F.length(F.bin("__size")))
+
+
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+    """Per source and length class the expected copies, per source its sums, target and the last rank taken."""
+    rows = _sized(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"), F.col(source_col).alias("__from")), "__text", "__from")
+    rows = written(rows.select("doc_id", "__source", "__size", "__bits"), "mix-sizes")
+    classes = rows.groupBy(F.col("__source").alias("source"), F.col("__bits").alias("bits")).agg(F.sum("__size").alias("class_size"))
+    classes = written(classes, "mix-classes")
     sources = classes.groupBy("source").agg(F.sum("class_size").alias("source_size"))
 
     by_code = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
@@ -83,6 +103,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     everything = TOTAL_SHARE * F.sum("source_size").over(Window.partitionBy("one"))
     sources = water_fill(sources, ["one"], everything)
     sources = sources.select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("weight") * F.col("level")).alias("target"))
+    sources = written(sources, "mix-targets")
 
     classes = classes.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     classes = classes.withColumn("level_weight", LEVELS - F.col("bits")).withColumn("weight", F.col("level_weight") * F.col("class_size"))
@@ -93,33 +114,52 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     certain_words = F.sum(F.col("certain") * F.col("class_size")).over(Window.partitionBy("source"))
     classes = classes.withColumn("quota", F.col("target") - certain_words)
     plan = written(classes.select("source", "bits", "expected", "certain", "quota"), "mix-plan")
-    sums = written(sources, "mix-sources")
-
-    # One row per source and length class (at most 64) resp. per source: small beside the documents, and
-    # without hot rows when broadcast; beyond the broadcast limit Spark's own choice of join holds.
-    p = plan.withColumnRenamed("source", "p_source").withColumnRenamed("bits", "p_bits")
-    s = sums.withColumnRenamed("source", "s_source")
-    few = plan.count() <= 1_000_000
-    p, s = (F.broadcast(p), F.broadcast(s)) if few else (p, s)
-    rows = rows.join(p, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("bits") == F.col("p_bits")) & (F.col("size") > 0), "left")
-    rows = rows.join(s, F.col("source").eqNullSafe(F.col("s_source")), "left")
-    part = F.col("expected") - F.col("certain")
-    u = uniform(F.col("doc_id"))
-    rank = F.when(part > 0, (u / (1 - u)) / (part / (1 - part)))
-    rows = rows.select("doc_id", "source", "size", "source_size", "target", F.coalesce("certain", F.lit(0)).alias("certain"), "quota", rank.alias("rank"))
-
-    drawn = rows.filter("rank is not null").repartitionByRange(F.col("source"), F.col("rank"), F.col("doc_id"), F.col("size"))
-    drawn = written(drawn.withColumn("part", F.spark_partition_id()), "mix-ranks")
-    sizes = drawn.groupBy("part", "source").agg(F.sum("size").alias("part_size"))
+
+    ranked = _placed(rows, plan, sources).withColumn("rank", _rank(F.col("doc_id"))).filter("rank is not null")
+    ranked = ranked.select("doc_id", F.col("__source").alias("source"), F.col("__size").alias("size"), F.col("__p_quota").alias("quota"), "rank")
+    ranked = ranked.repartitionByRange("source", "rank", "doc_id", "size").withColumn("part", F.spark_partition_id())
+    ranked = written(ranked, "mix-ranks")
+    sizes = ranked.groupBy("part", "source").agg(F.sum("size").alias("part_size"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per source and range partition.
     sizes = sizes.select(F.col("part").alias("o_part"), F.col("source").alias("o_source"), F.coalesce(F.sum("part_size").over(earlier), F.lit(0)).alias("before"))
-    sizes = F.broadcast(sizes) if few else sizes
-    placed = drawn.join(sizes, (F.col("part") == F.col("o_part")) & F.col("source").eqNullSafe(F.col("o_source")))
+    joined = ranked.join(sizes, (F.col("part") == F.col("o_part")) & F.col("source").eqNullSafe(F.col("o_source")))
     run = Window.partitionBy("part", "source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = placed.withColumn("upto", F.col("before") + F.sum("size").over(run))
-    extra = F.when(F.col("upto") - F.col("size") / 2 <= F.col("quota"), 1).otherwise(0)
-    out = ["doc_id", "source", "size", "source_size", "target"]
-    both = placed.select(*out, (F.col("certain") + extra).cast("long").alias("copies")).unionByName(
-        rows.filter("rank is null").select(*out, F.col("certain").cast("long").alias("copies"))
-    )
-    return both.withColumn("taken", F.col("copies") * F.col("size"))
+    upto = joined.withColumn("upto", F.col("before") + F.sum("size").over(run))
+    taken = upto.filter(F.col("upto") - F.col("size") / 2 <= F.col("quota"))
+    cuts = taken.groupBy(F.col("source").alias("c")).agg(F.max(F.struct("rank", "doc_id", "size")).alias("last"))
+    sources = sources.join(cuts, F.col("source").eqNullSafe(F.col("c")), "left").drop("c")
+    return plan, written(sources, "mix-sources")
+
+
+def copies_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents with ``__copies, __size, __source_size, __target`` as further columns."""
+    plan, sources = plan_mix(docs, id_col, text_col, source_col)
+    rows = _placed(_sized(docs, text_col, source_col), plan, sources)
+    last = F.struct(_rank(F.col(id_col)).alias("rank"), F.col(id_col).alias("doc_id"), F.col("__size").alias("size"))
+    extra = F.when(last["rank"].isNotNull() & (last <= F.col("__s_last")), 1).otherwise(0)
+    copies = (F.coalesce("__p_certain", F.lit(0)) + extra).cast("long")
+    return rows.select(*docs.columns, copies.alias("__copies"), "__size", F.col("__s_source_size").alias("__source_size"), F.col("__s_target").alias("__target"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, copies, taken.
+
+    ``size`` counts words; null text counts none.  A null source is a source of
+    its own, last.  Rows with one id and source share their random number and
+    are ranked by size after that; rows equal in all of it fall on one side of
+    the cut together.  Documents without words take no copies.  An empty table
+    gives no rows.  Other columns are not read.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    rows = copies_of(rows)
+    return rows.select(
+        "doc_id", "source", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+        F.col("__copies").alias("copies"), (F.col("__copies") * F.col("__size")).alias("taken"),
+    )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents that the mix takes, with their columns and ``copies`` (which replaces a column of that name)."""
+    rows = copies_of(docs, id_col, text_col, source_col).filter("__copies > 0")
+    return rows.select(*[c for c in docs.columns if c != "copies"], F.col("__copies").alias("copies"))

@@ -15,7 +15,7 @@ def op2_suffix_dedup(spark, sf):
 
 
 def op3_language_id(spark, sf):
-    return langid.identify(table(spark, sf, "documents"))
+    return langid.identify(table(spark, sf, "documents")).drop("rejected")
 
 
 def op4_decontamination(spark, sf):

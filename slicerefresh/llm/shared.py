@@ -39,3 +39,19 @@ def join_hot(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, tot
     hot = groups.filter(F.col(size) * HOT_PARTS > total)
     cold = groups.filter(F.col(size) * HOT_PARTS <= total)
     return rows.join(F.broadcast(hot), keys).unionByName(rows.join(cold, keys))
+
+
+#: Up to so many ids of rows to drop are broadcast (about 50 MB); more are dropped by a shuffle.
+BROADCAST_DROPS = 500_000
+
+
+def unique_ids(ids: DataFrame, id_col: str = "doc_id") -> bool:
+    """Whether no id (null included) comes twice."""
+    return ids.groupBy(id_col).count().filter("count > 1").isEmpty()
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``dropped(drop_id)``; null is an id like others."""
+    dropped = written(dropped.select(F.col("drop_id")), "drops")
+    side = F.broadcast(dropped) if dropped.count() <= BROADCAST_DROPS else dropped
+    return docs.join(side, docs[id_col].eqNullSafe(side["drop_id"]), "left_anti")
