@@ -69,15 +69,20 @@ class MultiIndex:
     def __init__(self, fingerprints: np.ndarray) -> None:
         self.fingerprints = fingerprints
         near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :]) <= RADIUS // BLOCKS
-        values = fingerprints.astype("<u8").view(np.uint8).reshape(-1, 8)
-        #: tables[block][value]: items whose block lies near the value.
-        self.tables = [[np.flatnonzero(near[value][values[:, block]]) for value in range(256)] for block in range(BLOCKS)]
-
-    def within(self, fingerprint: int) -> list[int]:
-        """All items within the radius."""
-        parts = [self.tables[block][(fingerprint >> (8 * block)) & 255] for block in range(BLOCKS)]
-        found = np.unique(np.concatenate(parts))
-        return [int(x) for x in found if int(fingerprint ^ int(self.fingerprints[x])).bit_count() <= RADIUS]
+        values = fingerprints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
+        #: tables[block][value]: marks the items whose block lies near the value.
+        self.tables = [near[:, values[:, block]] for block in range(BLOCKS)]
+
+    def within(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pairs of a window and an item within the radius, and their distances."""
+        values = windows.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
+        marked = np.zeros((len(windows), len(self.fingerprints)), bool)
+        for block, table in enumerate(self.tables):
+            marked |= table[values[:, block]]
+        window, item = np.nonzero(marked)
+        distance = np.bitwise_count(windows[window] ^ self.fingerprints[item])
+        close = distance <= RADIUS
+        return window[close], item[close], distance[close]
 
 
 def _shingles_of(texts: list[str]) -> list[tuple[int, np.ndarray]]:
@@ -121,28 +126,28 @@ def _search(shingles: np.ndarray, n_words: int, own: dict, index: MultiIndex, si
     np.add.at(near, np.clip(hits + 1, 0, last + 1), -1)
     starts = np.flatnonzero(np.cumsum(near[: last + 1]) > 0)
     best: dict[int, tuple] = {}
-    for start, fingerprint in zip(starts.tolist(), window_simhashes(shingles, starts, count).tolist(), strict=True):
-        for k in index.within(fingerprint):
-            similarity = weighted_jaccard(shingles[start : start + count], own["shingles"][k])
-            if similarity >= SIMILARITY and similarity > best.get(k, (0,))[0]:
-                best[k] = similarity, start, int(fingerprint ^ int(own["fingerprints"][k])).bit_count()
+    for window, k, distance in zip(*(x.tolist() for x in index.within(window_simhashes(shingles, starts, count))), strict=True):
+        start = int(starts[window])
+        similarity = weighted_jaccard(shingles[start : start + count], own["shingles"][k])
+        if similarity >= SIMILARITY and similarity > best.get(k, (0,))[0]:
+            best[k] = similarity, start, distance
     return [{"item_id": own["ids"][k], "similarity": s, "start_word": at, "n_words": length, "distance": d} for k, (s, at, d) in sorted(best.items())]
 
 
-_MATCH = "array<struct<item_id: bigint, similarity: double, start_word: int, n_words: int, distance: int>>"
-_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("distance", pa.int32())]))
+_COLUMNS = "doc_id long, item_id long, similarity double, start_word int, n_words int, distance int"
+_TYPES = [("item_id", pa.int64()), ("similarity", pa.float64()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("distance", pa.int32())]
 
 
-def _matcher(spark, items: list[tuple[int, str]]):
-    shared = spark.sparkContext.broadcast(index_items(items))
-    indexes: dict[int, MultiIndex] = {}
-
-    @F.arrow_udf(_MATCH)
-    def match(text: pa.Array) -> pa.Array:
-        known = shared.value
-        for size, own in known["sizes"].items():
-            if size not in indexes:
-                indexes[size] = MultiIndex(own["fingerprints"])
+class Matcher:
+    """A block of items, ready to be sought in Arrow texts."""
+
+    def __init__(self, known: dict) -> None:
+        self.known = known
+        self.indexes = {size: MultiIndex(own["fingerprints"]) for size, own in known["sizes"].items()}
+
+    def matches(self, text: pa.Array) -> list[list[dict]]:
+        """The matches of every text."""
+        known = self.known
         out: list[list[dict]] = []
         for i, j, data, off in blocks(text):
             start, end, row = words(data, off)
@@ -158,11 +163,9 @@ def _matcher(spark, items: list[tuple[int, str]]):
                     seen = np.unique(h[hit[np.searchsorted(hit, at[k]) : np.searchsorted(hit, at[k + 1])]])
                     for size, own in known["sizes"].items():
                         if min(WIDTH, size) == width and np.isin(seen, own["known"]).any():
-                            found.setdefault(k, []).extend(_search(own_h, int(n_words[k]), own, indexes[size], size))
+                            found.setdefault(k, []).extend(_search(own_h, int(n_words[k]), own, self.indexes[size], size))
             out += [found.get(k, []) for k in range(j - i)]
-        return pa.array(out, _ARROW)
-
-    return match
+        return out
 
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[list[tuple[int, str]]]:
@@ -174,11 +177,40 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
     return [[(r["item_id"], r["text"]) for r in items.filter(place == part).collect()] for part in range(parts)]
 
 
-def matches_of(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", into: str = "__matches") -> DataFrame:
-    """The documents with the array of their matches as a further column."""
-    parts = [_matcher(docs.sparkSession, items)(F.col(text_col)) for items in item_blocks(benchmark)]
-    found = F.concat(*parts) if parts else F.array().cast(_MATCH)
-    return docs.select("*", found.alias(into))
+def _free(spark, items: list[tuple[int, str]]):
+    """A column function: whether a text has no match."""
+    shared, ready = spark.sparkContext.broadcast(index_items(items)), []
+
+    @F.arrow_udf("boolean")
+    def free(text: pa.Array) -> pa.Array:
+        if not ready:
+            ready.append(Matcher(shared.value))
+        return pa.array([not found for found in ready[0].matches(text)], pa.bool_())
+
+    return free
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents in which no item is found, with their columns."""
+    for items in item_blocks(benchmark):
+        docs = docs.filter(_free(docs.sparkSession, items)(F.col(text_col)))
+    return docs
+
+
+def _search_rows(spark, items: list[tuple[int, str]]):
+    """For ``mapInArrow`` over ``doc_id, text``: a row per document and item found in it."""
+    shared = spark.sparkContext.broadcast(index_items(items))
+
+    def search(batches):
+        matcher = Matcher(shared.value)
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            found = [(doc, m) for doc, ms in zip(ids, matcher.matches(batch.column("text")), strict=True) for m in ms]
+            columns = [pa.array([doc for doc, _ in found], pa.int64())]
+            columns += [pa.array([m[name] for _, m in found], kind) for name, kind in _TYPES]
+            yield pa.record_batch(columns, names=["doc_id", *[name for name, _ in _TYPES]])
+
+    return search
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,5 +221,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     null or empty items, match nothing.  Repeated rows give their matches each
     time, repeated items each under its id.  Other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return matches_of(rows, benchmark).select("doc_id", F.explode("__matches").alias("m")).select("doc_id", "m.*")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    parts = [rows.mapInArrow(_search_rows(docs.sparkSession, items), _COLUMNS) for items in item_blocks(benchmark)]
+    out = docs.sparkSession.createDataFrame([], _COLUMNS)
+    for part in parts:
+        out = out.unionByName(part)
+    return out

@@ -1,7 +1,7 @@
 """Array kernels over the UTF-8 buffers of an Arrow text column.
 
 The operators read whole texts as one byte buffer per Arrow batch and work on
-it with numpy, in blocks of a few megabytes, so that the memory of a task does
+it with numpy, in blocks of about a megabyte, so that the memory of a task does
 not grow with the number of rows.  A text longer than a block is one block.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 _MUL = _U(0x9E3779B97F4A7C15)
