@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicerefresh.llm.shared import join_hot, unique_ids, without, written
 from slicerefresh.llm.text import LOWER_ASCII, blocks
@@ -58,10 +59,10 @@ def fingerprint(data: np.ndarray) -> tuple[int, ...]:
     return out
 
 
-_FIELDS = "n_bytes long, h1 long, h2 long, sha string"
+_FIELDS = T.StructType().add("n_bytes", "long").add("h1", "long").add("h2", "long").add("sha", "string")
 
 
-@F.arrow_udf(f"struct<{_FIELDS}>")
+@F.arrow_udf(_FIELDS)
 def _fingerprints(text: pa.Array) -> pa.Array:
     size, h1, h2, sha = [], [], [], []
     for _, _, data, off in blocks(text):

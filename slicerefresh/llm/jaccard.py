@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicerefresh.llm.components import components
 from slicerefresh.llm.counters import summed
@@ -95,7 +96,7 @@ def _describe(shared, whole: bool):
     return describe
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(T.IntegerType())
 def _overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     """Intersections of sorted token lists."""
     av, bv = a.values.to_numpy().view(np.uint64), b.values.to_numpy().view(np.uint64)

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicerefresh.llm.shared import HOT_PARTS, join_hot, written
 from slicerefresh.llm.text import blocks, list_array, mix, prefix_hash, range_hash, signed
@@ -90,7 +91,7 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pos, np.concatenate(hashes)[first]
 
 
-@F.arrow_udf("struct<n_bytes: bigint, sha: string, pos: array<int>, h: array<bigint>>")
+@F.arrow_udf(T.StructType().add("n_bytes", "long").add("sha", "string").add("pos", T.ArrayType(T.IntegerType())).add("h", T.ArrayType(T.LongType())))
 def _scan(text: pa.Array) -> pa.Array:
     sizes, shas, pos, hashes = [], [], [], []
     for _, _, data, off in blocks(text):
@@ -307,7 +308,10 @@ def _meet(table: pa.Table) -> pa.Table:
 # --- removal ---------------------------------------------------------------------------------
 
 
-@F.arrow_udf("struct<n_removed: bigint, n_spans: bigint, kept_sha256: string, spans: array<struct<low: int, high: int>>>")
+_SPANS = T.ArrayType(T.StructType().add("low", "integer").add("high", "integer"))
+
+
+@F.arrow_udf(T.StructType().add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("spans", _SPANS))
 def _removed(text: pa.Array, lows: pa.Array, sizes: pa.Array) -> pa.Array:
     """Remove the strings that start at ``low`` to ``low + size - 1``."""
     out = []
@@ -326,7 +330,7 @@ def _removed(text: pa.Array, lows: pa.Array, sizes: pa.Array) -> pa.Array:
     return pa.array(out, pa.struct([("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", span)]))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _sha(text: pa.Array) -> pa.Array:
     out = []
     for _, _, data, off in blocks(text):
@@ -392,7 +396,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cutting = written(runs.join(singles, "cid"), "sa-runs")
     done = _fetch(texts, cutting, unique).select("cid", _removed("text", "lows", "sizes").alias("r")).select("cid", "r.*")
     done = written(done, "sa-removed")
-    nothing = F.array().cast("array<struct<low: int, high: int>>")
+    nothing = F.array().cast(_SPANS)
     rows = join_hot(scan.select("doc_id", "sha", "n_bytes"), classes.select("sha", "cid", "copies"), ["sha"], "copies", total)
     once = rows.filter("copies = 1").join(done, "cid", "left")
     once = once.select("doc_id", "n_bytes", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_removed", "n_spans")], F.coalesce("kept_sha256", "sha").alias("kept_sha256"), F.coalesce("spans", nothing).alias("spans"))
