@@ -19,6 +19,7 @@ back, payload included, from the two tables.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -30,8 +31,8 @@ from slicerefresh.session import scratch_path
 
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
-#: A WARC file holds about so many bytes; files are read whole, one at a time.
-FILE_BYTES = 16 << 20
+#: Records of a WARC file at most; files are read whole, one at a time.
+FILE_RECORDS = 2_000
 _HEX = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -132,21 +133,23 @@ def reconstruct(archive: Archive) -> DataFrame:
 
 
 def write_files(archive: Archive) -> str:
-    """Write the WARC files: responses are joined to their payload, revisits need none."""
+    """Write the WARC files: responses are joined to their payload, revisits need none.
+
+    Records stay in the partitions of the join, so that payloads move once;
+    files are compressed as a whole.
+    """
     headers = archive.headers
-    responses = headers.filter("record_type = 'response'").join(archive.payloads, "address").select("header", "payload", "payload_bytes")
-    records = responses.select(F.concat("header", F.lit("\r\n"), "payload").alias("value"), (F.col("payload_bytes") + 600).alias("size")).unionByName(
-        headers.filter("record_type = 'revisit'").select(F.concat("header", F.lit("\r\n")).alias("value"), F.lit(600).cast("long").alias("size"))
+    responses = headers.filter("record_type = 'response'").join(archive.payloads, "address")
+    records = responses.select(F.concat("header", F.lit("\r\n"), "payload").alias("value")).unionByName(
+        headers.filter("record_type = 'revisit'").select(F.concat("header", F.lit("\r\n")).alias("value"))
     )
-    stored = headers.agg(F.sum(F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(0) + 600).alias("n")).first()["n"] or 0
-    files = max(1, -(-stored // FILE_BYTES))
-    records.select("value").repartition(int(files)).write.option("lineSep", "\r\n\r\n").text(archive.files)
+    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(archive.files)
     return archive.files
 
 
-def parse(data: memoryview):
-    """Yield ``(header lines, payload)`` of each record of a WARC file."""
-    raw, at = bytes(data), 0
+def parse(raw: bytes):
+    """Yield ``(header fields, payload)`` of each record of a WARC file."""
+    at = 0
     while at < len(raw):
         if not raw.startswith(b"WARC/", at):
             raise ValueError(f"no WARC record at byte {at}")
@@ -174,7 +177,7 @@ def _read_batches(batches):
     for batch in batches:
         for content in batch.column("content"):
             out: dict[str, list] = {k.split()[0]: [] for k in _READ.split(", ")}
-            for fields, payload in parse(content.as_buffer()):
+            for fields, payload in parse(gzip.decompress(content.as_buffer())):
                 kind = fields["WARC-Type"]
                 out["page_id"].append(_number(fields, "X-Page-ID"))
                 out["record_type"].append(kind)
