@@ -11,6 +11,7 @@ semantics in plain SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,13 +26,15 @@ from slicerefresh.operators.status import practice_filter, practice_high_water,
 from slicerefresh.plans.incremental import publish_partitioned, sync_incremental
 from slicerefresh.plans.publish import BucketSpec, default_num_buckets, layout_write, publish_table
 from slicerefresh.plans.sync import (
+    ORIGINAL_FORMAT,
+    Preset,
     SnapshotFormat,
     StatusTarget,
     read_snapshot,
     sync_all,
     sync_from_snapshot,
     sync_table,
-    variant_preset,
+    write_snapshot,
 )
 from slicerefresh.schema import CANONICAL, FACT_TYPES, LAYOUTS, TABLE_ORDER, conform, evolve_schema, layout
 from slicerefresh.session import scratch_path
@@ -243,36 +246,85 @@ def q_sync_table_collapse(spark, sf):
     return spark.table(current)
 
 
+def _tagged(frames: dict) -> DataFrame:
+    """The rows of several tables, each with its table's name."""
+    parts = [df.select(F.lit(t).alias("table_name"), *CANONICAL) for t, df in frames.items()]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
 def _snapshot_job(kind: str, variant: bool):
+    """The snapshot job over all four tables: published rows and the rows of
+    the snapshots it writes, read back."""
+
     def q(spark, sf):
         base = scratch_path(spark, "snapshots")
         prod, staging = _inputs(spark, sf)
-        fmt = SnapshotFormat(header=False, evolved=False)
-        preset = variant_preset("REG") if variant else None
-        snap_in = preset.snapshot_in(base, "run1") if preset else (lambda t: f"{base}/in/{t}")
+        preset = Preset("family/clean" if variant else "clean", "", "")
+        snap_in = preset.snapshot_in(base, "run1")
         for t in TABLE_ORDER:  # the snapshots the job starts from
-            write_delimited(prod, snap_in(t), header=fmt.header, columns=fmt.columns(t))
+            write_delimited(prod, snap_in(t), header=ORIGINAL_FORMAT.header, columns=ORIGINAL_FORMAT.columns(t))
         staged = _table_name("staging")
         publish_table(staging, staged, f"{base}/staging")
-        target = _table_name("target")
-        tables = (BY_LOCATION,)
+        targets = {t: _table_name("target") for t in TABLE_ORDER}
         sync_from_snapshot(
             spark,
             scope=_scope(kind, spark.table(staged)),
             snapshot_in_for=snap_in,
             staging_for=lambda t: staged,
-            target_for=lambda t: target,
-            root_for=lambda t: f"{base}/target",
-            snapshot_out_for=lambda t: f"{base}/out/{t}",
-            read_format=fmt,
-            write_format=SnapshotFormat(header=True, evolved=True),
-            tables=tables,
+            target_for=lambda t: targets[t],
+            root_for=lambda t: f"{base}/target/{t}",
+            snapshot_out_for=preset.snapshot_in(base, "run2"),
         )
-        return spark.table(target)
+        published = {t: spark.table(targets[t]) for t in TABLE_ORDER}
+        exported = {f"{t} snapshot": read_snapshot(spark, preset.snapshot_in(base, "run2")(t), t) for t in TABLE_ORDER}
+        return _tagged({**published, **exported})
 
     return q
 
 
+def q_snapshot_chain(spark, sf):
+    """The output snapshot of one run (list scope) is the input of the next (all of staging)."""
+    base = scratch_path(spark, "chain")
+    prod, staging = _inputs(spark, sf)
+    staged = _table_name("staging")
+    publish_table(staging, staged, f"{base}/staging")
+    write_snapshot(prod, f"{base}/run0/{BY_MEASURE}", BY_MEASURE, ORIGINAL_FORMAT)
+    for run, kind in enumerate(("list", "all")):
+        sync_from_snapshot(
+            spark,
+            scope=_scope(kind, spark.table(staged)),
+            snapshot_in_for=lambda t, run=run: f"{base}/run{run}/{t}",
+            staging_for=lambda t: staged,
+            target_for=lambda t, name=_table_name("chain"): name,
+            root_for=lambda t, run=run: f"{base}/target{run}/{t}",
+            snapshot_out_for=lambda t, run=run: f"{base}/run{run + 1}/{t}",
+            tables=(BY_MEASURE,),
+        )
+    return read_snapshot(spark, f"{base}/run2/{BY_MEASURE}", BY_MEASURE)
+
+
+def q_sync_table_backup(spark, sf):
+    """The pre-image backup of a refresh, read back: the current rows as they were."""
+    root, current, staged = _publish_inputs(spark, sf, BY_PROVIDER)
+    sync_table(spark, BY_PROVIDER, current=current, staging=staged, scope=_scope("list", spark.table(staged)), target=current,
+               root=f"{root}/current", backup_for=lambda t: f"{root}/backup/{t}")
+    fmt = SnapshotFormat(header=True, evolved=True)
+    return read_delimited(spark, f"{root}/backup/{BY_PROVIDER}", fmt.schema(BY_PROVIDER), header=True).select(*CANONICAL)
+
+
+def q_evolve_published_table(spark, sf):
+    """A published table of 26 columns, refreshed in place: it gets ``datasource``."""
+    root = scratch_path(spark, "evolve")
+    prod, staging = _inputs(spark, sf)
+    table, staged = _table_name("old"), _table_name("staging")
+    lay = LAYOUTS[BY_PRACTICE]
+    spec = BucketSpec.for_layout(lay, default_num_buckets(spark))
+    publish_table(prod.drop("datasource"), table, f"{root}/table", spec)
+    publish_table(staging, staged, f"{root}/staging")
+    sync_table(spark, BY_PRACTICE, current=table, staging=staged, scope=_scope("list", spark.table(staged)), target=table, root=f"{root}/table")
+    return spark.table(table).select(*CANONICAL)
+
+
 def _incremental(kind: str, distinct_start: bool):
     """Partitioned layout refreshed in place, only the partitions in scope rewritten."""
 
@@ -313,14 +365,7 @@ def _sync_all_partitioned(kind: str):
             target_for=lambda t: targets[t],
             root_for=lambda t: f"{base}/{t}",
         )
-        parts = [
-            spark.table(targets[t]).groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
-            for t in TABLE_ORDER
-        ]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        return _tagged({t: spark.table(targets[t]) for t in TABLE_ORDER})
 
     return q
 
@@ -342,11 +387,7 @@ def q_sync_all(spark, sf):
         target_for=lambda t: targets[t],
         root_for=lambda t: f"{base}/{t}",
     )
-    parts = [spark.table(targets[t]).groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in TABLE_ORDER]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _tagged({t: spark.table(targets[t]) for t in TABLE_ORDER})
 
 
 def _refresh_input(spark, sf):
@@ -448,6 +489,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sync_table_collapse": q_sync_table_collapse,
         "sync_from_snapshot": _snapshot_job("list", variant=False),
         "sync_variant": _snapshot_job("all", variant=True),
+        "snapshot_chain": q_snapshot_chain,
+        "sync_table_backup": q_sync_table_backup,
+        "evolve_published_table": q_evolve_published_table,
         "sync_all": q_sync_all,
         "sync_incremental_list": _incremental("list", distinct_start=True),
         "sync_all_partitioned_all": _sync_all_partitioned("all"),
@@ -566,7 +610,11 @@ def _legacy_snapshot_sql() -> str:
 
 
 def _sync_all_sql(kind: str = "list") -> str:
-    body = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM result" for t in TABLE_ORDER)
+    return _tagged_sql(kind, TABLE_ORDER)
+
+
+def _tagged_sql(kind: str, names) -> str:
+    body = " UNION ALL ".join(f"SELECT '{t}' AS table_name, * FROM result" for t in names)
     return fx.with_inputs_sql(body, **_replace_ctes(kind))
 
 
@@ -622,8 +670,14 @@ def oracle_sql() -> dict[str, str]:
         "sync_table_by_measure": _replace_sql("all_measures"),
         "sync_table_status": _sync_table_status_sql(),
         "sync_table_collapse": _key_collapse_sql("SELECT * FROM clean_prod"),
-        "sync_from_snapshot": _replace_sql("list"),
-        "sync_variant": _replace_sql("all"),
+        "sync_from_snapshot": _tagged_sql("list", [*TABLE_ORDER, *(f"{t} snapshot" for t in TABLE_ORDER)]),
+        "sync_variant": _tagged_sql("all", [*TABLE_ORDER, *(f"{t} snapshot" for t in TABLE_ORDER)]),
+        "snapshot_chain": w(
+            f"SELECT DISTINCT * FROM first_run WHERE NOT {_s('all')} UNION ALL SELECT * FROM clean_staging WHERE {_s('all')}",
+            first_run=_replace_sql("list"),
+        ),
+        "sync_table_backup": w("SELECT * FROM prod"),
+        "evolve_published_table": _replace_sql("list"),
         "sync_all": _sync_all_sql(),
         "sync_incremental_list": _replace_sql("list"),
         "sync_all_partitioned_all": _sync_all_sql("all"),

@@ -19,11 +19,10 @@ from slicerefresh.plans.publish import BucketSpec, PublishError, layout_write, p
 from slicerefresh.plans.sync import (
     SnapshotFormat,
     StatusTarget,
-    snapshot_job_preset,
     sync_all,
     sync_from_snapshot,
     sync_table,
-    variant_preset,
+    write_snapshot,
 )
 from slicerefresh.schema import CANONICAL, LAYOUTS, TABLE_ORDER, conform, evolve_schema, layout, table_schema
 from slicerefresh.sources.delimited import read_delimited, write_delimited
@@ -64,13 +63,12 @@ __all__ = [
     "slice_replace",
     "slice_select",
     "slice_sql",
-    "snapshot_job_preset",
     "sync_all",
     "sync_audit",
     "sync_from_snapshot",
     "sync_incremental",
     "sync_table",
     "table_schema",
-    "variant_preset",
+    "write_snapshot",
     "write_delimited",
 ]

@@ -3,14 +3,14 @@
     python -m slicerefresh table --practices 3,6,7 --measures NA \\
         --current-db prod --staging-db staging --root gs://bucket/warehouse [--snapshot-dir ...] [--status-table ...]
 
-    python -m slicerefresh snapshot --registry REG --run-dir 2024-01 --base gs://bucket/backups \\
-        --practices NA --measures QPP1,QPP2 --root gs://bucket/warehouse [--variant]
+    python -m slicerefresh snapshot --snapshot-folder REG/clean --run-dir 2024-01 --base gs://bucket/backups \\
+        --staging-db staging --target-db prod --practices NA --measures QPP1,QPP2 --root gs://bucket/warehouse
 
 ``table`` is the production job: each table ``<current-db>.<table>`` is
 refreshed from ``<staging-db>.<table>`` and republished in place.
 ``snapshot`` is the snapshot job: current rows come from the delimited
-snapshots of a run folder, named by the job family's preset.  ``NA`` means
-everything in staging.  One JSON line of step counts is printed per table.
+snapshots of a run folder, read in the format that is stored beside them (else
+as ``--read-codec`` says, without header).  ``NA`` means everything in staging.  One JSON line of step counts is printed per table.
 """
 
 from __future__ import annotations
@@ -23,15 +23,15 @@ from pyspark.sql import SparkSession
 
 from slicerefresh.operators.scope import Scope
 from slicerefresh.plans.sync import (
+    Preset,
     SnapshotFormat,
     StatusTarget,
     SyncReport,
-    snapshot_job_preset,
     sync_all,
     sync_from_snapshot,
-    variant_preset,
 )
 from slicerefresh.schema import TABLE_ORDER
+from slicerefresh.sources.delimited import CODECS
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--tables", default=",".join(TABLE_ORDER), help="comma list, in publication order")
         s.add_argument("--dedupe", default="reference", choices=("reference", "always", "never"))
         s.add_argument("--snapshot-dir", help="write a delimited snapshot of every result under this folder")
+        s.add_argument("--backup-dir", help="write a delimited backup of every table before its refresh under this folder")
         s.add_argument("--status-table", help="status table to advance after the by-practice table")
         s.add_argument("--status-root", help="folder for the status table's versions")
         s.add_argument("--num-buckets", type=int, help="bucket count of new tables (default: sized from the data)")
@@ -54,11 +55,12 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--current-db", required=True, help="database of the published tables (refreshed in place)")
     t.add_argument("--staging-db", required=True, help="database of the staging tables")
     n = sub.choices["snapshot"]
-    n.add_argument("--registry", required=True)
+    n.add_argument("--snapshot-folder", required=True, help="folder of the job family's snapshots, below the base")
+    n.add_argument("--staging-db", required=True, help="database of the staging tables")
+    n.add_argument("--target-db", required=True, help="database to publish into")
+    n.add_argument("--read-codec", default="lossless", choices=CODECS, help="codec of snapshots without a stored format")
     n.add_argument("--run-dir", required=True, help="run folder of the snapshots to start from")
     n.add_argument("--base", required=True, help="base folder of the snapshot folders")
-    n.add_argument("--variant", action="store_true", help="use the variant job family's naming")
-    n.add_argument("--target-db", help="database to publish into (default: the preset's)")
     return p
 
 
@@ -76,6 +78,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> SyncReport:
         collapse_keys=args.collapse_keys,
         root_for=lambda t: f"{args.root.rstrip('/')}/{t}",
         snapshot_for=(lambda t: f"{args.snapshot_dir.rstrip('/')}/{t}") if args.snapshot_dir else None,
+        backup_for=(lambda t: f"{args.backup_dir.rstrip('/')}/{t}") if args.backup_dir else None,
         status=StatusTarget(args.status_table, args.status_root or f"{args.root.rstrip('/')}/status")
         if args.status_table
         else None,
@@ -89,15 +92,14 @@ def run(argv: list[str], spark: SparkSession | None = None) -> SyncReport:
             **common,
         )
     else:
-        preset = (variant_preset if args.variant else snapshot_job_preset)(args.registry)
+        preset = Preset(args.snapshot_folder, args.staging_db, args.target_db)
         report = sync_from_snapshot(
             spark,
             snapshot_in_for=preset.snapshot_in(args.base, args.run_dir),
             staging_for=preset.staging(),
-            target_for=(lambda t: f"{args.target_db}.{t}") if args.target_db else preset.target(),
+            target_for=preset.target(),
             snapshot_out_for=common.pop("snapshot_for"),
-            read_format=SnapshotFormat(header=False, evolved=False),
-            write_format=SnapshotFormat(header=True, evolved=True),
+            snapshot_in_format=None if args.read_codec == "lossless" else SnapshotFormat(codec=args.read_codec),
             **common,
         )
     for r in report.runs:

@@ -14,8 +14,8 @@ full semantics guarantee only if
 Both facts are recorded as table properties by the publisher itself and are
 checked before anything is written; a table that does not qualify is refused
 rather than refreshed inexactly.  Touched partitions are written as a new
-version folder, verified, and switched in the catalog with one DROP and one
-ADD statement for all of them (previous partition folders stay; a failed
+version folder, verified, and switched in the catalog with DROP and ADD
+statements for many of them at once (previous partition folders stay; a failed
 switch is undone).
 """
 
@@ -23,18 +23,21 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from slicerefresh.operators.audit import AuditCounts, input_counts
 from slicerefresh.operators.clean import DIRTY_CHAR, DIRTY_COLUMN, control_char_filter
 from slicerefresh.operators.replace import distinct_rows, should_dedupe, slice_select
 from slicerefresh.operators.scope import ResolvedScope
-from slicerefresh.plans.publish import PublishError, _quote, _version_id
+from slicerefresh.plans.publish import PublishError, _quote, _version_id, evolve_table
 from slicerefresh.schema import CANONICAL_SCHEMA, Layout, conform
 
-CLEAN_PROPERTY = "slicerefresh.clean"
+CLEAN_PROPERTY = "slicerefresh.clean"  # which column holds no such character, see _cleaned
+VERSION_PROPERTY = "slicerefresh.version"  # changes with every switch of partitions
 DISTINCT_PROPERTY = "slicerefresh.distinct"
 
 
@@ -54,15 +57,16 @@ class StagedPartitions:
     written: dict[str, str]
     deduped: bool
     distinct: bool
+    base: str | None = None  # the table's version that the refresh was made from
 
     def new_rows(self, spark: SparkSession) -> DataFrame | None:
         return spark.read.parquet(self.path) if self.written else None
 
     def result(self, spark: SparkSession) -> DataFrame:
         """The whole table as it will read after the switch."""
-        untouched = spark.table(self.table).where(~F.coalesce(F.col(self.col).isin(self.touched), F.lit(False)))
+        untouched = within(spark.table(self.table), self.col, self.touched, inside=False)
         new = self.new_rows(spark)
-        return untouched if new is None else untouched.unionByName(new)
+        return untouched if new is None else untouched.unionByName(new, allowMissingColumns=True)
 
 
 IncrementalRun = StagedPartitions
@@ -76,7 +80,7 @@ class PartitionSwitch:
     by_name: dict
     existing: list[str]
     previous: dict[str, str]
-    previous_distinct: str | None
+    previous_properties: dict[str, str]
     dropped: bool = False
     added: bool = False
 
@@ -100,6 +104,30 @@ def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(table)}").collect()}
 
 
+def _cleaned(column: str | None, char: str) -> str:
+    """The clean property: the column and the character's code point, or ``none``."""
+    return f"{column}:{ord(char)}" if column else "none"
+
+
+# Longer lists of partition values are joined instead of written into the
+# filter, and go into catalog statements in batches of this size.
+LITERAL_VALUES = 1_000
+
+
+def within(df: DataFrame, col: str, values: list, inside: bool = True) -> DataFrame:
+    """Rows whose ``col`` is (or is not) one of ``values``; null is none of them."""
+    if len(values) <= LITERAL_VALUES:
+        hit = F.coalesce(F.col(col).isin(values), F.lit(False)) if values else F.lit(False)
+        return df.where(hit if inside else ~hit)
+    side = df.sparkSession.createDataFrame([(v,) for v in values], f"`{col}` {df.schema[col].dataType.simpleString()}")
+    return df.join(side, col, "left_semi" if inside else "left_anti")
+
+
+def _unescaped(name: str) -> str:
+    """A partition's name (``col=value``) without the catalog's and the folders' %XX escapes."""
+    return unquote(name)
+
+
 def _value_sql(v) -> str:
     if isinstance(v, str):
         return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -112,7 +140,7 @@ def _spec(col: str, v) -> str:
 
 def _existing_partitions(spark: SparkSession, table: str, col: str) -> set[str]:
     """Partition values as the catalog prints them (``col=value``)."""
-    return {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quote(table)}").collect()}
+    return {_unescaped(r[0]) for r in spark.sql(f"SHOW PARTITIONS {_quote(table)}").collect()}
 
 
 def _partition_location(spark: SparkSession, table: str, col: str, v) -> str:
@@ -138,7 +166,7 @@ def _written_partitions(spark: SparkSession, path: str, col: str) -> dict[str, s
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(f"{col}="):
-            out[name] = st.getPath().toString()
+            out[_unescaped(name)] = st.getPath().toString()
     return out
 
 
@@ -193,7 +221,7 @@ def publish_partitioned(
     distinct = check_distinct and not _has_duplicates(spark.read.parquet(path))
     fields = [f for f in rows.schema.fields if f.name != partition_col] + [rows.schema[partition_col]]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    props = f"'{CLEAN_PROPERTY}' = '{str(bool(clean_column)).lower()}', '{DISTINCT_PROPERTY}' = '{str(distinct).lower()}'"
+    props = f"'{CLEAN_PROPERTY}' = '{_cleaned(clean_column, clean_char)}', '{DISTINCT_PROPERTY}' = '{str(distinct).lower()}'"
     spark.sql(
         f"CREATE TABLE {_quote(table)} ({ddl}) USING parquet PARTITIONED BY (`{partition_col}`)"
         f" LOCATION '{path}' TBLPROPERTIES ({props})"
@@ -211,22 +239,16 @@ def sync_incremental(spark: SparkSession, table: str, **kwargs) -> StagedPartiti
     return staged
 
 
-DEFAULT_MAX_PARTITIONS = 100_000
-
-
-def touched_values(scope: ResolvedScope, col: str, max_partitions: int = DEFAULT_MAX_PARTITIONS) -> list:
+def touched_values(scope: ResolvedScope, col: str) -> list:
     """The partition values a refresh touches: the scope's values of ``col``.
 
-    A literal set is used as is; a distributed set was counted when the scope
-    was resolved, so collecting it is bounded by ``max_partitions`` (the
-    partition list goes into catalog statements anyway).
+    One value per partition that is dropped and added in the catalog, so that
+    the driver holds as many as its catalog statements name anyway.
     """
     ks = scope.parts[col]
     if ks.literal:
         return [v for v in ks.values if v is not None]
-    if ks.size > max_partitions:
-        raise NotIncremental(f"{ks.size} {col} values in scope, more than max_partitions={max_partitions}")
-    return [r[0] for r in ks.frame.collect()]
+    return [r[0] for r in ks.frame.collect() if r[0] is not None]
 
 
 def stage_incremental(
@@ -241,7 +263,6 @@ def stage_incremental(
     clean_column: str | None = DIRTY_COLUMN,
     clean_char: str = DIRTY_CHAR,
     schema=CANONICAL_SCHEMA,
-    max_partitions: int = DEFAULT_MAX_PARTITIONS,
 ) -> StagedPartitions:
     """Write and verify the new versions of the partitions in scope."""
     parts = partition_columns(spark, table)
@@ -251,11 +272,14 @@ def stage_incremental(
     if col not in scope.parts:
         raise NotIncremental(f"the scope has no value set for the partition column {col!r}")
     props = table_properties(spark, table)
-    if props.get(CLEAN_PROPERTY) != "true" and clean_column:
-        raise NotIncremental(f"{table} is not known to be clean; publish it with publish_partitioned first")
-    values = touched_values(scope, col, max_partitions)
+    if clean_column and props.get(CLEAN_PROPERTY) != _cleaned(clean_column, clean_char):
+        raise NotIncremental(
+            f"{table} is not known to be clean of {clean_char!r} in {clean_column} (but {props.get(CLEAN_PROPERTY)});"
+            " publish it with publish_partitioned first"
+        )
+    values = touched_values(scope, col)
 
-    current = conform(spark.table(table), schema).where(F.col(col).isin(values))  # partition pruning
+    current = within(conform(spark.table(table), schema), col, values)  # partition pruning
     stg = conform(staging, schema)
     if clean_column:
         current = control_char_filter(current, clean_column, clean_char)
@@ -298,51 +322,70 @@ def stage_incremental(
     # Untouched partitions are as distinct as before; touched ones hold kept rows
     # (distinct if the table was) and added rows, which never collide with them.
     distinct = was_distinct and added_distinct
-    return StagedPartitions(table, col, path, counts, values, written_parts, deduped, distinct)
+    return StagedPartitions(table, col, path, counts, values, written_parts, deduped, distinct, props.get(VERSION_PROPERTY))
 
 
 def _partition_locations(spark: SparkSession, table: str, col: str, names: list[str], values: dict[str, object]) -> dict[str, str]:
     """Current folders of the named partitions.
 
-    One driver call: the files of the partition-pruned table (no data is
-    read), grouped by folder.  A partition without files falls back to a
-    catalog lookup of its own.
+    One distributed job over the file paths of the touched partitions; one
+    row per folder reaches the driver.  A partition without files falls back
+    to a catalog lookup of its own.
     """
-    files = spark.table(table).where(F.col(col).isin([values[n] for n in names])).inputFiles()
-    found = {}
-    for f in files:
-        folder = f.rsplit("/", 1)[0]
-        found[folder.rsplit("/", 1)[-1]] = folder
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+    rows = within(spark.table(table).select(col, folder.alias("d")), col, [values[n] for n in names])
+    # Paths come percent-encoded; the decoded folder still has the partition's own escapes.
+    folders = [unquote(r[0]) for r in rows.select("d").distinct().collect()]
+    found = {_unescaped(d.rsplit("/", 1)[-1]): d for d in folders}
     return {n: found.get(n) or _partition_location(spark, table, col, values[n]) for n in names}
 
 
-def _add_sql(table: str, col: str, locations: dict[str, str], values: dict[str, object]) -> str:
-    parts = " ".join(f"{_spec(col, values[n])} LOCATION '{loc}'" for n, loc in locations.items())
-    return f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}"
+def _batches(names: list[str]) -> list[list[str]]:
+    return [names[i : i + LITERAL_VALUES] for i in range(0, len(names), LITERAL_VALUES)]
+
+
+def _add_sql(table: str, col: str, locations: dict[str, str], values: dict[str, object]) -> list[str]:
+    parts = {n: f"{_spec(col, values[n])} LOCATION {_value_sql(loc)}" for n, loc in locations.items()}
+    return [f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(parts[n] for n in names) for names in _batches(list(parts))]
+
+
+def _drop_sql(table: str, col: str, names: list[str], values: dict[str, object]) -> list[str]:
+    return [f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(_spec(col, values[n]) for n in part) for part in _batches(names)]
 
 
-def _drop_sql(table: str, col: str, names: list[str], values: dict[str, object]) -> str:
-    return f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(_spec(col, values[n]) for n in names)
+def _set_properties(table: str, pairs: dict[str, str]) -> str:
+    return f"ALTER TABLE {table} SET TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in pairs.items()) + ")"
 
 
 def switch_partitions(spark: SparkSession, staged: StagedPartitions) -> PartitionSwitch:
-    """Point the touched partitions at their new folders, in two catalog
-    statements (one DROP of the old, one ADD of the new, however many
-    partitions; previous folders stay on storage).  Readers may see the
-    touched partitions absent between the two; a failure undoes everything."""
+    """Point the touched partitions at their new folders, in catalog statements
+    for up to ``LITERAL_VALUES`` partitions each (DROP of the old, ADD of the
+    new; previous folders stay on storage).  Readers may see touched
+    partitions absent in between; a failure undoes everything.  Refused if
+    another refresh was switched since this one was staged."""
     col, t = staged.col, _quote(staged.table)
+    props = table_properties(spark, staged.table)
+    if props.get(VERSION_PROPERTY) != staged.base:
+        raise PublishError(f"{staged.table}: staged from version {staged.base}, now {props.get(VERSION_PROPERTY)}; stage it again")
+    if staged.written:
+        held = spark.read.parquet(staged.path).schema
+        kinds = {f.name: f for f in spark.table(staged.table).schema.fields}
+        evolve_table(spark, staged.table, StructType([kinds[f.name] if f.name == col else f for f in held.fields]))
     by_name = {f"{col}={v}": v for v in staged.touched}
     existing = [n for n in _existing_partitions(spark, staged.table, col) if n in by_name]
     previous = _partition_locations(spark, staged.table, col, existing, by_name) if existing else {}
-    sw = PartitionSwitch(staged, by_name, existing, previous, table_properties(spark, staged.table).get(DISTINCT_PROPERTY))
+    before = {k: props[k] for k in (DISTINCT_PROPERTY, VERSION_PROPERTY) if k in props}
+    sw = PartitionSwitch(staged, by_name, existing, previous, before)
     try:
         if existing:
-            spark.sql(_drop_sql(t, col, existing, by_name))  # external table: files stay
             sw.dropped = True
+            for statement in _drop_sql(t, col, existing, by_name):
+                spark.sql(statement)  # external table: files stay
         if staged.written:
-            spark.sql(_add_sql(t, col, staged.written, by_name))
             sw.added = True
-        spark.sql(f"ALTER TABLE {t} SET TBLPROPERTIES ('{DISTINCT_PROPERTY}' = '{str(staged.distinct).lower()}')")
+            for statement in _add_sql(t, col, staged.written, by_name):
+                spark.sql(statement)
+        spark.sql(_set_properties(t, {DISTINCT_PROPERTY: str(staged.distinct).lower(), VERSION_PROPERTY: staged.path.rsplit("/", 1)[-1]}))
     except Exception:
         undo_partitions(spark, sw)
         raise
@@ -352,12 +395,16 @@ def switch_partitions(spark: SparkSession, staged: StagedPartitions) -> Partitio
 
 
 def undo_partitions(spark: SparkSession, sw: PartitionSwitch) -> None:
-    """Restore the partitions (and the distinct property) a switch changed."""
+    """Restore the partitions (and the properties) a switch changed."""
     st, t = sw.staged, _quote(sw.staged.table)
     if sw.added:
-        spark.sql(_drop_sql(t, st.col, list(st.written), sw.by_name))
+        for statement in _drop_sql(t, st.col, list(st.written), sw.by_name):
+            spark.sql(statement)
     if sw.dropped:
-        spark.sql(_add_sql(t, st.col, sw.previous, sw.by_name))
-    if sw.previous_distinct is not None:
-        spark.sql(f"ALTER TABLE {t} SET TBLPROPERTIES ('{DISTINCT_PROPERTY}' = '{sw.previous_distinct}')")
+        for statement in _add_sql(t, st.col, sw.previous, sw.by_name):
+            spark.sql(statement)
+    if sw.previous_properties:
+        spark.sql(_set_properties(t, sw.previous_properties))
+    if VERSION_PROPERTY not in sw.previous_properties:
+        spark.sql(f"ALTER TABLE {t} UNSET TBLPROPERTIES IF EXISTS ('{VERSION_PROPERTY}')")
     spark.sql(f"REFRESH TABLE {t}")

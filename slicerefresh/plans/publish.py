@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from slicerefresh.schema import Layout
 
@@ -62,6 +63,7 @@ class Staged:
     verified: bool = False
     bucket_rows: tuple[int, int] | None = None  # (largest, median) rows per bucket, from verification
     previous_properties: dict[str, str] | None = None  # the bucket statistics before the switch
+    base: str | None = None  # the table's location that the new version was made from
 
 
 def _describe(spark: SparkSession, table: str) -> dict[str, str]:
@@ -93,18 +95,19 @@ DEFAULT_BUCKET_BYTES = 1 << 30  # about 1 GiB of Parquet per bucket file
 
 def default_num_buckets(spark: SparkSession, source_bytes: int | None = None, bucket_bytes: int = DEFAULT_BUCKET_BYTES) -> int:
     """Bucket count for a new table: about ``bucket_bytes`` per bucket, never
-    fewer than the cluster's default parallelism (every core gets a bucket).
+    fewer than the cluster's default parallelism (every core gets a bucket),
+    never more than Spark's own limit (buckets grow beyond it instead).
     The count is fixed for the table's lifetime (changing it means a full
     rewrite), so it is sized from the data, not from session settings."""
     floor = max(1, spark.sparkContext.defaultParallelism)
-    if not source_bytes:
-        return floor
-    return max(floor, -(-source_bytes // bucket_bytes))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(floor, -(-(source_bytes or 0) // bucket_bytes)))
 
 
 def stored_bytes(spark: SparkSession, source: str) -> int | None:
     """Bytes on storage of a catalog table or a path (a metadata call)."""
-    loc = table_location(spark, source) if spark.catalog.tableExists(source) else source
+    is_path = "/" in source
+    loc = source if is_path else table_location(spark, source)
     if not loc:
         return None
     jvm = spark.sparkContext._jvm
@@ -160,11 +163,10 @@ def _bucket_counts(spark: SparkSession, path: str) -> tuple[int, int, int]:
     column data (row counts come from the Parquet footers); only three
     numbers reach the driver.
     """
-    files = spark.read.parquet(path).select(F.input_file_name().alias("f"))
-    per_bucket = files.groupBy(F.regexp_extract("f", r"_(\d{5})(?:\.c\d+)?\.[^/]*$", 1).alias("b")).count()
-    row = per_bucket.agg(
-        F.sum("count").alias("n"), F.max("count").alias("mx"), F.percentile_approx("count", 0.5).alias("med")
-    ).first()
+    # Rows are counted per file first: the pattern runs once per file, not once per row.
+    per_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count("*").alias("n"))
+    per_bucket = per_file.groupBy(F.regexp_extract("f", r"_(\d{5,})(?:\.c\d+)?\.[^/]*$", 1).alias("b")).agg(F.sum("n").alias("n"))
+    row = per_bucket.agg(F.sum("n").alias("n"), F.max("n").alias("mx"), F.percentile_approx("n", 0.5).alias("med")).first()
     return int(row["n"] or 0), int(row["mx"] or 0), int(row["med"] or 0)
 
 
@@ -183,11 +185,17 @@ def buckets_skewed(spark: SparkSession, table: str) -> bool:
     return largest >= SKEW_MIN_ROWS and largest > SKEW_FACTOR * max(median, 1)
 
 
-def stage_table(df: DataFrame, table: str, root: str, bucket_spec: BucketSpec | None = None) -> Staged:
+_HERE = object()
+
+
+def stage_table(df: DataFrame, table: str, root: str, bucket_spec: BucketSpec | None = None, base=_HERE) -> Staged:
     """Write ``df`` as a new version folder under ``root`` (one Spark job).
 
-    The row count is observed during the write itself.
+    The row count is observed during the write itself.  ``base`` is the
+    table's location that ``df`` was made from (default: the present one); the
+    switch refuses a table that has moved from there.
     """
+    base = table_location(df.sparkSession, table) if base is _HERE else base
     path = f"{root.rstrip('/')}/{_version_id()}"
     staging_name = _staging_name(table)
     obs = Observation(f"publish_{uuid.uuid4().hex[:8]}")
@@ -196,7 +204,7 @@ def stage_table(df: DataFrame, table: str, root: str, bucket_spec: BucketSpec |
     if bucket_spec is not None:
         writer = writer.bucketBy(bucket_spec.num_buckets, *bucket_spec.columns).sortBy(*bucket_spec.sort_columns)
     writer.saveAsTable(staging_name)
-    staged = Staged(table, path, staging_name, bucket_spec, obs)
+    staged = Staged(table, path, staging_name, bucket_spec, obs, base=base)
     staged.rows = obs.get["rows"]
     return staged
 
@@ -220,11 +228,33 @@ def verify(spark: SparkSession, staged: Staged, expected_rows: int | None = None
     return staged
 
 
+def evolve_table(spark: SparkSession, table: str, new: StructType) -> list[str]:
+    """Add the columns of ``new`` that ``table`` lacks (nullable, at the end of
+    the table's columns); any other difference is refused.  Returns their names."""
+    old = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    gone = [c for c in old if c not in new.names]
+    changed = [f.name for f in new.fields if f.name in old and old[f.name] != f.dataType]
+    if gone or changed:
+        raise PublishError(f"{table}: the new version lacks columns {gone} or has other types for {changed}")
+    added = [f for f in new.fields if f.name not in old]
+    if added:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {_quote(table)} ADD COLUMNS ({ddl})")
+    return [f.name for f in added]
+
+
 def switch(spark: SparkSession, staged: Staged) -> str | None:
-    """Point ``staged.table`` at the staged version; returns the previous location."""
+    """Point ``staged.table`` at the staged version; returns the previous location.
+
+    Refused if the table has moved since the version was staged: its rows
+    would undo what another job has published.  Columns that the new version
+    adds are added to the table first.
+    """
     if not staged.verified:
         raise PublishError(f"{staged.table}: refusing to switch to an unverified version")
     previous = table_location(spark, staged.table)
+    if previous != staged.base:
+        raise PublishError(f"{staged.table}: staged from {staged.base}, now at {previous}; stage it again")
     if previous is None:
         schema = spark.table(staged.staging_name).schema
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -240,6 +270,7 @@ def switch(spark: SparkSession, staged: Staged) -> str | None:
         current_spec = table_bucket_spec(spark, staged.table)
         if current_spec != staged.bucket_spec:
             raise PublishError(f"{staged.table}: bucket spec {current_spec} differs from the staged {staged.bucket_spec}")
+        evolve_table(spark, staged.table, spark.table(staged.staging_name).schema)
         spark.sql(f"ALTER TABLE {_quote(staged.table)} SET LOCATION '{staged.path}'")
         spark.sql(f"REFRESH TABLE {_quote(staged.table)}")
     if staged.bucket_rows is not None:
@@ -263,16 +294,29 @@ def discard(spark: SparkSession, staged: Staged) -> None:
 _VERSION_NAME = re.compile(r"^v\d{14}_[0-9a-f]{8}$")
 
 
+def live_versions(spark: SparkSession, table: str) -> set[str]:
+    """Names of the version folders that hold rows of ``table``: that of the
+    table's location, and of every partition's files (one job over file
+    paths; a refreshed table has partitions in several versions)."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r".*/(v\d{14}_[0-9a-f]{8})/", 1)
+    held = {r[0] for r in spark.table(table).select(folder.alias("v")).distinct().collect()}
+    return {v for v in held if v} | {table_location(spark, table).rstrip("/").rsplit("/", 1)[-1]}
+
+
 def prune_versions(spark: SparkSession, table: str, root: str, keep: int = 2) -> list[str]:
     """Delete old version folders of ``table`` under ``root``.
 
-    Only folders named like a version (``v<timestamp>_<id>``) are considered;
-    the current location and the ``keep`` newest other versions (the backups
-    a restore can go back to) are always kept.  Returns the deleted paths.
+    Only folders named like a version (``v<timestamp>_<id>``) are considered.
+    Always kept: every folder that holds rows of the table, folders newer than
+    the newest of these (a running job may have staged them), and the ``keep``
+    newest others (the backups a restore can go back to).  Returns the deleted
+    paths.
     """
-    current = table_location(spark, table)
-    if current is None:
+    if table_location(spark, table) is None:
         raise PublishError(f"{table} is not published; refusing to prune {root}")
+    live = live_versions(spark, table)
+    if not all(_VERSION_NAME.match(v) for v in live):
+        raise PublishError(f"{table}: its version folders are unknown ({sorted(live)}); refusing to prune {root}")
     jvm = spark.sparkContext._jvm
     root_path = jvm.org.apache.hadoop.fs.Path(root)
     fs = root_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -280,8 +324,7 @@ def prune_versions(spark: SparkSession, table: str, root: str, keep: int = 2) ->
         (st.getPath() for st in fs.listStatus(root_path) if st.isDirectory() and _VERSION_NAME.match(st.getPath().getName())),
         key=lambda p: p.getName(),
     )
-    current_name = current.rstrip("/").rsplit("/", 1)[-1]
-    older = [p for p in versions if p.getName() != current_name]
+    older = [p for p in versions if p.getName() not in live and p.getName() < max(live)]
     doomed = older[: max(0, len(older) - keep)]
     for p in doomed:
         fs.delete(p, True)

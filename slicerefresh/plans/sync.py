@@ -38,6 +38,7 @@ from slicerefresh.plans.incremental import (
     switch_partitions,
     touched_values,
     undo_partitions,
+    within,
 )
 from slicerefresh.plans.publish import (
     BucketSpec,
@@ -57,7 +58,7 @@ from slicerefresh.plans.publish import (
     verify,
 )
 from slicerefresh.schema import CANONICAL_SCHEMA, TABLE_ORDER, conform, layout
-from slicerefresh.sources.delimited import read_delimited, write_delimited
+from slicerefresh.sources.delimited import read_delimited, read_format, write_delimited, write_format
 from slicerefresh.sources.tables import read_table
 
 Source = str | DataFrame
@@ -72,12 +73,13 @@ class SnapshotFormat:
 
     header: bool = False
     evolved: bool = False
-    # Quoted fields may hold newlines; reading them needs multiLine, which
-    # makes each file one task.  Turn it off for large files known to hold none.
-    multiline: bool = True
     # "lossless" (this library's codec) or "legacy" (the original job's files).
     codec: str = "lossless"
 
+    def note(self, table: str) -> dict:
+        """What is stored beside a snapshot."""
+        return {"header": self.header, "codec": self.codec, "columns": self.columns(table)}
+
     def columns(self, table: str) -> list[str]:
         return layout(table).columns(self.evolved)
 
@@ -126,6 +128,12 @@ class Replacement:
         return c
 
 
+def write_snapshot(rows: DataFrame, path: str, table: str, fmt: SnapshotFormat) -> None:
+    """A table's delimited snapshot, with its format beside it."""
+    write_delimited(rows, path, header=fmt.header, columns=fmt.columns(table), codec=fmt.codec)
+    write_format(rows.sparkSession, path, fmt.note(table))
+
+
 def replacement_plan(
     current: DataFrame,
     staging: DataFrame,
@@ -190,11 +198,9 @@ def resolve_scope(
     measures from the by-measure staging, both before cleaning."""
     if isinstance(scope, ResolvedScope):
         return scope
-    keys = list(scope.values)
-    sources = {
-        keys[0]: read_table(spark, staging_for(practice_table), [keys[0]]),
-        keys[1]: read_table(spark, staging_for(measure_table), [keys[1]]),
-    }
+    # Only a key that stands for everything in staging needs its staging table.
+    tables = dict(zip(scope.values, (practice_table, measure_table), strict=True))
+    sources = {k: read_table(spark, staging_for(tables[k]), [k]) for k, values in scope.values.items() if values is None}
     return scope.resolve(sources, **kwargs)
 
 
@@ -213,6 +219,7 @@ def stage_sync(
     snapshot_format: SnapshotFormat = SnapshotFormat(header=True, evolved=True),
     backup_path: str | None = None,
     collapse_keys: bool = False,
+    current_bytes: int | None = None,
 ) -> TableRun:
     """Stage and verify the new version of one table (not yet switched).
 
@@ -230,6 +237,7 @@ def stage_sync(
             spark, table, current=current, staging=staging, scope=scope, target=target, root=root, dedupe=dedupe,
             snapshot_path=snapshot_path, snapshot_format=snapshot_format, backup_path=backup_path,
         )
+    base = table_location(spark, target)  # before anything is read from it
     existing = table_bucket_spec(spark, target)
     if existing is None and spark.catalog.tableExists(target):
         raise PublishError(
@@ -244,7 +252,7 @@ def stage_sync(
     elif source_spec is not None and source_spec.columns == tuple(lay.key):
         n = source_spec.num_buckets  # same buckets as the source: its kept rows need no shuffle
     else:
-        n = default_num_buckets(spark, stored_bytes(spark, current) if isinstance(current, str) else None)
+        n = default_num_buckets(spark, stored_bytes(spark, current) if isinstance(current, str) else current_bytes)
     spec = BucketSpec.for_layout(lay, n)
     if existing is not None and existing != spec:
         raise ValueError(f"{target} is bucketed as {existing}, layout {table} needs {spec}")
@@ -262,7 +270,7 @@ def stage_sync(
         cur_df, read_table(spark, staging), scope, dedupe=dedupe, bucket_spec=spec, current_bucketed=current_bucketed,
         collapse_keys=lay.key if collapse_keys else None,
     )
-    staged = stage_table(plan.result, target, root, spec)
+    staged = stage_table(plan.result, target, root, spec, base)
     try:
         counts = plan.counts()
         if dedupe == "reference" and plan.deduped != (counts.to_remove > 0):
@@ -271,10 +279,7 @@ def stage_sync(
         run = TableRun(table, target, counts, staged, dedupe=plan.deduped)
         if snapshot_path:
             snap = spark.read.parquet(staged.path)
-            write_delimited(
-                snap, snapshot_path, header=snapshot_format.header, columns=snapshot_format.columns(table),
-                codec=snapshot_format.codec,
-            )
+            write_snapshot(snap, snapshot_path, table, snapshot_format)
             run.snapshot_path = snapshot_path
     except Exception:
         discard(spark, staged)
@@ -289,15 +294,12 @@ def _stage_partitioned(spark, table, *, current, staging, scope, target, root, d
     if backup_path:
         # Only the partitions about to be replaced can change; back up those.
         col = partition_columns(spark, target)[0]
-        touched = spark.table(target).where(F.col(col).isin(touched_values(scope, col)))
+        touched = within(spark.table(target), col, touched_values(scope, col))
         write_delimited(conform(touched), backup_path, header=True, columns=lay.columns(True))
     staged = stage_incremental(spark, target, staging=read_table(spark, staging), scope=scope, root=root, layout=lay, dedupe=dedupe)
     run = TableRun(table, target, staged.audit, staged, dedupe=staged.deduped)
     if snapshot_path:
-        write_delimited(
-            staged.result(spark), snapshot_path, header=snapshot_format.header, columns=snapshot_format.columns(table),
-            codec=snapshot_format.codec,
-        )
+        write_snapshot(staged.result(spark), snapshot_path, table, snapshot_format)
         run.snapshot_path = snapshot_path
     return run
 
@@ -369,6 +371,7 @@ def sync_all(
     scope_options: Mapping | None = None,
     parallel_tables: int = 4,
     collapse_keys: bool = False,
+    bytes_for: Callable[[str], int | None] | None = None,
 ) -> SyncReport:
     """Stage all tables, then switch all of them, then advance the status.
 
@@ -393,6 +396,7 @@ def sync_all(
             snapshot_format=snapshot_format,
             backup_path=backup_for(table) if backup_for else None,
             collapse_keys=collapse_keys,
+            current_bytes=bytes_for(table) if bytes_for else None,
         )
 
     report = SyncReport()
@@ -463,11 +467,25 @@ def sync_table(
     )
 
 
-def read_snapshot(spark: SparkSession, path: str, table: str, fmt: SnapshotFormat = SnapshotFormat()) -> DataFrame:
-    """A table's delimited snapshot, typed, in canonical order."""
-    return conform(
-        read_delimited(spark, path, fmt.schema(table), header=fmt.header, multiline=fmt.multiline, codec=fmt.codec)
-    )
+ORIGINAL_FORMAT = SnapshotFormat(header=False, evolved=False)
+
+
+def read_snapshot(spark: SparkSession, path: str, table: str, fmt: SnapshotFormat | None = None) -> DataFrame:
+    """A table's delimited snapshot, typed, in canonical order.
+
+    The format is the one stored beside the snapshot; ``fmt`` (default: no
+    header, 26 columns) is for snapshots without one, and is refused if it is
+    given and contradicts what is stored.
+    """
+    stored = read_format(spark, path)
+    if stored is not None:
+        known = [SnapshotFormat(stored["header"], evolved, stored["codec"]) for evolved in (False, True)]
+        known = [f for f in known if f.note(table) == stored]
+        if not known or (fmt is not None and fmt != known[0]):
+            raise PublishError(f"{path} was written as {stored}, which is not {fmt or table}")
+        fmt = known[0]
+    fmt = fmt or ORIGINAL_FORMAT
+    return conform(read_delimited(spark, path, fmt.schema(table), header=fmt.header, codec=fmt.codec))
 
 
 def sync_from_snapshot(
@@ -479,26 +497,28 @@ def sync_from_snapshot(
     target_for: Callable[[str], str],
     root_for: Callable[[str], str],
     snapshot_out_for: Callable[[str], str] | None = None,
-    read_format: SnapshotFormat = SnapshotFormat(header=False, evolved=False),
-    write_format: SnapshotFormat | None = None,
+    snapshot_in_format: SnapshotFormat | None = None,
+    snapshot_out_format: SnapshotFormat = SnapshotFormat(header=True, evolved=True),
     tables: tuple[str, ...] = TABLE_ORDER,
     **kwargs,
 ) -> SyncReport:
     """The snapshot job: current rows come from delimited snapshots.
 
     The new snapshot goes to a new folder (``snapshot_out_for``), never over
-    the one being read.
+    the one being read; its format is stored beside it, so that the next run
+    reads it as it is.
     """
     return sync_all(
         spark,
         scope=scope,
-        current_for=lambda t: read_snapshot(spark, snapshot_in_for(t), t, read_format),
+        current_for=lambda t: read_snapshot(spark, snapshot_in_for(t), t, snapshot_in_format),
         staging_for=staging_for,
         target_for=target_for,
         root_for=root_for,
         tables=tables,
         snapshot_for=snapshot_out_for,
-        snapshot_format=write_format or read_format,
+        snapshot_format=snapshot_out_format,
+        bytes_for=lambda t: stored_bytes(spark, snapshot_in_for(t)),  # sizes the buckets of a new target
         **kwargs,
     )
 
@@ -519,15 +539,3 @@ class Preset:
 
     def target(self) -> Callable[[str], str]:
         return lambda t: f"{self.target_database}.{t}"
-
-
-def snapshot_job_preset(registry: str) -> Preset:
-    """The snapshot job's naming: ``clean_scorecard`` snapshots, ``_scorecard_etl3`` staging."""
-    reg = registry.lower()
-    return Preset(f"{registry}/clean_scorecard", f"{reg}_scorecard_etl3", f"{reg}_prod_clean")
-
-
-def variant_preset(registry: str) -> Preset:
-    """The variant ("WT") naming: its own snapshot folder and staging database."""
-    reg = registry.lower()
-    return Preset(f"{registry}/WT_clean_scorecard", f"wt_scorecard_{reg}", f"{reg}_prod_clean")

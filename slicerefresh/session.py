@@ -13,11 +13,14 @@ _LOCAL_FALLBACK: dict[int, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` from the session.
 
-    Only when the session names none (a bare local test session) is a local
-    folder created and registered as the checkpoint directory.
+    A directory set on the context counts too.  Only in local mode, where
+    driver and executors are one process, is a folder created and registered
+    as the checkpoint directory when none is named; a cluster must name one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         key = id(sc)
         if key not in _LOCAL_FALLBACK:

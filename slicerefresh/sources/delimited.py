@@ -10,7 +10,9 @@ dataset definition and are used identically by the reader and the writer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,23 +37,52 @@ CODEC_OPTIONS = {
 }
 
 
-def _options(header: bool, multiline: bool) -> dict[str, str]:
+def _options(header: bool) -> dict[str, str]:
     opts = dict(CODEC_OPTIONS)
     opts["header"] = "true" if header else "false"
-    # Quoted fields may hold newlines; reading them back needs multiLine,
-    # which makes a file unsplittable.  Files are written one per task, so
-    # reads still parallelize across files.
-    opts["multiLine"] = "true" if multiline else "false"
+    # With a header the file's column names must be those of the schema.
+    opts["enforceSchema"] = "false" if header else "true"
     return opts
 
 
+def _escaped(c: Column) -> Column:
+    """Text without line ends and without a value that reads as null: a
+    backslash doubled, line ends as ``\\n`` and ``\\r``.  Every row is one line,
+    so files split."""
+    for raw, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(raw), F.lit(written))
+    return c
+
+
+def _unescaped(c: Column) -> Column:
+    parts = F.split(c, r"\\\\", -1)  # at doubled backslashes
+    plain = F.transform(parts, lambda x: F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(plain, "\\")
+
+
+def _text_columns(df: DataFrame, change) -> DataFrame:
+    return df.select(*[change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def write_format(spark: SparkSession, path: str, fmt: dict) -> None:
+    """Note beside the snapshot at ``path`` how it was written."""
+    spark.createDataFrame([(json.dumps(fmt),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}.format")
+
+
+def read_format(spark: SparkSession, path: str) -> dict | None:
+    """The note of ``write_format``; null without one."""
+    note = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.format")
+    if not note.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(note):
+        return None
+    return json.loads(spark.read.text(note.toString()).first()[0])
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     *,
     header: bool = False,
-    multiline: bool = True,
     mode: str = "PERMISSIVE",
     codec: str = "lossless",
 ) -> DataFrame:
@@ -71,7 +102,7 @@ def read_delimited(
     if codec not in CODECS:
         raise ValueError(f"codec must be one of {CODECS}, got {codec!r}")
     if codec == "lossless":
-        return spark.read.options(**_options(header, multiline), mode=mode).schema(schema).csv(path)
+        return _text_columns(spark.read.options(**_options(header), mode=mode).schema(schema).csv(path), _unescaped)
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = spark.read.options(**LEGACY_OPTIONS, header="true" if header else "false").schema(text).csv(path)
     strict = mode.upper() == "FAILFAST"
@@ -109,5 +140,7 @@ def write_delimited(
     out = df.select(*columns) if columns else df
     if single_file:
         out = out.coalesce(1)
-    opts = _options(header, multiline=True) if codec == "lossless" else {**LEGACY_OPTIONS, "header": str(header).lower()}
+    opts = {**LEGACY_OPTIONS, "header": str(header).lower()}
+    if codec == "lossless":
+        opts, out = _options(header), _text_columns(out, _escaped)
     out.write.mode(mode).options(**opts).csv(path)

@@ -32,12 +32,12 @@ def test_table_job_from_the_command_line(spark, capsys):
     assert len(printed) == 2 and '"after_add": 4813' in printed[0]
 
 
-def test_snapshot_job_with_the_variant_naming(spark):
-    from slicerefresh.plans.sync import SnapshotFormat, variant_preset
+def test_snapshot_job_with_its_own_naming(spark):
+    from slicerefresh.plans.sync import Preset, SnapshotFormat
     from slicerefresh.sources.delimited import write_delimited
 
     root = scratch_path(spark, "cli")
-    preset = variant_preset("REGX")
+    preset = Preset("REGX/family_clean", "family_regx_staging", "regx_target")
     for db in (preset.staging_database, preset.target_database):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}.db'")
     prod, staging = fixtures.prod(spark, SMOKE), fixtures.staging(spark, SMOKE)
@@ -50,10 +50,11 @@ def test_snapshot_job_with_the_variant_naming(spark):
     for t in TABLE_ORDER:  # NA scopes come from the by-practice and by-measure staging tables
         publish_table(staging, preset.staging()(t), f"{root}/stg/{t}")
     run(
-        ["snapshot", "--registry", "REGX", "--run-dir", "run7", "--base", f"{root}/backups", "--variant",
+        ["snapshot", "--snapshot-folder", preset.snapshot_folder, "--run-dir", "run7", "--base", f"{root}/backups",
+         "--staging-db", preset.staging_database, "--target-db", preset.target_database,
          "--practices", "NA", "--measures", "NA", "--root", f"{root}/versions", "--tables", table,
          "--snapshot-dir", f"{root}/out"],
         spark,
     )
     assert spark.table(preset.target()(table)).count() == 4861  # FIXTURES.md, all scope at sf0.001
-    assert snapshot_in(table).endswith(f"REGX/WT_clean_scorecard/run7/{table}")
+    assert snapshot_in(table).endswith(f"REGX/family_clean/run7/{table}")

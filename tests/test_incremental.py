@@ -4,14 +4,18 @@ import pytest
 from helpers import frame, row, uids
 
 from slicerefresh import Scope, slice_replace
+from slicerefresh.plans import incremental
 from slicerefresh.plans.incremental import (
     DISTINCT_PROPERTY,
     NotIncremental,
     _partition_location,
     publish_partitioned,
+    stage_incremental,
+    switch_partitions,
     sync_incremental,
     table_properties,
 )
+from slicerefresh.plans.publish import PublishError, prune_versions
 from slicerefresh.schema import LAYOUTS
 from slicerefresh.session import scratch_path
 
@@ -116,16 +120,57 @@ def test_sync_all_refreshes_partitioned_tables_incrementally(spark):
     assert spark.read.option("header", "true").option("sep", "~").csv(f"{root}/snap/{TABLE_ORDER[0]}").count() == 3
 
 
-def test_distributed_practice_scope_is_collected_within_the_bound(spark):
-    rows = [row(1, "A", "a1"), row(2, "A", "a2"), row(3, "A", "a3")]
+def test_distributed_practice_scope_of_any_size(spark, monkeypatch):
+    """A distributed scope has no bound: values beyond the literal limit are joined and switched in batches."""
+    monkeypatch.setattr(incremental, "LITERAL_VALUES", 1)
+    rows = [row(1, "A", "a1"), row(2, "A", "a2"), row(3, "A", "a3"), row(None, "A", "n")]
     root = _start(spark, "inc_frame", rows)
-    stg = frame(spark, [row(1, "A", "s1"), row(3, "A", "s3")])
+    stg = frame(spark, [row(1, "A", "s1"), row(3, "A", "s3"), row(4, "A", "s4")])
     scope = Scope.of(None, ["A"]).resolve(stg, max_literal_values=0)  # practices stay a distributed frame
     assert not scope.parts["practice_id"].literal
-    with pytest.raises(NotIncremental):
-        sync_incremental(spark, "inc_frame", staging=stg, scope=scope, root=root, layout=LAY, max_partitions=1)
     sync_incremental(spark, "inc_frame", staging=stg, scope=scope, root=root, layout=LAY)
-    assert uids(spark.table("inc_frame")) == uids(slice_replace(frame(spark, rows), stg, scope)) == ["a2", "s1", "s3"]
+    assert uids(spark.table("inc_frame")) == uids(slice_replace(frame(spark, rows), stg, scope)) == ["a2", "n", "s1", "s3", "s4"]
+
+
+def test_pruning_keeps_every_partition(spark):
+    root = _start(spark, "inc_keep", [row(p, "A", f"r{p}") for p in range(6)])
+    for p in range(4):  # each refresh leaves its partition in a version of its own
+        sync_incremental(spark, "inc_keep", staging=frame(spark, [row(p, "A", f"s{p}")]), scope=Scope.of([p], ["A"]).resolve(), root=root, layout=LAY)
+    sync_incremental(spark, "inc_keep", staging=frame(spark, [row(0, "A", "t0")]), scope=Scope.of([0], ["A"]).resolve(), root=root, layout=LAY)
+    deleted = prune_versions(spark, "inc_keep", root, keep=0)
+    assert len(deleted) == 1  # the replaced version of practice 0 only
+    spark.catalog.refreshTable("inc_keep")
+    assert uids(spark.table("inc_keep")) == ["r4", "r5", "s1", "s2", "s3", "t0"]
+
+
+def test_a_refresh_staged_from_an_older_version_is_refused(spark):
+    root = _start(spark, "inc_lost", [row(1, "A", "a1"), row(2, "A", "a2")])
+    jobs = [
+        stage_incremental(spark, "inc_lost", staging=frame(spark, [row(p, "A", f"s{p}")]), scope=Scope.of([p], ["A"]).resolve(), root=root, layout=LAY)
+        for p in (1, 2)
+    ]
+    switch_partitions(spark, jobs[0])
+    with pytest.raises(PublishError, match="stage it again"):
+        switch_partitions(spark, jobs[1])
+    assert uids(spark.table("inc_lost")) == ["a2", "s1"]
+
+
+def test_the_clean_flag_names_what_was_cleaned(spark):
+    root = scratch_path(spark, "inc")
+    publish_partitioned(frame(spark, [row(1, "A", "a1", midname="x" + chr(23)), row(2, "A", "a2")]), "inc_clean_of", root, LAY, clean_column="lastname")
+    with pytest.raises(NotIncremental, match="lastname"):
+        sync_incremental(spark, "inc_clean_of", staging=frame(spark, []), scope=Scope.of([2], ["A"]).resolve(), root=root, layout=LAY)
+
+
+def test_partition_values_with_special_characters(spark):
+    root = scratch_path(spark, "inc")
+    rows = [row(1, "A/B", "a1"), row(1, "C=%41 d", "a2"), row(2, "E'f", "a3")]
+    publish_partitioned(frame(spark, rows), "inc_odd", root, LAYOUTS["summary_details_by_measure"], partition_col="measure_id")
+    stg = frame(spark, [row(1, "A/B", "s1"), row(2, "E'f", "s3"), row(3, "g:h", "s4")])
+    scope = Scope.of([1, 2, 3], ["A/B", "E'f", "g:h"]).resolve()
+    for _ in range(2):  # the second refresh finds what the first one switched
+        sync_incremental(spark, "inc_odd", staging=stg, scope=scope, root=root, layout=LAYOUTS["summary_details_by_measure"])
+        assert uids(spark.table("inc_odd")) == ["a2", "s1", "s3", "s4"]
 
 
 def test_reading_the_touched_partitions_prunes_the_rest(spark):

@@ -1,5 +1,7 @@
 """Every registered query against its SQL oracle (DuckDB) on the smallest scale."""
 
+import re
+
 import pytest
 from conftest import SMOKE
 from oracle_compare import compare
@@ -13,11 +15,16 @@ def test_entry_runs(spark):
     assert df.columns == E.queries()["slice_replace_list"](spark, SMOKE).columns
 
 
+#: The optional operators have tests of their own.
+OPTIONAL = re.compile(r"op\d+_|pipeline$")
+
+
 def test_every_query_matches_its_oracle(spark):
-    res = compare(spark, SMOKE, verbose=False)
+    keys = [k for k in E.queries() if not OPTIONAL.match(k)]
+    res = compare(spark, SMOKE, keys, verbose=False)
     bad = {k: v for k, v in res.items() if v[0] != "OK"}
     assert not bad, bad
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(keys) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key,rows", [("slice_replace_all", 4861), ("distinct_rows", 5082), ("control_char_filter", 5120)])

@@ -114,6 +114,48 @@ def test_bucket_count_is_sized_from_bytes(spark):
     assert stored_bytes(spark, "pub_size") > 0
 
 
+def test_bucket_count_stays_within_sparks_limit(spark):
+    from slicerefresh.plans.publish import default_num_buckets
+
+    assert default_num_buckets(spark, 100 << 40) == 100_000
+    assert default_num_buckets(spark, 1 << 50) == 100_000
+
+
+def test_a_version_staged_from_an_older_one_is_refused(spark):
+    from slicerefresh.plans.publish import PublishError, stage_table, switch, verify
+
+    root = scratch_path(spark, "t")
+    publish_table(frame(spark, [row(1, "A", "a")]), "pub_lost", f"{root}/pub_lost", SPEC)
+    jobs = [verify(spark, stage_table(frame(spark, [row(1, "A", f"new{k}")]), "pub_lost", f"{root}/pub_lost", SPEC)) for k in (1, 2)]
+    switch(spark, jobs[0])
+    with pytest.raises(PublishError, match="stage it again"):
+        switch(spark, jobs[1])
+    assert uids(spark.table("pub_lost")) == ["new1"]
+
+
+def test_new_columns_are_added_before_the_switch(spark):
+    from slicerefresh.plans.publish import PublishError
+
+    root = scratch_path(spark, "t")
+    old = frame(spark, [row(1, "A", "a")]).drop("datasource")
+    publish_table(old, "pub_evolve", f"{root}/pub_evolve", SPEC)
+    publish_table(frame(spark, [row(1, "A", "b", datasource=4)]), "pub_evolve", f"{root}/pub_evolve", SPEC)
+    got = spark.table("pub_evolve").select("visit_uid", "datasource").collect()
+    assert [tuple(r) for r in got] == [("b", 4)]
+    with pytest.raises(PublishError, match="lacks columns"):
+        publish_table(old, "pub_evolve", f"{root}/pub_evolve", SPEC)
+    assert uids(spark.table("pub_evolve")) == ["b"]
+
+
+def test_a_literal_scope_reads_no_staging(spark):
+    from slicerefresh.plans.sync import resolve_scope
+
+    def absent(table):
+        raise AssertionError(f"{table} is not needed")
+
+    assert resolve_scope(spark, Scope.of([1], ["A"]), absent).parts["practice_id"].values == [1]
+
+
 def test_prune_versions_keeps_current_and_backups(spark):
     import os
 

@@ -5,7 +5,7 @@ import datetime as dt
 from slicerefresh.sources.delimited import read_delimited, write_delimited
 from slicerefresh.session import scratch_path
 
-NASTY = ["", None, 'say "hi"', "back\\slash", "tilde~inside", "two\nlines", "m\x17", "\x17m", "a\x17b", "  outer  ", "\\N"[:1] + "x"]
+NASTY = ["", None, 'say "hi"', "back\\slash", "tilde~inside", "two\nlines", "m\x17", "\x17m", "a\x17b", "  outer  ", "\\N", "\\\\N", "\\n", "\\\\n", "a\r\nb\\", "\\"]
 
 
 def test_roundtrip_every_value_kind(spark):
