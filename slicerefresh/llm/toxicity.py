@@ -99,14 +99,16 @@ LOOKALIKE = {
 _ANY = "abcdefghijklmnopqrstuvwxyz"
 _SUBSTITUTE, _STAR, _DROP, _BREAK, _SHORTEN = (float(np.log(p)) for p in (0.3, 0.5 / 26, 0.9, 0.1, 0.5))
 
+#: Longer spans are codes, not words; their letters are read as they are.
+LONGEST = 64
+
 _C = r"[^\W_]|[@$!|+(<€£*]"
-_SPACED = rf"(?<![^\s])(?:{_C})(?:[ .\-_~]{{1,2}}(?:{_C})){{2,}}(?![^\s.,;:!?])"
-_MIXED = r"[^\s]*(?:[^\W\d_][0-9@$!|+(<*€£]+[^\W\d_]|[0-9@$€£][^\W\d_]{2}|[^\W\d_]{2}[0-9@$€£])[^\s]*"
+_SPACED = rf"(?<!\S)(?:{_C})(?:[ .\-_~]{{1,2}}(?:{_C})){{2,}}(?![^\s.,;:!?])"
 _DOTTED = r"(?<!\S)[^\W\d_](?:[.\-_~][^\W\d_])+(?!\w)"
-_REPEAT = r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"
+# Tokens of at most LONGEST characters, so that a search within one is bounded.
+_MIXED = rf"(?<!\S)(?=\S{{2,{LONGEST}}}(?!\S))\S*?(?:[^\W\d_][0-9@$!|+(<*€£]+[^\W\d_]|[0-9@$€£][^\W\d_]{{2}}|[^\W\d_]{{2}}[0-9@$€£])\S*"
+_REPEAT = rf"(?<![^\W\d_])(?=[^\W\d_]{{3,{LONGEST}}}(?![^\W\d_]))[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*"
 SUSPICIOUS = re.compile(f"{_SPACED}|{_DOTTED}|{_MIXED}|{_REPEAT}", re.IGNORECASE)
-#: Longer spans are codes, not words; their letters are read as they are.
-LONGEST = 64
 
 
 def _symbol_of(letter: str) -> int:
@@ -164,31 +166,42 @@ def restore(text: str, model: np.ndarray, decode=None) -> str:
     return " ".join(decode(m[0]) for m in SUSPICIOUS.finditer(text) if len(m[0]) <= LONGEST)
 
 
-_DIGIT = np.zeros(256, bool)
-_DIGIT[[ord(c) for c in "0123456789@$!|+(<*"]] = True
-_DIGIT[[0xE2, 0xC2]] = True  # first bytes of other signs
+_SIGN = np.zeros(256, bool)
+_SIGN[[ord(c) for c in "0123456789@$!|+(<*"]] = True
+_STRONG = np.zeros(256, bool)
+_STRONG[[ord(c) for c in "0123456789@$"]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 _LETTER[0x80:] = True
 
 
 def suspicious_rows(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Rows that may have a suspicious span: a sign beside a letter, three equal letters, or lone letters in a row."""
-    n = len(data)
-    flag = np.zeros(n, bool)
-    if n < 3:
-        return np.zeros(len(off) - 1, bool)
-    low, letter, sign = LOWER_ASCII[data], _LETTER[data], _DIGIT[data]
-    flag[1:-1] |= sign[1:-1] & (letter[:-2] | letter[2:])
+    """Rows that may have a suspicious span: signs between letters, a digit or
+    such beside a letter, three equal letters, or lone characters in a row."""
+    # A space stands for the text's start and end; rows meet without a gap, which only flags too many.
+    data = np.concatenate([np.full(2, 32, np.uint8), data, np.full(2, 32, np.uint8)])
+    low, letter, sign, strong = LOWER_ASCII[data], _LETTER[data], _SIGN[data], _STRONG[data]
+    flag = np.zeros(len(data), bool)
+    flag[1:-1] |= strong[1:-1] & (letter[:-2] | letter[2:])
     flag[1:-1] |= letter[1:-1] & (low[1:-1] == low[:-2]) & (low[1:-1] == low[2:])
-    lone = ~letter & ~sign
-    apart = (letter | sign)[2:-2] & lone[1:-3] & lone[3:-1] & (letter | sign)[:-4] & (letter | sign)[4:] if n >= 5 else np.zeros(0, bool)
-    flag[2 : 2 + len(apart)] |= apart
-    flag |= sign & np.concatenate([[False], letter[:-1]])
-    hits = np.searchsorted(off, np.flatnonzero(flag), "right") - 1
+    first = np.flatnonzero(sign[1:-1] & ~sign[:-2]) + 1
+    last = np.flatnonzero(sign[1:-1] & ~sign[2:]) + 1
+    flag[first] |= letter[first - 1] & letter[last + 1]
+    flag[:-2] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x82) & (data[2:] == 0xAC)  # the euro sign
+    flag[:-2] |= (data[:-2] == 0xC2) & (data[1:-1] == 0xA3)  # the pound sign
+    # Lone characters, one beside another: a character, a gap, a character of one or two bytes, a gap.
+    apart = ~letter & ~sign
+    one = ~apart[2:-2] & apart[1:-3] & apart[3:-1] & (~apart[:-4] | ~apart[4:])
+    flag[2:-2] |= one
+    wide = np.concatenate([data, np.full(6, 32, np.uint8)])
+    n, lead = len(data), data >= 0xC0
+    at = lambda k: wide[k : n + k]
+    alone = lead & np.concatenate([[False], apart[:-1]]) & ~_LETTER[at(2)] & ~_SIGN[at(2)]
+    flag |= alone & ((at(3) >= 0xC0) & ~_LETTER[at(5)] | (_LETTER[at(3)] | _SIGN[at(3)]) & ~_LETTER[at(4)])
+    flag |= lead & (at(2) == data) & (at(4) == data) & ((at(3) | 32) == (at(1) | 32)) & ((at(5) | 32) == (at(1) | 32))  # whatever their case
     out = np.zeros(len(off) - 1, bool)
-    out[hits] = True
-    return out
+    out[np.searchsorted(off, np.flatnonzero(flag[2:-2]), "right") - 1] = True
+    return out & (np.diff(off) > 0)
 
 
 # --- features --------------------------------------------------------------------------------
