@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from slicerefresh.llm.counters import summed
 from slicerefresh.llm.shared import held_out, written
-from slicerefresh.llm.text import LOWER_ASCII, blocks, mix, prefix_hash, range_hash, row_bounds, words
+from slicerefresh.llm.text import LOWER_ASCII, blocks, mix, prefix_hash, range_hash, words
 
 # --- character language model ---------------------------------------------------------------
 
