@@ -113,8 +113,17 @@ def _sizes_fit(n: Column, m: Column) -> Column:
     return F.least(n, m) * SHARE[1] >= F.greatest(n, m) * SHARE[0]
 
 
-def _counted(pairs: DataFrame, sets: DataFrame, tag: str) -> DataFrame:
+def _possible(met: DataFrame) -> DataFrame:
+    """Pairs that may be linked by their sizes and the positions of their shared prefix tokens: a, b, n_a, n_b, shared."""
+    per_pair = met.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "n_b", "pos_a", "pos_b")])
+    # All shared tokens up to the last one are counted; after it, no more than what is left.
+    bound = F.col("shared") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
+    return per_pair.filter(_sizes_fit(F.col("n_a"), F.col("n_b")) & (bound >= _needed(F.col("n_a"), F.col("n_b")))).select("a", "b", "n_a", "n_b", "shared")
+
+
+def _counted(pairs: DataFrame, fetch, tag: str) -> DataFrame:
     """Exact overlaps of ``pairs(a, b)``: a, b, n_a, n_b, overlap."""
+    sets = fetch(pairs)
     left = sets.select(F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     right = sets.select(F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -152,27 +161,29 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = written(counts, "set-classes")
     classes = written(full.select("sig", "n", "tokens").dropDuplicates(["sig"]), "set-prefixes")
     index = classes.select("sig", "n", F.posexplode("tokens").alias("pos", "token"))
-
-    # A hub for every class: of the first sets of its lists, the one it shares most lists with.
-    lists = written(index.groupBy("token").agg(F.count("*").alias("size"), F.min("sig").alias("hub")).filter("size > 1").drop("size"), "set-lists")
-    met = index.join(lists, "token").filter("sig <> hub").groupBy("sig", "hub").agg(F.count("*").alias("shared"))
-    hubs = written(met.groupBy("sig").agg(F.max(F.struct("shared", "hub")).alias("best")).select(F.col("sig").alias("a"), F.col("best.hub").alias("b")), "set-hubs")
-
-    # The sets of all classes that share a list.
-    used = index.join(lists, "token", "left_semi").select("sig").distinct().join(counts, "sig").select("sig", "first_id")
-    used = written(used, "set-used")
-    ids = F.broadcast(used) if used.count() <= BROADCAST_IDS else used
-    found = texts.join(ids, texts.doc_id.eqNullSafe(ids.first_id)).select("text", F.col("sig").alias("own"))
-    sets = found.select("own", _describe(shared, True)("text").alias("s")).select("own", "s.*").filter("own = sig").drop("own")
-    if not full.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty() or not full.filter("doc_id is null").isEmpty():
-        sets = sets.dropDuplicates(["sig"])
-    sets = written(sets, "set-tokens")
-
-    to_hub = _counted(hubs, sets, "set-to-hub")
+    lists = index.groupBy("token").agg(F.count("*").alias("size"), F.min("sig").alias("hub")).filter("size > 1").drop("size")
+    entries = written(index.join(lists, "token"), "set-entries")
+    by_id = counts.select("sig", "first_id")
+    one_row = unique_ids(full)
+
+    def fetch(pairs: DataFrame) -> DataFrame:
+        """All tokens of the sets in ``pairs``: sig, n, tokens."""
+        used = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+        used = written(used.join(by_id, "sig"), "set-used")
+        ids = F.broadcast(used) if used.count() <= BROADCAST_IDS else used
+        found = texts.join(ids, texts.doc_id.eqNullSafe(ids.first_id)).select("text", F.col("sig").alias("own"))
+        sets = found.select("own", _describe(shared, True)("text").alias("s")).select("own", "s.*").filter("own = sig").drop("own")
+        return written(sets if one_row else sets.dropDuplicates(["sig"]), "set-tokens")
+
+    # A hub for every class: of the first sets of its lists that may be similar, the one it shares most lists with.
+    first = entries.filter("sig = hub").select("token", F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+    met = entries.filter("sig <> hub").join(first, "token").select(F.col("sig").alias("a"), F.col("hub").alias("b"), F.col("n").alias("n_a"), "n_b", F.col("pos").alias("pos_a"), "pos_b")
+    best = _possible(met).groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best"))
+    to_hub = _counted(written(best.select("a", F.col("best.b").alias("b")), "set-hubs"), fetch, "set-to-hub")
     links = _linked(to_hub)
-    known = written(_with_component(classes, links.select("a", "b")), "set-known")
-    pairs = _cross_pairs(known.select("sig", "n", "comp", F.posexplode("tokens").alias("pos", "token")).join(lists.select("token"), "token"))
-    more = _decide(pairs, links, sets)
+    known = _with_component(classes.select("sig"), links.select("a", "b"))
+    pairs = _cross_pairs(entries.drop("hub").join(known, "sig"))
+    more = _decide(pairs, links, fetch)
     every = links.select("a", "b").unionByName(more)
 
     final = _with_component(counts, every)
@@ -217,15 +228,11 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
     swap = F.col("p_sig") < F.col("q_sig")
     pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
     ordered = met.select(*[pick(f"p_{c}", f"q_{c}").alias(f"{c}_a") for c in ("sig", "n", "pos")], *[pick(f"q_{c}", f"p_{c}").alias(f"{c}_b") for c in ("sig", "n", "pos")])
-    per_pair = ordered.groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(
-        F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "n_b", "pos_a", "pos_b")]
-    )
-    # All shared tokens up to the last one are counted; after it, no more than what is left.
-    bound = F.col("shared") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
-    return written(per_pair.filter(bound >= _needed(F.col("n_a"), F.col("n_b"))).select("a", "b", "n_a", "n_b"), "set-pairs")
+    ordered = ordered.withColumnsRenamed({"sig_a": "a", "sig_b": "b"})
+    return written(_possible(ordered).drop("shared"), "set-pairs")
 
 
-def _decide(pairs: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+def _decide(pairs: DataFrame, links: DataFrame, fetch) -> DataFrame:
     """Links among ``pairs``: of hubs first, of their followers from these where the bounds decide."""
     follow = links.select(F.col("a").alias("sig"), F.col("b").alias("hub"), (F.col("n_a") - F.col("overlap")).alias("own"), (F.col("n_b") - F.col("overlap")).alias("missing"))
     for side in "ab":
@@ -236,12 +243,12 @@ def _decide(pairs: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
         "set-follow",
     )
     hubs = pairs.filter("hub_a = a and hub_b = b")
-    first = _counted(hubs, sets, "set-hub-pairs")
+    first = _counted(hubs, fetch, "set-hub-pairs")
     lookup = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.col("overlap").alias("of_hubs"))
     rest = pairs.filter("hub_a <> a or hub_b <> b").join(lookup, (F.least("hub_a", "hub_b") == F.col("x")) & (F.greatest("hub_a", "hub_b") == F.col("y")), "left")
     need = _needed(F.col("n_a"), F.col("n_b"))
     least = F.col("of_hubs") - F.col("missing_a") - F.col("missing_b")
     most = F.col("of_hubs") + F.col("own_a") + F.col("own_b")
     rest = rest.withColumn("sure", F.coalesce(least >= need, F.lit(False))).withColumn("never", F.coalesce(most < need, F.lit(False)))
-    second = _counted(rest.filter("not sure and not never"), sets, "set-followers")
+    second = _counted(rest.filter("not sure and not never"), fetch, "set-followers")
     return _linked(first).select("a", "b").unionByName(rest.filter("sure").select("a", "b")).unionByName(_linked(second).select("a", "b"))
