@@ -193,22 +193,22 @@ def sample_names(strings: DataFrame, levels: int = LEVELS) -> DataFrame:
 
 def _neighbours(batches):
     """Of each run of equal pieces in sorted order: all are repeated, the first goes on."""
-    last_key, last_row, run = None, None, 0
+    names, kept, follows = ("k1", "k2", "k3", "piece", "sid", "at"), None, False
     for batch in batches:
-        key = list(zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "k3", "piece")), strict=True))
-        sid, at = batch.column("sid").to_pylist(), batch.column("at").to_pylist()
-        out: dict[str, list] = {"sid": [], "at": [], "first": []}
-        for k, place in enumerate(zip(sid, at, strict=True)):
-            if key[k] == last_key:
-                if run == 1:
-                    for name, value in zip(out, (*last_row, True), strict=True):
-                        out[name].append(value)
-                for name, value in zip(out, (*place, False), strict=True):
-                    out[name].append(value)
-                run += 1
-            else:
-                last_key, last_row, run = key[k], place, 1
-        yield pa.record_batch([pa.array(out["sid"], pa.int64()), pa.array(out["at"], pa.int32()), pa.array(out["first"], pa.bool_())], names=list(out))
+        rows = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in names], 1)
+        if not len(rows):
+            continue
+        # The last row of the batch before stands in front, to be compared and to be told as a first.
+        rows = rows if kept is None else np.concatenate([kept, rows])
+        same = np.zeros(len(rows) + 1, bool)
+        same[1:-1] = (rows[1:, :4] == rows[:-1, :4]).all(axis=1)
+        same[0] = follows
+        first = ~same[:-1] & same[1:]
+        later = same[:-1].copy()
+        later[0] &= kept is None
+        out = np.flatnonzero(first | later)
+        yield pa.record_batch([pa.array(rows[out, 4]), pa.array(rows[out, 5].astype(np.int32)), pa.array(first[out])], names=["sid", "at", "first"])
+        kept, follows = rows[-1:], bool(same[-2])
 
 
 def repeated_phrases(strings: DataFrame) -> DataFrame:
@@ -248,17 +248,16 @@ def _pack(hot: np.ndarray, n_buckets: int):
             for i, j, data, off in blocks(batch.column("text"), CHUNK):
                 parts = []
                 for k in range(i, j):
-                    low, size = np.asarray(lows[k].values), np.asarray(sizes[k].values)
+                    low, size = np.asarray(lows[k].values).astype(np.int64), np.asarray(sizes[k].values).astype(np.int64)
+                    wanted = np.sort(np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum()))
                     own = data[off[k - i] : off[k - i + 1]]
-                    for a, n in zip(low.tolist(), size.tolist(), strict=True):
-                        # Pieces of one text, each with the bytes after it; a long one chunk by chunk.
-                        for at in range(a, a + n, CHUNK):
-                            m = min(CHUNK, a + n - at)
-                            text = own[at : at + m + LENGTH - 1]
-                            start = np.arange(m)
+                    for at in range(0, len(own) - LENGTH + 1, CHUNK):  # all strings of a text at once, a long text by chunks
+                        text = own[at : at + CHUNK + LENGTH - 1]
+                        start = wanted[slice(*np.searchsorted(wanted, [at, at + CHUNK]))] - at
+                        if len(start):
                             h = range_hash(prefix_hash(text), start, start + LENGTH)
-                            least = window_minima(text)
-                            parts.append((h, np.where(np.isin(least, hot), h, mix(least)), np.full(m, cids[k], np.int64), at + start))
+                            least = window_minima(text)[start]
+                            parts.append((h, np.where(np.isin(least, hot), h, mix(least)), np.full(len(start), cids[k], np.int64), at + start))
                 if not parts:
                     continue
                 h, place, cid, start = (np.concatenate(x) for x in zip(*parts, strict=True))
