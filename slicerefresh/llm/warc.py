@@ -121,7 +121,7 @@ def store(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", url_col
     headers.select("row", "page_id", "address", "payload_bytes", "record_type", header.alias("header")).write.parquet(f"{archive.path}/headers")
 
     # Each payload once: every task keeps the first of equal payloads it meets, the shuffle keeps one of these.
-    rows.groupBy("address").agg(F.min("payload").alias("payload")).write.parquet(f"{archive.path}/payloads")
+    rows.groupBy("address").agg(F.min("payload").alias("payload")).write.option("compression", "zstd").parquet(f"{archive.path}/payloads")
     if not archive.payloads.filter(F.sha2("payload", 256) != F.col("address")).isEmpty():
         raise ValueError("a stored payload does not have its address")
     return archive
