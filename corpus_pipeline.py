@@ -24,8 +24,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the one with the smallest id."""
-    return jaccard.one_of_each(docs)
+    """Of each group of near copies (five-word shingles, 0.8 alike or more) the one with the smallest id."""
+    return jaccard.one_of_each(docs, width=5, share=(80, 100))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Exact Jaccard join of word n-gram sets by skipping along set relations.
 
-Tokens (hashed four-word shingles) have one global order: seldom ones first,
-by a fixed-size sketch of their counts, then by hash.  Sets with a similarity
-of at least 85 / 100 share a token among the first ``n - ceil(0.85 n) + 1``
-of each (their prefixes), so an index of prefixes finds all links.
+Tokens (hashed shingles, four words wide unless told otherwise) have one global
+order: seldom ones first, by a fixed-size sketch of their counts, then by hash.
+Sets with a similarity of at least ``share`` (85 / 100 unless told otherwise)
+share a token among the first ``n - ceil(share n) + 1`` of each (their
+prefixes), so an index of prefixes finds all links.
 
 Two relations between sets save most of the work:
 
-* Index lists are cut into blocks by size (bands a factor 20/17 apart), so that
+* Index lists are cut into blocks by size (bands a factor ``1 / share`` apart), so that
   a set meets only the blocks of its own and the adjoining bands; an entry's
   position bounds the overlap that is still possible, and pairs below the
   bound don't leave the list.
@@ -34,8 +35,8 @@ from slicerefresh.llm.counters import summed
 from slicerefresh.llm.shared import join_hot, unique_ids, without, written
 from slicerefresh.llm.text import blocks, list_array, mix, row_bounds, shingle_hashes, signed, word_hashes, words
 
+#: Words of a shingle, and linked sets (``share[1] * intersection >= share[0] * union``), unless told otherwise.
 WIDTH = 4
-#: Linked: SHARE[1] * intersection >= SHARE[0] * union.
 SHARE = (85, 100)
 #: Counters of the sketch of token counts.
 SKETCH_BITS = 21
@@ -43,20 +44,20 @@ SKETCH_BITS = 21
 BROADCAST_IDS = 500_000
 
 
-def _sets(text: pa.Array):
+def _sets(text: pa.Array, width: int):
     """Yield ``(shingle hashes, bounds of each text, number of texts)``, repeats included."""
     for i, j, data, off in blocks(text):
         start, end, row = words(data, off)
-        h, h_row, _ = shingle_hashes(word_hashes(data, start, end), row, WIDTH, j - i)
+        h, h_row, _ = shingle_hashes(word_hashes(data, start, end), row, width, j - i)
         yield h, row_bounds(h_row, j - i), j - i
 
 
-def token_order(texts: DataFrame) -> np.ndarray:
+def token_order(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
     """Counts (65535 at most) of the tokens by hash value, of fixed size."""
 
     def count(batch):
         counters = np.zeros(1 << SKETCH_BITS, np.int64)
-        for h, _, _ in _sets(batch.column("text")):
+        for h, _, _ in _sets(batch.column("text"), width):
             counters += np.bincount((h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS)
         return counters
 
@@ -73,20 +74,20 @@ def _signature(tokens: np.ndarray) -> np.uint64:
     return mix(np.array([mix(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))], np.uint64))[0]
 
 
-def _describe(shared, whole: bool):
+def _describe(shared, whole: bool, width: int, share: tuple[int, int]):
     """Text -> size, signature and prefix of its set, or with ``whole`` all tokens."""
 
     @F.arrow_udf("struct<n: int, sig: bigint, tokens: array<bigint>>")
     def describe(text: pa.Array) -> pa.Array:
         order = shared.value
         sizes, signatures, parts = [], [], []
-        for h, at, n_rows in _sets(text):
+        for h, at, n_rows in _sets(text, width):
             for k in range(n_rows):
                 tokens = _ordered(h[at[k] : at[k + 1]], order)
                 n = len(tokens)
                 sizes.append(n)
                 signatures.append(_signature(tokens))
-                parts.append(tokens if whole else tokens[: n - -(-n * SHARE[0] // SHARE[1]) + 1 if n else 0])
+                parts.append(tokens if whole else tokens[: n - -(-n * share[0] // share[1]) + 1 if n else 0])
         bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         flat = np.concatenate(parts) if parts else np.empty(0, np.uint64)
         return pa.StructArray.from_arrays(
@@ -104,21 +105,21 @@ def _overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([len(np.intersect1d(av[ao[k] : ao[k + 1]], bv[bo[k] : bo[k + 1]], assume_unique=True)) for k in range(len(a))], pa.int32())
 
 
-def _needed(n: Column, m: Column) -> Column:
+def _needed(n: Column, m: Column, share: tuple[int, int]) -> Column:
     """The least overlap of linked sets of these sizes."""
-    return F.ceil((n + m) * F.lit(SHARE[0]) / F.lit(sum(SHARE)))
+    return F.ceil((n + m) * F.lit(share[0]) / F.lit(sum(share)))
 
 
-def _sizes_fit(n: Column, m: Column) -> Column:
-    return F.least(n, m) * SHARE[1] >= F.greatest(n, m) * SHARE[0]
+def _sizes_fit(n: Column, m: Column, share: tuple[int, int]) -> Column:
+    return F.least(n, m) * share[1] >= F.greatest(n, m) * share[0]
 
 
-def _possible(met: DataFrame) -> DataFrame:
+def _possible(met: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Pairs that may be linked by their sizes and the positions of their shared prefix tokens: a, b, n_a, n_b, shared."""
     per_pair = met.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "n_b", "pos_a", "pos_b")])
     # All shared tokens up to the last one are counted; after it, no more than what is left.
     bound = F.col("shared") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
-    return per_pair.filter(_sizes_fit(F.col("n_a"), F.col("n_b")) & (bound >= _needed(F.col("n_a"), F.col("n_b")))).select("a", "b", "n_a", "n_b", "shared")
+    return per_pair.filter(_sizes_fit(F.col("n_a"), F.col("n_b"), share) & (bound >= _needed(F.col("n_a"), F.col("n_b"), share))).select("a", "b", "n_a", "n_b", "shared")
 
 
 def _counted(pairs: DataFrame, fetch, tag: str) -> DataFrame:
@@ -130,8 +131,8 @@ def _counted(pairs: DataFrame, fetch, tag: str) -> DataFrame:
     return written(both.select("a", "b", "n_a", "n_b", _overlap("t_a", "t_b").alias("overlap")), tag)
 
 
-def _linked(counted: DataFrame) -> DataFrame:
-    return counted.filter(F.col("overlap") >= _needed(F.col("n_a"), F.col("n_b")))
+def _linked(counted: DataFrame, share: tuple[int, int]) -> DataFrame:
+    return counted.filter(F.col("overlap") >= _needed(F.col("n_a"), F.col("n_b"), share))
 
 
 def _with_component(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -141,9 +142,11 @@ def _with_component(classes: DataFrame, links: DataFrame) -> DataFrame:
     return classes.join(comps.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
 
 
-def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, share: tuple[int, int] = SHARE) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, n_copies, sig, comp.
 
+    Sets hold the shingles of ``width`` words; those with a similarity of
+    ``share[0] / share[1]`` or more are linked.
     ``component_id`` is the smallest id reachable by links, ``n_copies`` the
     number of rows with the same set; ``sig`` names the set and ``comp`` the
     component (null for an empty set).  Null texts and texts without words have
@@ -152,8 +155,8 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    shared = spark.sparkContext.broadcast(token_order(texts))
-    rows = written(texts.select("doc_id", _describe(shared, False)("text").alias("s")).select("doc_id", "s.*"), "sets")
+    shared = spark.sparkContext.broadcast(token_order(texts, width))
+    rows = written(texts.select("doc_id", _describe(shared, False, width, share)("text").alias("s")).select("doc_id", "s.*"), "sets")
     full = rows.filter("n > 0")
 
     # Classes of equal sets.
@@ -172,18 +175,18 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         used = written(used.join(by_id, "sig"), "set-used")
         ids = F.broadcast(used) if used.count() <= BROADCAST_IDS else used
         found = texts.join(ids, texts.doc_id.eqNullSafe(ids.first_id)).select("text", F.col("sig").alias("own"))
-        sets = found.select("own", _describe(shared, True)("text").alias("s")).select("own", "s.*").filter("own = sig").drop("own")
+        sets = found.select("own", _describe(shared, True, width, share)("text").alias("s")).select("own", "s.*").filter("own = sig").drop("own")
         return written(sets if one_row else sets.dropDuplicates(["sig"]), "set-tokens")
 
     # A hub for every class: of the first sets of its lists that may be similar, the one it shares most lists with.
     first = entries.filter("sig = hub").select("token", F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
     met = entries.filter("sig <> hub").join(first, "token").select(F.col("sig").alias("a"), F.col("hub").alias("b"), F.col("n").alias("n_a"), "n_b", F.col("pos").alias("pos_a"), "pos_b")
-    best = _possible(met).groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best"))
+    best = _possible(met, share).groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best"))
     to_hub = _counted(written(best.select("a", F.col("best.b").alias("b")), "set-hubs"), fetch, "set-to-hub")
-    links = _linked(to_hub)
+    links = _linked(to_hub, share)
     known = _with_component(classes.select("sig"), links.select("a", "b"))
-    pairs = _cross_pairs(entries.drop("hub").join(known, "sig"))
-    more = _decide(pairs, links, fetch)
+    pairs = _cross_pairs(entries.drop("hub").join(known, "sig"), share)
+    more = _decide(pairs, links, fetch, share)
     every = links.select("a", "b").unionByName(more)
 
     final = _with_component(counts, every)
@@ -195,44 +198,44 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(columns).unionByName(empty.select(columns))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, share: tuple[int, int] = SHARE) -> DataFrame:
     """The row with the smallest id of every component, with its columns; rows with an empty set all stay."""
-    found = written(link_components(docs, id_col, text_col), "components")
+    found = written(link_components(docs, id_col, text_col, width, share), "components")
     if unique_ids(found):
         return without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("drop_id")), id_col)
     # Rows share an id: find them by id and set, and keep one of rows that are equal in both.
     first = found.filter("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig")).alias("first"))
     kept = first.select(F.col("first.doc_id").alias("__keep_id"), F.col("first.sig").alias("__keep_sig"))
     texts = docs.select(F.col(text_col).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(token_order(texts))
-    rows = docs.select("*", _describe(shared, False)(F.col(text_col)).alias("__s")).select("*", F.col("__s.n").alias("__n"), F.col("__s.sig").alias("__sig"))
+    shared = docs.sparkSession.sparkContext.broadcast(token_order(texts, width))
+    rows = docs.select("*", _describe(shared, False, width, share)(F.col(text_col)).alias("__s")).select("*", F.col("__s.n").alias("__n"), F.col("__s.sig").alias("__sig"))
     same = F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__sig") == F.col("__keep_sig"))
     some = rows.filter("__n > 0").join(kept, same, "left_semi").dropDuplicates([id_col, "__sig"])
     return some.unionByName(rows.filter("__n = 0")).select(*docs.columns)
 
 
-def _cross_pairs(entries: DataFrame) -> DataFrame:
+def _cross_pairs(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Pairs of different components that may be linked: a, b."""
     per = entries.groupBy("token", "comp").agg(F.count("*").alias("n"))
     lists = per.groupBy("token").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top")).filter("comps > 1")
     lists = lists.select("token", F.col("top.comp").alias("main"))
-    open_ = written(entries.join(lists, "token").withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(SHARE[1] / SHARE[0]))).cast("int")), "set-open")
+    open_ = written(entries.join(lists, "token").withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(share[1] / share[0]))).cast("int")), "set-open")
     few = open_.filter("comp <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     p = few.select("token", "band", *[F.col(c).alias(f"p_{c}") for c in ("sig", "n", "comp", "pos")])
     q = open_.select("token", "band", "main", *[F.col(c).alias(f"q_{c}") for c in ("sig", "n", "comp", "pos")])
     n, m, i, j = F.col("p_n"), F.col("q_n"), F.col("p_pos"), F.col("q_pos")
     possible = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
     met = p.join(q, ["token", "band"]).filter(
-        (F.col("p_comp") != F.col("q_comp")) & ((F.col("q_comp") == F.col("main")) | (F.col("p_sig") < F.col("q_sig"))) & _sizes_fit(n, m) & (possible >= _needed(n, m))
+        (F.col("p_comp") != F.col("q_comp")) & ((F.col("q_comp") == F.col("main")) | (F.col("p_sig") < F.col("q_sig"))) & _sizes_fit(n, m, share) & (possible >= _needed(n, m, share))
     )
     swap = F.col("p_sig") < F.col("q_sig")
     pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
     ordered = met.select(*[pick(f"p_{c}", f"q_{c}").alias(f"{c}_a") for c in ("sig", "n", "pos")], *[pick(f"q_{c}", f"p_{c}").alias(f"{c}_b") for c in ("sig", "n", "pos")])
     ordered = ordered.withColumnsRenamed({"sig_a": "a", "sig_b": "b"})
-    return written(_possible(ordered).drop("shared"), "set-pairs")
+    return written(_possible(ordered, share).drop("shared"), "set-pairs")
 
 
-def _decide(pairs: DataFrame, links: DataFrame, fetch) -> DataFrame:
+def _decide(pairs: DataFrame, links: DataFrame, fetch, share: tuple[int, int]) -> DataFrame:
     """Links among ``pairs``: of hubs first, of their followers from these where the bounds decide."""
     follow = links.select(F.col("a").alias("sig"), F.col("b").alias("hub"), (F.col("n_a") - F.col("overlap")).alias("own"), (F.col("n_b") - F.col("overlap")).alias("missing"))
     for side in "ab":
@@ -246,9 +249,9 @@ def _decide(pairs: DataFrame, links: DataFrame, fetch) -> DataFrame:
     first = _counted(hubs, fetch, "set-hub-pairs")
     lookup = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.col("overlap").alias("of_hubs"))
     rest = pairs.filter("hub_a <> a or hub_b <> b").join(lookup, (F.least("hub_a", "hub_b") == F.col("x")) & (F.greatest("hub_a", "hub_b") == F.col("y")), "left")
-    need = _needed(F.col("n_a"), F.col("n_b"))
+    need = _needed(F.col("n_a"), F.col("n_b"), share)
     least = F.col("of_hubs") - F.col("missing_a") - F.col("missing_b")
     most = F.col("of_hubs") + F.col("own_a") + F.col("own_b")
     rest = rest.withColumn("sure", F.coalesce(least >= need, F.lit(False))).withColumn("never", F.coalesce(most < need, F.lit(False)))
     second = _counted(rest.filter("not sure and not never"), fetch, "set-followers")
-    return _linked(first).select("a", "b").unionByName(rest.filter("sure").select("a", "b")).unionByName(_linked(second).select("a", "b"))
+    return _linked(first, share).select("a", "b").unionByName(rest.filter("sure").select("a", "b")).unionByName(_linked(second, share).select("a", "b"))
