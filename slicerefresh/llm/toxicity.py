@@ -99,15 +99,15 @@ LOOKALIKE = {
 _ANY = "abcdefghijklmnopqrstuvwxyz"
 _SUBSTITUTE, _STAR, _DROP, _BREAK, _SHORTEN = (float(np.log(p)) for p in (0.3, 0.5 / 26, 0.9, 0.1, 0.5))
 
-#: Longer spans are codes, not words; their letters are read as they are.
+#: Readings of spans up to this length are remembered; longer ones are decoded each time.
 LONGEST = 64
 
 _C = r"[^\W_]|[@$!|+(<€£*]"
 _SPACED = rf"(?<!\S)(?:{_C})(?:[ .\-_~]{{1,2}}(?:{_C})){{2,}}(?![^\s.,;:!?])"
 _DOTTED = r"(?<!\S)[^\W\d_](?:[.\-_~][^\W\d_])+(?!\w)"
-# Tokens of at most LONGEST characters, so that a search within one is bounded.
-_MIXED = rf"(?<!\S)(?=\S{{2,{LONGEST}}}(?!\S))\S*?(?:[^\W\d_][0-9@$!|+(<*€£]+[^\W\d_]|[0-9@$€£][^\W\d_]{{2}}|[^\W\d_]{{2}}[0-9@$€£])\S*"
-_REPEAT = rf"(?<![^\W\d_])(?=[^\W\d_]{{3,{LONGEST}}}(?![^\W\d_]))[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*"
+# A match begins at the beginning of a token or word, so that a search takes one pass over it.
+_MIXED = r"(?<!\S)\S*?(?:[^\W\d_][0-9@$!|+(<*€£]+[^\W\d_]|[0-9@$€£][^\W\d_]{2}|[^\W\d_]{2}[0-9@$€£])\S*"
+_REPEAT = r"(?<![^\W\d_])[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*"
 SUSPICIOUS = re.compile(f"{_SPACED}|{_DOTTED}|{_MIXED}|{_REPEAT}", re.IGNORECASE)
 
 
@@ -143,9 +143,10 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
 
 def viterbi(options: list[list[tuple[str, float]]], model: np.ndarray) -> str:
     """The likeliest reading of a lattice; of equal ones the first in order."""
-    states: dict[int, tuple[float, str]] = {0: (0.0, "")}
+    # A reading is a chain of (what is before, letter), so that a step takes the same time in a span of any length.
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for alternatives in [*options, [(" ", 0.0)]]:
-        after: dict[int, tuple[float, str]] = {}
+        after: dict[int, tuple[float, tuple | None]] = {}
         for history, (score, text) in states.items():
             for letter, cost in alternatives:
                 if letter == "" or (letter == " " and history == 0):
@@ -153,17 +154,21 @@ def viterbi(options: list[list[tuple[str, float]]], model: np.ndarray) -> str:
                 else:
                     symbol = 0 if letter == " " else _symbol_of(letter)
                     total = score + cost + float(model[history, symbol])
-                    nxt, read = (((history << 5) | symbol) & 0x7FFF if symbol else 0), text + letter
+                    nxt, read = (((history << 5) | symbol) & 0x7FFF if symbol else 0), (text, letter)
                 if nxt not in after or total > after[nxt][0]:
                     after[nxt] = total, read
         states = after
-    return max(states.values(), key=lambda x: x[0])[1].strip() if states else ""
+    letters, chain = [], max(states.values(), key=lambda x: x[0])[1] if states else None
+    while chain:
+        chain, letter = chain
+        letters.append(letter)
+    return "".join(reversed(letters)).strip()
 
 
 def restore(text: str, model: np.ndarray, decode=None) -> str:
     """The restored words of the suspicious spans of a text, each after a space."""
     decode = decode or (lambda span: viterbi(lattice(span), model))
-    return " ".join(decode(m[0]) for m in SUSPICIOUS.finditer(text) if len(m[0]) <= LONGEST)
+    return " ".join(decode(m[0]) for m in SUSPICIOUS.finditer(text))
 
 
 _SIGN = np.zeros(256, bool)
@@ -256,7 +261,10 @@ class Reader:
 
     def __init__(self, model: np.ndarray) -> None:
         self.model = model
-        self.decode = lru_cache(200_000)(lambda span: viterbi(lattice(span), model))
+        self.remember = lru_cache(200_000)(lambda span: viterbi(lattice(span), model))
+
+    def decode(self, span: str) -> str:
+        return self.remember(span) if len(span) <= LONGEST else viterbi(lattice(span), self.model)
 
     def read(self, column: pa.Array):
         """Yield ``(first row, end row, features, rows, contexts)`` for blocks of texts."""
