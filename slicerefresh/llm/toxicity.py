@@ -102,11 +102,14 @@ _SUBSTITUTE, _STAR, _DROP, _BREAK, _SHORTEN = (float(np.log(p)) for p in (0.3, 0
 #: Readings of spans up to this length are remembered; longer ones are decoded each time.
 LONGEST = 64
 
-_C = r"[^\W_]|[@$!|+(<€£*]"
-_SPACED = rf"(?<!\S)(?:{_C})(?:[ .\-_~]{{1,2}}(?:{_C})){{2,}}(?![^\s.,;:!?])"
+_SIGNS = r"@$!|+(<€£*"
+_C = rf"[^\W_]|[{_SIGNS}]"
+# Separators are no signs, so that a text can be read in one way only.
+_SPACED = rf"(?<![^\W_])(?:{_C})(?:(?:[^\w{_SIGNS}]|_)+(?:{_C})(?![^\W_{_SIGNS}])(?![{_SIGNS}]*[^\W_])){{2,}}"
 _DOTTED = r"(?<!\S)[^\W\d_](?:[.\-_~][^\W\d_])+(?!\w)"
 # A match begins at the beginning of a token or word, so that a search takes one pass over it.
-_MIXED = r"(?<!\S)\S*?(?:[^\W\d_][0-9@$!|+(<*€£]+[^\W\d_]|[0-9@$€£][^\W\d_]{2}|[^\W\d_]{2}[0-9@$€£])\S*"
+# Not whole: two stars or more at a word's edge are read as emphasis, for letters they take 0.1 s a word to decode.
+_MIXED = rf"(?<!\S)(?=\S*?[^\W\d_])\S*?(?:[0-9@$!|+(<€£]|(?<!\*)\*(?!\*)|[^\W\d_]\*+[^\W\d_])\S*"
 _REPEAT = r"(?<![^\W\d_])[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*"
 SUSPICIOUS = re.compile(f"{_SPACED}|{_DOTTED}|{_MIXED}|{_REPEAT}", re.IGNORECASE)
 
@@ -127,9 +130,10 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
         while i + run < len(span) and span[i + run] == c:
             run += 1
         if c == "*":
-            out += [[(x, _STAR) for x in _ANY] for _ in range(run)]
+            out += [[*((x, _STAR) for x in _ANY), (" ", _BREAK)] for _ in range(run)]
         elif c in LOOKALIKE:
-            one = [(x, _SUBSTITUTE) for x in LOOKALIKE[c]]
+            # A sign may be punctuation; a digit may not.
+            one = [(x, _SUBSTITUTE) for x in LOOKALIKE[c]] + ([] if c.isdigit() else [(" ", _BREAK)])
             out += [one] if run > 2 else [one] * run
         elif c.isalpha():
             out.append([(c, 0.0)])
@@ -141,12 +145,28 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+def _any_letter(states: dict, cost: float, model: np.ndarray) -> dict:
+    """The states after a character that may be any letter at the same cost."""
+    history = np.fromiter(states, np.int64, len(states))
+    score = np.array([x for x, _ in states.values()])
+    chains = [x for _, x in states.values()]
+    total = (score[:, None] + cost + model[history, 1:27]).ravel()
+    nxt = (((history[:, None] << 5) | np.arange(1, 27)) & 0x7FFF).ravel()
+    best = np.full(SYMBOLS**3, -np.inf)
+    np.maximum.at(best, nxt, total)
+    won = np.flatnonzero(total == best[nxt])
+    value, first = np.unique(nxt[won], return_index=True)
+    return {k: (float(total[at]), (chains[at // 26], _ANY[at % 26])) for k, at in zip(value.tolist(), won[first].tolist(), strict=True)}
+
+
 def viterbi(options: list[list[tuple[str, float]]], model: np.ndarray) -> str:
     """The likeliest reading of a lattice; of equal ones the first in order."""
     # A reading is a chain of (what is before, letter), so that a step takes the same time in a span of any length.
     states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for alternatives in [*options, [(" ", 0.0)]]:
         after: dict[int, tuple[float, tuple | None]] = {}
+        if len(alternatives) > 26:
+            after, alternatives = _any_letter(states, alternatives[0][1], model), alternatives[26:]
         for history, (score, text) in states.items():
             for letter, cost in alternatives:
                 if letter == "" or (letter == " " and history == 0):
@@ -173,40 +193,46 @@ def restore(text: str, model: np.ndarray, decode=None) -> str:
 
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in "0123456789@$!|+(<*"]] = True
-_STRONG = np.zeros(256, bool)
-_STRONG[[ord(c) for c in "0123456789@$"]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 _LETTER[0x80:] = True
 
 
 def suspicious_rows(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Rows that may have a suspicious span: signs between letters, a digit or
-    such beside a letter, three equal letters, or lone characters in a row."""
+    """Rows that may have a suspicious span; every match of SUSPICIOUS is in one.
+
+    Rows with other characters than ASCII and the letters from U+00C0 to U+00FF
+    are all in.  In others, a match of _MIXED lies between spaces and has a
+    letter and a sign; one of _REPEAT has three equal letters.  One of _SPACED
+    has a lone character between two that are alone or beside a sign, and one of
+    _DOTTED a lone letter, one separator, and a letter that is alone or beside a sign.
+    """
+    out = np.zeros(len(off) - 1, bool)
+    if not len(data):
+        return out
+    row_of = lambda at: np.searchsorted(off, at, "right") - 1
     # A space stands for the text's start and end; rows meet without a gap, which only flags too many.
-    data = np.concatenate([np.full(2, 32, np.uint8), data, np.full(2, 32, np.uint8)])
-    low, letter, sign, strong = LOWER_ASCII[data], _LETTER[data], _SIGN[data], _STRONG[data]
-    flag = np.zeros(len(data), bool)
-    flag[1:-1] |= strong[1:-1] & (letter[:-2] | letter[2:])
-    flag[1:-1] |= letter[1:-1] & (low[1:-1] == low[:-2]) & (low[1:-1] == low[2:])
-    first = np.flatnonzero(sign[1:-1] & ~sign[:-2]) + 1
-    last = np.flatnonzero(sign[1:-1] & ~sign[2:]) + 1
-    flag[first] |= letter[first - 1] & letter[last + 1]
-    flag[:-2] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x82) & (data[2:] == 0xAC)  # the euro sign
-    flag[:-2] |= (data[:-2] == 0xC2) & (data[1:-1] == 0xA3)  # the pound sign
-    # Lone characters, one beside another: a character, a gap, a character of one or two bytes, a gap.
-    apart = ~letter & ~sign
-    one = ~apart[2:-2] & apart[1:-3] & apart[3:-1] & (~apart[:-4] | ~apart[4:])
-    flag[2:-2] |= one
     wide = np.concatenate([data, np.full(6, 32, np.uint8)])
-    n, lead = len(data), data >= 0xC0
+    n, lead = len(data), data == 0xC3
     at = lambda k: wide[k : n + k]
-    alone = lead & np.concatenate([[False], apart[:-1]]) & ~_LETTER[at(2)] & ~_SIGN[at(2)]
-    flag |= alone & ((at(3) >= 0xC0) & ~_LETTER[at(5)] | (_LETTER[at(3)] | _SIGN[at(3)]) & ~_LETTER[at(4)])
-    flag |= lead & (at(2) == data) & (at(4) == data) & ((at(3) | 32) == (at(1) | 32)) & ((at(5) | 32) == (at(1) | 32))  # whatever their case
-    out = np.zeros(len(off) - 1, bool)
-    out[np.searchsorted(off, np.flatnonzero(flag[2:-2]), "right") - 1] = True
-    return out & (np.diff(off) > 0)
+    out[row_of(np.flatnonzero((data >= 0xC0) & ~lead | lead & ((at(1) == 0x97) | (at(1) == 0xB7))))] = True
+    low = LOWER_ASCII[wide]
+    three = _LETTER[data] & (low[:n] == low[1 : n + 1]) & (low[:n] == low[2 : n + 2])
+    three |= lead & (at(2) == 0xC3) & (at(4) == 0xC3) & ((at(3) | 32) == (at(1) | 32)) & ((at(5) | 32) == (at(1) | 32))  # whatever their case
+    out[row_of(np.flatnonzero(three))] = True
+    upto = lambda x: np.concatenate([[0], np.cumsum(x)])
+    letters, signs = upto(_LETTER[data]), upto(_SIGN[data])
+    start, end, row = words(data, off)
+    out[row[(letters[end] > letters[start]) & (signs[end] > signs[start])]] = True
+    start, end, row = words(data, off, ~(_LETTER | _SIGN))
+    if len(start) > 1:
+        alone = (end - start == 1) | (end - start == 2) & (data[start] >= 0x80)
+        near = alone | (signs[end] > signs[start])
+        follows = row[1:] == row[:-1]
+        dotted = follows & alone[:-1] & near[1:] & (start[1:] == end[:-1] + 1) & np.isin(data[end[:-1].clip(max=n - 1)], np.frombuffer(b".-_~", np.uint8))
+        out[row[1:][dotted]] = True
+        out[row[1:-1][follows[:-1] & follows[1:] & near[:-2] & alone[1:-1] & near[2:]]] = True
+    return out
 
 
 # --- features --------------------------------------------------------------------------------
