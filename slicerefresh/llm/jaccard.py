@@ -65,9 +65,9 @@ def token_order(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
 
 
 def _ordered(h: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Distinct tokens in the global order: 16 bits of count, then 48 of the hash."""
-    count = order[(h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)].astype(np.uint64)
-    return np.unique((count << np.uint64(48)) | (h >> np.uint64(16)))
+    """Distinct tokens (whole 64-bit hashes) in the global order: by count, then by hash."""
+    h = np.unique(h)
+    return h[np.argsort(order[(h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)], kind="stable")]
 
 
 def _signature(tokens: np.ndarray) -> np.uint64:
@@ -99,7 +99,7 @@ def _describe(shared, whole: bool, width: int, share: tuple[int, int]):
 
 @F.arrow_udf(T.IntegerType())
 def _overlap(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Intersections of sorted token lists."""
+    """Intersections of lists of distinct tokens."""
     av, bv = a.values.to_numpy().view(np.uint64), b.values.to_numpy().view(np.uint64)
     ao, bo = a.offsets.to_numpy(), b.offsets.to_numpy()
     return pa.array([len(np.intersect1d(av[ao[k] : ao[k + 1]], bv[bo[k] : bo[k + 1]], assume_unique=True)) for k in range(len(a))], pa.int32())
