@@ -1,6 +1,6 @@
 """The command line runs the production job over databases of published tables."""
 
-from conftest import SMOKE
+from helpers import SMOKE
 
 from slicerefresh import fixtures
 from slicerefresh.__main__ import run

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SMOKE
+from helpers import SMOKE
 from oracle_compare import compare
 
 import __spark_entry__ as E

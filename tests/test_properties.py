@@ -1,6 +1,6 @@
 """Properties of slice replacement over generated scopes (fixture at sf0.001)."""
 
-from conftest import SMOKE
+from helpers import SMOKE
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
