@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from slicerefresh.llm import decontam, exact_dedup, jaccard, langid, lm, mixing, suffix, toxicity, urlgraph, warc
+import public_tokenizers
+
+from slicerefresh.llm import bpe, decontam, exact_dedup, fim, jaccard, langid, lm, mixing, suffix, toxicity, urlgraph, warc
 from slicerefresh.llm.shared import table
 
 
@@ -46,6 +48,14 @@ def op10_url_filter(spark, sf):
     return urlgraph.judge(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_bpe_tokens(spark, sf):
+    return bpe.digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_fill_in_middle(spark, sf):
+    return fim.fill_in_middle(table(spark, sf, "documents"))
+
+
 def queries():
     return {
         "op1_toxicity": op1_toxicity,
@@ -58,12 +68,28 @@ def queries():
         "op8_warc": op8_warc,
         "op9_mixing": op9_mixing,
         "op10_url_filter": op10_url_filter,
+        "op11_bpe_tokens": op11_bpe_tokens,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_UNITS = r"regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+')"
+
 ORACLE = {
+    "op13_fill_in_middle": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_UNITS} AS units, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+e AS (SELECT *, len(units)::BIGINT AS n, list_transform(range(4), lambda k: ('0x' || substr(h, 8 * k + 1, 8))::BIGINT) AS hs FROM d),
+c AS (SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS low, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS high,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 50 THEN 'plain'
+    WHEN hs[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM e),
+p AS (SELECT *, array_to_string(units[:low], '') AS pre, array_to_string(units[low + 1:high], '') AS mid, array_to_string(units[high + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p""",
     "op7_exact_dedup": f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS low FROM documents),
 g AS (SELECT low, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY low)
