@@ -23,6 +23,9 @@ a special token, a contraction or a merge may still change.  ``Decoder.feed``
 takes ids and returns text: a state machine from bytes to characters, which
 holds back the bytes of an unfinished character.  Memory does not grow with the
 text, but for the memo of short words (``MEMO_WORDS`` entries, then cleared).
+Short texts are taken together in blocks: their words are found and told apart in
+arrays, and those that the memo does not hold are merged all at once, in each
+step every word's merge of the least rank.
 
 Defined results: null text and empty text have no ids and the decoded text ``""``;
 null ids are kept as ids of rows; repeated rows are encoded each; extra columns
@@ -36,11 +39,11 @@ import heapq
 import json
 import re
 import unicodedata
-from array import array
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +57,10 @@ BLOCK = 4096
 #: Words whose ids are remembered, and the longest such word.
 MEMO_WORDS = 1 << 18
 MEMO_LENGTH = 48
+#: Words that are merged at a time, so that the arrays stay in the processor's cache.
+MERGED = 1 << 14
+#: Characters of short texts whose words are looked up together.
+TOGETHER = 1 << 22
 
 END = "</w>"
 # --- Fixed values: the word pattern of the vocabulary file -------------------
@@ -94,6 +101,11 @@ def _ranges(chars: list[str]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
+#: No merge, as a rank; kinds of characters.
+_NEVER = 1 << 30
+SPACE, LETTER, NUMBER, OTHER = range(4)
+
+
 class Vocabulary:
     """What executors need of a vocabulary file; its size is that of the file."""
 
@@ -115,10 +127,26 @@ class Vocabulary:
         for name, cls in (("letter", r"\p{L}"), ("number", r"\p{N}"), ("space", r"\s")):
             found = pre_tokenizers.Split(Regex(f"[{cls}]+"), "removed", invert=True).pre_tokenize_str("".join(everything))
             kinds[name] = sorted(c for run, _ in found for c in run)
+        self.kind = np.full(0x110000, OTHER, np.uint8)
+        for name, number in (("letter", LETTER), ("number", NUMBER), ("space", SPACE)):
+            self.kind[[ord(c) for c in kinds[name]]] = number
         low = {k: _ranges([c for c in v if c <= "￿"]) for k, v in kinds.items()}
         self.letters, self.others = f"[{low['letter']}]+", f"[^{low['space']}{low['letter']}{low['number']}]+"
         self.pattern = "|".join([*CONTRACTIONS, self.letters, f"[{low['number']}]", self.others])
         # Characters beyond U+FFFF are split as one of their kind below it.
+        # The same merges for arrays: sorted pairs of ids, their ranks, and the id that each rank makes.
+        pairs = np.array([self.ids[a] << 32 | self.ids[b] for a, b in merges], np.int64)
+        self.by_pair = np.argsort(pairs, kind="stable")
+        self.pairs = pairs[self.by_pair]
+        self.makes = np.array([self.ids[a + b] for a, b in merges], np.int32)
+        # Ids of single bytes, within a word and at its end, and the ranks of pairs of these.
+        self.single = np.array([self.ids[c + end] for end in ("", END) for c in byte_symbols()], np.int32)
+        self.first = np.full((256, 512), _NEVER, np.int32)
+        place = {k: n for n, k in enumerate(self.single.tolist())}
+        for k, (a, b) in enumerate(merges):
+            left, right = place.get(self.ids[a], 256), place.get(self.ids[b])
+            if left < 256 and right is not None:
+                self.first[left, right] = k
         self.stand_in = {ord(c): s for kind, s in (("letter", "x"), ("number", "1"), ("space", " ")) for c in kinds[kind] if c > "￿"}
         self.path = path
         self.kept: Encoder | None = None
@@ -154,6 +182,68 @@ class Merger:
         self.symbol = byte_symbols()
         self.memo = _Memo(self.word)
 
+    def learn(self, words: list[str]) -> None:
+        """Put short words into the memo, merged all at once."""
+        new = [w for w in words if w not in self.memo and len(w) <= MEMO_LENGTH]
+        if len(self.memo) + len(new) > MEMO_WORDS:
+            self.memo.clear()
+            new = [w for w in words if len(w) <= MEMO_LENGTH]
+        for k in range(0, len(new), MERGED):
+            self.memo.update(zip(new[k : k + MERGED], self.merged_words(new[k : k + MERGED]), strict=True))
+
+    def merged_words(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of many words: in each step every word applies its merge of the least rank."""
+        coded = [w.encode() for w in words]
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        symbol = np.frombuffer(b"".join(coded), np.uint8).astype(np.int32)
+        last = np.cumsum(size) - 1
+        symbol[last] += 256
+        t, name = self.v.single[symbol], np.arange(len(words))
+        rank = np.full(len(t), _NEVER, np.int32)
+        rank[:-1] = self.v.first[symbol[:-1] & 255, symbol[1:]]
+        rank[last] = _NEVER
+        tokens, sizes, names = [], [], []
+        while len(name):
+            least = np.minimum.reduceat(rank, np.cumsum(size) - size)
+            open_ = least < _NEVER
+            if not open_.all():  # words that are done leave
+                stays = np.repeat(open_, size)
+                tokens.append(t[~stays])
+                sizes.append(size[~open_])
+                names.append(name[~open_])
+                t, rank, size, name, least = t[stays], rank[stays], size[open_], name[open_], least[open_]
+                if not len(name):
+                    break
+            at = np.flatnonzero(rank == np.repeat(least, size))
+            if len(at) > len(name):  # the same merge several times in a word: from the left, not overlapping
+                fresh = np.append(True, np.diff(at) > 1)
+                begin = np.flatnonzero(fresh)
+                at = at[(np.arange(len(at)) - begin[np.cumsum(fresh) - 1]) % 2 == 0]
+            t[at] = self.v.makes[rank[at]]
+            stays = np.ones(len(t), bool)
+            stays[at + 1] = False
+            size = np.add.reduceat(stays, np.cumsum(size) - size, dtype=np.int64)
+            t, rank = t[stays], rank[stays]
+            at -= np.arange(len(at))
+            near = np.zeros(len(t), bool)
+            near[at] = near[np.maximum(at - 1, 0)] = True
+            near[np.cumsum(size) - 1] = False
+            rank[at] = _NEVER  # a word's last token begins no pair
+            near = np.flatnonzero(near)
+            rank[near] = self._ranks(t, near)
+        size, name = np.concatenate(sizes), np.concatenate(names)
+        flat, end = np.concatenate(tokens).tolist(), np.cumsum(size)
+        out: list[tuple[int, ...]] = [()] * len(words)
+        for k, a, b in zip(name.tolist(), (end - size).tolist(), end.tolist()):
+            out[k] = tuple(flat[a:b])
+        return out
+
+    def _ranks(self, t: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs that begin at ``at``."""
+        key = t[at].astype(np.int64) << 32 | t[at + 1]
+        found = np.minimum(np.searchsorted(self.v.pairs, key), len(self.v.pairs) - 1)
+        return np.where(self.v.pairs[found] == key, self.v.by_pair[found], _NEVER)
+
     def symbols(self, word: str) -> list[str]:
         return [self.symbol[b] for b in word.encode("utf-8", "replace")]
 
@@ -243,6 +333,9 @@ class WordStream:
         return [ids[t] for t in self.merger.merged(self.held)]
 
 
+_NONE = np.empty(0, np.int32)
+
+
 def _seconds() -> frozenset[str]:
     """Characters that may compose with the one before them without being marks."""
     pairs = (unicodedata.decomposition(chr(c)).split() for c in range(0xA0, 0x20000))
@@ -297,6 +390,73 @@ class Encoder:
         self.reset()
         return out
 
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of several whole texts; short ones are taken together."""
+        out: list[np.ndarray] = [_NONE] * len(texts)
+        held: list[int] = []
+        size = 0
+        for k, text in enumerate(texts):
+            if len(text) > PIECE or self.special.search(text):
+                out[k] = np.array(self.encode(text), np.int32)
+                continue
+            held.append(k)
+            size += len(text)
+            if size > TOGETHER:
+                self._block(texts, held, out)
+                held, size = [], 0
+        self._block(texts, held, out)
+        return out
+
+    def _block(self, texts: list[str], held: list[int], out: list[np.ndarray]) -> None:
+        words, per_text = self._found_words([self._normal_form(texts[k]) for k in held])
+        if not len(words):
+            return
+        coded = words.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        self.merger.learn(different)
+        ids = [self.merger.memo[w] for w in different]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        which = coded.indices.to_numpy()
+        size = sizes[which]
+        end = np.cumsum(size)
+        place = np.repeat((np.cumsum(sizes) - sizes)[which] - (end - size), size) + np.arange(end[-1])
+        stops = np.append(0, end)[np.append(0, np.cumsum(per_text))]
+        every = flat[place]
+        for k, a, b in zip(held, stops[:-1].tolist(), stops[1:].tolist()):
+            out[k] = every[a:b]
+
+    def _found_words(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """Words of normal texts, one after the other, and how many each text has."""
+        joined = "\n".join([*texts, "", ""])  # text ends and two characters to look ahead are space
+        code = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        kind = self.v.kind[code]
+        word = kind != SPACE
+        begins = word.copy()
+        begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+        # Contractions begin where a run of other signs begins, and end within or with a run of letters.
+        at = np.flatnonzero(begins & (code == ord("'")))
+        a, b = code[at + 1], code[at + 2]
+        for short in CONTRACTIONS:
+            if len(short) == 2:
+                here = at[a == ord(short[1])]
+            else:
+                here = at[(a == ord(short[1])) & (b == ord(short[2]))]
+            begins[here + 1] = False
+            after = here + len(short)
+            begins[after[kind[after] == LETTER]] = True
+        start = np.flatnonzero(begins)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        per_text = np.diff(np.searchsorted(start, np.append(0, ends)))
+        data = np.frombuffer(joined.encode(), np.uint8)
+        if len(data) == len(code):
+            kept, place = data[word], np.cumsum(word)
+        else:
+            length = 1 + (code >= 0x80).astype(np.int32) + (code >= 0x800) + (code >= 0x10000)
+            kept, place = data[np.repeat(word, length)], np.cumsum(np.where(word, length, 0))
+        offsets = np.append(np.append(0, place)[start], len(kept)).astype(np.int32)
+        return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(kept)), per_text
+
     def _safe(self, text: str) -> int:
         """Where the text may be cut: no special token and no normal form goes across."""
         for k in range(len(text) - self.longest, 0, -1):
@@ -310,20 +470,27 @@ class Encoder:
         return 0
 
     def _normal(self, text: str, last: bool) -> list[int]:
+        return self._words(self._normal_form(text), last)
+
+    def _normal_form(self, text: str) -> str:
         if text.isascii():
-            return self._words(text.lower(), last)
+            return text.lower()
         if any(c > "ɏ" and unicodedata.category(c) == "Cn" for c in set(text)):  # newer than Python's tables
             if self.library is None:
                 from tokenizers import Tokenizer
 
                 self.library = Tokenizer.from_file(self.v.path).normalizer
-            return self._words(self.library.normalize_str(text), last)
+            return self.library.normalize_str(text)
         text = unicodedata.normalize("NFC", text)
         # Each character by itself: Python's lower() has a rule for the last sigma of a word.
-        return self._words(text.replace("Σ", "σ").lower(), last)
+        return text.replace("Σ", "σ").lower()
+
+    def _shaped(self, text: str) -> tuple[str, str]:
+        """The text, and the same with characters beyond U+FFFF as one of their kind below it."""
+        return text, text.translate(self.v.stand_in) if not text.isascii() and max(text) > "￿" else text
 
     def _words(self, text: str, last: bool) -> list[int]:
-        shape = text.translate(self.v.stand_in) if not text.isascii() and max(text) > "￿" else text
+        text, shape = self._shaped(text)
         out: list[int] = []
         at = 0
         if self.run:
@@ -337,8 +504,7 @@ class Encoder:
             self.run = None
         if last and not self.rest:
             return out + self._found(text, shape, at)
-        text = self.rest + text[at:]
-        shape = text.translate(self.v.stand_in) if not text.isascii() and max(text) > "￿" else text
+        text, shape = self._shaped(self.rest + text[at:])
         if last:
             self.rest = ""
             return out + self._found(text, shape, 0)
@@ -356,12 +522,13 @@ class Encoder:
             self.rest, self.run = "", (kind, stream)
         return out
 
-    def _found(self, text: str, shape: str, at: int) -> list[int]:
+    def _split(self, text: str, shape: str, at: int = 0) -> list[str]:
         if shape is text:
-            words = self.find.findall(text, at)
-        else:
-            words = [text[m.start() : m.end()] for m in self.find.finditer(shape, at)]
-        return list(chain.from_iterable(map(self.merger.memo.__getitem__, words)))
+            return self.find.findall(text, at)
+        return [text[m.start() : m.end()] for m in self.find.finditer(shape, at)]
+
+    def _found(self, text: str, shape: str, at: int) -> list[int]:
+        return list(chain.from_iterable(map(self.merger.memo.__getitem__, self._split(text, shape, at))))
 
 
 class Decoder:
@@ -374,26 +541,28 @@ class Decoder:
     def __init__(self, vocabulary: Vocabulary, plain: bool = False) -> None:
         byte_of = {s: b for b, s in enumerate(byte_symbols())}
         self.between = b"" if plain else b" "
-        self.bytes: dict[int, bytes] = {}
+        token_bytes: dict[int, bytes] = {}
         for token, k in vocabulary.ids.items():
             if plain:
                 body, end = (token[: -len(END)], b" ") if token.endswith(END) else (token, b"")
-                self.bytes[k] = bytes(byte_of[c] for c in body) + end
+                token_bytes[k] = bytes(byte_of[c] for c in body) + end
             else:
-                self.bytes[k] = token.encode()
-        self.bytes |= {k: token.encode() for token, k in vocabulary.special.items()}
+                token_bytes[k] = token.encode()
+        token_bytes |= {k: token.encode() for token, k in vocabulary.special.items()}
+        self.bytes = pa.array([token_bytes.get(k, b"") for k in range(max(token_bytes) + 1)], pa.binary())
         self.reset()
 
     def reset(self) -> None:
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
         self.begun = False
 
-    def feed(self, ids: list[int]) -> str:
+    def feed(self, ids) -> str:
         if not len(ids):
             return ""
-        data = self.between.join(map(self.bytes.__getitem__, ids))
-        if self.begun:
-            data = self.between + data
+        found = self.bytes.take(pa.array(ids, pa.int32()))
+        data = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found), self.between)[0].as_buffer()
+        if self.begun and self.between:
+            data = self.between + bytes(data)
         self.begun = True
         return self.state.decode(data)
 
@@ -402,13 +571,13 @@ class Decoder:
         self.reset()
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids) -> str:
         """Text of one row of ids."""
         return "".join([*(self.feed(ids[k : k + PIECE]) for k in range(0, len(ids), PIECE)), self.finish()])
 
 
-#: Rows whose ids are handed on at a time: as many as give so many ids.
-FLUSH_IDS = 1 << 20
+#: Rows that are encoded and handed on at a time.
+ROWS = 1000
 
 
 def _replaced(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
@@ -439,14 +608,10 @@ def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
         for batch in batches:
             texts = batch.column(text_col)
             batch = batch.drop_columns([text_col])
-            begin, ids, ends = 0, array("i"), [0]
-            for k in range(len(texts)):
-                ids.extend(encoder.encode(texts[k].as_py() or ""))
-                ends.append(len(ids))
-                if len(ids) >= FLUSH_IDS or k + 1 == len(texts):
-                    column = list_array(np.array(ends), pa.array(np.array(ids, np.int32)))
-                    yield _replaced(batch.slice(begin, k + 1 - begin), "ids", column)
-                    begin, ids, ends = k + 1, array("i"), [0]
+            for at in range(0, len(texts), ROWS):
+                rows = encoder.encode_many([t or "" for t in texts[at : at + ROWS].to_pylist()])
+                column = list_array(np.cumsum([0, *map(len, rows)]), pa.array(np.concatenate(rows)))
+                yield _replaced(batch.slice(at, len(rows)), "ids", column)
 
     return docs.mapInArrow(run, _schema(docs.drop(text_col), "ids", T.ArrayType(T.IntegerType())))
 
@@ -459,7 +624,8 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", plain: bool = False
         decoder = Decoder(shared.value, plain)
         for batch in batches:
             ids = batch.column(ids_col)
-            texts = [decoder.decode(ids[k].values.to_pylist() if ids[k].is_valid else []) for k in range(len(ids))]
+            flat, at = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
+            texts = [decoder.decode(flat[a:b]) for a, b in zip(at, at[1:])]
             yield _replaced(batch, "decoded", pa.array(texts, pa.string()))
 
     return rows.mapInArrow(run, _schema(rows, "decoded", T.StringType()))

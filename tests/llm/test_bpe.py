@@ -1,0 +1,111 @@
+"""Encoding and decoding against the tokenizers library, whole texts and pieces of any size."""
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from conftest import EDGE
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from slicerefresh.llm import bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.Vocabulary(PATH)
+
+
+def ids_of(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def in_pieces(encoder, text, sizes):
+    out, at, k = [], 0, 0
+    while at < len(text):
+        out += encoder.feed(text[at : at + sizes[k % len(sizes)]])
+        at, k = at + sizes[k % len(sizes)], k + 1
+    return out + encoder.finish()
+
+
+TEXTS = [
+    "", " ", "plain words, and numbers 1234½²", "it's I'll we'RE they'd 'tis rock'n'roll '", "a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|",
+    "ÉTÉ été é ΣΑΣ İstanbul ſ K ạ̈", "가각힣ᄀ 漢字かな カタカナ", "𝔘𝔫𝔦 😀🇩🇪👨‍👩‍👧 𐌀", "\x1c\x85\xa0  \x00\x07", "Ɤ\U00010d50\U00016ea0 Ᲊ",
+    "=" * 1000, "aaaa" * 3000, "don't" * 2000, " " * 50_000 + "x",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_equals_the_library(vocabulary, text):
+    encoder, decoder = bpe.Encoder(vocabulary), bpe.Decoder(vocabulary)
+    ids = ids_of(text)
+    assert encoder.encode(text) == ids
+    for sizes in ([1], [2, 5], [700]):
+        assert in_pieces(encoder, text, sizes) == ids
+    assert decoder.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=80), st.lists(st.integers(1, 9), min_size=1, max_size=4))
+def test_any_text_in_any_pieces(text, sizes):
+    text = text.encode("utf-8", "ignore").decode()
+    encoder = bpe.Encoder(_shared())
+    assert encoder.encode(text) == ids_of(text) == in_pieces(encoder, text, sizes)
+
+
+def _shared(cache=[]):  # noqa: B006
+    if not cache:
+        cache.append(bpe.Vocabulary(PATH))
+    return cache[0]
+
+
+def test_long_words_are_encoded_in_blocks(vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 300)
+    rng = random.Random(7)
+    encoder = bpe.Encoder(vocabulary)
+    for letters in ("etaoinshrdlu", "ab", "=-!", "àeiou"):
+        word = "".join(rng.choice(letters) for _ in range(5_000))
+        assert encoder.encode(word) == ids_of(word)
+        stream, most = bpe.WordStream(encoder.merger), 0
+        for k in range(0, len(word), 100):
+            stream.feed(encoder.merger.symbols(word[k : k + 100]))
+            most = max(most, len(stream.held))
+        assert most < 300 + 200 + max(vocabulary.after.values())  # what is held does not grow with the word
+
+
+def test_lookahead_is_sufficient_and_needed():
+    merges = [("b", "c"), ("a", "b"), ("x", "ab")]
+    after = bpe.lookahead(merges)
+    # ab is undone by c behind b; so is x + ab, whose right edge is ab's.
+    assert after == {"b": 1, "bc": 0, "a": 2, "ab": 1, "x": 3, "xab": 1}
+
+
+def test_decoder_holds_back_unfinished_characters(vocabulary):
+    encoder, decoder = bpe.Encoder(vocabulary), bpe.Decoder(vocabulary, plain=True)
+    ids = encoder.encode("ſ漢 😀 straße")
+    assert "".join([*(decoder.feed([i]) for i in ids), decoder.finish()]) == "ſ漢 😀 straße "
+    parts = [decoder.feed([i]) for i in encoder.encode("𐌀")]
+    assert parts[0] == "" and "".join(parts).strip() == "𐌀"
+
+
+def test_odd_rows(spark, edge, empty):
+    tokens = bpe.encode(edge, PATH)
+    assert tokens.columns == [c for c in edge.columns if c != "text"] + ["ids"]
+    rows = bpe.digests(edge, PATH).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == sorted(
+        (str(e[0]), len(i := ids_of(e[1] or "")), hashlib.sha256(" ".join(map(str, i)).encode()).hexdigest(),
+         hashlib.sha256(LIBRARY.decode(i, skip_special_tokens=False).encode()).hexdigest())
+        for e in EDGE
+    )
+    assert bpe.digests(empty, PATH).collect() == []
+
+
+def test_the_query_over_whole_documents(small):
+    expected = {r.doc_id: ids_of(r.text or "") for r in small.collect()}
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(small.select("doc_id", "text"), PATH).collect()}
+    assert got == expected
