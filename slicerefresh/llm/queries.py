@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from slicerefresh.llm import bpe, decontam, exact_dedup, fim, jaccard, langid, lm, mixing, suffix, toxicity, urlgraph, warc
+from slicerefresh.llm import bpe, decontam, exact_dedup, fim, jaccard, langid, lm, mixing, phrases, suffix, toxicity, urlgraph, warc
 from slicerefresh.llm.shared import table
 
 
@@ -52,6 +52,10 @@ def op11_bpe_tokens(spark, sf):
     return bpe.digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_phrases(spark, sf):
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
 def op13_fill_in_middle(spark, sf):
     return fim.fill_in_middle(table(spark, sf, "documents"))
 
@@ -69,6 +73,7 @@ def queries():
         "op9_mixing": op9_mixing,
         "op10_url_filter": op10_url_filter,
         "op11_bpe_tokens": op11_bpe_tokens,
+        "op12_phrases": op12_phrases,
         "op13_fill_in_middle": op13_fill_in_middle,
     }
 
@@ -78,6 +83,24 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _UNITS = r"regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op12_phrases": rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+w AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS ws FROM t),
+sizes AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, ws[i:i + d - 1] AS p, count(*) AS f
+  FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w), (SELECT unnest(range(1, 6)) AS d)
+  WHERE i + d - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1),
+k AS (SELECT c.*, unnest(range(1, len(p))) AS k FROM c),
+s AS (SELECT k.lang, k.p, k.a, k.k, x.f AS l, y.f AS r, n, (1000::HUGEINT * k.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.p = k.p[:k.k] JOIN f y ON y.lang = k.lang AND y.p = k.p[k.k + 1:] JOIN sizes z ON z.lang = k.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+i AS (SELECT DISTINCT lang, p[x.i:x.i + y.d - 1] AS p, a FROM c, (SELECT unnest(range(1, 5)) AS i) x, (SELECT unnest(range(2, 5)) AS d) y
+  WHERE y.d < len(p) AND x.i + y.d - 1 <= len(p)),
+m AS (SELECT lang, p, max(a) AS longer FROM i GROUP BY ALL),
+r AS (SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM b LEFT JOIN m ON m.lang = b.lang AND m.p = b.p WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase::BLOB) AS rank FROM r) WHERE rank <= 2000""",
     "op13_fill_in_middle": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_UNITS} AS units, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
 e AS (SELECT *, len(units)::BIGINT AS n, list_transform(range(4), lambda k: ('0x' || substr(h, 8 * k + 1, 8))::BIGINT) AS hs FROM d),
