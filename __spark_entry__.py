@@ -24,21 +24,22 @@ from slicerefresh.operators.replace import distinct_rows, slice_append, slice_de
 from slicerefresh.operators.scope import Scope
 from slicerefresh.operators.status import practice_filter, practice_high_water, refresh_status
 from slicerefresh.plans.incremental import publish_partitioned, sync_incremental
-from slicerefresh.plans.publish import BucketSpec, default_num_buckets, layout_write, publish_table
+from slicerefresh.plans.publish import BucketSpec, default_num_buckets, layout_report, layout_write, publish_table
 from slicerefresh.plans.sync import (
-    ORIGINAL_FORMAT,
+    PLAIN_FORMAT,
     Preset,
     SnapshotFormat,
     StatusTarget,
     read_snapshot,
+    restore_backup,
     sync_all,
     sync_from_snapshot,
     sync_table,
     write_snapshot,
 )
-from slicerefresh.schema import CANONICAL, FACT_TYPES, LAYOUTS, TABLE_ORDER, conform, evolve_schema, layout
+from slicerefresh.schema import CANONICAL, FACT_TYPES, LAYOUTS, TABLE_ORDER, conform, conform_rejects, evolve_schema, layout
 from slicerefresh.session import scratch_path
-from slicerefresh.sources.delimited import read_delimited, write_delimited
+from slicerefresh.sources.delimited import read_delimited, reject_counts, write_delimited
 from slicerefresh.sources.tables import register_views, slice_sql
 
 try:
@@ -205,6 +206,44 @@ def _layout(table: str):
     return q
 
 
+def _layout_proof(table: str):
+    """A result written in a layout's order, and how far its files are in order."""
+
+    def q(spark, sf):
+        path = scratch_path(spark, f"proof-{table}")
+        layout_write(_replace("list")(spark, sf), LAYOUTS[table], path)
+        report = layout_report(spark.read.parquet(path), LAYOUTS[table])
+        return report.select(F.lit(table).alias("table_name"), "n_rows", "n_descents", "n_overlaps")
+
+    return q
+
+
+def _bad_text(spark, sf) -> DataFrame:
+    """The fixture's base as text, with values that do not parse (``fx.BAD_VALUES``)."""
+    b = fx.base(spark, sf)
+    text = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") if FACT_TYPES[c] == "timestamp" else F.col(c).cast("string") for c in CANONICAL}
+    return b.select(*[F.when(F.expr(fx.BAD_VALUES[c][0]), F.lit(fx.BAD_VALUES[c][1])).otherwise(text[c]).alias(c) if c in fx.BAD_VALUES else text[c].alias(c) for c in CANONICAL])
+
+
+def _read_rejects(codec: str):
+    """Values of a snapshot that do not parse, counted per column in the scan that reads it."""
+
+    def q(spark, sf):
+        path = scratch_path(spark, f"rejects-{codec}")
+        fmt = SnapshotFormat(header=False, evolved=True, codec=codec)
+        write_delimited(_bad_text(spark, sf), path, header=False, columns=fmt.columns(BY_LOCATION), codec=codec)
+        return reject_counts(read_delimited(spark, path, fmt.schema(BY_LOCATION), codec=codec, rejects=True))
+
+    return q
+
+
+def q_conform_rejects(spark, sf):
+    """Values that a lenient conform turns into nulls, counted per column."""
+    text = _bad_text(spark, sf)
+    named = text.select(F.explode(conform_rejects(text)).alias("column_name"))
+    return named.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
 # --- publishing jobs ---------------------------------------------------------
 
 
@@ -262,7 +301,7 @@ def _snapshot_job(kind: str, variant: bool):
         preset = Preset("family/clean" if variant else "clean", "", "")
         snap_in = preset.snapshot_in(base, "run1")
         for t in TABLE_ORDER:  # the snapshots the job starts from
-            write_delimited(prod, snap_in(t), header=ORIGINAL_FORMAT.header, columns=ORIGINAL_FORMAT.columns(t))
+            write_delimited(prod, snap_in(t), header=PLAIN_FORMAT.header, columns=PLAIN_FORMAT.columns(t))
         staged = _table_name("staging")
         publish_table(staging, staged, f"{base}/staging")
         targets = {t: _table_name("target") for t in TABLE_ORDER}
@@ -288,7 +327,7 @@ def q_snapshot_chain(spark, sf):
     prod, staging = _inputs(spark, sf)
     staged = _table_name("staging")
     publish_table(staging, staged, f"{base}/staging")
-    write_snapshot(prod, f"{base}/run0/{BY_MEASURE}", BY_MEASURE, ORIGINAL_FORMAT)
+    write_snapshot(prod, f"{base}/run0/{BY_MEASURE}", BY_MEASURE, PLAIN_FORMAT)
     for run, kind in enumerate(("list", "all")):
         sync_from_snapshot(
             spark,
@@ -312,6 +351,82 @@ def q_sync_table_backup(spark, sf):
     return read_delimited(spark, f"{root}/backup/{BY_PROVIDER}", fmt.schema(BY_PROVIDER), header=True).select(*CANONICAL)
 
 
+def _backed_up(spark, sf, table: str) -> tuple[str, str]:
+    """A refreshed table and the folder of its backups."""
+    root, current, staged = _publish_inputs(spark, sf, table)
+    sync_table(spark, table, current=current, staging=staged, scope=_scope("list", spark.table(staged)), target=current,
+               root=f"{root}/current", backup_for=lambda t: f"{root}/backup/{t}")
+    return root, current
+
+
+def q_restore_from_backup(spark, sf):
+    """The backup of a refresh is the input of the snapshot job: the clean rows as they were before it."""
+    root, _ = _backed_up(spark, sf, BY_PROVIDER)
+    target = _table_name("restored")
+    sync_from_snapshot(spark, scope=Scope.of(fx.NO_MATCH_PRACTICES, fx.LIST_MEASURES), snapshot_in_for=lambda t: f"{root}/backup/{t}",
+                       staging_for=lambda t: fx.staging(spark, sf), target_for=lambda t: target, root_for=lambda t: f"{root}/restored",
+                       tables=(BY_PROVIDER,))
+    return spark.table(target).select(*CANONICAL)
+
+
+def q_restore_backup_exact(spark, sf):
+    """The pre-image put back in place: every row as it was, dirty ones too."""
+    root, current = _backed_up(spark, sf, BY_LOCATION)
+    restore_backup(spark, BY_LOCATION, backup=f"{root}/backup/{BY_LOCATION}", target=current, root=f"{root}/current")
+    return spark.table(current).select(*CANONICAL)
+
+
+def _sliced(table: str, kind: str, dirty_start: bool = False):
+    """A layout partitioned by the slice's hash, refreshed in place: only slices that hold rows in scope are rewritten."""
+
+    def q(spark, sf):
+        root = scratch_path(spark, "sliced")
+        prod, staging = _inputs(spark, sf)
+        name = _table_name("sliced")
+        start = prod if dirty_start else distinct_rows(control_char_filter(prod))
+        publish_partitioned(start, name, f"{root}/{name}", LAYOUTS[table], slices=32)
+        sync_incremental(spark, name, staging=staging, scope=_scope(kind, staging), root=f"{root}/{name}", layout=LAYOUTS[table])
+        return spark.table(name).select(*CANONICAL)
+
+    return q
+
+
+def q_snapshot_chain_partitioned(spark, sf):
+    """A table by slices refreshed twice with its snapshot in one folder: the second time only touched slices are exported."""
+    base = scratch_path(spark, "chain_partitioned")
+    prod, staging = _inputs(spark, sf)
+    staged, name = _table_name("staging"), _table_name("sliced")
+    publish_table(staging, staged, f"{base}/staging")
+    for kind, current in (("list", prod), ("all", name)):
+        sync_table(
+            spark, BY_PROVIDER, current=current, staging=staged, scope=_scope(kind, spark.table(staged)), target=name, root=f"{base}/table",
+            slices=16, snapshot_for=lambda t: f"{base}/snapshot/{t}", snapshot_format=SnapshotFormat(header=True, evolved=True, partitioned=True),
+        )
+    return read_snapshot(spark, f"{base}/snapshot/{BY_PROVIDER}", BY_PROVIDER)
+
+
+def q_sync_all_sliced(spark, sf):
+    """Four new tables by slices from the list scope, then refreshed in place by all of staging, with the status table."""
+    base = scratch_path(spark, "sync_all_sliced")
+    prod, staging = _inputs(spark, sf)
+    staged, status_table = _table_name("staging"), _table_name("status")
+    publish_table(staging, staged, f"{base}/staging")
+    publish_table(fx.status(spark, sf), status_table, f"{base}/status")
+    targets = {t: _table_name(t.rsplit("_", 1)[-1]) for t in TABLE_ORDER}
+    for kind, current_for in (("list", lambda t: prod), ("all", lambda t: targets[t])):
+        sync_all(
+            spark,
+            scope=_scope(kind, spark.table(staged)),
+            current_for=current_for,
+            staging_for=lambda t: staged,
+            target_for=lambda t: targets[t],
+            root_for=lambda t: f"{base}/{t}",
+            slices=16,
+            status=StatusTarget(status_table, f"{base}/status", F.lit(fx.REFRESHED_AT).cast("timestamp_ntz")),
+        )
+    return _tagged({t: spark.table(targets[t]) for t in TABLE_ORDER})
+
+
 def q_evolve_published_table(spark, sf):
     """A published table of 26 columns, refreshed in place: it gets ``datasource``."""
     root = scratch_path(spark, "evolve")
@@ -481,6 +596,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layout_by_provider": _layout(BY_PROVIDER),
         "layout_by_location": _layout(BY_LOCATION),
         "layout_by_measure": _layout(BY_MEASURE),
+        **{f"layout_proof_{t.rsplit('_', 1)[-1]}": _layout_proof(t) for t in TABLE_ORDER},
+        "read_rejects": _read_rejects("lossless"),
+        "read_rejects_legacy": _read_rejects("legacy"),
+        "conform_rejects": q_conform_rejects,
+        "restore_from_backup": q_restore_from_backup,
+        "restore_backup_exact": q_restore_backup_exact,
+        "sync_sliced_provider_list": _sliced(BY_PROVIDER, "list"),
+        "sync_sliced_location_all": _sliced(BY_LOCATION, "all"),
+        "sync_sliced_measure_dedupe": _sliced(BY_MEASURE, "list", dirty_start=True),
+        "sync_sliced_practice_absent": _sliced(BY_PRACTICE, "absent"),
+        "sync_all_sliced": q_sync_all_sliced,
+        "snapshot_chain_partitioned": q_snapshot_chain_partitioned,
         "sync_table_by_practice": _sync_table(BY_PRACTICE, "list"),
         "sync_table_by_provider": _sync_table(BY_PROVIDER, "all"),
         "sync_table_by_location": _sync_table(BY_LOCATION, "all_practices"),
@@ -664,6 +791,24 @@ def oracle_sql() -> dict[str, str]:
         "layout_by_provider": _replace_sql("list"),
         "layout_by_location": _replace_sql("list"),
         "layout_by_measure": _replace_sql("list"),
+        **{
+            f"layout_proof_{t.rsplit('_', 1)[-1]}": w(
+                f"SELECT '{t}' AS table_name, count(*) AS n_rows, 0::BIGINT AS n_descents, 0::BIGINT AS n_overlaps FROM result", **_replace_ctes("list")
+            )
+            for t in TABLE_ORDER
+        },
+        "read_rejects": _rejects_sql(),
+        "read_rejects_legacy": _rejects_sql(),
+        "conform_rejects": _rejects_sql(),
+        "restore_from_backup": w("SELECT * FROM clean_prod"),
+        "restore_backup_exact": w("SELECT * FROM prod"),
+        "sync_sliced_provider_list": _replace_sql("list"),
+        "sync_sliced_location_all": _replace_sql("all"),
+        "sync_sliced_measure_dedupe": _replace_sql("list"),
+        "sync_sliced_practice_absent": _replace_sql("absent"),
+        "snapshot_chain_partitioned": _chain_sql("SELECT * FROM second_run"),
+        "sync_all_sliced": _chain_sql("SELECT table_name, d.* FROM (SELECT * FROM second_run) d CROSS JOIN (VALUES "
+                                      + ", ".join(f"('{t}')" for t in TABLE_ORDER) + ") AS names(table_name)"),
         "sync_table_by_practice": _replace_sql("list"),
         "sync_table_by_provider": _replace_sql("all"),
         "sync_table_by_location": _replace_sql("all_practices"),
@@ -672,10 +817,7 @@ def oracle_sql() -> dict[str, str]:
         "sync_table_collapse": _key_collapse_sql("SELECT * FROM clean_prod"),
         "sync_from_snapshot": _tagged_sql("list", [*TABLE_ORDER, *(f"{t} snapshot" for t in TABLE_ORDER)]),
         "sync_variant": _tagged_sql("all", [*TABLE_ORDER, *(f"{t} snapshot" for t in TABLE_ORDER)]),
-        "snapshot_chain": w(
-            f"SELECT DISTINCT * FROM first_run WHERE NOT {_s('all')} UNION ALL SELECT * FROM clean_staging WHERE {_s('all')}",
-            first_run=_replace_sql("list"),
-        ),
+        "snapshot_chain": _chain_sql("SELECT * FROM second_run"),
         "sync_table_backup": w("SELECT * FROM prod"),
         "evolve_published_table": _replace_sql("list"),
         "sync_all": _sync_all_sql(),
@@ -693,6 +835,20 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+def _chain_sql(body: str) -> str:
+    """A refresh by list, and one by all of staging over its result."""
+    return fx.with_inputs_sql(
+        body,
+        first_run=_replace_sql("list"),
+        second_run=f"SELECT DISTINCT * FROM first_run WHERE NOT {_s('all')} UNION ALL SELECT * FROM clean_staging WHERE {_s('all')}",
+    )
+
+
+def _rejects_sql() -> str:
+    counts = (f"SELECT '{c}' AS column_name, count(*) AS n_rejected FROM base WHERE {cond}" for c, (cond, _) in fx.BAD_VALUES.items())
+    return fx.with_inputs_sql("SELECT * FROM (" + " UNION ALL ".join(counts) + ") WHERE n_rejected > 0")
+
+
 def _sync_table_status_sql() -> str:
     """Status after the by-practice job with scope (refresh practices x list measures)."""
     p = ", ".join(map(str, fx.REFRESH_PRACTICES))

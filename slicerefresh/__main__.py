@@ -9,8 +9,8 @@
 ``table`` is the production job: each table ``<current-db>.<table>`` is
 refreshed from ``<staging-db>.<table>`` and republished in place.
 ``snapshot`` is the snapshot job: current rows come from the delimited
-snapshots of a run folder, read in the format that is stored beside them (else
-as ``--read-codec`` says, without header).  ``NA`` means everything in staging.  One JSON line of step counts is printed per table.
+snapshots of a run folder, read in the format that their manifest says (without
+one as ``--read-codec`` says, 26 columns without header).  ``NA`` means everything in staging.  One JSON line of step counts is printed per table.
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     n.add_argument("--snapshot-folder", required=True, help="folder of the job family's snapshots, below the base")
     n.add_argument("--staging-db", required=True, help="database of the staging tables")
     n.add_argument("--target-db", required=True, help="database to publish into")
-    n.add_argument("--read-codec", default="lossless", choices=CODECS, help="codec of snapshots without a stored format")
+    n.add_argument("--read-codec", choices=CODECS, help="codec of snapshots that do not say how they were written (26 columns, no header)")
     n.add_argument("--run-dir", required=True, help="run folder of the snapshots to start from")
     n.add_argument("--base", required=True, help="base folder of the snapshot folders")
     return p
@@ -99,7 +99,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> SyncReport:
             staging_for=preset.staging(),
             target_for=preset.target(),
             snapshot_out_for=common.pop("snapshot_for"),
-            snapshot_in_format=None if args.read_codec == "lossless" else SnapshotFormat(codec=args.read_codec),
+            snapshot_in_format=SnapshotFormat(codec=args.read_codec) if args.read_codec else None,
             **common,
         )
     for r in report.runs:

@@ -69,6 +69,13 @@ STATUS_EARLY = "1990-01-01 00:00:00"
 REFRESH_PRACTICES = [3, 4, 6, 10]
 REFRESH_REMOVED_PRACTICE = 6
 REFRESHED_AT = "2031-01-01 00:00:00"
+# Values that do not parse, planted by these conditions on base (for reject counts).
+BAD_VALUES = {
+    "denom": ("mod(practice_id, 5) = 0", "n/a"),
+    "dob": ("gender = 'F' and unit = 'patient'", "2020-13-45"),
+    "result": ("mrn = '7'", "abc"),
+    "visit_dt": ("mod(practice_id, 10) = 0 and measure_id = 'QPPNO'", "yesterday"),
+}
 # Second shape over `events`: user_id as practice, event_type as measure.
 EVENTS_KEYS = ("user_id", "event_type")
 EVENTS_STAGING_FILTER = (

@@ -3,7 +3,9 @@
 The reference runs one Spark action per count (five to eight per table).
 Here the counts of both inputs come from one aggregation over a tagged
 union that reads only the key and cleaning columns; the counts after removal
-and after the append come from observations on the write itself.
+and after the append come from the written files, whose kept rows are those
+outside the slice and whose added rows are those inside it.  So no count
+depends on how often a task or a stage ran.
 """
 
 from __future__ import annotations
@@ -70,6 +72,64 @@ def input_counts(current: DataFrame, staging: DataFrame, scope: ResolvedScope) -
     return AuditCounts(row["prod_full"], row["to_remove"], row["to_add"])
 
 
+@dataclass
+class WrittenCounts:
+    """What a written version holds."""
+
+    kept: int
+    added: int
+    files: int
+    bucket_rows: tuple[int, int] = (0, 0)  # (largest, median) rows per bucket, for bucketed files
+
+    @property
+    def rows(self) -> int:
+        return self.kept + self.added
+
+
+#: The bucket number in the name of a bucketed file.
+_BUCKET = r"_(\d{5,})(?:\.c\d+)?\.[^/]*$"
+
+
+def written_counts(files: DataFrame, scope: ResolvedScope) -> WrittenCounts:
+    """Rows inside and outside the slice, per file, then in total (one job).
+
+    Reads the key columns only.  The files' rows are counted per file first, so
+    that the pattern for bucket numbers runs once per file.
+    """
+    flagged = scope.mark(files.select(*scope.keys, F.col("_metadata.file_path").alias("__file")), _FLAG)
+    per_file = flagged.groupBy("__file").agg(F.count_if(F.col(_FLAG)).alias("added"), F.count(F.lit(1)).alias("n"))
+    bucket = F.coalesce(F.regexp_extract("__file", _BUCKET, 1), F.lit(""))
+    per_bucket = per_file.groupBy(bucket.alias("b")).agg(F.sum("added").alias("added"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("files"))
+    r = per_bucket.agg(
+        F.sum("added").alias("added"), F.sum("n").alias("n"), F.sum("files").alias("files"),
+        F.max("n").alias("most"), F.percentile_approx("n", 0.5).alias("median"),
+    ).first()
+    n, added = int(r["n"] or 0), int(r["added"] or 0)
+    return WrittenCounts(n - added, added, int(r["files"] or 0), (int(r["most"] or 0), int(r["median"] or 0)))
+
+
+class WrittenMismatch(RuntimeError):
+    """The written files do not hold what the inputs call for."""
+
+
+def check_written(name: str, counts: AuditCounts, held: WrittenCounts, exact: bool = True, collapsed: bool = False) -> None:
+    """Complete ``counts`` from the written files, or refuse them.
+
+    Added rows must be those of the staged slice (no more of them, if rows are
+    collapsed by key); kept rows those outside the slice: all of them if
+    ``exact``, no more of them where duplicates go.
+    """
+    kept = counts.prod_full - counts.to_remove
+    wrong_added = held.added > counts.to_add if collapsed else held.added != counts.to_add
+    wrong_kept = held.kept != kept if exact and not collapsed else held.kept > kept or (kept > 0 and held.kept == 0)
+    if wrong_added or wrong_kept:
+        raise WrittenMismatch(f"{name}: the files hold {held.kept} kept and {held.added} added rows, the inputs call for {kept} and {counts.to_add}")
+    if collapsed:
+        counts.to_add = held.added
+    counts.after_removal, counts.after_add = held.kept, held.rows
+    counts.check()
+
+
 def sync_audit(current: DataFrame, staging: DataFrame, scope: ResolvedScope, kept: DataFrame) -> DataFrame:
     """Lazy one-row audit of a replacement whose kept rows are ``kept``.
 

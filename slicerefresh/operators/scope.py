@@ -4,10 +4,12 @@ A slice is ``k1 IN V1 AND k2 IN V2 ...``; the value sets are independent, so
 the slice is their cross product, not a list of pairs.  Each set is either
 
 * a literal list  -> an ``IN`` filter that Parquet can push down, or
-* a DataFrame / "everything in staging" -> distinct keys, materialized once
-  in the shared folder, counted, and joined with a marker column.  The join
-  is broadcast only when the counted size is under ``max_broadcast_keys``;
-  beyond that the plan is left to the optimizer (shuffle join, AQE).
+* a DataFrame / "everything in staging" -> distinct keys, written once to the
+  shared folder (the keys of one source in one scan of it), counted, and joined
+  with a marker column.  The join is broadcast only when the counted size is
+  under ``max_broadcast_keys`` and ``max_broadcast_bytes``; beyond that the plan
+  is left to the optimizer: a shuffle join with AQE, for which the keys' file
+  statistics allow a runtime Bloom filter on the scan of the table.
 
 Rows whose key is null are never in scope (``coalesce(S, false)``).
 """
@@ -23,13 +25,14 @@ from pyspark.sql import types as T
 
 from slicerefresh.functions.predicates import null_safe_true, values_in
 from slicerefresh.schema import SLICE_KEYS
-from slicerefresh.session import shared_dir
+from slicerefresh.session import scratch_path
 
 # --- Fixed values: the reference's command-line marker for "all of staging" --
 EVERYTHING = "NA"
 # ---------------------------------------------------------------------------
 
 DEFAULT_MAX_BROADCAST_KEYS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 DEFAULT_MAX_LITERAL_VALUES = 1_000
 
 
@@ -68,6 +71,7 @@ class Scope:
         sources: DataFrame | Mapping[str, DataFrame] | None = None,
         *,
         max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+        max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
         max_literal_values: int = DEFAULT_MAX_LITERAL_VALUES,
         allow_empty: bool = False,
     ) -> ResolvedScope:
@@ -79,23 +83,32 @@ class Scope:
         taken from the raw sources, before any cleaning.  Resolve once and
         reuse the result for every table.
         """
+        limits = (max_broadcast_keys, max_broadcast_bytes, max_literal_values)
         parts: dict[str, _KeySet] = {}
+        together: list[tuple[DataFrame, list[str]]] = []  # sources and the keys that stand for everything in them
         for key, vals in self.values.items():
             if vals is None:
                 src = sources.get(key) if isinstance(sources, Mapping) else sources
                 if src is None:
                     raise ValueError(f"scope for {key!r} is 'everything in staging' but no source was given")
-                parts[key] = _frame_keys(src, key, max_broadcast_keys, max_literal_values)
+                same = [keys for frame, keys in together if frame is src]
+                if same:
+                    same[0].append(key)
+                else:
+                    together.append((src, [key]))
             elif isinstance(vals, DataFrame):
-                parts[key] = _frame_keys(vals, key, max_broadcast_keys, max_literal_values)
+                together.append((vals, [key]))
             else:
                 lst = list(dict.fromkeys(vals))
                 if len(lst) > max_literal_values:
                     spark = SparkSession.getActiveSession()
                     frame = spark.createDataFrame([(v,) for v in lst], [key])
-                    parts[key] = _frame_keys(frame, key, max_broadcast_keys, 0)
+                    parts |= _frame_keys(frame, [key], (*limits[:2], 0))
                 else:
                     parts[key] = _KeySet(key, values=lst, size=len([v for v in lst if v is not None]))
+        for src, keys in together:
+            parts |= _frame_keys(src, keys, limits)
+        parts = {key: parts[key] for key in self.values}
         resolved = ResolvedScope(parts)
         if not allow_empty:
             for ks in parts.values():
@@ -118,25 +131,53 @@ class _KeySet:
         return self.values is not None
 
 
-def _frame_keys(df: DataFrame, key: str, max_broadcast_keys: int, max_literal_values: int) -> _KeySet:
-    """Distinct non-null keys of ``df``.
+def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct non-null values of several columns in one pass: ``key_no`` and, for
+    each column, ``key_0``, ``key_1`` ..., of which the numbered one is set."""
+    types = [df.schema[k].dataType for k in keys]
+
+    def value(i: int) -> Column:
+        return F.struct(
+            F.lit(i).alias("key_no"),
+            *[(F.col(k) if i == j else F.lit(None).cast(t)).alias(f"key_{j}") for j, (k, t) in enumerate(zip(keys, types, strict=True))],
+        )
+
+    rows = df.select(F.explode(F.array(*[value(i) for i in range(len(keys))])).alias("v")).select("v.*")
+    return rows.where(_held(len(keys))).distinct()
+
+
+def _held(n: int) -> Column:
+    held = F.lit(False)
+    for j in range(n):
+        held = held | F.col(f"key_{j}").isNotNull()
+    return held
+
+
+def _frame_keys(df: DataFrame, keys: list[str], limits: tuple[int, int, int]) -> dict[str, _KeySet]:
+    """Distinct non-null values of ``keys`` in ``df``, found in one scan.
 
-    Small sets (at most ``max_literal_values``) become literal lists: a
-    ``limit`` bounds what reaches the driver, and the slice then is an ``IN``
-    filter that Parquet can push down.  Larger sets stay distributed:
-    checkpointed to the shared folder, counted, and broadcast only under
-    ``max_broadcast_keys``.
+    They are written to the shared folder and counted there.  Small sets (at
+    most ``max_literal_values``) become literal lists, so that the slice is an
+    ``IN`` filter that Parquet can push down.  Larger sets stay distributed, and
+    are broadcast only within both limits.
     """
-    dtype = df.schema[key].dataType
-    distinct = df.select(key).where(F.col(key).isNotNull()).distinct()
-    if max_literal_values > 0:
-        probe = distinct.limit(max_literal_values + 1).collect()
-        if len(probe) <= max_literal_values:
-            return _KeySet(key, values=[r[0] for r in probe], size=len(probe), dtype=dtype)
-    shared_dir(df.sparkSession)  # makes sure a checkpoint directory is set
-    keys = distinct.checkpoint(eager=True)
-    n = keys.count()
-    return _KeySet(key, frame=keys, size=n, broadcast=n <= max_broadcast_keys, dtype=dtype)
+    spark = df.sparkSession
+    max_keys, max_bytes, max_literals = limits
+    found = distinct_keys(df, keys)
+    path = scratch_path(spark, "scope")
+    found.write.parquet(path)
+    kept = spark.read.schema(found.schema).parquet(path)
+    size = F.sum(F.lit(16) + sum((F.coalesce(F.octet_length(F.col(f"key_{j}").cast("string")), F.lit(0)) for j in range(len(keys))), F.lit(0)))
+    sizes = {r["key_no"]: (r["n"], r["size"]) for r in kept.groupBy("key_no").agg(F.count(F.lit(1)).alias("n"), size.alias("size")).collect()}
+    out = {}
+    for j, key in enumerate(keys):
+        n, n_bytes = sizes.get(j, (0, 0))
+        frame = kept.where(F.col("key_no") == j).select(F.col(f"key_{j}").alias(key))
+        if n <= max_literals:
+            out[key] = _KeySet(key, values=[r[0] for r in frame.collect()], size=n, dtype=df.schema[key].dataType)
+        else:
+            out[key] = _KeySet(key, frame=frame, size=n, broadcast=n <= max_keys and n_bytes <= max_bytes, dtype=df.schema[key].dataType)
+    return out
 
 
 @dataclass

@@ -1,10 +1,16 @@
-"""Incremental publish: rewrite only the partitions of the practices in scope.
+"""Incremental publish: rewrite only the partitions that hold rows of the slice.
 
-The full publish (``plans.sync``) rewrites a whole table per refresh, as the
-original job does.  When a table is partitioned by the slice's first key
-(``practice_id``), a refresh only changes the partitions of the practices in
-scope -- provided the rest of the table would come out unchanged, which the
-full semantics guarantee only if
+The full publish of a bucketed table (``plans.sync``) rewrites the whole table
+per refresh, as the original job does.  A table published here is partitioned
+
+* by a column of the slice (``practice_id``), or
+* by the slice's hash (``slices=N``): ``pmod(hash(practice_id, measure_id), N)``.
+  Any layout can be refreshed this way, its files sorted by its own key, however
+  far that key starts from the practice.
+
+A refresh finds the partitions that hold rows of the slice, in the table or in
+staging, and rewrites these only -- provided that the rest of the table would
+come out unchanged, which the full semantics guarantee only if
 
 * the untouched partitions hold no dirty rows (the cleaning filter applies to
   the whole table), and
@@ -12,33 +18,38 @@ full semantics guarantee only if
   rows (the conditional de-duplication applies to the whole table too).
 
 Both facts are recorded as table properties by the publisher itself and are
-checked before anything is written; a table that does not qualify is refused
-rather than refreshed inexactly.  Touched partitions are written as a new
-version folder, verified, and switched in the catalog with DROP and ADD
-statements for many of them at once (previous partition folders stay; a failed
-switch is undone).
+checked before anything is written.  A table that does not qualify is refused
+(partitioned by a column) or rewritten in all its slices (by hash).
+
+Counts come from the inputs before the write and from the written files after
+it; the two must agree.  The new partitions are switched all at once
+(``plans.generations``).
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass
-from urllib.parse import unquote
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from slicerefresh.operators.audit import AuditCounts, input_counts
+from slicerefresh.operators.audit import AuditCounts, check_written, input_counts, written_counts
 from slicerefresh.operators.clean import DIRTY_CHAR, DIRTY_COLUMN, control_char_filter
 from slicerefresh.operators.replace import distinct_rows, should_dedupe, slice_select
 from slicerefresh.operators.scope import ResolvedScope
-from slicerefresh.plans.publish import PublishError, _quote, _version_id, evolve_table
-from slicerefresh.schema import CANONICAL_SCHEMA, Layout, conform
+from slicerefresh.plans import generations as gen
+from slicerefresh.plans.generations import LITERAL_VALUES, partition_columns, table_properties
+from slicerefresh.plans.publish import PublishError, _version_id, default_num_buckets
+from slicerefresh.schema import CANONICAL_SCHEMA, SLICE_KEYS, Layout, conform
+from slicerefresh.sources.files import folders
+
+__all__ = ["LITERAL_VALUES", "NotIncremental", "partition_columns", "publish_partitioned", "sync_incremental", "table_properties"]
 
 CLEAN_PROPERTY = "slicerefresh.clean"  # which column holds no such character, see _cleaned
-VERSION_PROPERTY = "slicerefresh.version"  # changes with every switch of partitions
 DISTINCT_PROPERTY = "slicerefresh.distinct"
+SLICES_PROPERTY = "slicerefresh.slices"  # number of hash partitions, for tables published by slice
+SLICE_COLUMN = "slice_no"
 
 
 class NotIncremental(PublishError):
@@ -54,54 +65,28 @@ class StagedPartitions:
     path: str
     audit: AuditCounts
     touched: list
-    written: dict[str, str]
+    written: dict  # partition value -> folder
     deduped: bool
     distinct: bool
-    base: str | None = None  # the table's version that the refresh was made from
+    schema: StructType
+    base: str | None = None  # the table's version that the refresh was made from; null for a new table
+    properties: dict = field(default_factory=dict)
 
     def new_rows(self, spark: SparkSession) -> DataFrame | None:
-        return spark.read.parquet(self.path) if self.written else None
+        return spark.read.schema(self.schema).parquet(self.path) if self.written else None
 
-    def result(self, spark: SparkSession) -> DataFrame:
-        """The whole table as it will read after the switch."""
-        untouched = within(spark.table(self.table), self.col, self.touched, inside=False)
+    def whole(self, spark: SparkSession) -> DataFrame:
+        """The whole table as it will be after the switch, a slice's number included."""
         new = self.new_rows(spark)
+        if self.base is None:
+            return new if new is not None else spark.createDataFrame([], self.schema)
+        current = spark.table(gen.physical(spark, self.table))
+        untouched = within(current, self.col, self.touched, inside=False)
         return untouched if new is None else untouched.unionByName(new, allowMissingColumns=True)
 
-
-IncrementalRun = StagedPartitions
-
-
-@dataclass
-class PartitionSwitch:
-    """What a partition switch changed, so that it can be undone."""
-
-    staged: StagedPartitions
-    by_name: dict
-    existing: list[str]
-    previous: dict[str, str]
-    previous_properties: dict[str, str]
-    dropped: bool = False
-    added: bool = False
-
-
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    """Partition columns from ``DESCRIBE`` (a catalog call, no Spark job;
-    ``Catalog.listColumns`` runs jobs)."""
-    cols, section = [], False
-    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(table)}").collect():
-        name = (r["col_name"] or "").strip()
-        if name == "# Partition Information":
-            section = True
-        elif section and (not name or (name.startswith("#") and name != "# col_name")):
-            break
-        elif section and name != "# col_name":
-            cols.append(name)
-    return cols
-
-
-def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
-    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(table)}").collect()}
+    def result(self, spark: SparkSession) -> DataFrame:
+        """The whole table as it will read after the switch."""
+        return self.whole(spark).drop(SLICE_COLUMN)
 
 
 def _cleaned(column: str | None, char: str) -> str:
@@ -109,87 +94,49 @@ def _cleaned(column: str | None, char: str) -> str:
     return f"{column}:{ord(char)}" if column else "none"
 
 
-# Longer lists of partition values are joined instead of written into the
-# filter, and go into catalog statements in batches of this size.
-LITERAL_VALUES = 1_000
+def slice_number(n: int, keys: tuple[str, ...] = SLICE_KEYS) -> Column:
+    """Hash partition of a row: all rows of one (practice, measure) are in one."""
+    return F.pmod(F.hash(*keys), F.lit(n)).cast("int")
 
 
 def within(df: DataFrame, col: str, values: list, inside: bool = True) -> DataFrame:
     """Rows whose ``col`` is (or is not) one of ``values``; null is none of them."""
-    if len(values) <= LITERAL_VALUES:
+    if len(values) <= gen.LITERAL_VALUES:
         hit = F.coalesce(F.col(col).isin(values), F.lit(False)) if values else F.lit(False)
         return df.where(hit if inside else ~hit)
     side = df.sparkSession.createDataFrame([(v,) for v in values], f"`{col}` {df.schema[col].dataType.simpleString()}")
     return df.join(side, col, "left_semi" if inside else "left_anti")
 
 
-def _unescaped(name: str) -> str:
-    """A partition's name (``col=value``) without the catalog's and the folders' %XX escapes."""
-    return unquote(name)
-
-
-def _value_sql(v) -> str:
-    if isinstance(v, str):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return str(v)
-
-
-def _spec(col: str, v) -> str:
-    return f"PARTITION (`{col}` = {_value_sql(v)})"
-
-
-def _existing_partitions(spark: SparkSession, table: str, col: str) -> set[str]:
-    """Partition values as the catalog prints them (``col=value``)."""
-    return {_unescaped(r[0]) for r in spark.sql(f"SHOW PARTITIONS {_quote(table)}").collect()}
+def _partition_location(spark: SparkSession, table: str, col: str, v) -> str:
+    return gen.partition_location(spark, table, col, v)
 
 
-def _partition_location(spark: SparkSession, table: str, col: str, v) -> str:
-    """The partition's own location (the output also lists the table's, later)."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(table)} {_spec(col, v)}").collect()
-    in_partition = False
-    for r in rows:
-        name = (r["col_name"] or "").strip()
-        if name.startswith("# Detailed Partition Information"):
-            in_partition = True
-        elif name.startswith("#") and in_partition:
-            break
-        elif in_partition and name == "Location":
-            return r["data_type"]
-    raise PublishError(f"{table}: no location for partition {col}={v}")
-
-
-def _written_partitions(spark: SparkSession, path: str, col: str) -> dict[str, str]:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _written_partitions(spark: SparkSession, path: str, col: str, kind) -> dict:
+    """Partition value to folder, from the names of the written folders."""
     out = {}
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{col}="):
-            out[_unescaped(name)] = st.getPath().toString()
+    for name, place in folders(spark, path, f"{col}=").items():
+        text = gen.unescaped(name).split("=", 1)[1]
+        if text != "__HIVE_DEFAULT_PARTITION__":
+            out[text if kind.simpleString() == "string" else int(text)] = place
     return out
 
 
-def _write_partitioned(df: DataFrame, path: str, col: str, layout: Layout, metrics=None, drop=()) -> Observation:
+def _write_partitioned(df: DataFrame, path: str, col: str, layout: Layout) -> None:
     """Range-partition by the full layout key (a hot practice is split over
-    many tasks, each task holds few practices), sort by it, write by practice.
-
-    The row counts are observed *after* the range exchange: computing the
-    range bounds runs a sampling job over the input, which would count an
-    observation placed below the exchange twice.
-    """
-    obs = Observation(f"incremental_{uuid.uuid4().hex[:8]}")
+    many tasks, each task holds few partitions), sort by it, write by partition."""
     key = [col, *[k for k in layout.key if k != col]]
-    metrics = metrics or [F.count(F.lit(1)).alias("rows")]
-    out = df.repartitionByRange(*key).sortWithinPartitions(*key).observe(obs, *metrics).drop(*drop)
-    out.write.mode("errorifexists").partitionBy(col).parquet(path)
-    return obs
+    df.repartitionByRange(*key).sortWithinPartitions(*key).write.mode("errorifexists").partitionBy(col).parquet(path)
 
 
 def _has_duplicates(df: DataFrame) -> bool:
     return not df.groupBy(*df.columns).count().filter(F.col("count") > 1).isEmpty()
 
 
+def _partitioned_rows(rows: DataFrame, col: str, slices: int | None) -> DataFrame:
+    return rows.withColumn(SLICE_COLUMN, slice_number(slices)) if col == SLICE_COLUMN else rows
+
+
 def publish_partitioned(
     df: DataFrame,
     table: str,
@@ -197,6 +144,7 @@ def publish_partitioned(
     layout: Layout,
     *,
     partition_col: str = "practice_id",
+    slices: int | None = None,
     clean_column: str | None = DIRTY_COLUMN,
     clean_char: str = DIRTY_CHAR,
     check_distinct: bool = True,
@@ -204,6 +152,7 @@ def publish_partitioned(
 ) -> str:
     """Create a partitioned layout table from ``df`` (cleaned first).
 
+    ``slices`` partitions it by the slice's hash instead of ``partition_col``.
     With ``check_distinct`` one duplicate check over the whole input records
     whether the table holds duplicate rows (the only full shuffle; done once).
     """
@@ -213,23 +162,27 @@ def publish_partitioned(
     rows = conform(df, schema)
     if clean_column:
         rows = control_char_filter(rows, clean_column, clean_char)
+    col = SLICE_COLUMN if slices else partition_col
     path = f"{root.rstrip('/')}/{_version_id()}"
-    obs = _write_partitioned(rows, path, partition_col, layout)
-    written = spark.read.parquet(path).count()
-    if written != obs.get["rows"]:
-        raise PublishError(f"{table}: {written} rows on disk, {obs.get['rows']} observed")
-    distinct = check_distinct and not _has_duplicates(spark.read.parquet(path))
-    fields = [f for f in rows.schema.fields if f.name != partition_col] + [rows.schema[partition_col]]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    props = f"'{CLEAN_PROPERTY}' = '{_cleaned(clean_column, clean_char)}', '{DISTINCT_PROPERTY}' = '{str(distinct).lower()}'"
-    spark.sql(
-        f"CREATE TABLE {_quote(table)} ({ddl}) USING parquet PARTITIONED BY (`{partition_col}`)"
-        f" LOCATION '{path}' TBLPROPERTIES ({props})"
-    )
-    spark.sql(f"MSCK REPAIR TABLE {_quote(table)}")
+    full = _partitioned_rows(rows, col, slices)
+    _write_partitioned(full, path, col, layout)
+    back = spark.read.schema(full.schema).parquet(path)
+    distinct = check_distinct and not _has_duplicates(back)
+    gen.create_generations(spark, table, full.schema, col, path, _properties(_cleaned(clean_column, clean_char), distinct, slices))
+    gen.point(spark, table, gen.generation(table, "a"))
     return path
 
 
+def _properties(clean: str, distinct: bool, slices: int | None) -> dict[str, str]:
+    out = {CLEAN_PROPERTY: clean, DISTINCT_PROPERTY: str(distinct).lower()}
+    return out | ({SLICES_PROPERTY: str(slices), gen.HIDDEN_PROPERTY: SLICE_COLUMN} if slices else {})
+
+
+def default_slices(spark: SparkSession, source_bytes: int | None = None) -> int:
+    """Slices of a new table: about 256 MB each, and several per core, so that a small slice of the table touches few."""
+    return max(4 * spark.sparkContext.defaultParallelism, default_num_buckets(spark, source_bytes, 256 << 20))
+
+
 def sync_incremental(spark: SparkSession, table: str, **kwargs) -> StagedPartitions:
     """Refresh ``table`` in place, rewriting only the partitions in scope
     (stage, verify, switch).  Same rows as the full refresh of the whole
@@ -251,6 +204,18 @@ def touched_values(scope: ResolvedScope, col: str) -> list:
     return [r[0] for r in ks.frame.collect() if r[0] is not None]
 
 
+def touched_slices(current: DataFrame, staging: DataFrame, scope: ResolvedScope, slices: int) -> list[int]:
+    """Slices that hold rows in scope, in the table or in staging.
+
+    Reads the key columns only, the slice's filter pushed down to the files'
+    row groups; at most ``slices`` numbers reach the driver.
+    """
+    keys = scope.keys
+    held = scope.select(current.select(SLICE_COLUMN, *keys)).select(SLICE_COLUMN)
+    came = scope.select(staging.select(*keys)).select(slice_number(slices, tuple(keys)).alias(SLICE_COLUMN))
+    return sorted(r[0] for r in held.unionByName(came).distinct().collect())
+
+
 def stage_incremental(
     spark: SparkSession,
     table: str,
@@ -268,143 +233,131 @@ def stage_incremental(
     parts = partition_columns(spark, table)
     if len(parts) != 1:
         raise NotIncremental(f"{table} must be partitioned by exactly one column, is by {parts}")
-    col = parts[0]
-    if col not in scope.parts:
+    col, props = parts[0], table_properties(spark, table)
+    slices = int(props[SLICES_PROPERTY]) if col == SLICE_COLUMN else None
+    if not slices and col not in scope.parts:
         raise NotIncremental(f"the scope has no value set for the partition column {col!r}")
-    props = table_properties(spark, table)
     if clean_column and props.get(CLEAN_PROPERTY) != _cleaned(clean_column, clean_char):
         raise NotIncremental(
             f"{table} is not known to be clean of {clean_char!r} in {clean_column} (but {props.get(CLEAN_PROPERTY)});"
             " publish it with publish_partitioned first"
         )
-    values = touched_values(scope, col)
-
-    current = within(conform(spark.table(table), schema), col, values)  # partition pruning
+    whole = spark.table(gen.physical(spark, table))
     stg = conform(staging, schema)
     if clean_column:
-        current = control_char_filter(current, clean_column, clean_char)
         stg = control_char_filter(stg, clean_column, clean_char)
+    values = touched_slices(whole, stg, scope, slices) if slices else touched_values(scope, col)
+
+    def rows_of(values: list) -> DataFrame:
+        rows = conform(within(whole, col, values), schema)  # partition pruning
+        return control_char_filter(rows, clean_column, clean_char) if clean_column else rows
+
+    current = rows_of(values)
     # One small job over the touched partitions (key and cleaning columns
     # only) gives the input counts and the dedupe decision.
     counts = input_counts(current, stg, scope)
     deduped = should_dedupe(dedupe, counts.to_remove)
     was_distinct = props.get(DISTINCT_PROPERTY) == "true"
     if deduped and not was_distinct:
-        raise NotIncremental(
-            f"{table}: the slice removes rows, so the whole table must be de-duplicated, and it is not known"
-            " to be free of duplicates; use the full refresh"
-        )
+        if not slices:
+            raise NotIncremental(
+                f"{table}: the slice removes rows, so the whole table must be de-duplicated, and it is not known"
+                " to be free of duplicates; use the full refresh"
+            )
+        values = sorted({*values, *(int(n.split("=", 1)[1]) for n in gen.partition_names(spark, table))})
+        current = rows_of(values)
+        counts = input_counts(current, stg, scope)
 
     kept = scope.exclude(current)
     if deduped:
         kept = distinct_rows(kept)
     added = slice_select(stg, scope)
     added_distinct = not _has_duplicates(added)
-    tag = "__part"
-    result = kept.withColumn(tag, F.lit("kept")).unionByName(added.withColumn(tag, F.lit("added")))
-
+    result = _partitioned_rows(kept.unionByName(added), col, slices)
     path = f"{root.rstrip('/')}/{_version_id()}"
-    obs = _write_partitioned(
-        result, path, col, layout,
-        metrics=[F.count_if(F.col(tag) == "kept").alias("kept"), F.count_if(F.col(tag) == "added").alias("added")],
-        drop=[tag],
-    )
-    m = obs.get
-    counts.after_removal, counts.after_add = m["kept"], m["kept"] + m["added"]
-    counts.check()
-    if m["added"] != counts.to_add:
-        raise PublishError(f"{table}: {m['added']} rows added, {counts.to_add} counted in staging")
-    written_parts = _written_partitions(spark, path, col)
-    written = spark.read.parquet(path).count() if written_parts else 0
-    if written != counts.after_add:
-        raise PublishError(f"{table}: {written} rows on disk, {counts.after_add} expected")
-
+    staged = _stage(spark, result, table, path, col, layout, scope, counts, exact=not deduped or was_distinct)
+    staged.touched, staged.deduped, staged.base = values, deduped, props.get(gen.VERSION_PROPERTY)
     # Untouched partitions are as distinct as before; touched ones hold kept rows
-    # (distinct if the table was) and added rows, which never collide with them.
-    distinct = was_distinct and added_distinct
-    return StagedPartitions(table, col, path, counts, values, written_parts, deduped, distinct, props.get(VERSION_PROPERTY))
+    # (distinct if the table was, or made so) and added rows, which never collide with them.
+    staged.distinct = (was_distinct or deduped) and added_distinct
+    staged.properties = {DISTINCT_PROPERTY: str(staged.distinct).lower()}
+    return staged
 
 
-def _partition_locations(spark: SparkSession, table: str, col: str, names: list[str], values: dict[str, object]) -> dict[str, str]:
-    """Current folders of the named partitions.
+def stage_new(
+    spark: SparkSession, table: str, *, current: DataFrame, staging: DataFrame, scope: ResolvedScope, root: str, layout: Layout, slices: int, dedupe: str = "reference"
+) -> StagedPartitions:
+    """Write and verify the first version of a table by slices: the whole result of the refresh."""
+    cur, stg = (control_char_filter(conform(df)) for df in (current, staging))
+    counts = input_counts(cur, stg, scope)
+    deduped = should_dedupe(dedupe, counts.to_remove)
+    kept = distinct_rows(scope.exclude(cur)) if deduped else scope.exclude(cur)
+    added = slice_select(stg, scope)
+    result = _partitioned_rows(kept.unionByName(added), SLICE_COLUMN, slices)
+    path = f"{root.rstrip('/')}/{_version_id()}"
+    staged = _stage(spark, result, table, path, SLICE_COLUMN, layout, scope, counts, exact=not deduped)
+    staged.touched, staged.deduped = list(staged.written), deduped
+    staged.distinct = not _has_duplicates(added) if deduped else not _has_duplicates(staged.new_rows(spark)) if staged.written else True
+    staged.properties = _properties(_cleaned(DIRTY_COLUMN, DIRTY_CHAR), staged.distinct, slices)
+    return staged
 
-    One distributed job over the file paths of the touched partitions; one
-    row per folder reaches the driver.  A partition without files falls back
-    to a catalog lookup of its own.
-    """
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
-    rows = within(spark.table(table).select(col, folder.alias("d")), col, [values[n] for n in names])
-    # Paths come percent-encoded; the decoded folder still has the partition's own escapes.
-    folders = [unquote(r[0]) for r in rows.select("d").distinct().collect()]
-    found = {_unescaped(d.rsplit("/", 1)[-1]): d for d in folders}
-    return {n: found.get(n) or _partition_location(spark, table, col, values[n]) for n in names}
 
+def _stage(spark, result: DataFrame, table, path, col, layout, scope, counts: AuditCounts, exact: bool) -> StagedPartitions:
+    """Write the partitions, then count what the files hold: kept rows are those outside the slice."""
+    # The table's own column comes last in the files' schema, as the catalog has it.
+    schema = StructType([f for f in result.schema.fields if f.name != col] + [StructField(col, IntegerType()) if col == SLICE_COLUMN else result.schema[col]])
+    _write_partitioned(result, path, col, layout)
+    written = _written_partitions(spark, path, col, schema[col].dataType)
+    held = written_counts(spark.read.schema(schema).parquet(path), scope)
+    check_written(table, counts, held, exact)
+    return StagedPartitions(table, col, path, counts, [], written, False, False, schema)
 
-def _batches(names: list[str]) -> list[list[str]]:
-    return [names[i : i + LITERAL_VALUES] for i in range(0, len(names), LITERAL_VALUES)]
 
+@dataclass
+class PartitionSwitch:
+    """A prepared version of a table and what it replaces, so that it can be undone."""
 
-def _add_sql(table: str, col: str, locations: dict[str, str], values: dict[str, object]) -> list[str]:
-    parts = {n: f"{_spec(col, values[n])} LOCATION {_value_sql(loc)}" for n, loc in locations.items()}
-    return [f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(parts[n] for n in names) for names in _batches(list(parts))]
+    staged: StagedPartitions
+    ready: gen.Prepared
 
 
-def _drop_sql(table: str, col: str, names: list[str], values: dict[str, object]) -> list[str]:
-    return [f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(_spec(col, values[n]) for n in part) for part in _batches(names)]
+def prepare_partitions(spark: SparkSession, staged: StagedPartitions) -> PartitionSwitch:
+    """Make the new version ready in the catalog; readers still have the one before."""
+    if staged.base is None:
+        gen.create_generations(spark, staged.table, staged.schema, staged.col, staged.path, staged.properties)
+        return PartitionSwitch(staged, gen.Prepared(staged.table, None, gen.generation(staged.table, "a")))
+    kinds = {f.name: f for f in spark.table(gen.physical(spark, staged.table)).schema.fields}
+    schema = StructType([kinds[f.name] if f.name == staged.col else f for f in staged.schema.fields])
+    locations = {v: staged.written.get(v) for v in staged.touched}
+    change = gen.Change(staged.col, staged.base, staged.path, locations, schema, staged.properties)
+    return PartitionSwitch(staged, gen.prepare(spark, staged.table, change))
 
 
-def _set_properties(table: str, pairs: dict[str, str]) -> str:
-    return f"ALTER TABLE {table} SET TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in pairs.items()) + ")"
+def flip_partitions(spark: SparkSession, sw: PartitionSwitch) -> None:
+    """Point readers at the prepared version, in one catalog statement."""
+    gen.flip(spark, sw.ready)
 
 
 def switch_partitions(spark: SparkSession, staged: StagedPartitions) -> PartitionSwitch:
-    """Point the touched partitions at their new folders, in catalog statements
-    for up to ``LITERAL_VALUES`` partitions each (DROP of the old, ADD of the
-    new; previous folders stay on storage).  Readers may see touched
-    partitions absent in between; a failure undoes everything.  Refused if
-    another refresh was switched since this one was staged."""
-    col, t = staged.col, _quote(staged.table)
-    props = table_properties(spark, staged.table)
-    if props.get(VERSION_PROPERTY) != staged.base:
-        raise PublishError(f"{staged.table}: staged from version {staged.base}, now {props.get(VERSION_PROPERTY)}; stage it again")
-    if staged.written:
-        held = spark.read.parquet(staged.path).schema
-        kinds = {f.name: f for f in spark.table(staged.table).schema.fields}
-        evolve_table(spark, staged.table, StructType([kinds[f.name] if f.name == col else f for f in held.fields]))
-    by_name = {f"{col}={v}": v for v in staged.touched}
-    existing = [n for n in _existing_partitions(spark, staged.table, col) if n in by_name]
-    previous = _partition_locations(spark, staged.table, col, existing, by_name) if existing else {}
-    before = {k: props[k] for k in (DISTINCT_PROPERTY, VERSION_PROPERTY) if k in props}
-    sw = PartitionSwitch(staged, by_name, existing, previous, before)
+    """Prepare and flip.  Refused if another refresh was switched since this one
+    was staged; a failure leaves readers with the version before."""
+    sw = prepare_partitions(spark, staged)
     try:
-        if existing:
-            sw.dropped = True
-            for statement in _drop_sql(t, col, existing, by_name):
-                spark.sql(statement)  # external table: files stay
-        if staged.written:
-            sw.added = True
-            for statement in _add_sql(t, col, staged.written, by_name):
-                spark.sql(statement)
-        spark.sql(_set_properties(t, {DISTINCT_PROPERTY: str(staged.distinct).lower(), VERSION_PROPERTY: staged.path.rsplit("/", 1)[-1]}))
+        flip_partitions(spark, sw)
     except Exception:
         undo_partitions(spark, sw)
         raise
-    finally:
-        spark.sql(f"REFRESH TABLE {t}")
     return sw
 
 
 def undo_partitions(spark: SparkSession, sw: PartitionSwitch) -> None:
-    """Restore the partitions (and the properties) a switch changed."""
-    st, t = sw.staged, _quote(sw.staged.table)
-    if sw.added:
-        for statement in _drop_sql(t, st.col, list(st.written), sw.by_name):
-            spark.sql(statement)
-    if sw.dropped:
-        for statement in _add_sql(t, st.col, sw.previous, sw.by_name):
-            spark.sql(statement)
-    if sw.previous_properties:
-        spark.sql(_set_properties(t, sw.previous_properties))
-    if VERSION_PROPERTY not in sw.previous_properties:
-        spark.sql(f"ALTER TABLE {t} UNSET TBLPROPERTIES IF EXISTS ('{VERSION_PROPERTY}')")
-    spark.sql(f"REFRESH TABLE {t}")
+    """Give readers back the version before the switch."""
+    gen.undo(spark, sw.ready)
+
+
+def adopt(spark: SparkSession, table: str) -> None:
+    """Turn a partitioned catalog table into a name over two generations (once; readers of the old table are cut off)."""
+    name, first = gen._quote(table), gen.generation(table, "a")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {gen._quote(first)}")
+    gen.set_properties(spark, first, {gen.VERSION_PROPERTY: gen._describe(spark, gen._quote(first))["Location"]})
+    gen.point(spark, table, first)

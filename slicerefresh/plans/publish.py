@@ -2,8 +2,8 @@
 
 A published table is an external catalog table whose location is one
 immutable version folder.  A new version is written next to the old one,
-its row count is checked against counts observed during the write, and only
-then is the table's location switched.  A failed run leaves the previous
+the rows in its files are counted and checked against the counts of the inputs,
+and only then is the table's location switched.  A failed run leaves the previous
 version readable and unchanged, and the previous version doubles as the
 pre-change backup.
 
@@ -28,10 +28,11 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from slicerefresh.operators.audit import WrittenCounts
 from slicerefresh.schema import Layout
 
 
@@ -58,8 +59,7 @@ class Staged:
     path: str
     staging_name: str
     bucket_spec: BucketSpec | None
-    observation: Observation
-    rows: int | None = None
+    rows: int | None = None  # in the written files, from verification
     verified: bool = False
     bucket_rows: tuple[int, int] | None = None  # (largest, median) rows per bucket, from verification
     previous_properties: dict[str, str] | None = None  # the bucket statistics before the switch
@@ -191,43 +191,44 @@ _HERE = object()
 def stage_table(df: DataFrame, table: str, root: str, bucket_spec: BucketSpec | None = None, base=_HERE) -> Staged:
     """Write ``df`` as a new version folder under ``root`` (one Spark job).
 
-    The row count is observed during the write itself.  ``base`` is the
-    table's location that ``df`` was made from (default: the present one); the
-    switch refuses a table that has moved from there.
+    ``base`` is the table's location that ``df`` was made from (default: the
+    present one); the switch refuses a table that has moved from there.
     """
     base = table_location(df.sparkSession, table) if base is _HERE else base
     path = f"{root.rstrip('/')}/{_version_id()}"
     staging_name = _staging_name(table)
-    obs = Observation(f"publish_{uuid.uuid4().hex[:8]}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode("errorifexists").format("parquet").option("path", path)
+    writer = df.write.mode("errorifexists").format("parquet").option("path", path)
     if bucket_spec is not None:
         writer = writer.bucketBy(bucket_spec.num_buckets, *bucket_spec.columns).sortBy(*bucket_spec.sort_columns)
     writer.saveAsTable(staging_name)
-    staged = Staged(table, path, staging_name, bucket_spec, obs, base=base)
-    staged.rows = obs.get["rows"]
-    return staged
+    return Staged(table, path, staging_name, bucket_spec, base=base)
 
 
 def verify(spark: SparkSession, staged: Staged, expected_rows: int | None = None) -> Staged:
-    """Re-count the written files (Parquet footers only) and compare.
+    """Count the rows of the written files (Parquet footers only) and compare.
 
     For a bucketed version the count is taken per bucket, in the same job, so
     the bucket statistics the next refresh needs come for free.
     """
     if staged.bucket_spec is not None:
-        written, largest, median = _bucket_counts(spark, staged.path)
+        staged.rows, largest, median = _bucket_counts(spark, staged.path)
         staged.bucket_rows = (largest, median)
     else:
-        written = spark.read.parquet(staged.path).count()
-    if written != staged.rows:
-        raise PublishError(f"{staged.table}: {written} rows on disk, {staged.rows} observed while writing")
-    if expected_rows is not None and written != expected_rows:
-        raise PublishError(f"{staged.table}: {written} rows written, {expected_rows} expected")
+        staged.rows = spark.read.parquet(staged.path).count()
+    if expected_rows is not None and staged.rows != expected_rows:
+        raise PublishError(f"{staged.table}: {staged.rows} rows written, {expected_rows} expected")
     staged.verified = True
     return staged
 
 
+def accept(staged: Staged, held: WrittenCounts) -> Staged:
+    """Mark a version verified whose files were already counted and checked."""
+    staged.rows, staged.verified = held.rows, True
+    if staged.bucket_spec is not None:
+        staged.bucket_rows = held.bucket_rows
+    return staged
+
+
 def evolve_table(spark: SparkSession, table: str, new: StructType) -> list[str]:
     """Add the columns of ``new`` that ``table`` lacks (nullable, at the end of
     the table's columns); any other difference is refused.  Returns their names."""
@@ -296,11 +297,14 @@ _VERSION_NAME = re.compile(r"^v\d{14}_[0-9a-f]{8}$")
 
 def live_versions(spark: SparkSession, table: str) -> set[str]:
     """Names of the version folders that hold rows of ``table``: that of the
-    table's location, and of every partition's files (one job over file
-    paths; a refreshed table has partitions in several versions)."""
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r".*/(v\d{14}_[0-9a-f]{8})/", 1)
-    held = {r[0] for r in spark.table(table).select(folder.alias("v")).distinct().collect()}
-    return {v for v in held if v} | {table_location(spark, table).rstrip("/").rsplit("/", 1)[-1]}
+    table's location, and of every partition's files (one job that tells files
+    apart first; a refreshed table has partitions in several versions)."""
+    from slicerefresh.plans.generations import file_folders, physical
+
+    name = physical(spark, table)
+    version = re.compile(r"/(v\d{14}_[0-9a-f]{8})(?:/|$)")
+    held = {m.group(1) for d in file_folders(spark.table(name)) if (m := version.search(d))}
+    return held | {table_location(spark, name).rstrip("/").rsplit("/", 1)[-1]}
 
 
 def prune_versions(spark: SparkSession, table: str, root: str, keep: int = 2) -> list[str]:
@@ -312,7 +316,7 @@ def prune_versions(spark: SparkSession, table: str, root: str, keep: int = 2) ->
     newest others (the backups a restore can go back to).  Returns the deleted
     paths.
     """
-    if table_location(spark, table) is None:
+    if not spark.catalog.tableExists(table):
         raise PublishError(f"{table} is not published; refusing to prune {root}")
     live = live_versions(spark, table)
     if not all(_VERSION_NAME.match(v) for v in live):
@@ -386,3 +390,27 @@ def layout_write(df: DataFrame, layout: Layout, path: str, mode: str = "errorife
     key = list(layout.key)
     out = df.repartitionByRange(num_partitions, *key) if num_partitions else df.repartitionByRange(*key)
     out.sortWithinPartitions(*key).write.mode(mode).parquet(path)
+
+
+def layout_report(files: DataFrame, layout: Layout) -> DataFrame:
+    """How far the files of ``files`` (read from Parquet) are in a layout's order.
+
+    One row: ``n_rows``; ``n_descents``, rows that come after a greater key in
+    their file; ``n_overlaps``, files whose least key is below the greatest key
+    of the files before (in order of their least keys).  Both are 0 for files
+    that ``layout_write`` made.  The rows' places come from the files themselves
+    (``_metadata.row_index``); a task holds one file's keys, the last step one
+    row per file.
+    """
+    key = F.struct(*layout.key)
+    rows = files.select(key.alias("k"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+    before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+    per_file = rows.withColumn("before", before).groupBy("f").agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("least"), F.max("k").alias("most"), F.count_if(F.col("k") < F.col("before")).alias("descents")
+    )
+    ahead = F.max("most").over(Window.orderBy("least", "most").rowsBetween(Window.unboundedPreceding, -1))
+    return per_file.withColumn("ahead", ahead).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce(F.sum("descents"), F.lit(0)).cast("long").alias("n_descents"),
+        F.count_if(F.col("least") < F.col("ahead")).alias("n_overlaps"),
+    )

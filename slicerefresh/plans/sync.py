@@ -1,16 +1,19 @@
 """The publishing jobs: replace a slice in each of the four tables, publish, advance status.
 
-Per table the work is at most four Spark jobs:
+Per table the work is
 
-1. an existence probe of the slice (for the conditional dedupe; it stops at
-   the first matching row and is pruned by pushed-down filters),
-2. the staged write, which also counts every step through observations,
-3. the verification count (Parquet footers),
-4. optionally the delimited snapshot, written from the staged version.
+1. one count of the inputs (key and cleaning columns only), which also decides
+   the conditional dedupe,
+2. the staged write,
+3. one count of the written files, rows inside and outside the slice apart,
+   which must agree with the first,
+4. optionally the delimited snapshot, written from the staged version, and the
+   backup of the rows as they were.
 
 All tables are staged and verified before any is switched, and a failure
-while switching restores the tables already switched.  Inputs are never
-overwritten: every version goes to a new folder.
+while switching restores the tables already switched.  The status table is
+staged before, switched and restored with them.  Inputs are never overwritten:
+every version goes to a new folder.
 """
 
 from __future__ import annotations
@@ -19,11 +22,11 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from slicerefresh.operators.audit import AuditCounts, audit_frame
+from slicerefresh.operators.audit import AuditCounts, audit_frame, check_written, input_counts, written_counts
 from slicerefresh.operators.clean import DIRTY_CHAR, DIRTY_COLUMN, control_char_filter
 from slicerefresh.operators.keys import key_collapse
 from slicerefresh.operators.replace import distinct_rows, should_dedupe, slice_select
@@ -33,22 +36,22 @@ from slicerefresh.plans.incremental import (
     NotIncremental,
     PartitionSwitch,
     StagedPartitions,
+    flip_partitions,
     partition_columns,
+    prepare_partitions,
     stage_incremental,
-    switch_partitions,
-    touched_values,
+    stage_new,
     undo_partitions,
-    within,
 )
 from slicerefresh.plans.publish import (
     BucketSpec,
     PublishError,
     Staged,
+    accept,
     bucket_ready,
     buckets_skewed,
     default_num_buckets,
     discard,
-    publish_table,
     restore,
     stage_table,
     stored_bytes,
@@ -58,7 +61,7 @@ from slicerefresh.plans.publish import (
     verify,
 )
 from slicerefresh.schema import CANONICAL_SCHEMA, TABLE_ORDER, conform, layout
-from slicerefresh.sources.delimited import read_delimited, read_format, write_delimited, write_format
+from slicerefresh.sources.delimited import read_delimited, read_manifest, replace_parts, write_delimited, write_parts
 from slicerefresh.sources.tables import read_table
 
 Source = str | DataFrame
@@ -75,10 +78,9 @@ class SnapshotFormat:
     evolved: bool = False
     # "lossless" (this library's codec) or "legacy" (the original job's files).
     codec: str = "lossless"
-
-    def note(self, table: str) -> dict:
-        """What is stored beside a snapshot."""
-        return {"header": self.header, "codec": self.codec, "columns": self.columns(table)}
+    # Divided like the partitioned table it is taken from, so that the next
+    # export of the same folder replaces only what the refresh touched.
+    partitioned: bool = False
 
     def columns(self, table: str) -> list[str]:
         return layout(table).columns(self.evolved)
@@ -87,6 +89,13 @@ class SnapshotFormat:
         return layout(table).schema(self.evolved)
 
 
+#: Folders of the original job: no header, 26 columns, its own codec.
+ORIGINAL_FORMAT = SnapshotFormat(header=False, evolved=False, codec="legacy")
+#: The same shape without the original codec's losses.
+PLAIN_FORMAT = SnapshotFormat(header=False, evolved=False)
+BACKUP_FORMAT = SnapshotFormat(header=True, evolved=True)
+
+
 @dataclass
 class TableRun:
     table: str
@@ -109,29 +118,46 @@ class SyncReport:
 
 @dataclass
 class Replacement:
-    """A lazy replacement result and the observations that count it.
+    """A lazy replacement: the rows that stay, the rows that come, and both."""
 
-    The counts are filled in by the action that consumes ``result`` (the
-    staged write): no separate counting job over the current table.
-    """
-
-    result: DataFrame
+    kept: DataFrame
+    added: DataFrame
     deduped: bool
-    current_obs: Observation
-    kept_obs: Observation
-    added_obs: Observation
 
-    def counts(self) -> AuditCounts:
-        cur, kept, added = self.current_obs.get, self.kept_obs.get["n"], self.added_obs.get["n"]
-        c = AuditCounts(cur["full"], cur["removed"], added, after_removal=kept, after_add=kept + added)
-        c.check()
-        return c
+    @property
+    def result(self) -> DataFrame:
+        return self.kept.unionByName(self.added)
+
+
+def write_snapshot(rows: DataFrame, path: str, table: str, fmt: SnapshotFormat, n_rows: int | None = None) -> None:
+    """A table's delimited snapshot, in its layout's column order."""
+    write_delimited(rows, path, header=fmt.header, columns=fmt.columns(table), codec=fmt.codec, rows=n_rows)
 
 
-def write_snapshot(rows: DataFrame, path: str, table: str, fmt: SnapshotFormat) -> None:
-    """A table's delimited snapshot, with its format beside it."""
-    write_delimited(rows, path, header=fmt.header, columns=fmt.columns(table), codec=fmt.codec)
-    write_format(rows.sparkSession, path, fmt.note(table))
+def export_partitions(spark: SparkSession, staged: StagedPartitions, path: str, table: str, fmt: SnapshotFormat) -> bool:
+    """A partitioned table's snapshot, as it will be after the switch; true if only touched partitions were written.
+
+    The manifest names the version that the folder holds.  If it is the one that
+    the refresh was made from, only the partitions that the refresh rewrote are
+    exported; else (another format, a switch that failed after its export, a new
+    folder) all are.
+    """
+    part = F.col(staged.col)
+    stored = read_manifest(spark, path)
+    same = stored is not None and stored.get("version") is not None and stored["version"] == staged.base
+    if same and (stored["header"], stored["codec"], stored["columns"]) == (fmt.header, fmt.codec, fmt.columns(table)):
+        rows = stored["rows"] - staged.audit.prod_full + staged.audit.after_add
+        gone = [v for v in staged.touched if v not in staged.written]
+        replace_parts(staged.new_rows(spark), path, part, gone, spark, rows=rows, version=staged.path)
+        return True
+    whole = staged.whole(spark)
+    write_parts(whole, path, part, header=fmt.header, columns=fmt.columns(table), codec=fmt.codec, rows=whole.count(), version=staged.path)
+    return False
+
+
+def write_backup(rows: DataFrame, path: str, table: str) -> None:
+    """The rows as they were before a refresh: a snapshot that the snapshot job can start from."""
+    write_snapshot(conform(rows), path, table, BACKUP_FORMAT)
 
 
 def replacement_plan(
@@ -146,26 +172,21 @@ def replacement_plan(
     current_bucketed: bool = False,
     schema=CANONICAL_SCHEMA,
     collapse_keys: Sequence[str] | None = None,
+    removed: int | None = None,
 ) -> Replacement:
-    """The lazy result of replacing the slice, instrumented with observations.
+    """The lazy result of replacing the slice.
 
-    The only eager work is the dedupe decision of ``dedupe="reference"``: an
-    existence probe of the slice in the current rows, which stops at the
-    first match and, for literal scopes, prunes row groups by the pushed-down
-    ``IN`` filter.  Its answer is checked against the observed count later.
+    ``removed`` (the number of current rows in the slice) decides the dedupe of
+    ``dedupe="reference"``; without it an existence probe does, which stops at
+    the first match and, for literal scopes, prunes row groups by the
+    pushed-down ``IN`` filter.
     """
     cur, stg = conform(current, schema), conform(staging, schema)
     if clean_column:
         cur = control_char_filter(cur, clean_column, clean_char)
         stg = control_char_filter(stg, clean_column, clean_char)
-    deduped = should_dedupe(dedupe, None, cur, scope)
-    flag = "__in_scope"
-    cur_obs, kept_obs, added_obs = Observation(), Observation(), Observation()
-    marked = scope.mark(cur, flag).observe(
-        cur_obs, F.count(F.lit(1)).alias("full"), F.count_if(F.col(flag)).alias("removed")
-    )
-    kept = marked.filter(~F.col(flag)).drop(flag)
-    added = slice_select(stg, scope)
+    deduped = should_dedupe(dedupe, removed, cur, scope)
+    kept, added = scope.exclude(cur), slice_select(stg, scope)
     if collapse_keys:
         # Store semantics: one row per key (it subsumes the dedupe).  Kept and
         # added rows never share a key (both slice keys are in every key), so
@@ -180,9 +201,7 @@ def replacement_plan(
         if not current_bucketed:
             kept = bucket_ready(kept, bucket_spec)
         added = bucket_ready(added, bucket_spec)
-    kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("n"))
-    added = added.observe(added_obs, F.count(F.lit(1)).alias("n"))
-    return Replacement(kept.unionByName(added), deduped, cur_obs, kept_obs, added_obs)
+    return Replacement(kept, added, deduped)
 
 
 def resolve_scope(
@@ -200,7 +219,11 @@ def resolve_scope(
         return scope
     # Only a key that stands for everything in staging needs its staging table.
     tables = dict(zip(scope.values, (practice_table, measure_table), strict=True))
-    sources = {k: read_table(spark, staging_for(tables[k]), [k]) for k, values in scope.values.items() if values is None}
+    named = {k: staging_for(tables[k]) for k, values in scope.values.items() if values is None}
+    sources = {k: read_table(spark, src, [k]) for k, src in named.items()}
+    first = next(iter(named.values()), None)
+    if len(named) > 1 and all(src is first or (isinstance(src, str) and src == first) for src in named.values()):
+        sources = dict.fromkeys(named, read_table(spark, first, list(named)))  # one table, one scan
     return scope.resolve(sources, **kwargs)
 
 
@@ -220,14 +243,16 @@ def stage_sync(
     backup_path: str | None = None,
     collapse_keys: bool = False,
     current_bytes: int | None = None,
+    slices: int | None = None,
 ) -> TableRun:
     """Stage and verify the new version of one table (not yet switched).
 
     ``collapse_keys`` applies the keyed store's semantics: one row per
     primary key of the layout (latest ``updated_dt``, then a total order).
 
-    A target partitioned by ``practice_id`` is refreshed incrementally, in
-    place: only the partitions of the practices in scope are rewritten.
+    A partitioned target is refreshed incrementally, in place: only the
+    partitions that hold rows of the slice are rewritten.  ``slices`` makes a
+    new target such a table, partitioned by the slice's hash.
     """
     lay = layout(table)
     if spark.catalog.tableExists(target) and partition_columns(spark, target):
@@ -237,6 +262,18 @@ def stage_sync(
             spark, table, current=current, staging=staging, scope=scope, target=target, root=root, dedupe=dedupe,
             snapshot_path=snapshot_path, snapshot_format=snapshot_format, backup_path=backup_path,
         )
+    if slices and not spark.catalog.tableExists(target):
+        if collapse_keys:
+            raise NotIncremental("collapse_keys needs the full refresh of a bucketed table")
+        cur = read_table(spark, current)
+        if backup_path:
+            write_backup(cur, backup_path, table)
+        staged = stage_new(spark, target, current=cur, staging=read_table(spark, staging), scope=scope, root=root, layout=lay, slices=slices, dedupe=dedupe)
+        run = TableRun(table, target, staged.audit, staged, dedupe=staged.deduped)
+        if snapshot_path:
+            _export(spark, staged, snapshot_path, table, snapshot_format)
+            run.snapshot_path = snapshot_path
+        return run
     base = table_location(spark, target)  # before anything is read from it
     existing = table_bucket_spec(spark, target)
     if existing is None and spark.catalog.tableExists(target):
@@ -265,21 +302,22 @@ def stage_sync(
         cur_df = spark.read.parquet(table_location(spark, current))
         current_bucketed = False
     if backup_path:
-        write_delimited(conform(cur_df), backup_path, header=True, columns=lay.columns(True))
+        write_backup(cur_df, backup_path, table)
+    stg_df = read_table(spark, staging)
+    counts = input_counts(control_char_filter(conform(cur_df)), control_char_filter(conform(stg_df)), scope)
     plan = replacement_plan(
-        cur_df, read_table(spark, staging), scope, dedupe=dedupe, bucket_spec=spec, current_bucketed=current_bucketed,
-        collapse_keys=lay.key if collapse_keys else None,
+        cur_df, stg_df, scope, dedupe=dedupe, bucket_spec=spec, current_bucketed=current_bucketed,
+        collapse_keys=lay.key if collapse_keys else None, removed=counts.to_remove,
     )
     staged = stage_table(plan.result, target, root, spec, base)
     try:
-        counts = plan.counts()
-        if dedupe == "reference" and plan.deduped != (counts.to_remove > 0):
-            raise RuntimeError(f"{table}: slice probe and observed removal count disagree ({counts})")
-        verify(spark, staged, expected_rows=counts.after_add)
+        held = written_counts(spark.read.parquet(staged.path), scope)
+        check_written(table, counts, held, exact=not plan.deduped, collapsed=collapse_keys)
+        accept(staged, held)
         run = TableRun(table, target, counts, staged, dedupe=plan.deduped)
         if snapshot_path:
             snap = spark.read.parquet(staged.path)
-            write_snapshot(snap, snapshot_path, table, snapshot_format)
+            write_snapshot(snap, snapshot_path, table, snapshot_format, counts.after_add)
             run.snapshot_path = snapshot_path
     except Exception:
         discard(spark, staged)
@@ -292,41 +330,54 @@ def _stage_partitioned(spark, table, *, current, staging, scope, target, root, d
         raise NotIncremental(f"{target} is partitioned: it is refreshed in place, so current must be {target!r}")
     lay = layout(table)
     if backup_path:
-        # Only the partitions about to be replaced can change; back up those.
-        col = partition_columns(spark, target)[0]
-        touched = within(spark.table(target), col, touched_values(scope, col))
-        write_delimited(conform(touched), backup_path, header=True, columns=lay.columns(True))
+        write_backup(spark.table(target), backup_path, table)
     staged = stage_incremental(spark, target, staging=read_table(spark, staging), scope=scope, root=root, layout=lay, dedupe=dedupe)
     run = TableRun(table, target, staged.audit, staged, dedupe=staged.deduped)
     if snapshot_path:
-        write_snapshot(staged.result(spark), snapshot_path, table, snapshot_format)
+        _export(spark, staged, snapshot_path, table, snapshot_format)
         run.snapshot_path = snapshot_path
     return run
 
 
-def _switch_runs(spark: SparkSession, runs: list[TableRun]) -> None:
-    """Switch every staged table (whole-table or partition-level); on any
-    failure the switches already made are undone."""
-    done: list = []
-    pending = list(runs)
+def _export(spark: SparkSession, staged: StagedPartitions, path: str, table: str, fmt: SnapshotFormat) -> None:
+    if fmt.partitioned:
+        export_partitions(spark, staged, path, table, fmt)
+    else:
+        write_snapshot(staged.result(spark), path, table, fmt)
+
+
+def _switch_runs(spark: SparkSession, runs: list[TableRun], status: Staged | None = None) -> None:
+    """Switch every staged table, and the status table last; on any failure the
+    switches already made are undone.
+
+    Partitioned versions are made ready in the catalog before the first switch,
+    so that the switches themselves are a catalog statement or two each.
+    """
+    ready: dict[int, PartitionSwitch] = {}
+    done: list[tuple[str, object]] = []
     try:
-        while pending:
-            r = pending[0]
+        for k, r in enumerate(runs):
             if isinstance(r.staged, StagedPartitions):
-                done.append(switch_partitions(spark, r.staged))  # undoes itself on failure
-            else:
-                r.previous_location = table_location(spark, r.staged.table)
-                done.append(r)  # restored even if its own switch fails halfway
-                switch(spark, r.staged)
-            pending.pop(0)
+                ready[k] = prepare_partitions(spark, r.staged)
+        for k, r in enumerate(runs):
+            if k in ready:
+                flip_partitions(spark, ready[k])
+                continue
+            r.previous_location = table_location(spark, r.staged.table)
+            done.append((r.previous_location, r.staged))  # restored even if its own switch fails halfway
+            switch(spark, r.staged)
+        if status is not None:
+            done.append((table_location(spark, status.table), status))
+            switch(spark, status)
     except Exception:
-        for d in reversed(done):
-            if isinstance(d, PartitionSwitch):
-                undo_partitions(spark, d)
-            else:
-                restore(spark, d.staged.table, d.previous_location, d.staged.previous_properties)
-        for r in pending:
+        for sw in ready.values():
+            undo_partitions(spark, sw)
+        for previous, staged in reversed(done):
+            restore(spark, staged.table, previous, staged.previous_properties)
+        for r in runs:
             _discard(spark, r.staged)
+        if status is not None:
+            discard(spark, status)
         raise
 
 
@@ -339,18 +390,20 @@ class StatusTarget:
     refreshed_at: Column | None = None
 
 
-def advance_status(spark: SparkSession, run: TableRun, scope: ResolvedScope, status: StatusTarget, key: str = "practice_id") -> Staged:
-    """High-water per practice of the scope, over all measures of the new
-    version, written into a new version of the status table."""
+def stage_status(spark: SparkSession, run: TableRun, scope: ResolvedScope, status: StatusTarget, key: str = "practice_id") -> Staged:
+    """High-water per practice of the scope, over all measures of the staged
+    version, written into a new version of the status table (not yet switched)."""
     if isinstance(run.staged, StagedPartitions):
-        # The rewritten partitions are exactly the practices in scope, all measures.
-        new = run.staged.new_rows(spark)
-        result = new.select(key, "visit_dt") if new is not None else spark.createDataFrame([], f"{key} int, visit_dt timestamp_ntz")
+        # Partitions by practice: the rewritten ones are exactly the practices in scope, all measures.
+        new = run.staged.new_rows(spark) if run.staged.col == key else None
+        result = (new if new is not None else run.staged.result(spark)).select(key, "visit_dt")
     else:
         result = spark.read.parquet(run.staged.path).select(key, "visit_dt")
     hw = practice_high_water(practice_filter(result, scope, key), key=key)
-    updated = refresh_status(spark.table(status.table), hw, status.refreshed_at, key=key)
-    return publish_table(updated, status.table, status.root)
+    base = table_location(spark, status.table)
+    before = spark.table(status.table)
+    updated = refresh_status(before, hw, status.refreshed_at, key=key)
+    return verify(spark, stage_table(updated, status.table, status.root, base=base), expected_rows=before.count())
 
 
 def sync_all(
@@ -372,8 +425,9 @@ def sync_all(
     parallel_tables: int = 4,
     collapse_keys: bool = False,
     bytes_for: Callable[[str], int | None] | None = None,
+    slices: int | None = None,
 ) -> SyncReport:
-    """Stage all tables, then switch all of them, then advance the status.
+    """Stage all tables and the status, then switch all of them together.
 
     The tables are independent until the switch, so up to ``parallel_tables``
     of them are staged at once: their jobs share the cluster instead of
@@ -397,15 +451,20 @@ def sync_all(
             backup_path=backup_for(table) if backup_for else None,
             collapse_keys=collapse_keys,
             current_bytes=bytes_for(table) if bytes_for else None,
+            slices=slices,
         )
 
     report = SyncReport()
     report.runs = _stage_all(spark, stage, tables, parallel_tables)
-    _switch_runs(spark, report.runs)
-    if status is not None:
-        for run in report.runs:
-            if run.table == "summary_details_by_practice":
-                report.status = advance_status(spark, run, resolved, status)
+    by_practice = [r for r in report.runs if r.table == "summary_details_by_practice"]
+    if status is not None and by_practice:
+        try:
+            report.status = stage_status(spark, by_practice[0], resolved, status)
+        except Exception:
+            for r in report.runs:
+                _discard(spark, r.staged)
+            raise
+    _switch_runs(spark, report.runs, report.status)
     return report
 
 
@@ -467,27 +526,37 @@ def sync_table(
     )
 
 
-ORIGINAL_FORMAT = SnapshotFormat(header=False, evolved=False)
-
-
 def read_snapshot(spark: SparkSession, path: str, table: str, fmt: SnapshotFormat | None = None) -> DataFrame:
     """A table's delimited snapshot, typed, in canonical order.
 
-    The format is the one stored beside the snapshot; ``fmt`` (default: no
-    header, 26 columns) is for snapshots without one, and is refused if it is
-    given and contradicts what is stored.
+    The format is the one in the folder's manifest; ``fmt`` is for folders
+    without one, and is refused if it is given and contradicts what is stored.
+    A folder without a manifest is not read unless its format is given.
     """
-    stored = read_format(spark, path)
+    stored = read_manifest(spark, path)
     if stored is not None:
-        known = [SnapshotFormat(stored["header"], evolved, stored["codec"]) for evolved in (False, True)]
-        known = [f for f in known if f.note(table) == stored]
+        known = [SnapshotFormat(stored["header"], evolved, stored["codec"], "version" in stored) for evolved in (False, True)]
+        known = [f for f in known if f.columns(table) == stored["columns"]]
         if not known or (fmt is not None and fmt != known[0]):
             raise PublishError(f"{path} was written as {stored}, which is not {fmt or table}")
         fmt = known[0]
-    fmt = fmt or ORIGINAL_FORMAT
+    if fmt is None:
+        raise PublishError(f"{path} does not say how it was written; give its format (ORIGINAL_FORMAT for folders of the original job)")
     return conform(read_delimited(spark, path, fmt.schema(table), header=fmt.header, codec=fmt.codec))
 
 
+def restore_backup(spark: SparkSession, table: str, *, backup: str, target: str, root: str) -> Staged:
+    """Put a backup's rows back in place, as they were: a new version of ``target``, verified by the manifest's row count."""
+    spec = table_bucket_spec(spark, target)
+    if spec is None:
+        raise PublishError(f"{target} is not a bucketed table; restore it with sync_from_snapshot into a new one")
+    stored = read_manifest(spark, backup) or {}
+    rows = bucket_ready(read_snapshot(spark, backup, table, None if stored else BACKUP_FORMAT), spec)
+    staged = verify(spark, stage_table(rows, target, root, spec), stored.get("rows"))
+    switch(spark, staged)
+    return staged
+
+
 def sync_from_snapshot(
     spark: SparkSession,
     *,

@@ -165,6 +165,18 @@ def conform(
     return df.select(*cols)
 
 
+def conform_rejects(df: DataFrame, schema: T.StructType = CANONICAL_SCHEMA) -> Column:
+    """Names of a row's columns whose value a lenient ``conform`` would turn into null."""
+    present = {c.lower(): c for c in df.columns}
+    lost = []
+    for field in schema.fields:
+        src = present.get(field.name.lower())
+        if src is not None and df.schema[src].dataType != field.dataType:
+            c = F.col(src)
+            lost.append(F.when(c.isNotNull() & c.try_cast(field.dataType).isNull(), F.lit(field.name)))
+    return F.filter(F.array(*lost).cast("array<string>"), lambda x: x.isNotNull())
+
+
 def evolve_schema(df: DataFrame, column: str = EVOLVED_COLUMN, dtype: str = "int") -> DataFrame:
     """Add ``column`` as a typed null if absent; a no-op when it exists."""
     if column.lower() in (c.lower() for c in df.columns):
