@@ -60,7 +60,7 @@ MEMO_LENGTH = 48
 #: Words that are merged at a time, so that the arrays stay in the processor's cache.
 MERGED = 1 << 14
 #: Characters of short texts whose words are looked up together.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 20
 
 END = "</w>"
 # --- Fixed values: the word pattern of the vocabulary file -------------------
@@ -450,10 +450,10 @@ class Encoder:
         per_text = np.diff(np.searchsorted(start, np.append(0, ends)))
         data = np.frombuffer(joined.encode(), np.uint8)
         if len(data) == len(code):
-            kept, place = data[word], np.cumsum(word)
+            kept, place = data[word], np.cumsum(word, dtype=np.int32)
         else:
-            length = 1 + (code >= 0x80).astype(np.int32) + (code >= 0x800) + (code >= 0x10000)
-            kept, place = data[np.repeat(word, length)], np.cumsum(np.where(word, length, 0))
+            length = 1 + (code >= 0x80).astype(np.int8) + (code >= 0x800) + (code >= 0x10000)
+            kept, place = data[np.repeat(word, length)], np.cumsum(length * word, dtype=np.int32)
         offsets = np.append(np.append(0, place)[start], len(kept)).astype(np.int32)
         return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(kept)), per_text
 
