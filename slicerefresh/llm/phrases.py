@@ -15,9 +15,9 @@ Three passes read the texts:
 * ``word_counts``: all words with their counts, by their bytes.  Words are
   64-bit numbers from here on; this table proves that no number stands for two
   words where it matters, else another seed is taken.
-* ``pair_bits``: an upper bound of the count of each pair of words, one byte of a
-  fixed-size array per pair, added up in the shuffle.  A pair below the least
-  count ends every suffix; the bound only saves work.
+* ``gram_bits``: an upper bound of the count of each pair and triple of words, one
+  byte of a fixed-size array each, added up in the shuffle.  A pair or triple
+  below the least count ends every suffix; the bound only saves work.
 * ``suffixes``: equal suffixes of a task are one row with a count.
 
 Defined results: a null text is empty and a null language ``und``; empty texts
@@ -45,7 +45,7 @@ BLOCK = 1 << 22
 BUDGET = 1 << 20
 #: Longer prefixes at most for one length; beyond it the budget grows.
 PREFIXES = 1_000_000
-#: Bits of the number of pair counters, at least and at most (128 MB in a task, 16 MB broadcast).
+#: Bits of the number of counters of pairs and triples, at least and at most (128 MB in a task, 16 MB broadcast).
 PAIR_BITS = (16, 27)
 #: Counters of a piece that is added up by itself.
 PIECE = 1 << 16
@@ -120,13 +120,15 @@ def numbered(docs: DataFrame, least: int) -> tuple[DataFrame, int]:
         seed += 10
 
 
-def _pair(h: np.ndarray, bits: int) -> np.ndarray:
-    """Counter of each word with the next."""
-    return (mix(h[:-1] * _MUL + h[1:]) >> _U(64 - bits)).astype(np.int64)
+def _grams(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counters of each word with the next one, and with the next two."""
+    pair = mix(h[:-1] * _MUL + h[1:])
+    triple = mix(pair[:-1] * _MUL + h[2:])
+    return (pair >> _U(64 - bits)).astype(np.int64), (triple >> _U(64 - bits)).astype(np.int64)
 
 
-def pair_bits(docs: DataFrame, seed: int, least: int, bits: int) -> np.ndarray:
-    """One bit per counter: whether the pairs that share it may come ``least`` times.
+def gram_bits(docs: DataFrame, seed: int, least: int, bits: int) -> np.ndarray:
+    """One bit per counter: whether the pairs and triples that share it may come ``least`` times.
 
     Tasks count up to ``least`` (255 at most) and add up the same way.
     """
@@ -137,7 +139,8 @@ def pair_bits(docs: DataFrame, seed: int, least: int, bits: int) -> np.ndarray:
         total = np.zeros(1 << bits, np.uint8)
         for batch in batches:
             for _, _, _, h, goes_on, _, _ in _texts(batch, seed):
-                at, n = np.unique(_pair(h, bits)[goes_on[:-1]], return_counts=True)
+                pair, triple = _grams(h, bits)
+                at, n = np.unique(np.concatenate([pair[goes_on[:-1]], triple[goes_on[:-2] & goes_on[1:-1]]]), return_counts=True)
                 total[at] = np.minimum(total[at] + n, top)
         for k in range(0, 1 << bits, size):
             piece = total[k : k + size]
@@ -170,6 +173,10 @@ def _combined(w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return w[:, first], np.add.reduceat(n, first) if len(first) else n
 
 
+def _may(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
 def suffixes(docs: DataFrame, seed: int, may: np.ndarray, bits: int) -> DataFrame:
     """``w1 .. w5, n``: suffixes of two words or more (0: no word) with the count of a task's block."""
     shared = docs.sparkSession.sparkContext.broadcast(may)
@@ -178,16 +185,18 @@ def suffixes(docs: DataFrame, seed: int, may: np.ndarray, bits: int) -> DataFram
         held, rows = [], 0
         for batch in batches:
             for _, _, _, h, goes_on, _, _ in _texts(batch, seed):
-                at = _pair(h, bits)
+                pair, triple = _grams(h, bits)
                 on = goes_on.copy()
-                on[:-1] &= (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                on[:-1] &= _may(shared.value, pair)
+                on_two = on.copy()  # the pair and the one behind it, and the triple of both
+                on_two[:-2] &= on[1:-1] & _may(shared.value, triple)
                 begin = np.flatnonzero(on)
                 w = np.zeros((DEPTH, len(begin)), np.uint64)
                 w[0], live, reach = h[begin], np.arange(len(begin)), begin
                 for d in range(1, DEPTH):
                     w[d, live] = h[reach + 1]
-                    reach = reach + 1
-                    live, reach = live[on[reach]], reach[on[reach]]
+                    further = on_two[reach] & on[reach + 1]
+                    live, reach = live[further], reach[further] + 1
                 held.append(_combined(w, np.ones(len(begin), np.int64)))
                 rows += held[-1][0].shape[1]
                 if rows > BUDGET:
@@ -326,7 +335,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, budget: int
     vocabulary = written(words_of.filter(F.col("n") >= least), "phrase-vocabulary")
     n_words = sizes.agg(F.sum("n")).first()[0] or 0
     bits = min(PAIR_BITS[1], max(PAIR_BITS[0], math.ceil(math.log2(max(2, n_words / 8)))))
-    may = pair_bits(docs, seed, least, bits)
+    may = gram_bits(docs, seed, least, bits)
     table = written(suffixes(docs, seed, may, bits), "phrase-suffixes")
     found = written(counts(table, least, budget), "phrase-counts")
     kept = written(uncovered(scored(found, vocabulary, sizes)), "phrase-candidates")
