@@ -12,14 +12,18 @@ Two relations between sets save most of the work:
   a set meets only the blocks of its own and the adjoining bands; an entry's
   position bounds the overlap that is still possible, and pairs below the
   bound don't leave the list.
-* Equal sets have equal answers and are one class.  Each class is compared with
-  one hub, the first of its lists; those similar to it derive their answers
-  from it: a list whose sets are all in one component is skipped, the largest
-  component of a list is compared with the others only, and where the overlap
-  of two hubs is known, that of their followers lies within the differences
-  and is counted only if these bounds do not decide.
-
-Every pair across components that passes the bounds is counted exactly.
+* Equal sets have equal answers and are one class.  In rounds, the sets of each
+  list are compared with one hub of it, another one each round; a set similar
+  to a hub joins the hub's component, and lists whose sets are all in one
+  component are skipped from then on.  Rounds go on until what is left is no
+  more than ``PAIRS`` pairs per index entry, or until a round finds no link.
+  Where the overlap of two hubs is known, that of their followers lies within
+  the differences and is counted only if these bounds do not decide.
+
+Every pair across components that is left and passes the bounds is counted exactly.
+
+Bit arrays of a fixed size keep what cannot matter out of the shuffles (tokens
+of one set, sets without a copy); they only save work.
 """
 
 from __future__ import annotations
@@ -40,6 +44,10 @@ WIDTH = 4
 SHARE = (85, 100)
 #: Counters of the sketch of token counts.
 SKETCH_BITS = 21
+#: Bits (as a power of 2) of the arrays that tell rows apart before a shuffle: 4 MB.
+BITS = 25
+#: Pairs per index entry that may be emitted at the end instead of another round.
+PAIRS = 1
 #: Up to so many ids of sets to compare are broadcast (about 50 MB); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -114,12 +122,18 @@ def _sizes_fit(n: Column, m: Column, share: tuple[int, int]) -> Column:
     return F.least(n, m) * share[1] >= F.greatest(n, m) * share[0]
 
 
-def _possible(met: DataFrame, share: tuple[int, int]) -> DataFrame:
+def _may(n: Column, m: Column, i: Column, j: Column, share: tuple[int, int]) -> Column:
+    """Whether sets of these sizes may be linked that share the tokens at these positions."""
+    possible = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
+    return _sizes_fit(n, m, share) & (possible >= _needed(n, m, share))
+
+
+def _possible(met: DataFrame, share: tuple[int, int], *more: Column) -> DataFrame:
     """Pairs that may be linked by their sizes and the positions of their shared prefix tokens: a, b, n_a, n_b, shared."""
-    per_pair = met.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "n_b", "pos_a", "pos_b")])
+    per_pair = met.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "n_b", "pos_a", "pos_b")], *more)
     # All shared tokens up to the last one are counted; after it, no more than what is left.
     bound = F.col("shared") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
-    return per_pair.filter(_sizes_fit(F.col("n_a"), F.col("n_b"), share) & (bound >= _needed(F.col("n_a"), F.col("n_b"), share))).select("a", "b", "n_a", "n_b", "shared")
+    return per_pair.filter(_sizes_fit(F.col("n_a"), F.col("n_b"), share) & (bound >= _needed(F.col("n_a"), F.col("n_b"), share))).drop("pos_a", "pos_b")
 
 
 def _counted(pairs: DataFrame, fetch, tag: str) -> DataFrame:
@@ -135,6 +149,71 @@ def _linked(counted: DataFrame, share: tuple[int, int]) -> DataFrame:
     return counted.filter(F.col("overlap") >= _needed(F.col("n_a"), F.col("n_b"), share))
 
 
+def _bits(keys: DataFrame) -> np.ndarray:
+    """Bit array of ``2 ** BITS`` bits with one set for every ``sig`` of ``keys``, put together piece by piece."""
+    piece_bits = 16
+    n_pieces = 1 << (BITS - piece_bits)
+
+    def places(batches):
+        for batch in batches:
+            h = batch.column("sig").to_numpy().view(np.uint64) >> np.uint64(64 - BITS)
+            yield pa.record_batch({"piece": pa.array((h >> np.uint64(piece_bits)).astype(np.int32)), "at": pa.array((h & np.uint64((1 << piece_bits) - 1)).astype(np.int32))})
+
+    def pack(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            piece, at = batch.column("piece").to_numpy(), batch.column("at").to_numpy()
+            for k in np.unique(piece).tolist():
+                held.setdefault(k, np.zeros(1 << piece_bits, bool))[at[piece == k]] = True
+        for k, bits in held.items():
+            yield pa.record_batch({"piece": pa.array([k], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()])})
+
+    out = np.zeros((n_pieces, 1 << piece_bits - 3), np.uint8)
+    dealt = keys.mapInArrow(places, "piece int, at int").repartition(64, "piece")
+    for r in dealt.mapInArrow(pack, "piece int, bits binary").collect():
+        out[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def _held(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    h = keys.view(np.uint64) >> np.uint64(64 - BITS)
+    return (bits[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _in_bits(bits: np.ndarray, spark):
+    """Column -> whether a 64-bit value may be among those whose bits are set."""
+    shared = spark.sparkContext.broadcast(bits)
+
+    @F.arrow_udf(T.BooleanType())
+    def held(keys: pa.Array) -> pa.Array:
+        return pa.array(_held(shared.value, keys.to_numpy(zero_copy_only=False)))
+
+    return held
+
+
+def _listed(classes: DataFrame, bits: np.ndarray) -> DataFrame:
+    """Index entries ``sig, n, pos, token`` of the tokens whose bits are set."""
+    shared = classes.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for batch in batches:
+            tokens = batch.column("tokens")
+            flat = tokens.values.to_numpy(zero_copy_only=False)
+            at = tokens.offsets.to_numpy().astype(np.int64)
+            keep = np.flatnonzero(_held(shared.value, flat[at[0] : at[-1]])) + at[0]
+            row = np.searchsorted(at, keep, "right") - 1
+            yield pa.record_batch(
+                {
+                    "sig": pa.array(batch.column("sig").to_numpy()[row]),
+                    "n": pa.array(batch.column("n").to_numpy()[row]),
+                    "pos": pa.array((keep - at[row]).astype(np.int32)),
+                    "token": pa.array(flat[keep]),
+                }
+            )
+
+    return classes.mapInArrow(run, "sig long, n int, pos int, token long")
+
+
 def _with_component(classes: DataFrame, links: DataFrame) -> DataFrame:
     if links.isEmpty():
         return classes.withColumn("comp", F.col("sig"))
@@ -162,10 +241,13 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Classes of equal sets.
     counts = full.groupBy("sig").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("first_id"))
     counts = written(counts, "set-classes")
-    classes = written(full.select("sig", "n", "tokens").dropDuplicates(["sig"]), "set-prefixes")
+    copied = _in_bits(_bits(counts.filter("n_copies > 1").select("sig")), spark)
+    prefixes = full.select("sig", "n", "tokens").withColumn("copied", copied("sig"))
+    classes = prefixes.filter("copied").dropDuplicates(["sig"]).unionByName(prefixes.filter("not copied")).drop("copied")
+    classes = written(classes, "set-prefixes")
     index = classes.select("sig", "n", F.posexplode("tokens").alias("pos", "token"))
-    lists = index.groupBy("token").agg(F.count("*").alias("size"), F.min("sig").alias("hub")).filter("size > 1").drop("size")
-    entries = written(index.join(lists, "token"), "set-entries")
+    lists = written(index.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1").select("token"), "set-lists")
+    entries = written(_listed(classes, _bits(lists.select(F.col("token").alias("sig")))).join(lists, "token"), "set-entries")
     by_id = counts.select("sig", "first_id")
     one_row = unique_ids(full)
 
@@ -175,19 +257,43 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         used = written(used.join(by_id, "sig"), "set-used")
         ids = F.broadcast(used) if used.count() <= BROADCAST_IDS else used
         found = texts.join(ids, texts.doc_id.eqNullSafe(ids.first_id)).select("text", F.col("sig").alias("own"))
-        sets = found.select("own", _describe(shared, True, width, share)("text").alias("s")).select("own", "s.*").filter("own = sig").drop("own")
-        return written(sets if one_row else sets.dropDuplicates(["sig"]), "set-tokens")
-
-    # A hub for every class: of the first sets of its lists that may be similar, the one it shares most lists with.
-    first = entries.filter("sig = hub").select("token", F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
-    met = entries.filter("sig <> hub").join(first, "token").select(F.col("sig").alias("a"), F.col("hub").alias("b"), F.col("n").alias("n_a"), "n_b", F.col("pos").alias("pos_a"), "pos_b")
-    best = _possible(met, share).groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best"))
-    to_hub = _counted(written(best.select("a", F.col("best.b").alias("b")), "set-hubs"), fetch, "set-to-hub")
-    links = _linked(to_hub, share)
-    known = _with_component(classes.select("sig"), links.select("a", "b"))
-    pairs = _cross_pairs(entries.drop("hub").join(known, "sig"), share)
-    more = _decide(pairs, links, fetch, share)
-    every = links.select("a", "b").unionByName(more)
+        sets = written(found.select("own", _describe(shared, True, width, share)("text").alias("s")).select("own", "s.*"), "set-tokens").filter("own = sig").drop("own")
+        return sets if one_row else sets.dropDuplicates(["sig"])
+
+    # Rounds: in each list one hub, chosen by a hash of set and round; every set is compared
+    # with the hub it shares most lists with, of each component.
+    n_entries, links, known, round_ = entries.count(), None, classes.select("sig", F.col("sig").alias("comp")), 0
+    done = spark.createDataFrame([], "x long, y long")
+    while True:
+        named = entries.drop("comp").join(known, "sig") if round_ else entries.withColumn("comp", F.col("sig"))
+        entries = written(named, "set-open") if round_ else named
+        spread = entries.groupBy("token", "comp").agg(F.count("*").alias("k")).groupBy("token").agg(
+            F.count("*").alias("comps"), F.sum("k").alias("size"), F.sum(F.col("k") * F.col("k")).alias("same")
+        )
+        open_ = written(spread.filter("comps > 1"), "set-spread")
+        entries = entries.join(open_.select("token"), "token", "left_semi")
+        left = open_.agg(F.sum((F.col("size") * F.col("size") - F.col("same")) / 2)).first()[0] or 0
+        if round_ and left <= PAIRS * n_entries:
+            break
+        pick = F.xxhash64(F.lit(round_), "sig")
+        hub = entries.groupBy("token").agg(F.min(F.struct(pick.alias("pick"), "sig", "n", "pos", "comp")).alias("hub"))
+        hub = hub.select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("sig", "n", "pos", "comp")])
+        met = entries.join(hub, "token").filter((F.col("comp") != F.col("hub_comp")) & _may(F.col("n"), F.col("hub_n"), F.col("pos"), F.col("hub_pos"), share))
+        met = met.select(F.col("sig").alias("a"), F.col("hub_sig").alias("b"), F.col("n").alias("n_a"), F.col("hub_n").alias("n_b"), F.col("pos").alias("pos_a"), F.col("hub_pos").alias("pos_b"), F.col("hub_comp").alias("comp"))
+        fresh = _possible(met, share, F.max("comp").alias("comp")).withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")})
+        fresh = fresh.join(done, ["x", "y"], "left_anti")
+        best = fresh.groupBy("a", "comp").agg(F.max(F.struct("shared", "b")).alias("best"))
+        counted = _counted(written(best.select("a", F.col("best.b").alias("b")), "set-hubs"), fetch, "set-to-hub")
+        done = written(done.unionByName(counted.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))).distinct(), "set-done")
+        found = _linked(counted, share)
+        if found.isEmpty():
+            break
+        links = found if links is None else written(links.unionByName(found), "set-links")
+        known = _with_component(classes.select("sig"), links.select("a", "b"))
+        round_ += 1
+    pairs = _cross_pairs(entries, share).withColumns({"x": F.col("a"), "y": F.col("b")}).join(done, ["x", "y"], "left_anti").drop("x", "y")
+    more = _decide(pairs, links, fetch, share) if links is not None else _linked(_counted(pairs, fetch, "set-hub-pairs"), share).select("a", "b")
+    every = more if links is None else links.select("a", "b").unionByName(more)
 
     final = _with_component(counts, every)
     smallest = final.groupBy("comp").agg(F.min("first_id").alias("component_id"))
@@ -223,10 +329,8 @@ def _cross_pairs(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
     few = open_.filter("comp <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     p = few.select("token", "band", *[F.col(c).alias(f"p_{c}") for c in ("sig", "n", "comp", "pos")])
     q = open_.select("token", "band", "main", *[F.col(c).alias(f"q_{c}") for c in ("sig", "n", "comp", "pos")])
-    n, m, i, j = F.col("p_n"), F.col("q_n"), F.col("p_pos"), F.col("q_pos")
-    possible = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
     met = p.join(q, ["token", "band"]).filter(
-        (F.col("p_comp") != F.col("q_comp")) & ((F.col("q_comp") == F.col("main")) | (F.col("p_sig") < F.col("q_sig"))) & _sizes_fit(n, m, share) & (possible >= _needed(n, m, share))
+        (F.col("p_comp") != F.col("q_comp")) & ((F.col("q_comp") == F.col("main")) | (F.col("p_sig") < F.col("q_sig"))) & _may(F.col("p_n"), F.col("q_n"), F.col("p_pos"), F.col("q_pos"), share)
     )
     swap = F.col("p_sig") < F.col("q_sig")
     pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
