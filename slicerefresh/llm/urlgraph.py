@@ -12,6 +12,10 @@ Nodes are hosts and edges are links between pages' hosts, with the number of
 linking pages as weight (relative links stay on the host and keep the host's
 mass there).  Masses are whole numbers (``UNITS`` in all), and every step
 divides them without fractions, so that reruns agree to the last digit.
+Steps go on until no mass moves any more: until ``STEPS`` further steps reach no
+new host and change no host's mass by more than ``SETTLED`` units.  A host that
+some chain of links joins to a seed is reached, however long the chain, as long
+as a unit of mass is left (``0.85 ** hops * UNITS``, some 200 hops).
 """
 
 from __future__ import annotations
@@ -31,7 +35,9 @@ RULES = (
 UNITS = 10**15
 #: Percent of a host's mass that follows its links; the rest returns to the seeds.
 FOLLOW = 85
-STEPS = 12
+#: Steps between two looks at what still moves, and units (a millionth of all) that count as rest.
+STEPS = 8
+SETTLED = UNITS // 10**6
 THRESHOLD = 1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -74,7 +80,7 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return counted.groupBy("from_host", "to_host").agg(F.count("*").alias("links"))
 
 
-def page_rank(edges: DataFrame, seeds: DataFrame, steps: int = STEPS) -> DataFrame:
+def page_rank(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """``host, mass`` by personalised PageRank from ``seeds(host, weight)`` along ``edges``.
 
     A host's mass is its seed share of what returns plus what its links bring;
@@ -92,15 +98,27 @@ def page_rank(edges: DataFrame, seeds: DataFrame, steps: int = STEPS) -> DataFra
     wide = lambda c: c.cast("decimal(20,0)")
     share = F.floor(wide(F.col("weight")) * wide(F.lit(UNITS)) / F.lit(total)).cast("long")
     start = written(seeds.select("host", share.alias("seed")), "rank-seeds")
-    mass = start.select("host", F.col("seed").alias("mass"))
     again = start.select("host", F.floor(F.col("seed") * (100 - FOLLOW) / 100).cast("long").alias("mass"))
-    for step in range(steps):
-        part = F.expr(f"(mass div (100 * out)) * {FOLLOW} * links + (mass % (100 * out)) * {FOLLOW} * links div (100 * out)")
-        moved = mass.join(moves, mass.host == moves.from_host).select(F.col("to_host").alias("host"), part.alias("mass"))
-        mass = moved.unionByName(again).groupBy("host").agg(F.sum("mass").alias("mass"))
-        if step % 4 == 3 or step == steps - 1:
-            mass = written(mass, "rank-step")
-    return mass
+    # ``reached`` never goes back, so that masses that come and go by a unit don't keep the steps going.
+    now = start.select("host", F.col("seed").alias("mass"), (F.col("seed") > 0).alias("reached"))
+    while True:
+        mass = now.select("host", "mass")
+        for _ in range(STEPS):
+            part = F.expr(f"(mass div (100 * out)) * {FOLLOW} * links + (mass % (100 * out)) * {FOLLOW} * links div (100 * out)")
+            moved = mass.join(moves, mass.host == moves.from_host).select(F.col("to_host").alias("host"), part.alias("mass"))
+            mass = moved.unionByName(again).groupBy("host").agg(F.sum("mass").alias("mass"))
+        before = now.select("host", F.col("mass").alias("old"), F.col("reached").alias("known"))
+        known = F.coalesce("known", F.lit(False))
+        step = mass.join(before, "host", "full").select(
+            "host",
+            F.coalesce("mass", F.lit(0)).alias("mass"),
+            (known | (F.coalesce("mass", F.lit(0)) > 0)).alias("reached"),
+            ((F.coalesce("mass", F.lit(0)) > 0) & ~known | (F.abs(F.coalesce("mass", F.lit(0)) - F.coalesce("old", F.lit(0))) > SETTLED)).alias("moves"),
+        )
+        step = written(step, "rank-step")
+        now = step.drop("moves")
+        if step.filter("moves").isEmpty():
+            return now.select("host", "mass")
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -17,7 +17,7 @@ def test_matches_its_oracle(spark, name):
 
 def test_all_operators_are_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
     assert "pipeline" in names
 
 

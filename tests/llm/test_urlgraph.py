@@ -32,15 +32,19 @@ def rank(edges, seeds):
     for (a, _), w in links.items():
         out[a] = out.get(a, 0) + w
     seed = {h: w * op.UNITS // total for h, w in seeds.items()}
-    mass = dict(seed)
-    for _ in range(op.STEPS):
-        new = {h: m * 15 // 100 for h, m in seed.items()}
-        for (a, b), w in links.items():
-            if a in mass:
-                d = 100 * out[a]
-                new[b] = new.get(b, 0) + mass[a] // d * 85 * w + mass[a] % d * 85 * w // d
-        mass = new
-    return mass
+    mass, reached = dict(seed), {h for h, m in seed.items() if m}
+    while True:
+        before, known = mass, set(reached)
+        for _ in range(op.STEPS):
+            new = {h: m * 15 // 100 for h, m in seed.items()}
+            for (a, b), w in links.items():
+                if a in mass:
+                    d = 100 * out[a]
+                    new[b] = new.get(b, 0) + mass[a] // d * 85 * w + mass[a] % d * 85 * w // d
+            mass = new
+        reached |= {h for h, m in mass.items() if m}
+        if reached == known and all(abs(mass.get(h, 0) - before.get(h, 0)) <= op.SETTLED for h in {*mass, *before}):
+            return mass
 
 
 def judge(pages):
@@ -111,3 +115,13 @@ def test_edge_rows(spark):
     assert by[4][3:5] == ("www.example.com/en/", "allow") and by[5][3:5] == ("example.com/en/", "block") and by[6][3] == "com/"
     assert by[1][1:5] == ("", "", None, "allow") and by[7][3] is None and by[8][3:5] == ("net/es/", "block")
     assert op.judge(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_a_long_chain_is_followed_to_its_end(spark):
+    """Forty hosts, each linking to the next, the last to a blocked one: distrust reaches them all."""
+    pages = [(k, f"http://hop{k}.org/", f"<a href='http://hop{k + 1}.org/'>") for k in range(40)]
+    pages += [(40, "http://hop40.org/", "<a href='http://bad.net/es/'>"), (41, "http://bad.net/es/", None), (42, "http://clean.org/", None)]
+    expected = check(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    verdicts = {r[0]: r[4] for r in expected}
+    assert all(verdicts[k] == "block" for k in range(42)) and verdicts[42] == "allow"
+    assert all(r[6] > 0 for r in expected if r[0] < 42)
