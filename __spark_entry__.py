@@ -40,6 +40,7 @@ from slicerefresh.plans.sync import (
 from slicerefresh.schema import CANONICAL, FACT_TYPES, LAYOUTS, TABLE_ORDER, conform, conform_rejects, evolve_schema, layout
 from slicerefresh.session import scratch_path
 from slicerefresh.sources.delimited import read_delimited, reject_counts, write_delimited
+from slicerefresh.sources.files import data_files
 from slicerefresh.sources.tables import register_views, slice_sql
 
 try:
@@ -244,6 +245,48 @@ def q_conform_rejects(spark, sf):
     return named.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
+def q_snapshot_rejects(spark, sf):
+    """The snapshot job's own reject counts, taken in the scan that counts its inputs."""
+    base = scratch_path(spark, "job-rejects")
+    fmt = SnapshotFormat(header=True, evolved=True)
+    write_delimited(_bad_text(spark, sf), f"{base}/in", header=True, columns=fmt.columns(BY_MEASURE))
+    report = sync_from_snapshot(
+        spark, scope=Scope.of(fx.LIST_PRACTICES, fx.LIST_MEASURES), snapshot_in_for=lambda t: f"{base}/in", staging_for=lambda t: fx.staging(spark, sf),
+        target_for=lambda t, name=_table_name("rejects"): name, root_for=lambda t: f"{base}/t", tables=(BY_MEASURE,), count_rejects=True,
+    )
+    return spark.createDataFrame(list(report.runs[0].audit.rejected.items()), "column_name string, n_rejected long")
+
+
+def q_single_file_export(spark, sf):
+    """The whole table through one file, and the number of files."""
+    path = scratch_path(spark, "one-file")
+    fmt = SnapshotFormat(header=True, evolved=True)
+    write_delimited(fx.prod(spark, sf), path, header=True, columns=fmt.columns(BY_LOCATION), single_file=True)
+    rows = read_delimited(spark, path, fmt.schema(BY_LOCATION), header=True)
+    return conform(rows).withColumn("n_files", F.lit(data_files(spark, path)[0]))
+
+
+def q_layout_configured(spark, sf):
+    """A layout written with a configured number of partitions, and the number of files."""
+    path = scratch_path(spark, "configured")
+    layout_write(fx.prod(spark, sf), LAYOUTS[BY_MEASURE], path, num_partitions=5)
+    return conform(spark.read.parquet(path)).withColumn("n_files", F.lit(data_files(spark, path)[0]))
+
+
+def q_key_check_null_parts(spark, sf):
+    """Keys that come more than once or have a null part (the store takes neither)."""
+    return key_check(fx.prod(spark, sf), layout(BY_PRACTICE).key, null_keys=True)
+
+
+def q_refresh_status_now(spark, sf):
+    """The default refresh time is now: which rows got it."""
+    scope = Scope.of(fx.REFRESH_PRACTICES, fx.LIST_MEASURES).resolve()
+    hw = practice_high_water(practice_filter(_refresh_input(spark, sf), scope))
+    out = refresh_status(fx.status(spark, sf), hw)
+    late = F.col("lastrefreshtime") >= F.localtimestamp() - F.expr("interval 1 hour")
+    return out.select("practiceid", "enddate", late.alias("refreshed_now"))
+
+
 # --- publishing jobs ---------------------------------------------------------
 
 
@@ -600,6 +643,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_rejects": _read_rejects("lossless"),
         "read_rejects_legacy": _read_rejects("legacy"),
         "conform_rejects": q_conform_rejects,
+        "snapshot_rejects": q_snapshot_rejects,
+        "single_file_export": q_single_file_export,
+        "layout_configured": q_layout_configured,
+        "key_check_null_parts": q_key_check_null_parts,
+        "refresh_status_now": q_refresh_status_now,
         "restore_from_backup": q_restore_from_backup,
         "restore_backup_exact": q_restore_backup_exact,
         "sync_sliced_provider_list": _sliced(BY_PROVIDER, "list"),
@@ -800,6 +848,18 @@ def oracle_sql() -> dict[str, str]:
         "read_rejects": _rejects_sql(),
         "read_rejects_legacy": _rejects_sql(),
         "conform_rejects": _rejects_sql(),
+        "snapshot_rejects": _rejects_sql("(midname IS NULL OR position(chr(23) IN midname) = 0)"),
+        "single_file_export": w("SELECT *, 1 AS n_files FROM prod"),
+        "layout_configured": w("SELECT *, 5 AS n_files FROM prod"),
+        "key_check_null_parts": w(
+            "SELECT practice_id, measure_id, visit_dt, unit, visit_uid, count(*) AS n_rows FROM prod GROUP BY ALL HAVING count(*) > 1"
+            " OR practice_id IS NULL OR measure_id IS NULL OR visit_dt IS NULL OR unit IS NULL OR visit_uid IS NULL"
+        ),
+        "refresh_status_now": w(
+            "SELECT practiceid, CASE WHEN hw.practice_id IS NOT NULL THEN hw.enddate ELSE s.enddate END AS enddate,"
+            " hw.practice_id IS NOT NULL AS refreshed_now FROM status s LEFT JOIN hw ON s.practiceid = hw.practice_id",
+            **_refresh_ctes(),
+        ),
         "restore_from_backup": w("SELECT * FROM clean_prod"),
         "restore_backup_exact": w("SELECT * FROM prod"),
         "sync_sliced_provider_list": _replace_sql("list"),
@@ -844,8 +904,8 @@ def _chain_sql(body: str) -> str:
     )
 
 
-def _rejects_sql() -> str:
-    counts = (f"SELECT '{c}' AS column_name, count(*) AS n_rejected FROM base WHERE {cond}" for c, (cond, _) in fx.BAD_VALUES.items())
+def _rejects_sql(kept: str = "true") -> str:
+    counts = (f"SELECT '{c}' AS column_name, count(*) AS n_rejected FROM base WHERE {cond} AND {kept}" for c, (cond, _) in fx.BAD_VALUES.items())
     return fx.with_inputs_sql("SELECT * FROM (" + " UNION ALL ".join(counts) + ") WHERE n_rejected > 0")
 
 

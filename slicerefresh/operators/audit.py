@@ -31,6 +31,7 @@ class AuditCounts:
     to_add: int
     after_removal: int | None = None
     after_add: int | None = None
+    rejected: dict[str, int] | None = None  # values that did not parse, by column, where they were counted
 
     def as_row(self) -> dict:
         return asdict(self)
@@ -61,15 +62,26 @@ def _count_exprs(extra: bool = False):
     return exprs
 
 
-def input_counts(current: DataFrame, staging: DataFrame, scope: ResolvedScope) -> AuditCounts:
+def input_counts(current: DataFrame, staging: DataFrame, scope: ResolvedScope, rejects: str | None = None) -> AuditCounts:
     """One job: full, to-remove and to-add counts of the (cleaned) inputs.
 
+    ``rejects`` is a column of ``current`` that names a row's rejected columns;
+    they are counted in the same scan.
+
     Both inputs are reduced to their slice keys before the union, so the scan
     reads three columns (the keys and the cleaning column), and the global
     aggregate is partial per task: nothing grows with the data but the scan.
     """
-    row = _tagged(current, staging, scope).agg(*_count_exprs()).first()
-    return AuditCounts(row["prod_full"], row["to_remove"], row["to_add"])
+    if rejects is None:
+        row = _tagged(current, staging, scope).agg(*_count_exprs()).first()
+        return AuditCounts(row["prod_full"], row["to_remove"], row["to_add"])
+    names = [c for c in current.columns if c != rejects] + ["*"]
+    cur = scope.mark(current.select(*scope.keys, rejects), _FLAG).select(F.lit("cur").alias(_TAG), _FLAG, rejects)
+    stg = scope.mark(staging.select(*scope.keys), _FLAG).select(F.lit("stg").alias(_TAG), _FLAG, F.lit(None).cast("array<string>").alias(rejects))
+    lost = [F.count_if(F.array_contains(rejects, c)).alias(f"rejected {c}") for c in names]
+    row = cur.unionByName(stg).agg(*_count_exprs(), *lost).first()
+    rejected = {c: row[f"rejected {c}"] for c in names if row[f"rejected {c}"]}
+    return AuditCounts(row["prod_full"], row["to_remove"], row["to_add"], rejected=rejected)
 
 
 @dataclass

@@ -43,10 +43,12 @@ from slicerefresh.plans.incremental import (
     stage_new,
     undo_partitions,
 )
+from slicerefresh.plans.generations import physical
 from slicerefresh.plans.publish import (
     BucketSpec,
     PublishError,
     Staged,
+    _describe,
     accept,
     bucket_ready,
     buckets_skewed,
@@ -61,7 +63,7 @@ from slicerefresh.plans.publish import (
     verify,
 )
 from slicerefresh.schema import CANONICAL_SCHEMA, TABLE_ORDER, conform, layout
-from slicerefresh.sources.delimited import read_delimited, read_manifest, replace_parts, write_delimited, write_parts
+from slicerefresh.sources.delimited import REJECTS, read_delimited, read_manifest, replace_parts, write_delimited, write_parts
 from slicerefresh.sources.tables import read_table
 
 Source = str | DataFrame
@@ -157,7 +159,8 @@ def export_partitions(spark: SparkSession, staged: StagedPartitions, path: str,
 
 def write_backup(rows: DataFrame, path: str, table: str) -> None:
     """The rows as they were before a refresh: a snapshot that the snapshot job can start from."""
-    write_snapshot(conform(rows), path, table, BACKUP_FORMAT)
+    whole = conform(rows)
+    write_snapshot(whole, path, table, BACKUP_FORMAT, whole.count())  # from Parquet footers, for a table
 
 
 def replacement_plan(
@@ -204,6 +207,24 @@ def replacement_plan(
     return Replacement(kept, added, deduped)
 
 
+def pinned(spark: SparkSession, source: Source) -> Source:
+    """A catalog table as it is now, however often it is read and whatever is published to it meanwhile.
+
+    Versions are folders that nobody changes, so a table's present location (or
+    its present generation) is a version.  Other sources stay as they are; if
+    they change during a refresh, its counts do not agree and it is refused.
+    """
+    if isinstance(source, DataFrame) or "/" in source or ":" in source:
+        return source
+    name = physical(spark, source)
+    if name != source:
+        return spark.table(name)
+    found = _describe(spark, source)
+    if found.get("Provider", "").lower() != "parquet" or "Location" not in found or partition_columns(spark, source):
+        return source
+    return spark.read.schema(spark.table(source).schema).parquet(found["Location"])
+
+
 def resolve_scope(
     spark: SparkSession,
     scope: Scope | ResolvedScope,
@@ -304,7 +325,8 @@ def stage_sync(
     if backup_path:
         write_backup(cur_df, backup_path, table)
     stg_df = read_table(spark, staging)
-    counts = input_counts(control_char_filter(conform(cur_df)), control_char_filter(conform(stg_df)), scope)
+    named = REJECTS if REJECTS in cur_df.columns else None
+    counts = input_counts(control_char_filter(conform(cur_df, keep=[named] if named else [])), control_char_filter(conform(stg_df)), scope, named)
     plan = replacement_plan(
         cur_df, stg_df, scope, dedupe=dedupe, bucket_spec=spec, current_bucketed=current_bucketed,
         collapse_keys=lay.key if collapse_keys else None, removed=counts.to_remove,
@@ -343,7 +365,8 @@ def _export(spark: SparkSession, staged: StagedPartitions, path: str, table: str
     if fmt.partitioned:
         export_partitions(spark, staged, path, table, fmt)
     else:
-        write_snapshot(staged.result(spark), path, table, fmt)
+        whole = staged.result(spark)
+        write_snapshot(whole, path, table, fmt, whole.count())
 
 
 def _switch_runs(spark: SparkSession, runs: list[TableRun], status: Staged | None = None) -> None:
@@ -433,14 +456,24 @@ def sync_all(
     of them are staged at once: their jobs share the cluster instead of
     waiting for each other's tails.
     """
-    resolved = resolve_scope(spark, scope, staging_for, **(scope_options or {}))
+    versions: dict = {}
+
+    def staged_rows(table: str) -> Source:
+        source = staging_for(table)
+        key = source if isinstance(source, str) else id(source)
+        if key not in versions:
+            versions[key] = pinned(spark, source)
+        return versions[key]
+
+    resolved = resolve_scope(spark, scope, staged_rows, **(scope_options or {}))
+    pins = {t: staged_rows(t) for t in tables}
 
     def stage(table: str) -> TableRun:
         return stage_sync(
             spark,
             table,
             current=current_for(table),
-            staging=staging_for(table),
+            staging=pins[table],
             scope=resolved,
             target=target_for(table),
             root=root_for(table),
@@ -526,8 +559,9 @@ def sync_table(
     )
 
 
-def read_snapshot(spark: SparkSession, path: str, table: str, fmt: SnapshotFormat | None = None) -> DataFrame:
-    """A table's delimited snapshot, typed, in canonical order.
+def read_snapshot(spark: SparkSession, path: str, table: str, fmt: SnapshotFormat | None = None, rejects: bool = False) -> DataFrame:
+    """A table's delimited snapshot, typed, in canonical order; with ``rejects`` the
+    names of each row's columns whose value does not parse come along.
 
     The format is the one in the folder's manifest; ``fmt`` is for folders
     without one, and is refused if it is given and contradicts what is stored.
@@ -542,7 +576,8 @@ def read_snapshot(spark: SparkSession, path: str, table: str, fmt: SnapshotForma
         fmt = known[0]
     if fmt is None:
         raise PublishError(f"{path} does not say how it was written; give its format (ORIGINAL_FORMAT for folders of the original job)")
-    return conform(read_delimited(spark, path, fmt.schema(table), header=fmt.header, codec=fmt.codec))
+    rows = read_delimited(spark, path, fmt.schema(table), header=fmt.header, codec=fmt.codec, rejects=rejects)
+    return conform(rows, keep=[REJECTS] if rejects else [])
 
 
 def restore_backup(spark: SparkSession, table: str, *, backup: str, target: str, root: str) -> Staged:
@@ -569,10 +604,15 @@ def sync_from_snapshot(
     snapshot_in_format: SnapshotFormat | None = None,
     snapshot_out_format: SnapshotFormat = SnapshotFormat(header=True, evolved=True),
     tables: tuple[str, ...] = TABLE_ORDER,
+    count_rejects: bool = False,
     **kwargs,
 ) -> SyncReport:
     """The snapshot job: current rows come from delimited snapshots.
 
+    With ``count_rejects`` each run's audit says how many values of every column
+    did not parse (in rows that the cleaning keeps), counted in the scan that
+    counts the inputs.
+
     The new snapshot goes to a new folder (``snapshot_out_for``), never over
     the one being read; its format is stored beside it, so that the next run
     reads it as it is.
@@ -580,7 +620,7 @@ def sync_from_snapshot(
     return sync_all(
         spark,
         scope=scope,
-        current_for=lambda t: read_snapshot(spark, snapshot_in_for(t), t, snapshot_in_format),
+        current_for=lambda t: read_snapshot(spark, snapshot_in_for(t), t, snapshot_in_format, count_rejects),
         staging_for=staging_for,
         target_for=target_for,
         root_for=root_for,

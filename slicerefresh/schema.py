@@ -8,6 +8,7 @@ order (see ``plans.publish``), never a different set of columns.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -139,8 +140,9 @@ def conform(
     df: DataFrame,
     schema: T.StructType = CANONICAL_SCHEMA,
     lenient: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Project ``df`` onto ``schema``: fixed order, logical types.
+    """Project ``df`` onto ``schema``: fixed order, logical types (and the columns of ``keep`` behind them).
 
     Columns missing from ``df`` are added as typed nulls (the schema
     evolution step; idempotent).  Extra columns are dropped.  Casts are
@@ -162,7 +164,7 @@ def conform(
         if current != field.dataType:
             c = c.try_cast(field.dataType) if lenient else c.cast(field.dataType)
         cols.append(c.alias(field.name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def conform_rejects(df: DataFrame, schema: T.StructType = CANONICAL_SCHEMA) -> Column:

@@ -84,6 +84,24 @@ def test_a_failure_anywhere_leaves_tables_and_status_old(spark, monkeypatch, par
     assert report.status.rows == 1 and report.status.path == table_location(spark, f"{tag}_status").replace("file:", "")
 
 
+def test_staging_that_changes_during_a_refresh_is_read_as_it_was(spark, monkeypatch):
+    import slicerefresh.plans.sync as sync_mod
+
+    kw, targets = _group(spark, "grp_pin", False)
+    root = scratch_path(spark, "group")
+    publish_table(frame(spark, [row(1, "A", "s1"), row(2, "B", "other")]), "grp_pin_staging", f"{root}/staging")
+    real = sync_mod.input_counts
+
+    def counts(*a):
+        out = real(*a)
+        publish_table(frame(spark, [row(1, "A", f"later{k}") for k in range(5)]), "grp_pin_staging", f"{root}/staging")
+        return out
+
+    monkeypatch.setattr(sync_mod, "input_counts", counts)
+    sync_all(spark, **{**kw, "staging_for": lambda t: "grp_pin_staging", "scope": Scope.of(None, ["A"]), "status": None, "parallel_tables": 1})
+    assert [uids(spark.table(n)) for n in targets.values()] == [["s1"]] * 4  # practices 1 and 2 of the first version
+
+
 RETRIED = """
 import sys
 sys.path[:0] = [{repo!r}, {tests!r}]
