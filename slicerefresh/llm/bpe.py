@@ -55,7 +55,7 @@ PIECE = 1 << 18
 #: Symbols of a word that are merged at a time (several times any lookahead).
 BLOCK = 4096
 #: Words whose ids are remembered, and the longest such word.
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 1 << 17
 MEMO_LENGTH = 48
 #: Words that are merged at a time, so that the arrays stay in the processor's cache.
 MERGED = 1 << 14
@@ -181,6 +181,7 @@ class Merger:
         self.v = vocabulary
         self.symbol = byte_symbols()
         self.memo = _Memo(self.word)
+        self.numbers = list(range(max(vocabulary.ids.values()) + 1))
 
     def learn(self, words: list[str]) -> None:
         """Put short words into the memo, merged all at once."""
@@ -232,7 +233,8 @@ class Merger:
             near = np.flatnonzero(near)
             rank[near] = self._ranks(t, near)
         size, name = np.concatenate(sizes), np.concatenate(names)
-        flat, end = np.concatenate(tokens).tolist(), np.cumsum(size)
+        # The same number objects in all words, so that the memo stays small.
+        flat, end = list(map(self.numbers.__getitem__, np.concatenate(tokens).tolist())), np.cumsum(size)
         out: list[tuple[int, ...]] = [()] * len(words)
         for k, a, b in zip(name.tolist(), (end - size).tolist(), end.tolist()):
             out[k] = tuple(flat[a:b])
@@ -624,9 +626,11 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", plain: bool = False
         decoder = Decoder(shared.value, plain)
         for batch in batches:
             ids = batch.column(ids_col)
-            flat, at = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
-            texts = [decoder.decode(flat[a:b]) for a, b in zip(at, at[1:])]
-            yield _replaced(batch, "decoded", pa.array(texts, pa.string()))
+            flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
+            for k in range(0, len(ids), ROWS):
+                at = ends[k : k + ROWS + 1]
+                texts = [decoder.decode(flat[a:b]) for a, b in zip(at, at[1:])]
+                yield _replaced(batch.slice(k, len(texts)), "decoded", pa.array(texts, pa.string()))
 
     return rows.mapInArrow(run, _schema(rows, "decoded", T.StringType()))
 
