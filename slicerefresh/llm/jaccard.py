@@ -15,8 +15,8 @@ Two relations between sets save most of the work:
 * Equal sets have equal answers and are one class.  In rounds, the sets of each
   list are compared with one hub of it, another one each round; a set similar
   to a hub joins the hub's component, and lists whose sets are all in one
-  component are skipped from then on.  Rounds go on until what is left is no
-  more than ``PAIRS`` pairs per index entry, or until a round finds no link.
+  component are skipped from then on.  Rounds go on while each halves the pairs
+  that are left, until there are no more than ``PAIRS`` per index entry.
   Where the overlap of two hubs is known, that of their followers lies within
   the differences and is counted only if these bounds do not decide.
 
@@ -262,7 +262,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Rounds: in each list one hub, chosen by a hash of set and round; every set is compared
     # with the hub it shares most lists with, of each component.
-    n_entries, links, known, round_ = entries.count(), None, classes.select("sig", F.col("sig").alias("comp")), 0
+    n_entries, links, known, round_, before = entries.count(), None, classes.select("sig", F.col("sig").alias("comp")), 0, 0
     done = spark.createDataFrame([], "x long, y long")
     while True:
         named = entries.drop("comp").join(known, "sig") if round_ else entries.withColumn("comp", F.col("sig"))
@@ -273,8 +273,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         open_ = written(spread.filter("comps > 1"), "set-spread")
         entries = entries.join(open_.select("token"), "token", "left_semi")
         left = open_.agg(F.sum((F.col("size") * F.col("size") - F.col("same")) / 2)).first()[0] or 0
-        if round_ and left <= PAIRS * n_entries:
+        if round_ and (left <= PAIRS * n_entries or 2 * left > before):
             break
+        before = left
         pick = F.xxhash64(F.lit(round_), "sig")
         hub = entries.groupBy("token").agg(F.min(F.struct(pick.alias("pick"), "sig", "n", "pos", "comp")).alias("hub"))
         hub = hub.select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("sig", "n", "pos", "comp")])
