@@ -38,7 +38,7 @@ def _refresh(spark, name, root, staged, scope, lay=LAY):
 def test_a_reader_never_misses_a_practice(spark, slices):
     root = scratch_path(spark, "gen")
     name = f"gen_reader_{slices or 0}"
-    practices = list(range(6))
+    practices, last = list(range(6)), 20 if slices else 6
     publish_partitioned(frame(spark, [row(p, "A", f"v0-{p}") for p in practices]), name, root, LAY, slices=slices)
     wrong, seen, stop = [], set(), threading.Event()
 
@@ -54,14 +54,14 @@ def test_a_reader_never_misses_a_practice(spark, slices):
     reader = threading.Thread(target=read)
     reader.start()
     try:
-        for k in range(1, 21):
+        for k in range(1, last + 1):
             _refresh(spark, name, root, [row(p, "A", f"v{k}-{p}") for p in practices], Scope.of(practices, ["A"]))
     finally:
         stop.set()
         reader.join()
     assert not wrong
-    assert len(seen) > 3  # the reader did read while versions changed
-    assert uids(spark.table(name)) == sorted(f"v20-{p}" for p in practices)
+    assert len(seen) > 2  # the reader did read while versions changed
+    assert uids(spark.table(name)) == sorted(f"v{last}-{p}" for p in practices)
 
 
 def test_generations_take_turns_and_catch_up(spark):

@@ -44,8 +44,9 @@ BEFORE = ([["c1", "c2"]] * 4, [(1, OLD, OLD)])
 AFTER = ([["c2", "s1"]] * 4, [(1, NEW, dt.datetime(2031, 1, 1))])
 
 
-@pytest.mark.parametrize("partitioned", [False, True])
-@pytest.mark.parametrize("step", ["stage_status", "switch_status", "switch_table"])
+@pytest.mark.parametrize(
+    "partitioned, step", [(False, "stage_status"), (False, "switch_status"), (False, "switch_table"), (True, "switch_status"), (True, "switch_table")]
+)
 def test_a_failure_anywhere_leaves_tables_and_status_old(spark, monkeypatch, partitioned, step):
     import slicerefresh.plans.sync as sync_mod
 
