@@ -80,7 +80,8 @@ def test_matches_plain(spark):
     assert {r[4] for r in rows} == {"allow", "block"}
 
 
-def test_links_carry_trust_and_distrust(spark):
+def test_links_carry_trust_and_distrust(spark, monkeypatch):
+    monkeypatch.setattr(op, "SETTLED", op.UNITS // 1000)  # fewer steps
     rnd = random.Random(4)
     hosts = [f"h{k}.{tld}" for k in range(12) for tld in ("com", "net", "org")]
     pages = []
@@ -117,8 +118,9 @@ def test_edge_rows(spark):
     assert op.judge(spark.createDataFrame([], schema)).count() == 0
 
 
-def test_a_long_chain_is_followed_to_its_end(spark):
+def test_a_long_chain_is_followed_to_its_end(spark, monkeypatch):
     """Forty hosts, each linking to the next, the last to a blocked one: distrust reaches them all."""
+    monkeypatch.setattr(op, "SETTLED", op.UNITS // 100)  # hosts that are reached keep the steps going
     pages = [(k, f"http://hop{k}.org/", f"<a href='http://hop{k + 1}.org/'>") for k in range(40)]
     pages += [(40, "http://hop40.org/", "<a href='http://bad.net/es/'>"), (41, "http://bad.net/es/", None), (42, "http://clean.org/", None)]
     expected = check(spark.createDataFrame(pages, "page_id long, url string, html string"))
