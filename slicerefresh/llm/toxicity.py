@@ -7,12 +7,18 @@ log-probability; separators within a spaced-out span may be dropped or kept as
 a word boundary; a run of one letter may be one or two letters.  Viterbi
 decoding under a character language model (4-grams counted over the whole
 corpus) finds the likeliest letters.  The words of the text and the restored
-words are then scored.
+words are then scored.  A run of more than ``STARS`` stars hides no letters (the
+model alone would make them up) and is a boundary, so that the time to decode a
+span grows with its length.
 
 The scorer is fitted on a bounded sample of labelled documents outside the
-held-out fold.  Features are words and beginnings of words.  A feature's
-weight is the lower confidence bound of the share of toxic documents among those
-that have it.  Each toxic document stands for the smallest hash of the contexts
+held-out fold.  Features are words and beginnings of words.  One is kept if as
+many toxic documents with it are so unlikely by chance (by Chernoff's bound on the
+binomial tail at the sample's share of toxic documents) that among all features
+tested fewer than ``BY_CHANCE`` are expected, and if its weight is high enough
+(beginnings stand for many words and must be nearly always toxic).  Its weight
+is the share of toxic documents among those that have it, smoothed by one
+document of the average kind.  Each toxic document stands for the smallest hash of the contexts
 (the word between its neighbours) in which it has the feature, and equal
 contexts count once, so that copies of one document do not make its words
 toxic.  A text's score is ``1 - product(1 - weight)`` over the distinct features it has.
@@ -101,6 +107,8 @@ _SUBSTITUTE, _STAR, _DROP, _BREAK, _SHORTEN = (float(np.log(p)) for p in (0.3, 0
 
 #: Readings of spans up to this length are remembered; longer ones are decoded each time.
 LONGEST = 64
+#: Letters that stars may hide in a row.
+STARS = 8
 
 _SIGNS = r"@$!|+(<€£*"
 _C = rf"[^\W_]|[{_SIGNS}]"
@@ -129,7 +137,9 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
         c, run = span[i], 1
         while i + run < len(span) and span[i + run] == c:
             run += 1
-        if c == "*":
+        if c == "*" and run > STARS:
+            out.append([(" ", 0.0)])
+        elif c == "*":
             out += [[*((x, _STAR) for x in _ANY), (" ", _BREAK)] for _ in range(run)]
         elif c in LOOKALIKE:
             # A sign may be punctuation; a digit may not.
@@ -237,8 +247,9 @@ def suspicious_rows(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 # --- features --------------------------------------------------------------------------------
 
-#: A feature is a whole word (0) or its first so many bytes.
+#: A feature is a whole word (0) or its first so many bytes; its lowest bits say which of these.
 PREFIXES = (0, 4, 5, 6, 7)
+_KIND = np.uint64(7)
 _NOT_LETTER = ~_LETTER
 
 
@@ -264,10 +275,10 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     right = np.where(near_row[2:] == row, near[2:], np.uint64(2))
     context = mix(left * np.uint64(3) + mix(whole + right * np.uint64(5)))
     feats, rows, contexts = [], [], []
-    for length in PREFIXES:
+    for kind, length in enumerate(PREFIXES):
         some = end - start >= max(3, length) if not length else end - start > length
         h = range_hash(prefix, start[some], start[some] + length) if length else whole[some]
-        feats.append(mix(h + np.uint64(length)))
+        feats.append(mix(h + np.uint64(length)) & ~_KIND | np.uint64(kind))
         rows.append(row[some])
         contexts.append(context[some])
     return np.concatenate(feats), np.concatenate(rows), np.concatenate(contexts)
@@ -309,14 +320,19 @@ class Reader:
 
 #: Labelled documents that the scorer is fitted on, at most.
 FIT_TOXIC, FIT_CLEAN = 2_000, 8_000
-MIN_CONTEXTS, MIN_WEIGHT, CONFIDENCE = 8, 0.6, 3.0
+#: Contexts of a feature at least, features that may be kept by chance, weights of words and of beginnings at least.
+MIN_CONTEXTS, BY_CHANCE, MIN_WORD, MIN_BEGINNING = 3, 3.0, 0.8, 0.9
 DECIDE = 0.3
 
 
-def lower_bound(share: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Wilson's lower bound of a share."""
-    z2 = CONFIDENCE**2
-    return (share + z2 / (2 * n) - CONFIDENCE * np.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+def log_chance(n_toxic: np.ndarray, n: np.ndarray, base: float) -> np.ndarray:
+    """Chernoff's bound on the log-probability of ``n_toxic`` or more of ``n`` documents at a share of ``base``."""
+    if not 0 < base < 1:
+        return np.zeros(len(n))
+    share = n_toxic / n
+    clean = np.maximum(1 - share, 1e-300)
+    divergence = share * np.log(np.maximum(share, 1e-300) / base) + (1 - share) * np.log(clean / (1 - base))
+    return np.where(share > base, -n * divergence, 0.0)
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
@@ -338,6 +354,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     shared_model = spark.sparkContext.broadcast(model)
     sample, scale = _sample(docs, labels)
     sample = written(sample, "tox-sample")
+    size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
     def contexts_of(batches):
         reader = Reader(shared_model.value)
@@ -367,10 +384,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
     clean = sample.filter("toxic = 0").select("text").mapInArrow(clean_counts, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     n_clean = np.zeros(len(feature))
-    n_clean[clean["at"].to_numpy()] = clean["n"].to_numpy() * scale
-    n = n_toxic + n_clean
-    weight = lower_bound(n_toxic / np.maximum(n, 1), np.maximum(n, 1))
-    good = weight >= MIN_WEIGHT
+    n_clean[clean["at"].to_numpy()] = clean["n"].to_numpy()
+    by_chance = log_chance(n_toxic, n_toxic + n_clean, size.get(1, 0) / max(1, size.get(0, 0) + size.get(1, 0)))
+    n_clean *= scale  # as if all clean documents had been read
+    base = size.get(1, 0) / max(1, size.get(1, 0) + size.get(0, 0) * scale)
+    weight = (n_toxic + base) / (n_toxic + n_clean + 1)
+    least = np.where(feature & _KIND == 0, MIN_WORD, MIN_BEGINNING)
+    good = (by_chance + np.log(max(1, len(feature))) < np.log(BY_CHANCE)) & (weight >= least)
     return {"model": model, "feature": feature[good], "weight": weight[good]}
 
 

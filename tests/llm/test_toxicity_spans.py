@@ -1,5 +1,7 @@
 """Hidden words in spans of any length."""
 
+import time
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -39,3 +41,19 @@ def test_a_text_of_one_long_hidden_word_is_toxic(spark, fitted):  # noqa: F811
 def test_readings_of_long_spans_take_linear_time(fitted):  # noqa: F811
     span = "gr0mbolk-" * 5_000
     assert len(op.restore(span, fitted["model"])) > 20_000 and np.isfinite(fitted["model"]).all()
+
+
+def test_long_runs_of_stars_are_boundaries():
+    model = op.language_model(np.ones(1 << 20, np.int64))
+    start = time.perf_counter()
+    assert op.viterbi(op.lattice("ab" + "*" * 100_000 + "cd"), model) == "ab cd"
+    assert time.perf_counter() - start < 5
+
+
+def test_features_that_chance_explains_are_not_kept():
+    n = np.array([3.0, 3.0, 30.0, 40.0])
+    toxic = np.array([3.0, 1.0, 30.0, 4.0])
+    chance = op.log_chance(toxic, n, 0.1)
+    assert chance[0] == pytest.approx(3 * np.log(0.1)) and chance[2] == pytest.approx(30 * np.log(0.1))
+    assert chance[3] == 0 and chance[0] < chance[1] < 0
+    assert (op.log_chance(toxic, n, 0.0) == 0).all() and (op.log_chance(toxic, n, 1.0) == 0).all()
