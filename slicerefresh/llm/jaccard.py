@@ -9,11 +9,12 @@ prefixes), so an index of prefixes finds all links.
 Two relations between sets save most of the work:
 
 * Index lists are cut into blocks by size (bands a factor ``1 / share`` apart), so that
-  a set meets only the blocks of its own and the adjoining bands; an entry's
-  position bounds the overlap that is still possible, and pairs below the
-  bound don't leave the list.
+  a set meets only the blocks of its own and the adjoining bands; a pair leaves
+  only lists whose token can be the first that both share, what is left of each
+  set behind it being enough for a link.
 * Equal sets have equal answers and are one class.  In rounds, the sets of each
-  list are compared with one hub of it, another one each round; a set similar
+  list are compared with one hub of it (a set with few seldom tokens of its own, so
+  that most are near it), another one each round; a set similar
   to a hub joins the hub's component, and lists whose sets are all in one
   component are skipped from then on.  Rounds go on while each halves the pairs
   that are left, until there are no more than ``PAIRS`` per index entry.
@@ -66,7 +67,8 @@ def token_order(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
     def count(batch):
         counters = np.zeros(1 << SKETCH_BITS, np.int64)
         for h, _, _ in _sets(batch.column("text"), width):
-            counters += np.bincount((h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS)
+            at, n = np.unique(h & np.uint64((1 << SKETCH_BITS) - 1), return_counts=True)
+            counters[at.astype(np.int64)] += n
         return counters
 
     return np.minimum(summed(texts.select("text"), count, SKETCH_BITS), 65535).astype(np.uint16)
@@ -95,7 +97,8 @@ def _describe(shared, whole: bool, width: int, share: tuple[int, int]):
                 n = len(tokens)
                 sizes.append(n)
                 signatures.append(_signature(tokens))
-                parts.append(tokens if whole else tokens[: n - -(-n * share[0] // share[1]) + 1 if n else 0])
+                # A copy, so that the rest is not held until the batch ends.
+                parts.append(tokens if whole else tokens[: n - -(-n * share[0] // share[1]) + 1 if n else 0].copy())
         bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         flat = np.concatenate(parts) if parts else np.empty(0, np.uint64)
         return pa.StructArray.from_arrays(
@@ -123,9 +126,12 @@ def _sizes_fit(n: Column, m: Column, share: tuple[int, int]) -> Column:
 
 
 def _may(n: Column, m: Column, i: Column, j: Column, share: tuple[int, int]) -> Column:
-    """Whether sets of these sizes may be linked that share the tokens at these positions."""
-    possible = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
-    return _sizes_fit(n, m, share) & (possible >= _needed(n, m, share))
+    """Whether sets of these sizes may be linked if these are the positions of their first shared token.
+
+    With tokens before it shared, pairs meet at these too: where this holds at
+    one shared token, it holds at all earlier ones.
+    """
+    return _sizes_fit(n, m, share) & (F.least(n - i, m - j) >= _needed(n, m, share))
 
 
 def _possible(met: DataFrame, share: tuple[int, int], *more: Column) -> DataFrame:
@@ -260,8 +266,8 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sets = written(found.select("own", _describe(shared, True, width, share)("text").alias("s")).select("own", "s.*"), "set-tokens").filter("own = sig").drop("own")
         return sets if one_row else sets.dropDuplicates(["sig"])
 
-    # Rounds: in each list one hub, chosen by a hash of set and round; every set is compared
-    # with the hub it shares most lists with, of each component.
+    # Rounds: in each list one hub that was none before, the one with the token nearest its start; every
+    # set is compared with the hub it shares most lists with, of each component.
     n_entries, links, known, round_, before = entries.count(), None, classes.select("sig", F.col("sig").alias("comp")), 0, 0
     done = spark.createDataFrame([], "x long, y long")
     while True:
@@ -276,15 +282,20 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if round_ and (left <= PAIRS * n_entries or 2 * left > before):
             break
         before = left
-        pick = F.xxhash64(F.lit(round_), "sig")
-        hub = entries.groupBy("token").agg(F.min(F.struct(pick.alias("pick"), "sig", "n", "pos", "comp")).alias("hub"))
+        # A token comes early in sets that have few seldom tokens of their own, which most others resemble.
+        early, pick = F.col("pos") / F.col("n"), F.xxhash64(F.lit(round_), "sig")
+        others = entries.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_IDS else hubs, "sig", "left_anti") if round_ else entries
+        hub = others.groupBy("token").agg(F.min(F.struct(early.alias("early"), pick.alias("pick"), "sig", "n", "pos", "comp")).alias("hub"))
         hub = hub.select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("sig", "n", "pos", "comp")])
         met = entries.join(hub, "token").filter((F.col("comp") != F.col("hub_comp")) & _may(F.col("n"), F.col("hub_n"), F.col("pos"), F.col("hub_pos"), share))
         met = met.select(F.col("sig").alias("a"), F.col("hub_sig").alias("b"), F.col("n").alias("n_a"), F.col("hub_n").alias("n_b"), F.col("pos").alias("pos_a"), F.col("hub_pos").alias("pos_b"), F.col("hub_comp").alias("comp"))
         fresh = _possible(met, share, F.max("comp").alias("comp")).withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")})
         fresh = fresh.join(done, ["x", "y"], "left_anti")
         best = fresh.groupBy("a", "comp").agg(F.max(F.struct("shared", "b")).alias("best"))
-        counted = _counted(written(best.select("a", F.col("best.b").alias("b")), "set-hubs"), fetch, "set-to-hub")
+        best = written(best.select("a", F.col("best.b").alias("b")), "set-hubs")
+        were = best.select(F.col("b").alias("sig"))
+        hubs = written((hubs.unionByName(were) if round_ else were).distinct(), "set-hub-ids")
+        counted = _counted(best, fetch, "set-to-hub")
         done = written(done.unionByName(counted.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))).distinct(), "set-done")
         found = _linked(counted, share)
         if found.isEmpty():
